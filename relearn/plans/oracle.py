@@ -116,3 +116,145 @@ SELECT 'base' AS model, {counts_sql('tx_fraud', PRED_BASE)} FROM ({SPLIT_SQL}) W
 UNION ALL
 SELECT 'candidate' AS model, {counts_sql('tx_fraud', PRED_CAND)} FROM ({SPLIT_SQL}) WHERE split = 'test'
 """, "model"))
+
+
+# -- profiling ------------------------------------------------------------------
+
+TX_KEY_COLS = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_qty_key"
+TX_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qty_key", "l_quantity",
+           "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+           "tx_timestamp", "tx_fraud"]
+TS_TEXT = "strftime(tx_timestamp, '%Y-%m-%d %H:%M:%S') AS tx_timestamp"
+
+register("row_count", "SELECT CAST(count(*) AS BIGINT) AS n_rows FROM lineitem")
+
+register("first_rows", f"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_qty_key, l_quantity, l_extendedprice,
+       l_discount, l_tax, l_returnflag, l_linestatus, {TS_TEXT}, tx_fraud
+FROM ({TX_SQL}) ORDER BY {TX_KEY_COLS} LIMIT 5""")
+
+register("null_counts", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(count_if({c} IS NULL) AS BIGINT) AS null_count "
+    f"FROM ({SPLIT_SQL}) WHERE split = 'train'" for c in TX_COLS))
+
+register("label_summary", f"""
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(tx_fraud) AS BIGINT) AS positives,
+       {r6('avg(CAST(tx_fraud AS DOUBLE)) * 100')} AS positive_rate_pct
+FROM ({TX_SQL})""")
+
+# -- label map, sampling, splits --------------------------------------------------
+
+register("label_encoding", """
+SELECT o_orderkey, o_orderstatus,
+       CAST(CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 0 END AS INTEGER) AS label_enc
+FROM orders""")
+
+register("sample_rows", f"""
+SELECT o_orderkey, o_totalprice FROM orders
+WHERE {U('sample', 'o_orderkey')} < {dbl(Q.SAMPLE_FRACTION)}""")
+
+register("sample_complement", f"""
+SELECT o_orderkey, o_totalprice FROM orders
+WHERE {U('demo_split', 'o_orderkey')} >= {dbl(Q.DEMO_TRAIN_FRACTION)}""")
+
+register("split_assign", f"SELECT {TX_KEY_COLS}, split FROM ({SPLIT_SQL})")
+
+register("split_sizes", f"SELECT split, CAST(count(*) AS BIGINT) AS n_rows FROM ({SPLIT_SQL}) GROUP BY split")
+
+register("url_sample", f"""
+SELECT page_id, url FROM pages WHERE {U('sample', 'page_id')} < {dbl(Q.SAMPLE_FRACTION)}""")
+
+# -- A/B on one table -------------------------------------------------------------
+
+AB_SQL = f"""
+SELECT *, CASE WHEN {U(Q.ARM_SEED, TX_KEY_SQL)} < {dbl(Q.TRAFFIC_SPLIT)}
+               THEN 'challenger' ELSE 'champion' END AS ab_group
+FROM ({SPLIT_SQL}) WHERE split = 'test'"""
+
+AB_SCORED_SQL = f"""
+SELECT *, CASE WHEN ab_group = 'challenger' THEN {SCORE_CAND} ELSE {SCORE_BASE} END AS score,
+          CASE WHEN ab_group = 'challenger' THEN {PRED_CAND} ELSE {PRED_BASE} END AS prediction
+FROM ({AB_SQL})"""
+
+
+def auc_sql(src: str, group: str, y: str = "tx_fraud") -> str:
+    """Exact ROC AUC per group: running sum of negatives below each distinct score."""
+    return f"""
+SELECT {group}, CAST(sum(pos) AS BIGINT) AS pos, CAST(sum(neg) AS BIGINT) AS neg,
+       CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN
+            CAST(sum(CAST(pos AS HUGEINT) * (2 * below + neg)) AS DOUBLE)
+            / (2.0 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) END AS auc_score
+FROM (SELECT *, coalesce(sum(neg) OVER (PARTITION BY {group} ORDER BY score
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM (SELECT {group}, score, count_if({y} = 1) AS pos, count_if({y} = 0) AS neg
+            FROM ({src}) WHERE score IS NOT NULL GROUP BY {group}, score))
+GROUP BY {group}"""
+
+
+def score_metrics_sql(src: str, group: str, y: str = "tx_fraud") -> str:
+    """auc_score, accuracy, f1_weighted, sample_size per group (unrounded)."""
+    return f"""
+SELECT c.{group}, a.auc_score,
+       {ratio0('tp + tn', 'tp + fp + fn + tn')} AS accuracy,
+       {f1_weighted_sql()} AS f1_weighted,
+       tp + fp + fn + tn AS sample_size
+FROM (SELECT {group}, {counts_sql(y, 'prediction')} FROM ({src}) WHERE score IS NOT NULL GROUP BY {group}) c
+LEFT JOIN ({auc_sql(src, group, y)}) a ON c.{group} = a.{group}"""
+
+
+register("ab_assign", f"SELECT {TX_KEY_COLS}, ab_group FROM ({AB_SQL})")
+
+register("ab_arm_sizes", f"""
+SELECT CAST(count_if(ab_group = 'champion') AS BIGINT) AS champion_count,
+       CAST(count_if(ab_group = 'challenger') AS BIGINT) AS challenger_count
+FROM ({AB_SQL})""")
+
+register("ab_arm_rows", f"""
+SELECT {TX_KEY_COLS}, l_quantity, l_extendedprice, l_discount, l_tax, {TS_TEXT}, tx_fraud
+FROM ({AB_SQL}) WHERE ab_group = 'challenger'""")
+
+ARM_METRICS_SQL = f"""
+SELECT ab_group, auc_score AS auc, accuracy, f1_weighted AS f1, sample_size
+FROM ({score_metrics_sql(AB_SCORED_SQL, 'ab_group')})"""
+
+register("ab_arm_metrics", f"""
+SELECT ab_group, {r6('auc')} AS auc, {r6('accuracy')} AS accuracy, {r6('f1')} AS f1, sample_size
+FROM ({ARM_METRICS_SQL})""")
+
+
+def _arm(a: str, m: str) -> str:
+    return f"max(CASE WHEN ab_group = '{a}' THEN {m} END)"
+
+
+register("ab_compare", f"""
+SELECT {r6('ch_auc')} AS champion_auc, {r6('ch_accuracy')} AS champion_accuracy,
+       {r6('ch_f1')} AS champion_f1, CAST(coalesce(ch_n, 0) AS BIGINT) AS champion_sample_size,
+       {r6('cl_auc')} AS challenger_auc, {r6('cl_accuracy')} AS challenger_accuracy,
+       {r6('cl_f1')} AS challenger_f1, CAST(coalesce(cl_n, 0) AS BIGINT) AS challenger_sample_size,
+       {r6('cl_auc - ch_auc')} AS auc_improvement,
+       {r6('cl_accuracy - ch_accuracy')} AS accuracy_improvement,
+       {r6('cl_f1 - ch_f1')} AS f1_improvement,
+       CASE WHEN cl_auc - ch_auc > 0 THEN 'challenger' ELSE 'champion' END AS winner
+FROM (SELECT {_arm('champion', 'auc')} AS ch_auc, {_arm('champion', 'accuracy')} AS ch_accuracy,
+             {_arm('champion', 'f1')} AS ch_f1, {_arm('champion', 'sample_size')} AS ch_n,
+             {_arm('challenger', 'auc')} AS cl_auc, {_arm('challenger', 'accuracy')} AS cl_accuracy,
+             {_arm('challenger', 'f1')} AS cl_f1, {_arm('challenger', 'sample_size')} AS cl_n
+      FROM ({ARM_METRICS_SQL}))""")
+
+# -- score metrics ----------------------------------------------------------------
+
+
+def stacked_sql(src: str) -> str:
+    return f"""
+SELECT 'base' AS model, tx_fraud, {SCORE_BASE} AS score, {PRED_BASE} AS prediction FROM ({src})
+UNION ALL
+SELECT 'candidate' AS model, tx_fraud, {SCORE_CAND} AS score, {PRED_CAND} AS prediction FROM ({src})"""
+
+
+register("auc_exact", f"""
+SELECT model, pos, neg, {r6('auc_score')} AS auc_score FROM ({auc_sql(stacked_sql(TX_SQL), 'model')})""")
+
+register("score_metrics", f"""
+SELECT model, {r6('auc_score')} AS auc_score, {r6('accuracy')} AS accuracy,
+       {r6('f1_weighted')} AS f1_weighted, sample_size
+FROM ({score_metrics_sql(stacked_sql(f"SELECT * FROM ({SPLIT_SQL}) WHERE split = 'test'"), 'model')})""")

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relearn.operators import metrics, sampling, scorers
+from relearn.operators import abtest, metrics, profile, sampling, scorers
 from relearn.sources.tables import LABEL, read_table, transactions, tx_key
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,3 +60,153 @@ def q_model_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = metrics.evaluate_models(scored, LABEL, {"base": "pred_base", "candidate": "pred_candidate"})
     return rounded(out.select("model", "tp", "fp", "fn", "tn", "n", "precision", "recall",
                               "f1_binary", "auc_label", "accuracy", "f1_weighted"))
+
+
+# -- profiling (P2-P4, P10, P11) ---------------------------------------------
+
+TX_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+TX_KEY_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qty_key"]
+SAMPLE_FRACTION = 0.1      # share of the URL data the A/B job works on
+DEMO_TRAIN_FRACTION = 0.8  # 80/20 split of the demo data
+
+
+def _tx_out(df: DataFrame) -> DataFrame:
+    """Transactions with the event time as text (engine-independent format)."""
+    return df.withColumn("tx_timestamp", F.date_format("tx_timestamp", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("row_count")
+def q_row_count(spark, sf_dir):
+    """Rows of the input table."""
+    return profile.row_count(transactions(spark, sf_dir))
+
+
+@register("first_rows")
+def q_first_rows(spark, sf_dir):
+    """The first 5 transactions by key."""
+    return _tx_out(profile.first_rows(transactions(spark, sf_dir), 5, TX_KEY_COLS))
+
+
+@register("null_counts")
+def q_null_counts(spark, sf_dir):
+    """Null count of every column of the training part, one pass."""
+    train = split_transactions(spark, sf_dir).filter(F.col("split") == "train").drop("split")
+    return profile.null_counts(train, only_nonzero=False)
+
+
+@register("label_summary")
+def q_label_summary(spark, sf_dir):
+    """Rows, positives and positive rate of the label."""
+    return rounded(profile.label_summary(transactions(spark, sf_dir), LABEL))
+
+
+# -- label map, sampling, splits (P6-P10, P12) ----------------------------------
+
+ORDER_STATUS_MAP = {"F": 1, "O": 0}
+
+
+@register("label_encoding")
+def q_label_encoding(spark, sf_dir):
+    """Status mapped to 1/0, any other value to null."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return sampling.encode_labels(orders, "o_orderstatus", ORDER_STATUS_MAP)
+
+
+@register("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    """10 % of orders, without replacement, keyed by order."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return sampling.sample_rows(orders, SAMPLE_FRACTION, "sample", [F.col("o_orderkey")])
+
+
+@register("sample_complement")
+def q_sample_complement(spark, sf_dir):
+    """The orders an 80 % sample leaves out (the demo data's test part)."""
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return sampling.sample_complement(orders, DEMO_TRAIN_FRACTION, "demo_split", [F.col("o_orderkey")])
+
+
+@register("split_assign")
+def q_split_assign(spark, sf_dir):
+    """Split of every transaction (normalised weights 0.005 : 0.0001)."""
+    return split_transactions(spark, sf_dir).select(*TX_KEY_COLS, "split")
+
+
+@register("split_sizes")
+def q_split_sizes(spark, sf_dir):
+    """Rows per split."""
+    return sampling.split_sizes(split_transactions(spark, sf_dir))
+
+
+@register("url_sample")
+def q_url_sample(spark, sf_dir):
+    """P7 + P10: sample of the URL table, URL column only (plus its key)."""
+    pages = read_table(spark, sf_dir, "pages")
+    return profile.select_columns(
+        sampling.sample_rows(pages, SAMPLE_FRACTION, "sample", [F.col("page_id")]), ["page_id", "url"])
+
+
+# -- A/B on one table (A1-A3, A5, A6) -------------------------------------------
+
+def ab_table(spark, sf_dir):
+    """Test part of the transactions with an arm per row."""
+    return sampling.assign_arms(test_part(spark, sf_dir), TRAFFIC_SPLIT, ARM_SEED, tx_key())
+
+
+@register("ab_assign")
+def q_ab_assign(spark, sf_dir):
+    """A1: arm of each test transaction."""
+    return ab_table(spark, sf_dir).select(*TX_KEY_COLS, "ab_group")
+
+
+@register("ab_arm_sizes")
+def q_ab_arm_sizes(spark, sf_dir):
+    """A2: both arm sizes (0 for an empty arm)."""
+    return sampling.arm_sizes(ab_table(spark, sf_dir))
+
+
+@register("ab_arm_rows")
+def q_ab_arm_rows(spark, sf_dir):
+    """A3: rows of the challenger arm."""
+    return _tx_out(sampling.arm_rows(ab_table(spark, sf_dir), "challenger")
+                   .select(*TX_KEY_COLS, *TX_FEATURES, "tx_timestamp", LABEL))
+
+
+@register("ab_arm_metrics")
+def q_ab_arm_metrics(spark, sf_dir):
+    """A4 + A5: each arm scored by its rule model; AUC, accuracy, F1, size per arm."""
+    scored = scorers.score_arms(ab_table(spark, sf_dir))
+    return rounded(abtest.arm_metrics(scored, LABEL))
+
+
+@register("ab_compare")
+def q_ab_compare(spark, sf_dir):
+    """Arms side by side, improvements and the winner."""
+    scored = scorers.score_arms(ab_table(spark, sf_dir))
+    return rounded(abtest.compare_arms(abtest.arm_metrics(scored, LABEL)))
+
+
+# -- score metrics (E1-E3) ------------------------------------------------------
+
+def stacked_scores(df: DataFrame) -> DataFrame:
+    """(model, label, score, prediction) rows for both rule models."""
+    s = scorers.score_rules(df)
+    rows = F.array(
+        F.struct(F.lit("base").alias("model"), F.col("score_base").alias("score"),
+                 F.col("pred_base").alias("prediction")),
+        F.struct(F.lit("candidate").alias("model"), F.col("score_candidate").alias("score"),
+                 F.col("pred_candidate").alias("prediction")))
+    return s.select(LABEL, F.explode(rows).alias("m")).select(LABEL, "m.*")
+
+
+@register("auc_exact")
+def q_auc_exact(spark, sf_dir):
+    """Exact ROC AUC of both rule scores over all transactions."""
+    return rounded(metrics.roc_auc(stacked_scores(transactions(spark, sf_dir)), LABEL, "score", ["model"]))
+
+
+@register("score_metrics")
+def q_score_metrics(spark, sf_dir):
+    """AUC, accuracy and label-weighted F1 of both rule models on the test split."""
+    return rounded(metrics.score_metrics(stacked_scores(test_part(spark, sf_dir)), LABEL, "score",
+                                         "prediction", ["model"]))
