@@ -258,3 +258,101 @@ register("score_metrics", f"""
 SELECT model, {r6('auc_score')} AS auc_score, {r6('accuracy')} AS accuracy,
        {r6('f1_weighted')} AS f1_weighted, sample_size
 FROM ({score_metrics_sql(stacked_sql(f"SELECT * FROM ({SPLIT_SQL}) WHERE split = 'test'"), 'model')})""")
+
+
+# -- paired bootstrap and t-test ---------------------------------------------------
+
+CELLS_SQL = f"""
+SELECT {', '.join(f'CAST(count_if(cell = {i}) AS BIGINT) AS c{i}' for i in range(8))}
+FROM (SELECT tx_fraud * 4 + {PRED_BASE} * 2 + {PRED_CAND} AS cell
+      FROM ({SPLIT_SQL}) WHERE split = 'test')"""
+
+_cum = ["c0"]
+for _i in range(1, 7):
+    _cum.append(_cum[-1] + f" + c{_i}")
+BOOT_CASE = "CASE " + " ".join(f"WHEN pos < q{i} THEN {i}" for i in range(7)) + " ELSE 7 END"
+
+BOOT_COUNTS_SQL = f"""
+SELECT CAST(iteration AS BIGINT) AS iteration,
+       {', '.join(f'CAST(count_if(cell = {i}) AS BIGINT) AS k{i}' for i in range(8))}
+FROM (SELECT id // n AS iteration, {BOOT_CASE} AS cell
+      FROM (SELECT t.id, q.*,
+                   (CAST(('0x' || substr(md5(concat_ws('|', '{Q.BOOT_SEED}', CAST(t.id AS VARCHAR))), 1, 8))
+                         AS BIGINT) * n) >> 32 AS pos
+            FROM (SELECT c0 + c1 + c2 + c3 + c4 + c5 + c6 + c7 AS n,
+                         {', '.join(f'{e} AS q{i}' for i, e in enumerate(_cum))}
+                  FROM ({CELLS_SQL})) q,
+                 range(0, {Q.BOOT_ITERATIONS} * q.n) t(id)))
+GROUP BY iteration"""
+
+register("bootstrap_cells", BOOT_COUNTS_SQL)
+
+
+def _model_counts(model: str) -> str:
+    from relearn.operators.bootstrap import MODEL_CELLS
+    cells = MODEL_CELLS[model]
+    return ", ".join(f"{' + '.join(f'k{i}' for i in idx)} AS {name}" for name, idx in cells.items())
+
+
+BOOT_SCORES_SQL = f"""
+SELECT iteration, model,
+       {ratio0('2 * tp', '2 * tp + fp + fn')} AS f1,
+       {ratio0('tp', 'tp + fp')} AS precision,
+       {ratio0('tp', 'tp + fn')} AS recall,
+       (CAST(tp AS DOUBLE) / nullif(tp + fn, 0) + CAST(tn AS DOUBLE) / nullif(tn + fp, 0)) / 2 AS auc
+FROM (SELECT iteration, 'base' AS model, {_model_counts('base')} FROM ({BOOT_COUNTS_SQL})
+      UNION ALL
+      SELECT iteration, 'candidate' AS model, {_model_counts('candidate')} FROM ({BOOT_COUNTS_SQL}))"""
+
+register("bootstrap_scores", f"""
+SELECT iteration, model, {r6('f1')} AS f1, {r6('precision')} AS precision, {r6('recall')} AS recall,
+       {r6('auc')} AS auc
+FROM ({BOOT_SCORES_SQL})""")
+
+
+def p_even_sql(t: str, dof: str) -> str:
+    """Two-sided t p-value for even dof (A&S 26.7.4, coefficients by lgamma)."""
+    dof = f"CAST({dof} AS BIGINT)"
+    theta = f"atan(abs({t}) / sqrt({dof}))"
+    series = (f"list_sum(list_transform(range(0, ({dof} - 2) // 2 + 1), lambda k: "
+              f"exp(lgamma(2 * k + 1) - 2 * lgamma(k + 1) - k * ln(4)) * pow(cos({theta}), 2 * k)))")
+    return f"greatest(0.0, least(1.0, 1 - sin({theta}) * {series}))"
+
+
+def ttest_sql(scores: str, metrics, alpha: float) -> str:
+    unpivot = "\nUNION ALL\n".join(
+        f"SELECT model, '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM ({scores})" for m in metrics)
+    return f"""
+SELECT metric, t AS t_statistic, p AS p_value, d AS effect_size,
+       coalesce(p < {dbl(alpha)}, false) AS is_significant,
+       base_mean, candidate_mean, candidate_mean - base_mean AS improvement
+FROM (SELECT *, CASE WHEN t IS NULL THEN NULL ELSE {p_even_sql('t', 'n_base + n_candidate - 2')} END AS p
+      FROM (SELECT *,
+                   CASE WHEN se > 0 THEN (base_mean - candidate_mean) / se END AS t,
+                   CASE WHEN sqrt((var_base + var_candidate) / 2) > 0
+                        THEN abs(candidate_mean - base_mean) / sqrt((var_base + var_candidate) / 2) END AS d
+            FROM (SELECT *, sqrt(((n_base - 1) * var_base + (n_candidate - 1) * var_candidate)
+                                 / (n_base + n_candidate - 2) * (1 / n_base + 1 / n_candidate)) AS se
+                  FROM (SELECT metric,
+                               CAST(count(value) FILTER (WHERE model = 'base') AS DOUBLE) AS n_base,
+                               avg(value) FILTER (WHERE model = 'base') AS base_mean,
+                               var_samp(value) FILTER (WHERE model = 'base') AS var_base,
+                               CAST(count(value) FILTER (WHERE model = 'candidate') AS DOUBLE) AS n_candidate,
+                               avg(value) FILTER (WHERE model = 'candidate') AS candidate_mean,
+                               var_samp(value) FILTER (WHERE model = 'candidate') AS var_candidate
+                        FROM ({unpivot}) GROUP BY metric))))"""
+
+
+TTEST_SQL = ttest_sql(BOOT_SCORES_SQL, ("f1", "precision"), Q.ALPHA)
+
+register("bootstrap_ttest", f"""
+SELECT metric, {r6('t_statistic')} AS t_statistic, {r6('p_value')} AS p_value,
+       {r6('effect_size')} AS effect_size, is_significant, {r6('base_mean')} AS base_mean,
+       {r6('candidate_mean')} AS candidate_mean, {r6('improvement')} AS improvement
+FROM ({TTEST_SQL})""")
+
+register("deploy_decision", f"""
+SELECT is_significant AND coalesce(improvement > 0, false) AS should_deploy,
+       is_significant AS f1_significant, {r6('improvement')} AS f1_improvement,
+       {r6('p_value')} AS f1_p_value
+FROM ({TTEST_SQL}) WHERE metric = 'f1'""")

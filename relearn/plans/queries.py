@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relearn.operators import abtest, metrics, profile, sampling, scorers
+from relearn.operators import abtest, bootstrap, metrics, profile, sampling, scorers, stats
 from relearn.sources.tables import LABEL, read_table, transactions, tx_key
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -210,3 +210,55 @@ def q_score_metrics(spark, sf_dir):
     """AUC, accuracy and label-weighted F1 of both rule models on the test split."""
     return rounded(metrics.score_metrics(stacked_scores(test_part(spark, sf_dir)), LABEL, "score",
                                          "prediction", ["model"]))
+
+
+# -- paired bootstrap and t-test (E7-E11) -----------------------------------------
+
+BOOT_ITERATIONS = 100
+BOOT_SEED = "boot"
+ALPHA = 0.01
+
+
+def test_cells(spark, sf_dir):
+    """Joint (label, base, candidate) cell counts of the test split."""
+    scored = scorers.score_rules(test_part(spark, sf_dir))
+    return bootstrap.joint_cells(scored, LABEL, "pred_base", "pred_candidate")
+
+
+def boot_counts(spark, sf_dir, method="draws"):
+    return bootstrap.resample(spark, test_cells(spark, sf_dir), BOOT_ITERATIONS, BOOT_SEED, method)
+
+
+@register("bootstrap_cells")
+def q_bootstrap_cells(spark, sf_dir):
+    """Per-iteration cell counts of the paired resamples (hash draws)."""
+    return boot_counts(spark, sf_dir)
+
+
+@register("bootstrap_scores")
+def q_bootstrap_scores(spark, sf_dir):
+    """F1, precision, recall, label AUC per iteration and model."""
+    return rounded(bootstrap.bootstrap_scores(boot_counts(spark, sf_dir)))
+
+
+@register("bootstrap_ttest")
+def q_bootstrap_ttest(spark, sf_dir):
+    """T-test, p-value, Cohen's d and improvement for F1 and precision."""
+    scores = bootstrap.bootstrap_scores(boot_counts(spark, sf_dir))
+    return rounded(stats.compare_scores(scores, stats.DEFAULT_METRICS, ALPHA))
+
+
+@register("deploy_decision")
+def q_deploy_decision(spark, sf_dir):
+    """Deploy iff F1 is significantly better."""
+    scores = bootstrap.bootstrap_scores(boot_counts(spark, sf_dir))
+    return rounded(stats.deploy_decision(stats.compare_scores(scores, stats.DEFAULT_METRICS, ALPHA)))
+
+
+@register("bootstrap_multinomial_ttest")
+def q_bootstrap_multinomial_ttest(spark, sf_dir):
+    """E7-E10 on all transactions with exact multinomial resamples (cost O(B), any n)."""
+    scored = scorers.score_rules(transactions(spark, sf_dir))
+    scores = bootstrap.paired_bootstrap(scored, LABEL, "pred_base", "pred_candidate",
+                                        BOOT_ITERATIONS, BOOT_SEED, "multinomial")
+    return rounded(stats.compare_scores(scores, ("f1", "precision", "recall", "auc"), ALPHA))
