@@ -54,15 +54,39 @@ def range_offsets(per_part: DataFrame, group_cols: Sequence[str], total_cols: Se
     return out
 
 
+def uniform_parts(df: DataFrame, uniform_col: str, num_parts: int | None = None) -> DataFrame:
+    """Tag rows with ``floor(u * num_parts)`` for a column ``u`` uniform in [0, 1).
+
+    For a hash uniform the buckets are balanced by construction, contiguous in
+    ``u`` order, and a pure function of the row: no sampling, so every branch
+    and every retry assigns the same bucket.
+    """
+    n = num_parts or default_parts(df)
+    return df.withColumn(PART, F.least(F.floor(F.col(uniform_col) * n), F.lit(n - 1)).cast("int"))
+
+
 def global_rank(df: DataFrame, order_cols: Sequence[str], out: str = "rank",
-                group_cols: Sequence[str] = (), num_parts: int | None = None) -> DataFrame:
-    """0-based dense position of each row in ``order_cols`` order (per group).
+                group_cols: Sequence[str] = (), num_parts: int | None = None,
+                uniform_first: bool = False) -> DataFrame:
+    """0-based position of each row in ``order_cols`` order (per group).
 
     ``order_cols`` must be unique within a group.  Equivalent to
     ``row_number() over (partition by group order by keys) - 1`` without a
     single-task window when there is no group.
+
+    The ranked rows and the per-range sizes are two branches of one plan, so
+    both must see the same ranges.  With ``uniform_first`` (the first order
+    key is a hash uniform in [0, 1)) the ranges are deterministic buckets of
+    it.  Otherwise the range-partitioned rows are checkpointed to the shared
+    checkpoint folder once (sampled range bounds are not repeatable across
+    branches), and both branches read that copy.
     """
-    tagged = range_parts(df, order_cols, group_cols, num_parts)
+    if uniform_first:
+        tagged = uniform_parts(df, order_cols[0], num_parts)
+    else:
+        from relearn.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        tagged = range_parts(df, order_cols, group_cols, num_parts).checkpoint(eager=True)
     local_w = Window.partitionBy(*group_cols, PART).orderBy(*order_cols)
     tagged = tagged.withColumn("__local", F.row_number().over(local_w) - 1)
     sizes = tagged.groupBy(*group_cols, PART).agg(F.count(F.lit(1)).alias("__n"))

@@ -356,3 +356,120 @@ SELECT is_significant AND coalesce(improvement > 0, false) AS should_deploy,
        is_significant AS f1_significant, {r6('improvement')} AS f1_improvement,
        {r6('p_value')} AS f1_p_value
 FROM ({TTEST_SQL}) WHERE metric = 'f1'""")
+
+
+# -- registry replay ------------------------------------------------------------------
+
+MONTH_RUNS_SQL = f"""
+SELECT 'run_' || month AS run_id, month, auc_score AS auc, accuracy, f1_weighted AS f1
+FROM ({score_metrics_sql(f'''SELECT strftime(tx_timestamp, '%Y-%m') AS month, tx_fraud,
+                                    {SCORE_CAND} AS score, {PRED_CAND} AS prediction FROM ({TX_SQL})''',
+                         'month')})"""
+
+REPLAY_SQL = f"""
+SELECT run_id, CAST(version AS INTEGER) AS version, auc, accuracy, f1, champion_auc,
+       (version = 1 OR (first_auc IS NOT NULL AND coalesce(auc > champion_auc, false))) AS promoted,
+       (auc - champion_auc) / nullif(champion_auc, 0) * 100 AS gain_pct
+FROM (SELECT *, row_number() OVER (ORDER BY month, run_id) AS version,
+             max(auc) OVER (ORDER BY month, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS champion_auc,
+             first_value(auc) OVER (ORDER BY month, run_id ROWS BETWEEN UNBOUNDED PRECEDING
+                                    AND UNBOUNDED FOLLOWING) AS first_auc
+      FROM ({MONTH_RUNS_SQL}))"""
+
+register("registry_replay", f"""
+SELECT run_id, version, {r6('auc')} AS auc, {r6('accuracy')} AS accuracy, {r6('f1')} AS f1,
+       {r6('champion_auc')} AS champion_auc, promoted,
+       CASE WHEN promoted THEN 'champion' ELSE 'challenger' END AS alias, {r6('gain_pct')} AS gain_pct
+FROM ({REPLAY_SQL})""")
+
+register("champion_lookup", f"""
+SELECT 'fraud_detection_model' AS model, alias, version, run_id, {r6('auc')} AS auc,
+       {r6('accuracy')} AS accuracy, {r6('f1')} AS f1
+FROM (SELECT *, CASE WHEN promoted THEN 'champion' ELSE 'challenger' END AS alias,
+             row_number() OVER (PARTITION BY promoted ORDER BY version DESC) AS rn
+      FROM ({REPLAY_SQL}))
+WHERE rn = 1""")
+
+
+# -- synthetic transactions ----------------------------------------------------------
+
+def _su(purpose: str) -> str:
+    from relearn.operators import synth
+    return U(f"{synth.SEED}|{purpose}", "id")
+
+
+def _cls(pair) -> str:
+    return f"(CASE WHEN fraud = 1 THEN {dbl(pair[1])} ELSE {dbl(pair[0])} END)"
+
+
+def _norm(purpose: str) -> str:
+    return (f"(sqrt({dbl(-2.0)} * ln({dbl(1.0)} - {_su(purpose + '_a')})) "
+            f"* cos({dbl(6.283185307179586)} * {_su(purpose + '_b')}))")
+
+
+def _demo_sql() -> str:
+    from relearn.operators import synth as S
+    bern = lambda p, pair: f"CAST({_su(p)} < {_cls(pair)} AS INTEGER)"
+    mu, sg = (tuple(p[i] for p in S.AMOUNT_LOGNORMAL) for i in (0, 1))
+    lo, sc = (tuple(p[i] for p in S.RATIO_NORMAL) for i in (0, 1))
+    raw = f"""
+SELECT id, fraud,
+       exp({_cls(mu)} + {_cls(sg)} * {_norm('amount')}) AS amount,
+       CAST(floor({_su('hour')} * 24) AS INTEGER) AS hour_of_day,
+       CAST(floor({_su('weekday')} * 7) AS INTEGER) AS day_of_week,
+       -{_cls(S.DISTANCE_HOME_SCALE)} * ln({dbl(1.0)} - {_su('home')}) AS distance_from_home,
+       -{_cls(S.DISTANCE_LAST_SCALE)} * ln({dbl(1.0)} - {_su('last')}) AS distance_from_last_transaction,
+       {_cls(lo)} + {_cls(sc)} * {_norm('ratio')} AS ratio_to_median_purchase_price,
+       {bern('repeat', S.P_REPEAT_RETAILER)} AS repeat_retailer,
+       {bern('chip', S.P_USED_CHIP)} AS used_chip,
+       {bern('pin', S.P_USED_PIN)} AS used_pin_number,
+       {bern('online', S.P_ONLINE)} AS online_order,
+       CAST(floor({_su('minutes')} * {S.MAX_MINUTES - 1}) + 1 AS INTEGER) AS minutes_ago,
+       {_su('shuffle')} AS shuffle
+FROM (SELECT t.id, CASE WHEN t.id >= c.n_normal THEN 1 ELSE 0 END AS fraud
+      FROM (SELECT n, CAST(floor(CAST(n AS DOUBLE) * ({dbl(1.0)} - {dbl(S.FRAUD_RATE)})) AS BIGINT) AS n_normal
+            FROM (SELECT count(*) AS n FROM lineitem)) c,
+           range(0, c.n) t(id))"""
+    return f"""
+SELECT printf('tx_%08d', row_number() OVER (ORDER BY shuffle, id) - 1) AS transaction_id,
+       TIMESTAMP '{Q.DEMO_AS_OF}' - to_minutes(minutes_ago) AS timestamp,
+       amount, hour_of_day, day_of_week, distance_from_home, distance_from_last_transaction,
+       ratio_to_median_purchase_price, repeat_retailer, used_chip, used_pin_number, online_order, fraud
+FROM ({raw})"""
+
+
+DEMO_SQL = _demo_sql()
+
+register("demo_transactions", f"""
+SELECT transaction_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, {r6('amount')} AS amount,
+       hour_of_day, day_of_week, {r6('distance_from_home')} AS distance_from_home,
+       {r6('distance_from_last_transaction')} AS distance_from_last_transaction,
+       {r6('ratio_to_median_purchase_price')} AS ratio_to_median_purchase_price,
+       repeat_retailer, used_chip, used_pin_number, online_order, fraud
+FROM ({DEMO_SQL})""")
+
+register("demo_summary", f"""
+SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(fraud) AS BIGINT) AS positives,
+       {r6('avg(CAST(fraud AS DOUBLE)) * 100')} AS positive_rate_pct
+FROM ({DEMO_SQL})""")
+
+register("demo_split_sizes", f"""
+SELECT CASE WHEN {U('demo_split', 'transaction_id')} < {dbl(0.8)} THEN 'train' ELSE 'test' END AS part,
+       CAST(count(*) AS BIGINT) AS n_rows
+FROM ({DEMO_SQL}) GROUP BY part""")
+
+# -- text ---------------------------------------------------------------------------------
+
+
+def char_counts_sql(src: str, id_col: str, text_col: str) -> str:
+    return f"""
+SELECT {id_col}, ch, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT {id_col}, unnest(string_split(regexp_replace(lower({text_col}), '\\s\\s+', ' ', 'g'), '')) AS ch
+      FROM ({src}))
+WHERE ch <> ''
+GROUP BY {id_col}, ch"""
+
+
+register("url_char_counts", char_counts_sql("SELECT * FROM pages", "page_id", "url"))
+register("doc_char_counts", char_counts_sql(
+    "SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)", "doc_id", "text"))

@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relearn.operators import abtest, bootstrap, metrics, profile, sampling, scorers, stats
+from relearn.operators import (abtest, bootstrap, metrics, profile, registry, sampling, scorers,
+                               stats, synth, training)
 from relearn.sources.tables import LABEL, read_table, transactions, tx_key
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -262,3 +263,147 @@ def q_bootstrap_multinomial_ttest(spark, sf_dir):
     scores = bootstrap.paired_bootstrap(scored, LABEL, "pred_base", "pred_candidate",
                                         BOOT_ITERATIONS, BOOT_SEED, "multinomial")
     return rounded(stats.compare_scores(scores, ("f1", "precision", "recall", "auc"), ALPHA))
+
+
+# -- model training (M1-M8): rows-only checks -----------------------------------------
+
+MODEL_NAME = "fraud_detection_model"
+FEATURE_EXCLUDE = [LABEL, "tx_timestamp", *TX_KEY_COLS, "split"]
+
+
+def train_test(spark, sf_dir):
+    split = split_transactions(spark, sf_dir)
+    return split.filter(F.col("split") == "train"), split.filter(F.col("split") == "test")
+
+
+@register("forest_fit_score")
+def q_forest_fit_score(spark, sf_dir):
+    """M1-M3, M6, M7: one forest (10 trees, depth 5) fitted on train, test scored; E1-E3."""
+    train, test = train_test(spark, sf_dir)
+    feats = profile.feature_columns(train, FEATURE_EXCLUDE)
+    model = training.numeric_pipeline(feats, LABEL).fit(train)
+    scored = training.score(model, test)
+    return rounded(metrics.score_metrics(scored, LABEL, "score", "prediction"))
+
+
+@register("forest_cv")
+def q_forest_cv(spark, sf_dir):
+    """M4, M5, M8: 2 x 2 grid, 3 hash folds, AUC; best parameters and test metrics."""
+    from relearn.plans.jobs import train_with_cv
+    train, test = train_test(spark, sf_dir)
+    result = train_with_cv(train, test, LABEL, FEATURE_EXCLUDE, TX_KEY_COLS)
+    return result.summary
+
+
+# -- registry replay (R3-R7, E12) ---------------------------------------------------------
+
+def monthly_runs(spark, sf_dir):
+    """One retraining run per month of data: the candidate rule's metrics on that month."""
+    tx = transactions(spark, sf_dir).withColumn("month", F.date_format("tx_timestamp", "yyyy-MM"))
+    scored = tx.select("month", LABEL, scorers.candidate_score().alias("score"),
+                       scorers.candidate_prediction().alias("prediction"))
+    m = metrics.score_metrics(scored, LABEL, "score", "prediction", ["month"])
+    return m.select(F.lit(MODEL_NAME).alias("model"),
+                    F.concat(F.lit("run_"), F.col("month")).alias("run_id"),
+                    F.to_timestamp(F.concat(F.col("month"), F.lit("-01"))).alias("ts"),
+                    F.col("auc_score").alias("auc"), "accuracy", F.col("f1_weighted").alias("f1"))
+
+
+@register("registry_replay")
+def q_registry_replay(spark, sf_dir):
+    """R3 + R7 + E12 over monthly retrains: version, champion AUC so far, promotion, gain."""
+    replay = registry.replay_promotions(monthly_runs(spark, sf_dir))
+    return rounded(replay.select("run_id", "version", "auc", "accuracy", "f1", "champion_auc",
+                                 "promoted", "alias", "gain_pct"))
+
+
+@register("champion_lookup")
+def q_champion_lookup(spark, sf_dir):
+    """R4 + R5 + R6: alias events of the replay -> current champion/challenger -> run metrics."""
+    replay = registry.replay_promotions(monthly_runs(spark, sf_dir))
+    events = replay.select("model", "version", "alias", "ts")
+    versions = replay.select("model", "version", "run_id")
+    run_metrics = replay.select("run_id", F.expr("stack(3, 'auc', auc, 'accuracy', accuracy, 'f1', f1) "
+                                                 "AS (key, value)"), "ts")
+    aliases = registry.current_aliases(events)
+    out = registry.alias_metrics(aliases, versions, run_metrics, registry.CHAMPION).unionByName(
+        registry.alias_metrics(aliases, versions, run_metrics, registry.CHALLENGER))
+    return rounded(out)
+
+
+# -- synthetic transactions (G1-G10): as many rows as the input table ----------------
+
+DEMO_AS_OF = "2024-02-01 00:00:00"
+
+
+def demo_rows(spark, sf_dir):
+    import datetime as _dt
+    n = transactions(spark, sf_dir).count()  # one number: the size to generate
+    return synth.generate_transactions(spark, n, synth.FRAUD_RATE, synth.SEED,
+                                       _dt.datetime.fromisoformat(DEMO_AS_OF))
+
+
+@register("demo_transactions")
+def q_demo_transactions(spark, sf_dir):
+    """Synthetic transactions, one per input row, shuffled, ids tx_%08d."""
+    df = demo_rows(spark, sf_dir)
+    return rounded(df.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")))
+
+
+@register("demo_summary")
+def q_demo_summary(spark, sf_dir):
+    """G1 + P11 (J4 summary): rows, fraud rows and fraud share in percent."""
+    return rounded(profile.label_summary(demo_rows(spark, sf_dir), "fraud"))
+
+
+@register("demo_split_sizes")
+def q_demo_split_sizes(spark, sf_dir):
+    """Sizes of the 80 % training part and its complement."""
+    train, test = synth.demo_split(demo_rows(spark, sf_dir))
+    return train.select(F.lit("train").alias("part")).unionByName(
+        test.select(F.lit("test").alias("part"))).groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# -- text: character counts and the text forest (M9, M10) ---------------------------------
+
+def char_count_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """M9 through CountVectorizer: (id, ch, n) for every character of every text."""
+    from pyspark.ml.feature import CountVectorizer
+    from pyspark.ml.functions import vector_to_array
+    tokens = df.select(id_col, training.char_tokens(text_col).alias("chars"))
+    model = CountVectorizer(inputCol="chars", outputCol="vec", minDF=1.0).fit(tokens)
+    # the vocabulary is bounded by the number of distinct characters (vocabSize caps it)
+    vocab = df.sparkSession.createDataFrame(list(enumerate(model.vocabulary)), "pos int, ch string")
+    counts = (model.transform(tokens)
+              .select(id_col, F.posexplode(vector_to_array("vec")).alias("pos", "cnt"))
+              .filter(F.col("cnt") > 0))
+    return counts.join(F.broadcast(vocab), "pos").select(id_col, "ch", F.col("cnt").cast("bigint").alias("n"))
+
+
+@register("url_char_counts")
+def q_url_char_counts(spark, sf_dir):
+    """M9: character 1-gram counts of every URL."""
+    return char_count_rows(read_table(spark, sf_dir, "pages"), "page_id", "url")
+
+
+@register("doc_char_counts")
+def q_doc_char_counts(spark, sf_dir):
+    """M9 on whole documents: character counts per labelled document."""
+    docs = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id", "left_semi")
+    return char_count_rows(docs, "doc_id", "text")
+
+
+def labelled_docs(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.join(read_table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+
+
+@register("text_forest_fit")
+def q_text_forest_fit(spark, sf_dir):
+    """M10 + E6: char-count forest (35 trees, depth 9) on a 70/30 split of labelled documents."""
+    split = sampling.weighted_split(labelled_docs(spark, sf_dir), (0.7, 0.3), "split", [F.col("doc_id")])
+    train = split.filter(F.col("split") == "train")
+    test = split.filter(F.col("split") == "test")
+    model = training.text_pipeline("text", "quality").fit(train)
+    preds = model.transform(test).withColumn("prediction", F.col("prediction").cast("int"))
+    return rounded(metrics.evaluate_models(preds, "quality", {"candidate": "prediction"}))
