@@ -147,7 +147,7 @@ def run_training(spark: SparkSession, input_path: str, output_path: str, registr
     ab = None
     if ab_testing and champion is not None:
         arms = sampling.assign_arms(test, ab_traffic_split, "arm", key)
-        scored = abtest.score_by_arm(arms, champion, result.model)
+        scored = abtest.score_by_arm(arms, champion, result.model, keep=[label])
         compared = abtest.compare_arms(abtest.arm_metrics(scored, label)).persist()
         ab_run = reg.start_run(experiment, f"ab_test_{_dt.datetime.now():%Y%m%d_%H%M%S}")
         reg.log_params(ab_run, {"ab_traffic_split": ab_traffic_split})

@@ -9,6 +9,8 @@ from relearn.operators.registry import Registry
 
 def test_first_model_promoted_then_tie_keeps_champion(spark, scratch):
     reg = Registry(spark, scratch + "/reg")
+    for run, auc in (("r1", 0.80), ("r2", 0.80), ("r3", 0.90)):
+        reg.log_metrics(run, {"auc": auc, "accuracy": 0.9, "f1": 0.5})
     d1 = reg.compare_and_register("m", "r1", "/p1", 0.80)
     assert d1["promoted"] and d1["alias"] == "champion" and d1["version"] == 1
     d2 = reg.compare_and_register("m", "r2", "/p2", 0.80)
@@ -18,6 +20,12 @@ def test_first_model_promoted_then_tie_keeps_champion(spark, scratch):
     assert reg.resolve("m").version == 3 and reg.resolve("m", "challenger").version == 2
 
 
+def test_champion_without_stored_auc_is_not_beaten(spark, scratch):
+    reg = Registry(spark, scratch + "/reg")
+    reg.compare_and_register("m", "r1", "/p1", 0.80)   # no metrics logged for r1
+    assert not reg.compare_and_register("m", "r2", "/p2", 0.99)["promoted"]
+
+
 def test_champion_metrics_follow_alias(spark, scratch):
     reg = Registry(spark, scratch + "/reg")
     reg.log_metrics("r1", {"auc": 0.7, "accuracy": 0.9, "f1": 0.5})

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from relearn.operators import profile, training
+from relearn.operators import metrics, training
 from relearn.plans import jobs
 from relearn.sources import files
 from relearn.sources.tables import LABEL, read_table, transactions
@@ -40,7 +40,10 @@ def test_cv_learns_label_and_model_round_trip(spark, scratch):
     train = tx.filter(F.col("l_orderkey") % 4 != 0)
     test = tx.filter(F.col("l_orderkey") % 4 == 0)
     res = jobs.train_with_cv(train, test, LABEL, FEATURE_EXCLUDE, TX_KEY_COLS, parallelism=4)
-    assert res.metrics["auc"] > 0.85
+    # the noise-free rule is the best possible scorer under 3 % label noise
+    rule = test.withColumn("s", ((F.col("l_quantity") >= 40) & (F.col("l_discount") >= 0.07)).cast("double"))
+    ceiling = metrics.roc_auc(rule, LABEL, "s").first().auc_score
+    assert res.metrics["auc"] > max(0.8, ceiling - 0.05)  # 4.5k noisy training rows
     assert set(res.feature_cols) == {"l_quantity", "l_extendedprice", "l_discount", "l_tax"}
     assert res.grid.count() == 4
     files.save_model(res.model, scratch + "/model")
