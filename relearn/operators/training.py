@@ -110,14 +110,14 @@ def add_folds(df: DataFrame, k: int, seed: str, key_names: Sequence[str], label:
 
 
 def cross_validate(pipeline: Pipeline, grid: list[dict], evaluator, train: DataFrame,
-                   fold_col: str = "fold", parallelism: int = 4, seed: int = SEED,
+                   folds: int, fold_col: str = "fold", parallelism: int = 4, seed: int = SEED,
                    collect_sub_models: bool = False) -> CrossValidatorModel:
-    """M5: k-fold CV over ``grid`` with precomputed folds; refit on all rows.
+    """M5: k-fold CV over ``grid`` with precomputed folds ``[0, folds)``; refit on all rows.
 
     The caller persists ``train`` (it is read once per fit).
     """
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator,
-                        foldCol=fold_col, parallelism=parallelism, seed=seed,
+                        numFolds=folds, foldCol=fold_col, parallelism=parallelism, seed=seed,
                         collectSubModels=collect_sub_models)
     return cv.fit(train)
 

@@ -60,7 +60,7 @@ def train_with_cv(train: DataFrame, test: DataFrame, label: str, exclude: Sequen
     grid = training.forest_grid(pipe.getStages()[-1])
     folded = training.add_folds(train, folds, fold_seed, key_cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cvm = training.cross_validate(pipe, grid, training.auc_evaluator(label), folded,
+        cvm = training.cross_validate(pipe, grid, training.auc_evaluator(label), folded, folds,
                                       parallelism=parallelism)
     finally:
         folded.unpersist()
@@ -179,7 +179,7 @@ def random_search(train: DataFrame, text_col: str, label: str, key_cols: Sequenc
     folded = training.add_folds(train, folds, "fold", key_cols, label=label) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cvm = training.cross_validate(pipe, maps, training.f1_class1_evaluator(label), folded,
+        cvm = training.cross_validate(pipe, maps, training.f1_class1_evaluator(label), folded, folds,
                                       parallelism=parallelism)
     finally:
         folded.unpersist()
@@ -191,7 +191,7 @@ def random_search(train: DataFrame, text_col: str, label: str, key_cols: Sequenc
 def predict_both(df: DataFrame, champion: PipelineModel, candidate: PipelineModel,
                  keep: Sequence[str]) -> DataFrame:
     """Both models' 0/1 predictions on the same rows, side by side (no join)."""
-    base = champion.transform(df).select(*keep, F.col("prediction").cast("int").alias("pred_base"))
+    base = champion.transform(df).select(*df.columns, F.col("prediction").cast("int").alias("pred_base"))
     return candidate.transform(base).select(*keep, "pred_base",
                                             F.col("prediction").cast("int").alias("pred_candidate"))
 
