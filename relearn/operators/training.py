@@ -91,6 +91,22 @@ def f1_class1_evaluator(label: str) -> MulticlassClassificationEvaluator:
                                              metricName="fMeasureByLabel", metricLabel=1.0)
 
 
+def spread_for_fitting(df: DataFrame, key_names: Sequence[str]) -> DataFrame:
+    """Spread a training set over the cluster's cores before it is cached.
+
+    Tree growing scans the cached set once per level and fit, so its layout
+    matters more than one shuffle.  Input with at least as many partitions as
+    cores is left as it is (no shuffle); fewer partitions (few large files or
+    row groups) are hash-partitioned by the row key, which places each row
+    the same way when a lost partition is recomputed.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *[F.col(c) for c in key_names])
+
+
 def add_folds(df: DataFrame, k: int, seed: str, key_names: Sequence[str], label: str | None = None,
               col: str = "fold") -> DataFrame:
     """Fold column in ``[0, k)`` from the row key.
