@@ -9,7 +9,7 @@ view) are shared through the helpers below.
 
 from __future__ import annotations
 
-from relearn.operators import scorers
+from relearn.operators import scorers, training
 from relearn.plans import queries as Q
 from relearn.sources import tables as T
 
@@ -376,6 +376,30 @@ FROM (SELECT *, row_number() OVER (ORDER BY month, run_id) AS version,
                                     AND UNBOUNDED FOLLOWING) AS first_auc
       FROM ({MONTH_RUNS_SQL}))"""
 
+TRAIN_SQL = f"SELECT * FROM ({SPLIT_SQL}) WHERE split = 'train'"
+_FEATS = Q.TX_FEATURES
+_z = ",\n       ".join(
+    f"{r6(f'CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) * (1.0 / s_{c}) END')} AS z_{c}" for c in _FEATS)
+_moments = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in _FEATS)
+register("standardized_features", f"""
+WITH t AS ({TRAIN_SQL}),
+     s AS (SELECT {_moments} FROM t)
+SELECT {TX_KEY_COLS},
+       {_z}
+FROM t CROSS JOIN s""")
+
+_FOLD_U = U("fold", TX_KEY_COLS)
+_K = training.CV_FOLDS
+register("fold_sizes", f"""
+WITH t AS ({TRAIN_SQL}),
+     f AS (SELECT 'hash' AS kind, CAST(least(floor({_FOLD_U} * {_K}), {_K - 1}) AS INTEGER) AS fold, tx_fraud FROM t
+           UNION ALL
+           SELECT 'stratified' AS kind,
+                  CAST((row_number() OVER (PARTITION BY tx_fraud ORDER BY {_FOLD_U}, {TX_KEY_COLS}) - 1) % {_K}
+                       AS INTEGER) AS fold, tx_fraud
+           FROM t)
+SELECT kind, fold, tx_fraud, CAST(count(*) AS BIGINT) AS n FROM f GROUP BY kind, fold, tx_fraud""")
+
 register("registry_replay", f"""
 SELECT run_id, version, {r6('auc')} AS auc, {r6('accuracy')} AS accuracy, {r6('f1')} AS f1,
        {r6('champion_auc')} AS champion_auc, promoted,

@@ -295,6 +295,31 @@ def q_forest_cv(spark, sf_dir):
     return result.summary
 
 
+@register("standardized_features")
+def q_standardized_features(spark, sf_dir):
+    """M1 + M2: the pipeline's fitted assembler and scaler applied to the training part."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    train, _ = train_test(spark, sf_dir)
+    feats = profile.feature_columns(train, FEATURE_EXCLUDE)
+    prep = Pipeline(stages=training.numeric_pipeline(feats, LABEL).getStages()[:2]).fit(train)
+    z = vector_to_array(F.col("features"))
+    return rounded(prep.transform(train).select(
+        *TX_KEY_COLS, *[z.getItem(i).alias(f"z_{c}") for i, c in enumerate(feats)]))
+
+
+@register("fold_sizes")
+def q_fold_sizes(spark, sf_dir):
+    """M5: rows per (kind, fold, label) of the training part, hash and stratified folds."""
+    train, _ = train_test(spark, sf_dir)
+    kinds = {"hash": training.add_folds(train, training.CV_FOLDS, "fold", TX_KEY_COLS),
+             "stratified": training.add_folds(train, training.CV_FOLDS, "fold", TX_KEY_COLS,
+                                              label=LABEL)}
+    parts = [df.select(F.lit(k).alias("kind"), "fold", LABEL) for k, df in kinds.items()]
+    return (parts[0].unionByName(parts[1]).groupBy("kind", "fold", LABEL)
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
 # -- registry replay (R3-R7, E12) ---------------------------------------------------------
 
 def monthly_runs(spark, sf_dir):
