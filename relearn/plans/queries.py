@@ -397,11 +397,13 @@ def char_count_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
     tokens = df.select(id_col, training.char_tokens(text_col).alias("chars"))
     model = CountVectorizer(inputCol="chars", outputCol="vec", minDF=1.0).fit(tokens)
-    # the vocabulary is bounded by the number of distinct characters (vocabSize caps it)
+    # The vocabulary is one entry per distinct character: at most vocabSize
+    # (2^18, more than all assigned code points), so it is broadcast.
     vocab = df.sparkSession.createDataFrame(list(enumerate(model.vocabulary)), "pos int, ch string")
-    counts = (model.transform(tokens)
-              .select(id_col, F.posexplode(vector_to_array("vec")).alias("pos", "cnt"))
-              .filter(F.col("cnt") > 0))
+    # Non-zero entries are picked inside the array (no row per vocabulary entry).
+    entries = F.filter(F.transform(vector_to_array("vec"), lambda x, i: F.struct(i.alias("pos"), x.alias("cnt"))),
+                       lambda e: e["cnt"] > 0)
+    counts = model.transform(tokens).select(id_col, F.inline(entries))
     return counts.join(F.broadcast(vocab), "pos").select(id_col, "ch", F.col("cnt").cast("bigint").alias("n"))
 
 
