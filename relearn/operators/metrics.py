@@ -172,7 +172,8 @@ def roc_auc(df: DataFrame, label: str, score: str, group_cols: Sequence[str] = (
 
 
 def roc_auc_from_counts(counts: DataFrame, score: str, group_cols: Sequence[str] = (),
-                        num_parts: int | None = None, out: str = "auc_score") -> DataFrame:
+                        num_parts: int | None = None, out: str = "auc_score",
+                        carry: Sequence[str] = ()) -> DataFrame:
     """E1 from a (group, score, pos, neg) table with one row per distinct score.
 
     ``neg_below`` is a prefix sum over distinct scores, computed per key range
@@ -190,6 +191,7 @@ def roc_auc_from_counts(counts: DataFrame, score: str, group_cols: Sequence[str]
         F.sum(F.col("pos").cast(dec) * (2 * F.col("__below") + F.col("neg")).cast(dec)).alias("__num2"),
         F.sum("pos").alias("__pos"),
         F.sum("neg").alias("__neg"),
+        *[F.sum(c).alias(c) for c in carry],
     )
     with_off = range_offsets(per_part, g, ["__neg"])
     num2 = F.col("__num2") + (2 * F.col("__pos")).cast(dec) * F.col("off___neg").cast(dec)
@@ -197,10 +199,11 @@ def roc_auc_from_counts(counts: DataFrame, score: str, group_cols: Sequence[str]
         F.sum(num2).alias("__num2"),
         F.sum("__pos").cast("bigint").alias("pos"),
         F.sum("__neg").cast("bigint").alias("neg"),
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in carry],
     )
     den = 2.0 * F.col("pos").cast("double") * F.col("neg").cast("double")
     auc = F.when(den > 0, F.col("__num2").cast("double") / den)
-    return totals.select(*g, "pos", "neg", auc.alias(out))
+    return totals.select(*g, "pos", "neg", *carry, auc.alias(out))
 
 
 def score_metrics(df: DataFrame, label: str, score: str, prediction: str,
@@ -208,34 +211,21 @@ def score_metrics(df: DataFrame, label: str, score: str, prediction: str,
     """E1-E3 per group: ``auc_score``, ``accuracy``, ``f1_weighted`` and size.
 
     The metric triple the training job logs for a model or an A/B arm.  One
-    pass over ``df``: rows are first reduced to counts per (group, score,
-    prediction); the AUC and the confusion table both read that small table
-    (Spark reuses its shuffle for the two branches).
+    scan and one linear plan: rows are reduced to counts per (group, score)
+    that also hold the confusion cells of the prediction; those cells ride
+    along as sums through the AUC's range stages, so nothing is joined back.
     """
     g = list(group_cols)
     y, p = F.col(label), F.col(prediction)
-    cells = (df.filter(F.col(score).isNotNull())
-             .groupBy(*g, score, prediction)
-             .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
-    auc = roc_auc_from_counts(cells.groupBy(*g, score).agg(F.sum("pos").alias("pos"),
-                                                          F.sum("neg").alias("neg")),
-                              score, g).select(*g, "auc_score")
-    counts = cells.groupBy(*g).agg(
-        F.coalesce(F.sum(F.when(p == 1, F.col("pos"))), F.lit(0)).alias("tp"),
-        F.coalesce(F.sum(F.when(p == 1, F.col("neg"))), F.lit(0)).alias("fp"),
-        F.coalesce(F.sum(F.when(p == 0, F.col("pos"))), F.lit(0)).alias("fn"),
-        F.coalesce(F.sum(F.when(p == 0, F.col("neg"))), F.lit(0)).alias("tn"),
-    )
-    cls = counts.select(*g, accuracy_expr().alias("accuracy"),
-                        f1_weighted_expr().alias("f1_weighted"),
-                        (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("sample_size"))
-    if not g:
-        return _join_single(cls, auc)
-    # Both sides have one row per group; the planner picks the join.
-    return cls.join(auc, g, "left")
-
-
-def _join_single(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Join two one-row aggregates (no group keys) on a constant key."""
-    key = "__one"
-    return a.withColumn(key, F.lit(1)).join(b.withColumn(key, F.lit(1)), key).drop(key)
+    counts = (df.filter(F.col(score).isNotNull())
+              .groupBy(*g, score)
+              .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"),
+                   F.count_if((y == 1) & (p == 1)).alias("tp"),
+                   F.count_if((y == 0) & (p == 1)).alias("fp"),
+                   F.count_if((y == 1) & (p == 0)).alias("fn"),
+                   F.count_if((y == 0) & (p == 0)).alias("tn")))
+    totals = roc_auc_from_counts(counts, score, g, carry=COUNT_COLS)
+    return totals.select(*g, accuracy_expr().alias("accuracy"), f1_weighted_expr().alias("f1_weighted"),
+                         (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("sample_size"),
+                         "auc_score")
+

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from relearn.operators import (abtest, bootstrap, metrics, profile, registry, sampling, scorers,
                                stats, synth, training)
+from relearn.session import ensure_checkpoint_dir
 from relearn.sources.tables import LABEL, read_table, transactions, tx_key
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -345,7 +346,10 @@ def q_registry_replay(spark, sf_dir):
 @register("champion_lookup")
 def q_champion_lookup(spark, sf_dir):
     """R4 + R5 + R6: alias events of the replay -> current champion/challenger -> run metrics."""
-    replay = registry.replay_promotions(monthly_runs(spark, sf_dir))
+    # The replay (one row per run) feeds four branches: materialise it once in
+    # the shared checkpoint folder instead of re-reading the transactions.
+    ensure_checkpoint_dir(spark)
+    replay = registry.replay_promotions(monthly_runs(spark, sf_dir)).checkpoint(eager=True)
     events = replay.select("model", "version", "alias", "ts")
     versions = replay.select("model", "version", "run_id")
     run_metrics = replay.select("run_id", F.expr("stack(3, 'auc', auc, 'accuracy', accuracy, 'f1', f1) "
