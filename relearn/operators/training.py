@@ -12,6 +12,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
@@ -91,20 +92,27 @@ def f1_class1_evaluator(label: str) -> MulticlassClassificationEvaluator:
                                              metricName="fMeasureByLabel", metricLabel=1.0)
 
 
-def spread_for_fitting(df: DataFrame, key_names: Sequence[str]) -> DataFrame:
-    """Spread a training set over the cluster's cores before it is cached.
+def cache_for_fitting(df: DataFrame, key_names: Sequence[str],
+                      level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+    """Cache a training set, spread over the cluster's cores; returns the cached frame.
 
     Tree growing scans the cached set once per level and fit, so its layout
-    matters more than one shuffle.  Input with at least as many partitions as
-    cores is left as it is (no shuffle); fewer partitions (few large files or
-    row groups) are hash-partitioned by the row key, which places each row
-    the same way when a lost partition is recomputed.
+    matters more than one shuffle.  The set is cached as it comes and its
+    partition count read from the cache (no extra planning or job).  With at
+    least as many partitions as cores that copy is used; with fewer (few
+    large files or row groups, or a small join coalesced by AQE) the cached
+    rows are hash-partitioned by the row key, which places each row the same
+    way when a lost partition is recomputed.  The caller unpersists.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *[F.col(c) for c in key_names])
+    cached = df.persist(level)
+    cached.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if cached.rdd.getNumPartitions() >= cores:
+        return cached
+    spread = cached.repartition(cores, *[F.col(c) for c in key_names]).persist(level)
+    spread.count()
+    cached.unpersist()
+    return spread
 
 
 def add_folds(df: DataFrame, k: int, seed: str, key_names: Sequence[str], label: str | None = None,

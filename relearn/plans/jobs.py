@@ -58,8 +58,7 @@ def train_with_cv(train: DataFrame, test: DataFrame, label: str, exclude: Sequen
     feats = profile.feature_columns(train, exclude)
     pipe = training.numeric_pipeline(feats, label, model_type, handle_invalid)
     grid = training.forest_grid(pipe.getStages()[-1])
-    folded = training.spread_for_fitting(training.add_folds(train, folds, fold_seed, key_cols), key_cols) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
+    folded = training.cache_for_fitting(training.add_folds(train, folds, fold_seed, key_cols), key_cols)
     try:
         cvm = training.cross_validate(pipe, grid, training.auc_evaluator(label), folded, folds,
                                       parallelism=parallelism)
@@ -177,8 +176,8 @@ def random_search(train: DataFrame, text_col: str, label: str, key_cols: Sequenc
     rf = pipe.getStages()[-1]
     candidates = training.draw_candidates(training.search_grid(spark), n_iter, seed)
     maps = training.param_maps(rf, candidates)
-    folded = training.spread_for_fitting(training.add_folds(train, folds, "fold", key_cols, label=label),
-                                         key_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    folded = training.cache_for_fitting(training.add_folds(train, folds, "fold", key_cols, label=label),
+                                        key_cols)
     try:
         cvm = training.cross_validate(pipe, maps, training.f1_class1_evaluator(label), folded, folds,
                                       parallelism=parallelism)

@@ -282,7 +282,11 @@ def q_forest_fit_score(spark, sf_dir):
     """M1-M3, M6, M7: one forest (10 trees, depth 5) fitted on train, test scored; E1-E3."""
     train, test = train_test(spark, sf_dir)
     feats = profile.feature_columns(train, FEATURE_EXCLUDE)
-    model = training.numeric_pipeline(feats, LABEL).fit(train)
+    cached = training.cache_for_fitting(train, TX_KEY_COLS)
+    try:
+        model = training.numeric_pipeline(feats, LABEL).fit(cached)
+    finally:
+        cached.unpersist()
     scored = training.score(model, test)
     return rounded(metrics.score_metrics(scored, LABEL, "score", "prediction"))
 
@@ -435,6 +439,10 @@ def q_text_forest_fit(spark, sf_dir):
     split = sampling.weighted_split(labelled_docs(spark, sf_dir), (0.7, 0.3), "split", [F.col("doc_id")])
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
-    model = training.text_pipeline("text", "quality").fit(train)
+    cached = training.cache_for_fitting(train, ["doc_id"])
+    try:
+        model = training.text_pipeline("text", "quality").fit(cached)
+    finally:
+        cached.unpersist()
     preds = model.transform(test).withColumn("prediction", F.col("prediction").cast("int"))
     return rounded(metrics.evaluate_models(preds, "quality", {"candidate": "prediction"}))
