@@ -8,6 +8,9 @@ runs in other SQL engines (used by the oracle checks).
 
     U = first 32 bits of md5(seed | key1 | key2 ...) / 2^32     in [0, 1)
 
+Lanes 1-3 (bits 32-127) of the same digest give further independent uniforms
+for rows that need several (the generator).
+
 Keys must be integers or strings; doubles format differently across engines.
 """
 
@@ -29,12 +32,27 @@ def hash_key(seed: str, *keys) -> Column:
     return F.concat_ws("|", *parts)
 
 
-def hash_uniform(seed: str, *keys) -> Column:
-    """``U(seed, keys...)``: a uniform double in [0, 1) fixed by the row key."""
+def hash_digest(seed: str, *keys) -> Column:
+    """md5 hex digest of ``seed|k1|k2...``: four independent 32-bit lanes."""
     if not keys:
-        raise ValueError("hash_uniform needs at least one key column")
-    top32 = F.conv(F.substring(F.md5(hash_key(seed, *keys)), 1, 8), 16, 10).cast("bigint")
-    return top32 / F.lit(TWO_POW_32)
+        raise ValueError("a hash uniform needs at least one key column")
+    return F.md5(hash_key(seed, *keys))
+
+
+def lane_uniform(digest: Column, lane: int = 0) -> Column:
+    """Uniform in [0, 1) from 32-bit lane ``0..3`` of a ``hash_digest`` column.
+
+    A row that needs several uniforms keeps the digest as a column and reads
+    up to four lanes from it: one md5 instead of four.
+    """
+    if not 0 <= lane < 4:
+        raise ValueError("an md5 digest has lanes 0..3")
+    return F.conv(F.substring(digest, 8 * lane + 1, 8), 16, 10).cast("bigint") / F.lit(TWO_POW_32)
+
+
+def hash_uniform(seed: str, *keys) -> Column:
+    """``U(seed, keys...)``: a uniform double in [0, 1) fixed by the row key (lane 0)."""
+    return lane_uniform(hash_digest(seed, *keys), 0)
 
 
 def hash_index(seed: str, n, *keys) -> Column:

@@ -418,8 +418,11 @@ WHERE rn = 1""")
 # -- synthetic transactions ----------------------------------------------------------
 
 def _su(purpose: str) -> str:
+    """Generator uniform: a 32-bit lane of md5('seed|digest|id')."""
     from relearn.operators import synth
-    return U(f"{synth.SEED}|{purpose}", "id")
+    digest, lane = synth.UNIFORM_LANES[purpose]
+    hexd = f"md5(concat_ws('|', '{synth.SEED}|{digest}', CAST(id AS VARCHAR)))"
+    return f"(CAST(('0x' || substr({hexd}, {8 * lane + 1}, 8)) AS BIGINT) / 4294967296.0)"
 
 
 def _cls(pair) -> str:

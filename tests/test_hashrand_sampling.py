@@ -62,3 +62,19 @@ def test_sample_and_complement_partition_rows(spark):
     assert s.count() + c.count() == 10000
     anti = sampling.anti_join_complement(df, s, ["id"])
     assert anti.exceptAll(c).count() == 0 and c.exceptAll(anti).count() == 0
+
+
+def test_digest_lanes_are_uniform_and_uncorrelated(spark):
+    from relearn.functions.hashrand import hash_digest, lane_uniform
+    df = (spark.range(0, 40000).select(hash_digest("lanes", F.col("id")).alias("h"))
+          .select(*[lane_uniform(F.col("h"), i).alias(f"u{i}") for i in range(4)]))
+    row = df.agg(*[F.avg(f"u{i}").alias(f"m{i}") for i in range(4)],
+                 *[F.corr(f"u{i}", f"u{j}").alias(f"c{i}{j}") for i in range(4) for j in range(i + 1, 4)],
+                 F.min("u0").alias("lo"), F.max("u3").alias("hi")).first()
+    assert all(abs(row[f"m{i}"] - 0.5) < 0.01 for i in range(4))
+    assert all(abs(row[f"c{i}{j}"]) < 0.02 for i in range(4) for j in range(i + 1, 4))
+    assert 0.0 <= row["lo"] and row["hi"] < 1.0
+    # lane 0 is the plain hash uniform
+    same = spark.range(0, 100).select((lane_uniform(hash_digest("s", F.col("id")), 0)
+                                       == hash_uniform("s", F.col("id"))).alias("eq"))
+    assert same.filter(~F.col("eq")).count() == 0
