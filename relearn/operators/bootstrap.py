@@ -32,6 +32,7 @@ from relearn.operators.metrics import (auc_label_expr, f1_binary_expr, precision
                                        recall_expr)
 
 N_CELLS = 8
+DRAWS_PER_TASK = 1_000_000
 CELL_COLS = [f"k{i}" for i in range(N_CELLS)]
 
 # cell = 4 * label + 2 * base prediction + candidate prediction.  Cells of the
@@ -66,8 +67,9 @@ def resample_draws(spark: SparkSession, counts: list[int], iterations: int,
     if n >= 2 ** 31:
         raise ValueError("draws method supports n < 2^31; use method='multinomial'")
     total = iterations * n
-    parts = num_partitions or max(1, min(spark.sparkContext.defaultParallelism * 4,
-                                         (total + 999_999) // 1_000_000))
+    # at least one task per core, at most DRAWS_PER_TASK draws per task; a
+    # draw depends on its id only, so the split does not change the counts
+    parts = num_partitions or max(spark.sparkContext.defaultParallelism, -(-total // DRAWS_PER_TASK))
     pos = hash_index(seed, n, F.col("id"))
     cum, expr = 0, None
     for i, c in enumerate(counts[:-1]):
@@ -132,12 +134,11 @@ def bootstrap_scores(resampled: DataFrame) -> DataFrame:
     ``f1``/``precision``/``recall`` are binary (class 1, 0 when undefined);
     ``auc`` is the label AUC, NULL for a resample with one class.
     """
-    parts = []
-    for model, cells in MODEL_CELLS.items():
-        counts = [sum((F.col(f"k{i}") for i in idx), F.lit(0)).alias(name)
-                  for name, idx in cells.items()]
-        parts.append(resampled.select("iteration", F.lit(model).alias("model"), *counts))
-    both = parts[0].unionByName(parts[1])
+    # both models from one pass over the resamples (no union re-reading them)
+    rows = [F.struct(F.lit(model).alias("model"),
+                     *[sum((F.col(f"k{i}") for i in idx), F.lit(0)).alias(name) for name, idx in cells.items()])
+            for model, cells in MODEL_CELLS.items()]
+    both = resampled.select("iteration", F.explode(F.array(*rows)).alias("__m")).select("iteration", "__m.*")
     return both.select("iteration", "model",
                        f1_binary_expr().alias("f1"), precision_expr().alias("precision"),
                        recall_expr().alias("recall"), auc_label_expr().alias("auc"))

@@ -44,12 +44,16 @@ def compare_scores(scores: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS,
     se = F.sqrt(pooled * (1 / nb + 1 / nc))
     t = _div(F.col("base_mean") - F.col("candidate_mean"), se)
     d = _div(F.abs(F.col("candidate_mean") - F.col("base_mean")), F.sqrt((vb + vc) / 2))
-    p = t_two_sided_p(t, F.col("n_base") + F.col("n_candidate") - 2)
-    return agg.select(
+    # t is a column before the p-value reads it: the series then refers to
+    # one attribute instead of repeating the whole t expression.
+    with_t = agg.select("*", t.alias("t_statistic"), d.alias("effect_size"),
+                        (F.col("n_base") + F.col("n_candidate") - 2).alias("__dof"))
+    p = t_two_sided_p(F.col("t_statistic"), F.col("__dof"))
+    return with_t.select(
         "metric",
-        t.alias("t_statistic"),
+        "t_statistic",
         p.alias("p_value"),
-        d.alias("effect_size"),
+        "effect_size",
         F.coalesce(p < F.lit(float(alpha)), F.lit(False)).alias("is_significant"),
         "base_mean", "candidate_mean",
         (F.col("candidate_mean") - F.col("base_mean")).alias("improvement"),
