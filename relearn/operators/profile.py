@@ -60,6 +60,17 @@ def null_counts(df: DataFrame, columns: Iterable[str] | None = None,
     return long.filter(F.col("null_count") > 0) if only_nonzero else long
 
 
+def rows_and_nulls_by(df: DataFrame, group_col: str) -> DataFrame:
+    """P4 + P9 in one pass: per group, ``n_rows`` and one null count per column.
+
+    One row per group (e.g. two for a train/test split), columns
+    ``group_col, n_rows, <column>...`` holding the null counts.
+    """
+    cols = [c for c in df.columns if c != group_col]
+    return df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_rows"),
+                                     *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+
+
 def feature_columns(df: DataFrame, exclude: Iterable[str] = (), allow_boolean: bool = True) -> list[str]:
     """P5: feature columns chosen by type.
 

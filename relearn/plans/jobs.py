@@ -122,8 +122,11 @@ def run_training(spark: SparkSession, input_path: str, output_path: str, registr
     train = split.filter(F.col("split") == "train").drop("split")
     test = split.filter(F.col("split") == "test").drop("split")
 
-    sizes = {r["split"]: r["n_rows"] for r in sampling.split_sizes(split).collect()}
-    nulls = [(r["column_name"], r["null_count"]) for r in profile.null_counts(train).collect()]
+    # split sizes and null counts of the training part from one scan (one row per split)
+    by_split = {r["split"]: r.asDict() for r in profile.rows_and_nulls_by(split, "split").collect()}
+    sizes = {k: v["n_rows"] for k, v in by_split.items()}
+    train_row = by_split.get("train", {})
+    nulls = [(c, train_row[c]) for c in train.columns if train_row.get(c)]
     for col, n in nulls:
         log.warning("column %s has %d nulls in the training part", col, n)
 

@@ -98,3 +98,11 @@ def test_schema_report_and_first_rows(spark):
     assert [r.id for r in profile.first_rows(df, 2, ["id"]).collect()] == [1, 2]
     s = profile.label_summary(spark.createDataFrame([(1,), (0,), (0,), (1,)], "y int"), "y").first()
     assert (s.n_rows, s.positives, s.positive_rate_pct) == (4, 2, 50.0)
+
+
+def test_rows_and_nulls_by_group_one_pass(spark):
+    df = spark.createDataFrame([("train", 1, None), ("train", None, "x"), ("train", 3, None), ("test", 4, "y")],
+                               "split string, a int, b string")
+    got = {r["split"]: r.asDict() for r in profile.rows_and_nulls_by(df, "split").collect()}
+    assert got["train"] == {"split": "train", "n_rows": 3, "a": 1, "b": 2}
+    assert got["test"] == {"split": "test", "n_rows": 1, "a": 0, "b": 0}
