@@ -14,6 +14,24 @@ def test_unknown_model_type_raises():
         training.numeric_pipeline(["a"], "y", model_type="lr")
 
 
+def test_cache_for_fitting_spreads_only_few_partitions(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few = spark.range(0, 1000, 1, 1).withColumn("k", F.col("id") * 7)
+    spread = training.cache_for_fitting(few, ["id"])
+    try:
+        assert spread.rdd.getNumPartitions() == cores
+        assert spread.count() == 1000 and spread.agg(F.sum("k")).first()[0] == 7 * 999 * 1000 // 2
+    finally:
+        spread.unpersist()
+    many = spark.range(0, 1000, 1, cores + 3)
+    kept = training.cache_for_fitting(many, ["id"])
+    try:
+        assert kept.rdd.getNumPartitions() == cores + 3
+        assert kept.is_cached
+    finally:
+        kept.unpersist()
+
+
 def test_stratified_folds_balance(spark):
     df = spark.range(0, 3000).withColumn("y", (F.col("id") % 10 == 0).cast("int"))
     folded = training.add_folds(df, 5, "f", ["id"], label="y")
