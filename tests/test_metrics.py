@@ -92,3 +92,22 @@ def test_score_metrics_one_pass_matches_parts(spark):
         assert sm[g].accuracy == pytest.approx(cls[g].accuracy)
         assert sm[g].f1_weighted == pytest.approx(cls[g].f1_weighted)
         assert sm[g].sample_size == 500
+
+
+def test_null_label_and_null_score_not_counted(spark):
+    rows = [(1, 0.9, 1), (0, 0.1, 0), (None, 0.5, 1), (1, None, 1), (0, 0.4, None)]
+    df = spark.createDataFrame(rows, "y int, s double, p int")
+    m = metrics.score_metrics(df, "y", "s", "p").first()
+    # rows with a null label, score or prediction fall in no confusion cell
+    assert m.sample_size == 2 and m.accuracy == 1.0
+    assert m.auc_score == 1.0  # ranks the two labelled, scored rows correctly
+    c = metrics.confusion_counts(df, "y", "p").first()
+    assert (c.tp, c.fp, c.fn, c.tn, c.n) == (2, 0, 0, 1, 3)
+
+
+def test_empty_table_gives_one_row_of_zeros(spark):
+    df = spark.createDataFrame([], "y int, s double, p int")
+    m = metrics.score_metrics(df, "y", "s", "p").collect()
+    assert len(m) == 1 and m[0].sample_size == 0 and m[0].auc_score is None and m[0].accuracy == 0.0
+    e = metrics.evaluate_predictions(df, "y", "p").first()
+    assert e.n == 0 and e.precision == 0.0 and e.f1_binary == 0.0 and e.auc_label is None

@@ -111,3 +111,13 @@ def test_generate_demo_job(spark, scratch):
     assert out["n_rows"] == 1000 and out["positives"] == 50
     back = files.read_csv(spark, out["train_path"], files.DEMO_SCHEMA)
     assert 700 < back.count() < 900
+
+
+def test_null_feature_policy(spark):
+    df = spark.createDataFrame([(1.0, 2.0, 0), (None, 1.0, 1), (3.0, 0.5, 1), (0.5, 4.0, 0)],
+                               "a double, b double, y int")
+    strict = training.numeric_pipeline(["a", "b"], "y", num_trees=2, max_depth=2)
+    with pytest.raises(Exception):
+        strict.fit(df).transform(df).count()
+    lenient = training.numeric_pipeline(["a", "b"], "y", handle_invalid="skip", num_trees=2, max_depth=2)
+    assert lenient.fit(df).transform(df).count() == 3
