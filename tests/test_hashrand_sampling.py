@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from relearn.functions.hashrand import hash_index, hash_uniform
@@ -78,3 +79,22 @@ def test_digest_lanes_are_uniform_and_uncorrelated(spark):
     same = spark.range(0, 100).select((lane_uniform(hash_digest("s", F.col("id")), 0)
                                        == hash_uniform("s", F.col("id"))).alias("eq"))
     assert same.filter(~F.col("eq")).count() == 0
+
+
+def test_xxhash_method_uniform_repeatable_and_switchable(spark):
+    from relearn.functions import hashrand
+    df = spark.range(0, 40000).withColumn("u", hash_uniform("s", F.col("id"), method="xxhash64"))
+    r = df.agg(F.min("u"), F.max("u"), F.avg("u")).first()
+    assert 0.0 <= r[0] and r[1] < 1.0 and abs(r[2] - 0.5) < 0.01
+    again = spark.range(0, 40000).repartition(5).withColumn("u2", hash_uniform("s", F.col("id"), method="xxhash64"))
+    assert df.join(again, "id").filter(F.col("u") != F.col("u2")).count() == 0
+    idx = spark.range(0, 5000).select(hash_index("s", 7, F.col("id"), method="xxhash64").alias("i"))
+    assert {r.i for r in idx.distinct().collect()} == set(range(7))
+    try:
+        hashrand.use_hash("xxhash64")
+        fast = sampling.sample_rows(spark.range(0, 20000), 0.3, "p", [F.col("id")]).count()
+    finally:
+        hashrand.use_hash("md5")
+    assert 5600 < fast < 6400
+    with pytest.raises(ValueError):
+        hashrand.use_hash("crc")
