@@ -121,51 +121,56 @@ def run_training(spark: SparkSession, input_path: str, output_path: str, registr
     split = sampling.weighted_split(df, split_weights, "split", key)
     train = split.filter(F.col("split") == "train").drop("split")
     test = split.filter(F.col("split") == "test").drop("split")
-
-    # split sizes and null counts of the training part from one scan (one row per split)
-    by_split = {r["split"]: r.asDict() for r in profile.rows_and_nulls_by(split, "split").collect()}
-    sizes = {k: v["n_rows"] for k, v in by_split.items()}
-    train_row = by_split.get("train", {})
-    nulls = [(c, train_row[c]) for c in train.columns if train_row.get(c)]
-    for col, n in nulls:
-        log.warning("column %s has %d nulls in the training part", col, n)
-
-    champion = None
-    if ab_testing:
-        row = reg.resolve(model_name)
-        champion = files.load_model(row["path"]) if row is not None else None
-
-    name = run_name or f"fraud_detection_{model_type}_{os.path.basename(input_path.rstrip('/'))}"
-    run_id = reg.start_run(experiment, name)
-    reg.log_params(run_id, {"numTrees_options": list(training.GRID_NUM_TREES),
-                            "maxDepth_options": list(training.GRID_MAX_DEPTH)})
-    exclude_all = [label, timestamp, *keys, *exclude]
-    result = train_with_cv(train, test, label, exclude_all, keys, parallelism=parallelism,
-                           model_type=model_type)
-    reg.log_metrics(run_id, {k: result.metrics[k] for k in ("auc", "accuracy", "f1")})
-    reg.log_params(run_id, {"best_numTrees": result.best["numTrees"],
-                            "best_maxDepth": result.best["maxDepth"]})
-    files.save_model(result.model, output_path)
-
-    ab = None
-    if ab_testing and champion is not None:
-        arms = sampling.assign_arms(test, ab_traffic_split, "arm", key)
-        scored = abtest.score_by_arm(arms, champion, result.model, keep=[label])
-        compared = abtest.compare_arms(abtest.arm_metrics(scored, label)).persist()
-        ab_run = reg.start_run(experiment, f"ab_test_{_dt.datetime.now():%Y%m%d_%H%M%S}")
-        reg.log_params(ab_run, {"ab_traffic_split": ab_traffic_split})
-        reg.log_metrics(ab_run, abtest.metric_rows(compared, ab_run))
-        record = abtest.result_record(compared, ab_traffic_split)
-        files.write_json(record, output_path.rstrip("/") + "_ab_test_results")
-        ab = compared.first().asDict()
-        compared.unpersist()
-
-    decision = None
-    if auto_register and (not require_ab_win or ab is None or ab["winner"] == "challenger"):
-        decision = reg.compare_and_register(model_name, run_id, output_path, result.metrics["auc"])
-    return {"run_id": run_id, "split_sizes": sizes, "null_columns": nulls,
-            "features": result.feature_cols, "best": result.best, "cv_auc": result.cv_metric,
-            "metrics": result.metrics, "ab": ab, "decision": decision}
+    # The test split (a few % of the rows) is scored by the new model and, in
+    # the A/B step, by both arms: cache it so the input is not scanned again.
+    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # split sizes and null counts of the training part from one scan (one row per split)
+        by_split = {r["split"]: r.asDict() for r in profile.rows_and_nulls_by(split, "split").collect()}
+        sizes = {k: v["n_rows"] for k, v in by_split.items()}
+        train_row = by_split.get("train", {})
+        nulls = [(c, train_row[c]) for c in train.columns if train_row.get(c)]
+        for col, n in nulls:
+            log.warning("column %s has %d nulls in the training part", col, n)
+
+        champion = None
+        if ab_testing:
+            row = reg.resolve(model_name)
+            champion = files.load_model(row["path"]) if row is not None else None
+
+        name = run_name or f"fraud_detection_{model_type}_{os.path.basename(input_path.rstrip('/'))}"
+        run_id = reg.start_run(experiment, name)
+        reg.log_params(run_id, {"numTrees_options": list(training.GRID_NUM_TREES),
+                                "maxDepth_options": list(training.GRID_MAX_DEPTH)})
+        exclude_all = [label, timestamp, *keys, *exclude]
+        result = train_with_cv(train, test, label, exclude_all, keys, parallelism=parallelism,
+                               model_type=model_type)
+        reg.log_metrics(run_id, {k: result.metrics[k] for k in ("auc", "accuracy", "f1")})
+        reg.log_params(run_id, {"best_numTrees": result.best["numTrees"],
+                                "best_maxDepth": result.best["maxDepth"]})
+        files.save_model(result.model, output_path)
+
+        ab = None
+        if ab_testing and champion is not None:
+            arms = sampling.assign_arms(test, ab_traffic_split, "arm", key)
+            scored = abtest.score_by_arm(arms, champion, result.model, keep=[label])
+            compared = abtest.compare_arms(abtest.arm_metrics(scored, label)).persist()
+            ab_run = reg.start_run(experiment, f"ab_test_{_dt.datetime.now():%Y%m%d_%H%M%S}")
+            reg.log_params(ab_run, {"ab_traffic_split": ab_traffic_split})
+            reg.log_metrics(ab_run, abtest.metric_rows(compared, ab_run))
+            record = abtest.result_record(compared, ab_traffic_split)
+            files.write_json(record, output_path.rstrip("/") + "_ab_test_results")
+            ab = compared.first().asDict()
+            compared.unpersist()
+
+        decision = None
+        if auto_register and (not require_ab_win or ab is None or ab["winner"] == "challenger"):
+            decision = reg.compare_and_register(model_name, run_id, output_path, result.metrics["auc"])
+        return {"run_id": run_id, "split_sizes": sizes, "null_columns": nulls,
+                "features": result.feature_cols, "best": result.best, "cv_auc": result.cv_metric,
+                "metrics": result.metrics, "ab": ab, "decision": decision}
+    finally:
+        test.unpersist()
 
 
 # -- J2 ----------------------------------------------------------------------------
