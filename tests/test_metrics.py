@@ -111,3 +111,25 @@ def test_empty_table_gives_one_row_of_zeros(spark):
     assert len(m) == 1 and m[0].sample_size == 0 and m[0].auc_score is None and m[0].accuracy == 0.0
     e = metrics.evaluate_predictions(df, "y", "p").first()
     assert e.n == 0 and e.precision == 0.0 and e.f1_binary == 0.0 and e.auc_label is None
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_score_metrics_reads_its_input_once(spark, scratch):
+    rows = [(i % 3, i % 2, (i * 37 % 101) / 101.0, (i * 7) % 2) for i in range(500)]
+    spark.createDataFrame(rows, "g int, y int, s double, p int").write.parquet(scratch + "/in")
+    df = spark.read.parquet(scratch + "/in")
+    out = metrics.score_metrics(df, "y", "s", "p", ["g"])
+    assert _plan(out).count("FileScan") == 1          # AUC and confusion cells share one scan
+    assert "BroadcastNestedLoopJoin" not in _plan(out) and "CartesianProduct" not in _plan(out)
+    assert out.count() == 3
+
+
+def test_bootstrap_scores_read_resamples_once(spark):
+    from relearn.operators import bootstrap
+    counts = [50, 3, 7, 2, 4, 6, 1, 27]
+    scores = bootstrap.bootstrap_scores(bootstrap.resample_draws(spark, counts, 20, "b"))
+    assert _plan(scores).count("Range (") == 1         # both models from one pass
+    assert scores.count() == 40
