@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from relearn.llm.common import documents
 from relearn.llm.near_dedup import near_duplicates
+from relearn.llm.quality import quality_rules
 from relearn.llm.substring_dedup import remove_repeats
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,8 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(documents(spark, sf_dir), window=50)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@register
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(documents(spark, sf_dir))
