@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relearn.llm.common import documents
+from relearn.llm.common import documents, fold
+from relearn.llm.language import dictionaries, identify
 from relearn.llm.near_dedup import near_duplicates
 from relearn.llm.quality import quality_rules
 from relearn.llm.substring_dedup import remove_repeats
@@ -21,6 +22,14 @@ def register(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@register
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    built, order = dictionaries(docs.where(fold("doc_id", 4) != 2).select("doc_id", "text", "lang"))
+    out = identify(docs, built, order)
+    return out.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @register
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), shingle=4, percent=80)
