@@ -10,6 +10,8 @@ A document's set holds its distinct shingles; two documents are linked at Jaccar
    ``LEAF`` members are compared exhaustively, larger ones branch again; after ``DEPTH`` levels what is still larger
    is compared exhaustively in blocks.  Only pairs across components are compared: others would join nothing.
 4. Pairs whose estimate isn't 4.5 standard deviations too low are confirmed on whole sets, and components follow.
+   Whole sets are computed again from the texts, only for the documents that a bitmap of fixed size lets through (it
+   marks a document of each wanted class and a few others by chance), so texts are never shuffled.
 
 A pair at the threshold shares a leaf of one tree with probability 0.84 (one level) to 0.58 (four), so twelve trees
 miss it with probability 3e-5 at most.  Whole sets are sets of 64-bit hashes.
@@ -29,7 +31,9 @@ from relearn.llm.arrowutil import as_long, binary_list, binary_rows, hashes, mat
 from relearn.llm.common import cut
 from relearn.llm.components import components
 
-MINHASHES = 128
+MINHASHES = 64
+#: Bits of the bitmap that marks the documents whose sets are wanted: 2 MB, whatever the input; more set bits let more rows through.
+MARK_BITS = 1 << 24
 TREES, STARS, STAR_DEPTH = 12, 8, 4
 LEAF, DEPTH = 200, 6
 DEVIATIONS = 4.5
@@ -72,51 +76,64 @@ def _signed(doc: np.ndarray, h: np.ndarray, n_docs: int):
     return n, has, at, key
 
 
-def set_features(docs: DataFrame, shingle: int) -> DataFrame:
-    """``(doc_id, n_shingles, key, tokens)``: key and tokens are null for an empty set."""
+def set_features(docs: DataFrame, shingle: int, with_tokens: bool) -> DataFrame:
+    """``(doc_id, n_shingles, key)`` and, if asked for, ``tokens``; key is null for an empty set."""
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for s in W.slices(batch.column("text"), lower=True):
                 doc, h = distinct_shingles(s, shingle)
                 n, has, at, key = _signed(doc, h, s.n_docs)
-                tokens = np.zeros((s.n_docs, MINHASHES), np.uint32)
-                if len(has):
-                    for k in range(MINHASHES):
-                        tokens[has, k] = np.minimum.reduceat((h * _MULTIPLY[k] + _ADD[k]) >> np.uint64(32), at)
                 empty = n == 0
-                yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(s.first_doc, s.n_docs), pa.array(n.astype(np.int64)),
-                    pa.array(key.view(np.int64), mask=empty), _masked(binary_rows(tokens), empty)],
-                    names=["doc_id", "n_shingles", "key", "tokens"])
+                out = [batch.column("doc_id").slice(s.first_doc, s.n_docs), pa.array(n.astype(np.int64)), pa.array(key.view(np.int64), mask=empty)]
+                if with_tokens:
+                    tokens = np.zeros((s.n_docs, MINHASHES), np.uint32)
+                    for k in range(MINHASHES if len(has) else 0):
+                        tokens[has, k] = np.minimum.reduceat((h * _MULTIPLY[k] + _ADD[k]) >> np.uint64(32), at)
+                    out.append(binary_rows(tokens))
+                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_shingles", "key", "tokens"][:len(out)])
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, n_shingles long, key long, tokens binary"))
+            .mapInArrow(run, "doc_id long, n_shingles long, key long" + ", tokens binary" * with_tokens))
+
 
+def _mark(doc_id: str):
+    return F.pmod(F.xxhash64(doc_id), F.lit(MARK_BITS)).cast("int")
 
-def _masked(column: pa.Array, mask: np.ndarray) -> pa.Array:
-    return pa.compute.if_else(pa.array(mask), pa.scalar(None, column.type), column) if mask.any() else column
+
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """The marks of the ids, as bits; at most ``MARK_BITS`` / 64 words reach the driver."""
+    at = _mark("doc_id")
+    words = (ids.groupBy(F.shiftright(at, 6).alias("word"))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, pmod(xxhash64(doc_id), {MARK_BITS}) & 63)")).alias("bits")).toArrow())
+    bits = np.zeros(MARK_BITS // 64, np.uint64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return bits
 
 
 def whole_sets(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
-    """``(key, hashes)`` of the wanted classes ``(key, doc_id)``: the sorted distinct hashes of one of its documents."""
+    """``(key, hashes)``: sorted distinct hashes of a document of each of the classes ``(key, doc_id)``, and of some others."""
+    bits = docs.sparkSession.sparkContext.broadcast(_bitmap(classes))
+
     def run(batches: Iterator[pa.RecordBatch]):
+        seen: set[int] = set()                       # a class once a task, also if rows repeat a doc_id
         for batch in batches:
-            wanted = hashes(batch.column("key"))
-            for s in W.slices(batch.column("text"), lower=True):
+            at = batch.column("mark").to_numpy()
+            marked = (bits.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            texts = batch.column("text").filter(pa.array(marked.astype(bool)))
+            for s in W.slices(texts, lower=True):
                 doc, h = distinct_shingles(s, shingle)
                 n, has, at, key = _signed(doc, h, s.n_docs)
-                ends = at + n[has]
-                right = key[has] == wanted[s.first_doc + has]     # rows may share a doc_id
-                if right.any():
+                new = [i for i, k in enumerate(key[has].tolist()) if not (k in seen or seen.add(k))]
+                if new:
                     yield pa.RecordBatch.from_arrays(
-                        [as_long(key[has][right]), binary_list([h[a:b] for a, b in zip(at[right], ends[right])])], names=["key", "hashes"])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(classes, "doc_id")
-    return rows.select("key", "text").mapInArrow(run, "key long, hashes binary").dropDuplicates(["key"])
+                        [as_long(key[has][new]), binary_list([h[at[i]:at[i] + n[has[i]]] for i in new])], names=["key", "hashes"])
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
+    return rows.select(_mark("doc_id").alias("mark"), "text").mapInArrow(run, "key long, hashes binary")
 
 
 def confirm(docs: DataFrame, pairs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The candidate pairs ``(a, b)`` of class keys that reach the threshold on whole sets."""
     ends = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    sets = cut(whole_sets(docs, classes.select("key", "doc_id").join(ends, "key"), shingle))
+    sets = whole_sets(docs, classes.select("key", "doc_id").join(ends, "key"), shingle)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -271,11 +288,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     Texts are lower-cased (A-Z); a set holds the distinct shingles of ``shingle`` words, or the whole sequence when
     there are fewer words.  component_id is the smallest doc_id reachable over links, kept is doc_id = component_id.
     Null text, empty text and text without words: empty set, linked with nothing, component_id = doc_id.  Rows that
-    repeat a doc_id are judged each by its own text.  A null doc_id never names a component: it is kept only if no
-    row of its component has an id.  Other columns are ignored; an empty table gives no rows.
+    repeat a doc_id are judged each by its own text.  A null doc_id never names a component; a set that
+    only such rows have is linked with nothing else, and its rows are kept.  Other columns are ignored; an empty table gives no rows.
     """
-    feats = cut(set_features(docs, shingle))
-    classes = cut(feats.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens")))
+    classes = cut(set_features(docs, shingle, True).where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens")))
     stars = cut(star_pairs(classes, percent))
     edges = cut(confirm(docs, stars, classes, shingle, percent))
     trees = cut(tree_pairs(classes, components(edges), percent))
@@ -284,6 +300,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     named = classes.select("key", "doc_id").join(linked, "key", "left").select("key", "doc_id", F.coalesce("component", "key").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of_class = named.select("key", "comp").join(smallest, "comp").select("key", "component_id")
-    out = feats.select("doc_id", "n_shingles", "key").join(of_class, "key", "left")
+    out = set_features(docs, shingle, False).join(of_class, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
