@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relearn.llm import toxicity
 from relearn.llm.common import documents, fold
 from relearn.llm.language import dictionaries, identify
 from relearn.llm.near_dedup import near_duplicates
 from relearn.llm.quality import quality_rules
 from relearn.llm.substring_dedup import remove_repeats
+from relearn.sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,3 +46,13 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(documents(spark, sf_dir))
+
+
+@register
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    learnt = fold("doc_id", 3) != 1
+    model = toxicity.fit(toxicity.sample(docs.where(learnt), labels.where(learnt)))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")

@@ -37,6 +37,8 @@ _LOWER_VALUES = _BYTE_VALUES.copy()
 _LOWER_VALUES[65:91] = _BYTE_VALUES[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Other separators: every ASCII byte but letters and digits.
+NOT_ALPHANUMERIC = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
 class _Powers:
@@ -100,21 +102,23 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data or b"", np.uint8)
 
 
-def slices(column: pa.Array, lower: bool = False, most: int = SLICE_BYTES) -> Iterator[Words]:
-    """The words of a batch's texts, some documents at a time; ``lower`` folds A-Z to a-z in the hashes."""
+def slices(column: pa.Array, lower: bool = False, most: int = SLICE_BYTES, space: np.ndarray = _SPACE) -> Iterator[Words]:
+    """The words of a batch's texts, some documents at a time; ``lower`` folds A-Z to a-z in the hashes.
+
+    ``space`` marks the bytes that separate words."""
     offsets, data = text_bytes(column)
     n, a = len(offsets) - 1, 0
     while a < n:
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + most, "right")) - 1)
-        yield scan(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], lower, a)
+        yield scan(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a], lower, a, space)
         a = b
 
 
-def scan(data: np.ndarray, offsets: np.ndarray, lower: bool = False, first_doc: int = 0) -> Words:
+def scan(data: np.ndarray, offsets: np.ndarray, lower: bool = False, first_doc: int = 0, space: np.ndarray = _SPACE) -> Words:
     """Words of the documents at ``offsets`` of ``data``."""
     n = len(data)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = ~_SPACE[data]
+    inside[1:-1] = ~space[data]
     opens = inside[1:-1] & ~inside[:-2]
     closes = inside[1:-1] & ~inside[2:]
     cut = offsets[1:-1]
