@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relearn.llm import toxicity
+from relearn.llm import pieces, toxicity
 from relearn.llm.common import documents, fold
 from relearn.llm.language import dictionaries, identify
 from relearn.llm.near_dedup import near_duplicates
@@ -56,3 +56,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(toxicity.sample(docs.where(learnt), labels.where(learnt)))
     out = toxicity.score(docs, model)
     return out.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
+@register
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.load()
+    docs = documents(spark, sf_dir).withColumn("chars", F.coalesce(F.col("text"), F.lit("")))
+    out = pieces.decode(pieces.encode(docs, vocabulary, keep=("doc_id", "chars")), vocabulary)
+    return out.select("doc_id", "n_pieces", "n_byte_pieces", "ids", (F.col("decoded") == F.col("chars")).alias("restored"))
