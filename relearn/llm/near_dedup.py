@@ -4,14 +4,16 @@ A document's set holds its distinct shingles; two documents are linked at Jaccar
 
 1. Every set gets ``MINHASHES`` minwise tokens.  Equal sets are one *class* (key: size and two sums of mixed hashes).
 2. Stars: classes that agree in four tokens meet, in ``STARS`` such nodes each; each is paired with the node's
-   smallest key.  The pairs are confirmed on whole sets.  This joins large groups of near copies in linear work.
+   smallest key if enough tokens agree (no more than 4.5 standard deviations under the threshold).  This ties large
+   groups of near copies together in linear work.
 3. Trees: in ``TREES`` independent trees every node branches on one or two (1 / threshold on average) chosen
-   positions, a child per token there.  Nodes whose members are all connected already are dropped.  Nodes of at most
+   positions, a child per token there.  Nodes whose members are all tied already are dropped.  Nodes of at most
    ``LEAF`` members are compared exhaustively, larger ones branch again; after ``DEPTH`` levels what is still larger
-   is compared exhaustively in blocks.  Only pairs across components are compared: others would join nothing.
-4. Pairs whose estimate isn't 4.5 standard deviations too low are confirmed on whole sets, and components follow.
-   Whole sets are computed again from the texts, only for the documents that a bitmap of fixed size lets through (it
-   marks a document of each wanted class and a few others by chance), so texts are never shuffled.
+   is compared exhaustively in blocks.  A node gives a spanning set of its ties only, never all pairs.
+4. What is tied together is a *family*.  Within each family all sets are compared whole (families over ``FAMILY``
+   sets in blocks), again giving spanning links only; components of the links are the result.  Whole sets are
+   computed again from the texts, only for the documents that a bitmap of fixed size lets through (it marks a
+   document of each wanted class and a few others by chance), so texts are never shuffled.
 
 A pair at the threshold shares a leaf of one tree with probability 0.84 (one level) to 0.58 (four), so twelve trees
 miss it with probability 3e-5 at most.  Whole sets are sets of 64-bit hashes.
@@ -31,11 +33,11 @@ from relearn.llm.arrowutil import as_long, binary_list, binary_rows, hashes, mat
 from relearn.llm.common import cut
 from relearn.llm.components import components
 
-MINHASHES = 64
+MINHASHES = 128
 #: Bits of the bitmap that marks the documents whose sets are wanted: 2 MB, whatever the input; more set bits let more rows through.
 MARK_BITS = 1 << 24
 TREES, STARS, STAR_DEPTH = 12, 8, 4
-LEAF, DEPTH = 200, 6
+LEAF, DEPTH, FAMILY = 200, 6, 300
 DEVIATIONS = 4.5
 
 _rng = np.random.Generator(np.random.PCG64(20240501))
@@ -130,26 +132,64 @@ def whole_sets(docs: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
     return rows.select(_mark("doc_id").alias("mark"), "text").mapInArrow(run, "key long, hashes binary")
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The candidate pairs ``(a, b)`` of class keys that reach the threshold on whole sets."""
-    ends = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-    sets = whole_sets(docs, classes.select("key", "doc_id").join(ends, "key"), shingle)
+class _Labels:
+    """Which rows of a task are joined so far, and the spanning pairs that joined them."""
+
+    def __init__(self, label: np.ndarray):
+        self.label, self.pairs = label.copy(), []
+
+    def join(self, i: int, others: np.ndarray) -> None:
+        for k, j in zip(*np.unique(self.label[others], return_index=True)):
+            if k != self.label[i]:
+                self.pairs.append((i, int(others[j])))
+                self.label[self.label == k] = self.label[i]
+
+    def open(self, i: int, side: np.ndarray) -> np.ndarray:
+        """Rows to compare with row ``i`` of side 0: of side 1, or later ones, that aren't joined with it."""
+        return np.flatnonzero((self.label != self.label[i]) & ((side == 1) | (np.arange(len(side)) > i)))
+
+
+def _linked(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Spanning pairs of the rows whose whole sets reach the threshold."""
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    n = np.array([len(x) for x in sets])
+    at = np.r_[0, np.cumsum(n)]
+    joined, flags = _Labels(np.arange(len(sets))), np.zeros(codes.max() + 1, np.int32)
+    for i in np.flatnonzero(side == 0):
+        others = joined.open(i, side)
+        others = others[100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i])]
+        if not len(others):
+            continue
+        flags[codes[at[i]:at[i + 1]]] = 1
+        mine = codes if 4 * len(others) > len(sets) else np.concatenate([codes[at[j]:at[j + 1]] for j in others])
+        first = at[:-1] if mine is codes else np.r_[0, np.cumsum(n[others])[:-1]]
+        both = np.add.reduceat(flags[mine], first)
+        both = both[others] if mine is codes else both
+        flags[codes[at[i]:at[i + 1]]] = 0
+        joined.join(i, others[100 * both >= percent * (n[others] + n[i] - both)])
+    return joined.pairs
+
+
+def family_links(docs: DataFrame, classes: DataFrame, families: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Spanning links ``(a, b)`` on whole sets within each of the ``families`` (node, component) of class keys."""
+    named = families.select(F.col("node").alias("key"), F.col("component").alias("family"))
+    named = cut(named.join(named.groupBy("family").agg(F.count("*").alias("size")), "family"))
+    sets = whole_sets(docs, classes.select("key", "doc_id").join(named, "key"), shingle)
+    rows = _blocks(named.join(sets, "key").select(F.col("family").alias("node"), "key", "hashes", "size"), FAMILY, "hashes")
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                both = int((y[at] == x).sum())
-                keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
-    met = (pairs.join(sets.select(F.col("key").alias("a"), F.col("hashes").alias("x")), "a")
-           .join(sets.select(F.col("key").alias("b"), F.col("hashes").alias("y")), "b"))
-    return met.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+        for table, at in sorted_groups(batches, "node"):
+            key, side = table["key"].combine_chunks().to_numpy(), table["side"].combine_chunks().to_numpy()
+            hashed = table["hashes"].combine_chunks()
+            a, b = [], []
+            for x, y in zip(at[:-1], at[1:]):
+                sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in hashed[x:y]]
+                for i, j in _linked(sets, side[x:y], percent):
+                    a.append(key[x + i])
+                    b.append(key[x + j])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, "a long, b long")
 
 
 def _least_same(percent: int) -> int:
@@ -158,7 +198,7 @@ def _least_same(percent: int) -> int:
 
 
 def star_pairs(classes: DataFrame, percent: int) -> DataFrame:
-    """Every class with the smallest key of each node (four equal tokens) it is in; estimates too low are left out."""
+    """Ties of each class to the smallest key of each node (four equal tokens) it is in."""
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             key, tokens = hashes(batch.column("key")), matrix(batch.column("tokens"), np.uint32, MINHASHES)
@@ -220,20 +260,8 @@ def _mixed(nodes: DataFrame) -> DataFrame:
     return nodes.join(sizes, "node")
 
 
-def _across(key: np.ndarray, comp: np.ndarray, tokens: np.ndarray, left: np.ndarray, least: int) -> tuple[list, list]:
-    """Pairs of a node across components whose tokens agree enough; ``left`` marks rows to compare with the others."""
-    a, b = [], []
-    for i in np.flatnonzero(left):
-        others = np.flatnonzero((comp != comp[i]) & (~left | (np.arange(len(key)) > i)))
-        if len(others):
-            near = others[(tokens[others] == tokens[i]).sum(1) >= least]
-            a.append(np.minimum(key[near], key[i]))
-            b.append(np.maximum(key[near], key[i]))
-    return a, b
-
-
 def _exhaustive(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs within each node of bounded size; a node may be one block pair (``side`` 0 and 1) of a larger node."""
+    """Spanning ties of each node of bounded size; a node may be one block pair (``side`` 0 and 1) of a larger node."""
     least = _least_same(percent)
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -243,29 +271,31 @@ def _exhaustive(rows: DataFrame, percent: int) -> DataFrame:
             tokens = matrix(table["tokens"].combine_chunks(), np.uint32, MINHASHES)
             a, b = [], []
             for x, y in zip(at[:-1], at[1:]):
-                left = side[x:y] == 0
-                more = _across(key[x:y], comp[x:y], tokens[x:y], left, least)
-                a += more[0]
-                b += more[1]
+                joined, part = _Labels(comp[x:y]), tokens[x:y]
+                for i in np.flatnonzero(side[x:y] == 0):
+                    others = joined.open(i, side[x:y])
+                    if len(others):
+                        joined.join(i, others[(part[others] == part[i]).sum(1) >= least])
+                a += [key[x + i] for i, _ in joined.pairs]
+                b += [key[x + j] for _, j in joined.pairs]
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
     return (rows.select("node", "key", "comp", "side", "tokens").repartition("node").sortWithinPartitions("node")
             .mapInArrow(run, "a long, b long"))
 
 
-def _blocks(rows: DataFrame) -> DataFrame:
-    """Nodes that are still large: each pair of blocks of ``LEAF`` members becomes a node; a block with itself has side 0 only."""
-    blocks = F.ceil(F.col("size") / LEAF)
+def _blocks(rows: DataFrame, block: int, *columns: str) -> DataFrame:
+    """Each pair of blocks of ``block`` members of a node (``size``) becomes a node; a block with itself has side 0 only."""
+    blocks = F.ceil(F.col("size") / block)
     mine = F.pmod(F.xxhash64("key", "node"), blocks)
     rows = rows.withColumn("blocks", blocks).withColumn("mine", mine)
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     lo, hi = F.least("mine", "other"), F.greatest("mine", "other")
-    return rows.select(F.xxhash64("node", lo, hi).alias("node"), "key", "comp",
-                       (F.col("mine") > F.col("other")).cast("int").alias("side"), "tokens")
+    return rows.select(F.xxhash64("node", lo, hi).alias("node"), "key", (F.col("mine") > F.col("other")).cast("int").alias("side"), *columns)
 
 
 def tree_pairs(classes: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs across the components ``linked`` (node, component) from all leaves of all trees."""
+    """Ties across the components ``linked`` (node, component) from all leaves of all trees."""
     spark = classes.sparkSession
     rows = (classes.join(linked.withColumnRenamed("node", "key"), "key", "left")
             .select("key", F.coalesce("component", "key").alias("comp"), "tokens"))
@@ -279,7 +309,7 @@ def tree_pairs(classes: DataFrame, linked: DataFrame, percent: int) -> DataFrame
             return found.distinct()
         if depth < DEPTH:
             members = _mixed(_branch(large, percent, carry=True))
-    return found.unionByName(_exhaustive(_blocks(large), percent)).distinct()
+    return found.unionByName(_exhaustive(_blocks(large, LEAF, "comp", "tokens"), percent)).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -292,10 +322,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     only such rows have is linked with nothing else, and its rows are kept.  Other columns are ignored; an empty table gives no rows.
     """
     classes = cut(set_features(docs, shingle, True).where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens")))
-    stars = cut(star_pairs(classes, percent))
-    edges = cut(confirm(docs, stars, classes, shingle, percent))
-    trees = cut(tree_pairs(classes, components(edges), percent))
-    edges = edges.unionByName(confirm(docs, trees, classes, shingle, percent))
+    ties = cut(star_pairs(classes, percent))
+    ties = ties.unionByName(tree_pairs(classes, components(ties), percent))
+    edges = family_links(docs, classes, components(ties), shingle, percent)
     linked = components(edges).withColumnRenamed("node", "key")
     named = classes.select("key", "doc_id").join(linked, "key", "left").select("key", "doc_id", F.coalesce("component", "key").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
