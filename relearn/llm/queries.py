@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from relearn.llm import pieces, toxicity
 from relearn.llm.common import documents, fold
+from relearn.llm.decontaminate import decontaminate
 from relearn.llm.language import dictionaries, identify
 from relearn.llm.near_dedup import near_duplicates
 from relearn.llm.quality import quality_rules
@@ -64,3 +65,9 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).withColumn("chars", F.coalesce(F.col("text"), F.lit("")))
     out = pieces.decode(pieces.encode(docs, vocabulary, keep=("doc_id", "chars")), vocabulary)
     return out.select("doc_id", "n_pieces", "n_byte_pieces", "ids", (F.col("decoded") == F.col("chars")).alias("restored"))
+
+
+@register
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", (F.size("items") > 0).alias("leaked"), "items", "share")
