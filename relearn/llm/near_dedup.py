@@ -79,22 +79,22 @@ def _signed(doc: np.ndarray, h: np.ndarray, n_docs: int):
 
 
 def set_features(docs: DataFrame, shingle: int, with_tokens: bool) -> DataFrame:
-    """``(doc_id, n_shingles, key)`` and, if asked for, ``tokens``; key is null for an empty set."""
+    """``(doc_id, text_key, n_shingles, key)`` and, if asked for, ``tokens``; key is null for an empty set."""
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for s in W.slices(batch.column("text"), lower=True):
                 doc, h = distinct_shingles(s, shingle)
                 n, has, at, key = _signed(doc, h, s.n_docs)
                 empty = n == 0
-                out = [batch.column("doc_id").slice(s.first_doc, s.n_docs), pa.array(n.astype(np.int64)), pa.array(key.view(np.int64), mask=empty)]
+                out = [batch.column(c).slice(s.first_doc, s.n_docs) for c in ("doc_id", "text_key")] + [pa.array(n.astype(np.int64)), pa.array(key.view(np.int64), mask=empty)]
                 if with_tokens:
                     tokens = np.zeros((s.n_docs, MINHASHES), np.uint32)
                     for k in range(MINHASHES if len(has) else 0):
                         tokens[has, k] = np.minimum.reduceat((h * _MULTIPLY[k] + _ADD[k]) >> np.uint64(32), at)
                     out.append(binary_rows(tokens))
-                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_shingles", "key", "tokens"][:len(out)])
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-            .mapInArrow(run, "doc_id long, n_shingles long, key long" + ", tokens binary" * with_tokens))
+                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "text_key", "n_shingles", "key", "tokens"][:len(out)])
+    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_key"))
+            .mapInArrow(run, "doc_id long, text_key long, n_shingles long, key long" + ", tokens binary" * with_tokens))
 
 
 def _mark(doc_id: str):
@@ -313,10 +313,11 @@ def tree_pairs(classes: DataFrame, linked: DataFrame, percent: int) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs``.
+    """``(doc_id, n_shingles, component_id, kept, component, text_key)``, one row per row of ``docs``.
 
     Texts are lower-cased (A-Z); a set holds the distinct shingles of ``shingle`` words, or the whole sequence when
-    there are fewer words.  component_id is the smallest doc_id reachable over links, kept is doc_id = component_id.
+    there are fewer words.  component is a key of the row's component, null for an empty set; text_key is xxhash64 of
+    the text.  component_id is the smallest doc_id reachable over links, kept is doc_id = component_id.
     Null text, empty text and text without words: empty set, linked with nothing, component_id = doc_id.  Rows that
     repeat a doc_id are judged each by its own text.  A null doc_id never names a component; a set that
     only such rows have is linked with nothing else, and its rows are kept.  Other columns are ignored; an empty table gives no rows.
@@ -328,7 +329,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     linked = components(edges).withColumnRenamed("node", "key")
     named = classes.select("key", "doc_id").join(linked, "key", "left").select("key", "doc_id", F.coalesce("component", "key").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    of_class = named.select("key", "comp").join(smallest, "comp").select("key", "component_id")
+    of_class = named.join(smallest, "comp").select("key", "comp", "component_id")
     out = set_features(docs, shingle, False).join(of_class, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
+                      F.col("comp").alias("component"), "text_key")

@@ -77,7 +77,7 @@ def counts(docs: DataFrame) -> DataFrame:
     bare = F.translate(text, SPACES, "")
     none = F.lit(None).cast("string")
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
         (F.col("lang").cast("string") if "lang" in docs.columns else none).alias("lang"),
         (F.col("source").cast("string") if "source" in docs.columns else none).alias("source"),
         both.alias("w"), F.length(bare).cast("long").alias("word_chars"), _count_of(SYMBOLS, text).cast("long").alias("n_symbols"),
@@ -89,7 +89,7 @@ def statistics(counted: DataFrame) -> DataFrame:
     n, chars = F.greatest("w.n_words", F.lit(1)), F.greatest("word_chars", F.lit(1))
     base = (F.col("w.n_words") < 50) | (100 * F.col("w.n_repeat_words") > 50 * F.col("w.n_words"))
     return counted.select(
-        "doc_id", "lang", "source", F.col("w.n_words").alias("n_words"), "word_chars", "n_symbols", F.col("d.n").alias("n_dup_lines"),
+        "doc_id", "text_key", "lang", "source", F.col("w.n_words").alias("n_words"), "word_chars", "n_symbols", F.col("d.n").alias("n_dup_lines"),
         F.col("w.n_repeat_words").alias("n_repeat_words"), base.alias("base_failed"),
         F.log(chars / n).alias("length"), F.log1p(100 * F.col("n_symbols") / chars).alias("symbols"),
         F.sqrt(F.col("d.n") / F.greatest("d.lines", F.lit(1))).alias("dup_lines"), F.sqrt(F.col("w.n_repeat_words") / n).alias("repeats"),
@@ -193,9 +193,9 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP, cutoff: float = CUTOFF) -> DataFrame:
-    """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance)``.
+    """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance, text_key)``.
 
-    One row per row of ``docs``, repeated rows included; distance is the squared Mahalanobis distance over the
+    One row per row of ``docs``, repeated rows included; text_key is xxhash64 of the text; distance is the squared Mahalanobis distance over the
     group's factor, null for rows that failed the base rules (under 50 words, or over half of them in repeated
     three-word windows) and for rows of pools under ``min_group`` rows, which are kept.  Null and empty texts have no
     words and fail.  A null or missing lang or source is a group of its own.  An empty table gives no rows.
@@ -208,4 +208,4 @@ def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP, cutoff: float = C
     distance = F.when(~F.col("base_failed"), _distance() / F.col("factor"))
     out = judged.withColumn("distance", distance)
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance")
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "distance", "text_key")

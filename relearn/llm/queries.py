@@ -35,7 +35,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(documents(spark, sf_dir), shingle=4, percent=80)
+    return near_duplicates(documents(spark, sf_dir), shingle=4, percent=80).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 @register
@@ -46,7 +46,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(documents(spark, sf_dir))
+    return quality_rules(documents(spark, sf_dir)).drop("text_key")
 
 
 @register

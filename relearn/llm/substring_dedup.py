@@ -109,7 +109,11 @@ def located_windows(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "window long, doc_id long")
 
 
-def _without(docs: DataFrame, window: int, schema: T.StructType) -> DataFrame:
+def _raw(text: pa.StringScalar) -> bytes:
+    return text.as_buffer().to_pybytes() if text.is_valid else b""
+
+
+def _without(docs: DataFrame, window: int, schema: T.StructType, original: bool) -> DataFrame:
     """Words and text of each document after dropping the words under the windows listed in ``repeats``."""
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -132,7 +136,7 @@ def _without(docs: DataFrame, window: int, schema: T.StructType) -> DataFrame:
                         covered = np.cumsum(edge[:-1]) > 0
                         gone[d] = covered.sum()
                         words = [words[i] for i in np.flatnonzero(~covered)]
-                    texts.append(b" ".join(words))
+                    texts.append(b" ".join(words) if gone[d] or not original else _raw(batch.column("text")[s.first_doc + d]))
                 rows = slice(s.first_doc, s.first_doc + s.n_docs)
                 out = batch.slice(rows.start, s.n_docs)
                 yield pa.RecordBatch.from_arrays(
@@ -141,10 +145,10 @@ def _without(docs: DataFrame, window: int, schema: T.StructType) -> DataFrame:
     return docs.select("doc_id", "text", "rest", "repeats").mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = WINDOW, original: bool = False) -> DataFrame:
     """``(doc_id, n_words, n_removed, text, rest)`` for every row: ``text`` holds the kept words, joined by one space.
 
-    ``rest`` is a struct of the other columns, whatever their names.  Words are runs of other characters than space
+    With ``original`` a text that loses nothing stays as it is.  ``rest`` is a struct of the other columns, whatever their names.  Words are runs of other characters than space
     and 0x09-0x0D, unchanged.  Windows are judged on the input, not on what is left, and only against smaller
     doc_ids: the first document keeps a passage, and rows that share a doc_id don't remove each other's words.
     Null, empty and short texts (fewer words than ``window``) lose nothing; null and empty texts give an empty text.
@@ -167,5 +171,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()),
                            T.StructField("text", T.StringType()), T.StructField("rest", rows.schema["rest"].dataType)])
     none = F.lit(None).cast("array<bigint>").alias("repeats")
-    return (_without(named.join(repeats, "doc_id", "left"), window, schema)
-            .unionByName(_without(rows.where("doc_id is null").select("*", none), window, schema)))
+    return (_without(named.join(repeats, "doc_id", "left"), window, schema, original)
+            .unionByName(_without(rows.where("doc_id is null").select("*", none), window, schema, original)))
