@@ -37,7 +37,7 @@ MINHASHES = 128
 #: Bits of the bitmap that marks the documents whose sets are wanted: 2 MB, whatever the input; more set bits let more rows through.
 MARK_BITS = 1 << 24
 TREES, STARS, STAR_DEPTH = 12, 8, 4
-LEAF, DEPTH, FAMILY = 200, 6, 300
+LEAF, DEPTH, FAMILY = 2000, 6, 300
 DEVIATIONS = 4.5
 
 _rng = np.random.Generator(np.random.PCG64(20240501))
