@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relearn.llm import lm, pieces, toxicity
+from relearn.llm import licences, lm, pieces, toxicity
 from relearn.llm.common import documents, fold
 from relearn.llm.decontaminate import decontaminate
 from relearn.llm.language import dictionaries, identify
@@ -78,3 +78,8 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     out = lm.score(docs, docs.where(fold("doc_id", 5) != 1))
     return out.select("doc_id", (fold("doc_id", 5) == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@register
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(documents(spark, sf_dir))
