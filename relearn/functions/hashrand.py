@@ -26,10 +26,15 @@ Two hash methods:
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TWO_POW_32 = 4294967296.0
+TWO_POW_60 = 1 << 60
+#: Stands for a null key, so (a, null, b) and (a, b, null) differ.
+NULL_KEY = "\x01"
 
 
 def _as_col(c) -> Column:
@@ -37,8 +42,8 @@ def _as_col(c) -> Column:
 
 
 def hash_key(seed: str, *keys) -> Column:
-    """``seed|k1|k2...`` as one string column (keys cast to string)."""
-    parts = [F.lit(str(seed))] + [_as_col(k).cast("string") for k in keys]
+    """``seed|k1|k2...`` as one string column (keys cast to string, null as ``NULL_KEY``)."""
+    parts = [F.lit(str(seed))] + [F.coalesce(_as_col(k).cast("string"), F.lit(NULL_KEY)) for k in keys]
     return F.concat_ws("|", *parts)
 
 
@@ -84,7 +89,26 @@ def _top32(seed: str, keys, method: str | None) -> Column:
     if m == "md5":
         return F.conv(F.substring(hash_digest(seed, *keys), 1, 8), 16, 10).cast("bigint")
     if m == "xxhash64":
-        return F.shiftrightunsigned(F.xxhash64(F.lit(str(seed)), *[_as_col(k) for k in keys]), 32)
+        return F.shiftrightunsigned(_xxhash(seed, keys), 32)
+    raise ValueError(f"unknown hash method {m!r}; use one of {HASH_METHODS}")
+
+
+def _xxhash(seed: str, keys) -> Column:
+    """xxhash64 of the typed keys; a null key also counts by its place (the hash function itself skips nulls)."""
+    cols = [_as_col(k) for k in keys]
+    places = F.concat(F.lit(""), *[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in cols])
+    return F.xxhash64(F.lit(str(seed)), *cols, places)
+
+
+def _top60(seed: str, keys, method: str | None) -> Column:
+    """A decimal(19,0) in [0, 2^60) fixed by (seed, keys)."""
+    if not keys:
+        raise ValueError("a hash index needs at least one key column")
+    m = method or _method
+    if m == "md5":
+        return F.conv(F.substring(hash_digest(seed, *keys), 1, 15), 16, 10).cast("decimal(19,0)")
+    if m == "xxhash64":
+        return F.shiftrightunsigned(_xxhash(seed, keys), 4).cast("decimal(19,0)")
     raise ValueError(f"unknown hash method {m!r}; use one of {HASH_METHODS}")
 
 
@@ -99,10 +123,10 @@ def hash_uniform(seed: str, *keys, method: str | None = None) -> Column:
 def hash_index(seed: str, n, *keys, method: str | None = None) -> Column:
     """``floor(U * n)`` in integer arithmetic: a uniform index in ``[0, n)``.
 
-    ``n`` may be a Python int or a bigint column.  Uses ``(top32 * n) >> 32`` so
-    no double rounding can push the index to ``n``.  Exact while ``n < 2^31``
-    (the product stays inside a signed 64-bit integer).
+    ``n`` may be a Python int or a bigint column.  One formula for every bigint
+    ``n``: 60 bits of the hash times ``n``, exactly in ``decimal(38,0)``, divided
+    by 2^60 as an integer, so no rounding can push the index to ``n``.
     """
-    top32 = _top32(seed, keys, method)
     n_col = n if isinstance(n, Column) else F.lit(int(n)).cast("bigint")
-    return F.shiftright(top32 * n_col, 32)
+    scaled = _top60(seed, keys, method) * n_col.cast("decimal(19,0)")
+    return F.call_function("div", scaled, F.lit(Decimal(TWO_POW_60)))

@@ -58,25 +58,30 @@ def _cell_counts(cells: DataFrame) -> list[int]:
     return [int(row[f"c{i}"]) for i in range(N_CELLS)]
 
 
+def cell_of(pos, counts: list[int]):
+    """The cell of a row position: cells take their counts of positions one after another."""
+    upto, expr = 0, None
+    for i, c in enumerate(counts[:-1]):
+        upto += c
+        cond = pos < F.lit(upto)
+        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
+    return expr.otherwise(F.lit(N_CELLS - 1))
+
+
 def resample_draws(spark: SparkSession, counts: list[int], iterations: int,
                    seed: str = "boot", num_partitions: int | None = None) -> DataFrame:
     """Step 2, ``draws``: (iteration, k0..k7) from B * n hashed row positions."""
     n = sum(counts)
     if n <= 0:
         raise ValueError("bootstrap needs at least one row")
-    if n >= 2 ** 31:
-        raise ValueError("draws method supports n < 2^31; use method='multinomial'")
     total = iterations * n
+    if total >= 2 ** 63:
+        raise ValueError(f"{iterations} resamples of {n} rows: their row numbers don't fit a bigint")
     # at least one task per core, at most DRAWS_PER_TASK draws per task; a
     # draw depends on its id only, so the split does not change the counts
     parts = num_partitions or max(spark.sparkContext.defaultParallelism, -(-total // DRAWS_PER_TASK))
     pos = hash_index(seed, n, F.col("id"))
-    cum, expr = 0, None
-    for i, c in enumerate(counts[:-1]):
-        cum += c
-        cond = F.col("pos") < F.lit(cum)
-        expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
-    cell = expr.otherwise(F.lit(N_CELLS - 1))
+    cell = cell_of(F.col("pos"), counts)
     draws = (spark.range(0, total, 1, parts)
              .select(F.expr(f"id div {n}").alias("iteration"), pos.alias("pos"))
              .select("iteration", cell.alias("cell")))

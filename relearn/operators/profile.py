@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,6 +45,11 @@ def first_rows(df: DataFrame, k: int, order_cols: Sequence[str]) -> DataFrame:
     return df.orderBy(*order_cols).limit(k)
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def null_counts(df: DataFrame, columns: Iterable[str] | None = None,
                 only_nonzero: bool = True) -> DataFrame:
     """Null count per column in one pass; by default only columns with nulls.
@@ -54,9 +59,9 @@ def null_counts(df: DataFrame, columns: Iterable[str] | None = None,
     cols = list(columns) if columns is not None else df.columns
     if not cols:
         raise ValueError("no columns to profile")
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
-    pairs = ", ".join(f"'{c}', c{i}" for i, c in enumerate(cols))
-    long = wide.selectExpr(f"stack({len(cols)}, {pairs}) AS (column_name, null_count)")
+    wide = df.agg(*[F.count_if(quoted(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("null_count")) for i, c in enumerate(cols)]
+    long = wide.select(F.inline(F.array(*rows)))
     return long.filter(F.col("null_count") > 0) if only_nonzero else long
 
 
@@ -68,7 +73,7 @@ def rows_and_nulls_by(df: DataFrame, group_col: str) -> DataFrame:
     """
     cols = [c for c in df.columns if c != group_col]
     return df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_rows"),
-                                     *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
+                                     *[F.count_if(quoted(c).isNull()).alias(c) for c in cols])
 
 
 def feature_columns(df: DataFrame, exclude: Iterable[str] = (), allow_boolean: bool = True) -> list[str]:

@@ -76,7 +76,7 @@ def next_versions(model_versions: DataFrame, candidates: DataFrame) -> DataFrame
 
 def run_metric_table(run_metrics: DataFrame, keys=("auc", "accuracy", "f1")) -> DataFrame:
     """Latest value of each metric key per run, one column per key."""
-    w = Window.partitionBy("run_id", "key").orderBy(F.col("ts").desc())
+    w = Window.partitionBy("run_id", "key").orderBy(F.col("ts").desc(), F.col("value").desc())
     latest = (run_metrics.filter(F.col("key").isin(list(keys)))
               .withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1))
     return latest.groupBy("run_id").agg(*[F.max(F.when(F.col("key") == k, F.col("value"))).alias(k)
@@ -95,39 +95,34 @@ def alias_metrics(aliases: DataFrame, model_versions: DataFrame, run_metrics: Da
 
 def promotion_decision(new_runs: DataFrame, champions: DataFrame,
                        metric: str = PROMOTION_METRIC) -> DataFrame:
-    """R7 + E12: champion when there is none or the new metric is strictly larger.
+    """R7 + E12: champion when there is none, when its metric is unknown, or the new metric is strictly larger.
 
     ``new_runs``: model, version, run_id, <metric>.  ``champions``: model,
     <metric> of the current champion.  Ties keep the old champion.
     """
-    best = champions.select("model", F.col(metric).alias("__best"), F.lit(True).alias("__has"))
+    best = champions.select("model", F.col(metric).alias("__best"))
     joined = new_runs.join(best, "model", "left")
-    promote = F.col("__has").isNull() | F.coalesce(F.col(metric) > F.col("__best"), F.lit(False))
+    promote = F.col("__best").isNull() | F.coalesce(F.col(metric) > F.col("__best"), F.lit(False))
     return (joined.withColumn("promoted", promote)
             .withColumn("alias", F.when(promote, F.lit(CHAMPION)).otherwise(F.lit(CHALLENGER)))
             .withColumn("gain_pct", relative_gain_pct(F.col(metric), F.col("__best")))
-            .withColumnRenamed("__best", f"champion_{metric}")
-            .drop("__has"))
+            .withColumnRenamed("__best", f"champion_{metric}"))
 
 
 def replay_promotions(runs: DataFrame, metric: str = PROMOTION_METRIC) -> DataFrame:
     """R3 + R7 over a whole history of runs, as one query.
 
     ``runs``: model, run_id, ts, <metric>, one row per training run in time
-    order.  Applying R7 run after run, a version is promoted iff it is the
-    first version of its model, or the first version's metric is defined and
-    its own metric is strictly larger than every earlier version's (the
-    champion always holds the running maximum).  The window spans one row per
-    run of a model.
+    order.  Applying R7 run after run, a version is promoted iff no earlier
+    version of its model has a metric, or its own is strictly larger than every
+    earlier one (the champion holds the running maximum as soon as there is
+    one).  The window spans one row per run of a model.
     """
     w_all = Window.partitionBy("model").orderBy("ts", "run_id")
     w_prev = w_all.rowsBetween(Window.unboundedPreceding, -1)
     numbered = runs.withColumn("version", F.row_number().over(w_all).cast("int"))
-    first_metric = F.first(F.col(metric)).over(w_all.rowsBetween(Window.unboundedPreceding,
-                                                                 Window.unboundedFollowing))
     best_before = F.max(F.col(metric)).over(w_prev)
-    promoted = ((F.col("version") == 1)
-                | (first_metric.isNotNull() & F.coalesce(F.col(metric) > best_before, F.lit(False))))
+    promoted = best_before.isNull() | F.coalesce(F.col(metric) > best_before, F.lit(False))
     return (numbered.withColumn(f"champion_{metric}", best_before)
             .withColumn("promoted", promoted)
             .withColumn("alias", F.when(F.col("promoted"), F.lit(CHAMPION)).otherwise(F.lit(CHALLENGER)))
@@ -145,7 +140,7 @@ def stage_alias(stage_col) -> "F.Column":
 
 def current_descriptions(model_versions: DataFrame, description_events: DataFrame) -> DataFrame:
     """Description of each version: its latest update, else the one it was registered with."""
-    w = Window.partitionBy("model", "version").orderBy(F.col("ts").desc())
+    w = Window.partitionBy("model", "version").orderBy(F.col("ts").desc(), F.col("description").desc())
     latest = (description_events.withColumn("__rn", F.row_number().over(w))
               .filter(F.col("__rn") == 1).select("model", "version", F.col("description").alias("__upd")))
     return (model_versions.join(latest, ["model", "version"], "left")

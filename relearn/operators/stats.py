@@ -25,10 +25,12 @@ def compare_scores(scores: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS,
                    candidate: str = "candidate", model_col: str = "model") -> DataFrame:
     """One row per metric with t, p, d, significance, means, improvement.
 
-    Zero pooled variance gives NULL t, p and d, and ``is_significant = false``.
+    Zero pooled variance with different means gives t = +-infinity, p = 0 and
+    ``is_significant = true``; with equal means NULL t and p and ``false``.  d is
+    NULL in both cases.
     """
-    pairs = ", ".join(f"'{m}', CAST({m} AS DOUBLE)" for m in metrics)
-    long = scores.selectExpr(model_col, f"stack({len(metrics)}, {pairs}) AS (metric, value)")
+    rows = [F.struct(F.lit(m).alias("metric"), F.col(f"`{m}`").cast("double").alias("value")) for m in metrics]
+    long = scores.select(model_col, F.inline(F.array(*rows)))
 
     def stat(fn, model):
         return fn(F.when(F.col(model_col) == model, F.col("value")))
@@ -42,13 +44,16 @@ def compare_scores(scores: DataFrame, metrics: Sequence[str] = DEFAULT_METRICS,
     vb, vc = F.col("var_base"), F.col("var_candidate")
     pooled = F.try_divide((nb - 1) * vb + (nc - 1) * vc, nb + nc - 2)
     se = F.sqrt(pooled * (1 / nb + 1 / nc))
-    t = _div(F.col("base_mean") - F.col("candidate_mean"), se)
+    diff = F.col("base_mean") - F.col("candidate_mean")
+    t = (F.when(se > 0, diff / se).when((se == 0) & (diff > 0), F.lit(float("inf")))
+         .when((se == 0) & (diff < 0), F.lit(float("-inf"))))
     d = _div(F.abs(F.col("candidate_mean") - F.col("base_mean")), F.sqrt((vb + vc) / 2))
     # t is a column before the p-value reads it: the series then refers to
     # one attribute instead of repeating the whole t expression.
     with_t = agg.select("*", t.alias("t_statistic"), d.alias("effect_size"),
                         (F.col("n_base") + F.col("n_candidate") - 2).alias("__dof"))
-    p = t_two_sided_p(F.col("t_statistic"), F.col("__dof"))
+    infinite = F.abs(F.col("t_statistic")) == F.lit(float("inf"))
+    p = F.when(infinite, F.lit(0.0)).otherwise(t_two_sided_p(F.col("t_statistic"), F.col("__dof")))
     return with_t.select(
         "metric",
         "t_statistic",

@@ -1,9 +1,8 @@
 """Model pipelines, folds, grids and cross-validation.
 
 Everything here is ``pyspark.ml``: trees are grown by MLlib's distributed
-histogram aggregation, and the fold assignment is a deterministic column so
-cross-validation does not depend on partitioning (``CrossValidator`` with
-``foldCol``).  Stratified folds rank rows per label with the range-partitioned
+histogram aggregation, and both the fold assignment and the layout of the
+cached training set follow from the row key, so a fit depends on the rows only.  Stratified folds rank rows per label with the range-partitioned
 rank of ``relearn.operators.ordered`` instead of a window over each class.
 """
 
@@ -11,6 +10,8 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -18,7 +19,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
                                    MulticlassClassificationEvaluator)
 from pyspark.ml.feature import CountVectorizer, SQLTransformer, StandardScaler, VectorAssembler
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,27 +93,25 @@ def f1_class1_evaluator(label: str) -> MulticlassClassificationEvaluator:
                                              metricName="fMeasureByLabel", metricLabel=1.0)
 
 
-def cache_for_fitting(df: DataFrame, key_names: Sequence[str],
+#: Partitions of a cached training set.  Part of the model's definition, like the seed: MLlib seeds bagging and split
+#: sampling per partition.  Raise it for sets whose partitions would not fit a task's memory.
+FIT_PARTITIONS = 16
+
+
+def cache_for_fitting(df: DataFrame, key_names: Sequence[str], partitions: int = FIT_PARTITIONS,
                       level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
-    """Cache a training set, spread over the cluster's cores; returns the cached frame.
+    """Cache a training set, laid out by a hash of the row key; returns the cached frame.
 
     Tree growing scans the cached set once per level and fit, so its layout
-    matters more than one shuffle.  The set is cached as it comes and its
-    partition count read from the cache (no extra planning or job).  With at
-    least as many partitions as cores that copy is used; with fewer (few
-    large files or row groups, or a small join coalesced by AQE) the cached
-    rows are hash-partitioned by the row key, which places each row the same
-    way when a lost partition is recomputed.  The caller unpersists.
+    matters more than one shuffle.  Rows go to ``partitions`` partitions by the
+    key and are sorted by it within each, so the same rows and seed give the
+    same trees however the input is stored, and a recomputed partition is the
+    same.  The caller selects the needed columns first and unpersists.
     """
-    cached = df.persist(level)
+    keys = [F.col(c) for c in key_names]
+    cached = df.repartition(partitions, *keys).sortWithinPartitions(*keys).persist(level)
     cached.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if cached.rdd.getNumPartitions() >= cores:
-        return cached
-    spread = cached.repartition(cores, *[F.col(c) for c in key_names]).persist(level)
-    spread.count()
-    cached.unpersist()
-    return spread
+    return cached
 
 
 def add_folds(df: DataFrame, k: int, seed: str, key_names: Sequence[str], label: str | None = None,
@@ -133,26 +132,53 @@ def add_folds(df: DataFrame, k: int, seed: str, key_names: Sequence[str], label:
     return ranked.withColumn(col, F.pmod(F.col("__r"), F.lit(k)).cast("int")).drop("__u", "__r")
 
 
+@dataclass
+class CVResult:
+    """Mean and spread of the metric over the folds for each grid point, and the best one refitted on all rows."""
+    grid: list[dict]
+    avg_metrics: list[float]
+    std_metrics: list[float]
+    best_index: int
+    best_model: PipelineModel
+
+
 def cross_validate(pipeline: Pipeline, grid: list[dict], evaluator, train: DataFrame,
-                   folds: int, fold_col: str = "fold", parallelism: int = 4, seed: int = SEED,
-                   collect_sub_models: bool = False) -> CrossValidatorModel:
+                   folds: int, fold_col: str = "fold", parallelism: int = 4) -> CVResult:
     """M5: k-fold CV over ``grid`` with precomputed folds ``[0, folds)``; refit on all rows.
 
-    The caller persists ``train`` (it is read once per fit).
+    The grid sets parameters of the last stage only, so the feature stages are
+    fitted once per fold and its transformed rows (label and features) are
+    cached while the grid points are fitted, ``parallelism`` at a time.  The
+    caller persists ``train``.
     """
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=grid, evaluator=evaluator,
-                        numFolds=folds, foldCol=fold_col, parallelism=parallelism, seed=seed,
-                        collectSubModels=collect_sub_models)
-    return cv.fit(train)
-
-
-def cv_table(spark: SparkSession, cv_model: CrossValidatorModel, metric: str = "avg_metric") -> DataFrame:
+    stages = pipeline.getStages()
+    estimator = stages[-1]
+    label, features = estimator.getLabelCol(), estimator.getFeaturesCol()
+    scores: list[list[float]] = [[] for _ in grid]
+    for k in range(folds):
+        fitted, held = train.filter(F.col(fold_col) != k), train.filter(F.col(fold_col) == k)
+        prepare = Pipeline(stages=stages[:-1]).fit(fitted)
+        parts = [prepare.transform(p).select(label, features).persist(StorageLevel.MEMORY_AND_DISK) for p in (fitted, held)]
+        try:
+            def one(params, parts=parts):
+                return evaluator.evaluate(estimator.copy(params).fit(parts[0]).transform(parts[1]))
+            with ThreadPool(min(parallelism, len(grid))) as pool:
+                for i, value in enumerate(pool.map(one, grid)):
+                    scores[i].append(float(value))
+        finally:
+            for p in parts:
+                p.unpersist()
+    means = [sum(s) / len(s) for s in scores]
+    spread = [(sum((x - m) ** 2 for x in s) / len(s)) ** 0.5 for s, m in zip(scores, means)]
+    best = (max if evaluator.isLargerBetter() else min)(range(len(grid)), key=lambda i: means[i])
+    model = Pipeline(stages=[*stages[:-1], estimator.copy(grid[best])]).fit(train)
+    return CVResult(grid, means, spread, best, model)
+
+
+def cv_table(spark: SparkSession, result: CVResult, metric: str = "avg_metric") -> DataFrame:
     """M5/M8: one row per grid point with its mean and spread over the folds."""
-    rows = []
-    for i, (pm, avg) in enumerate(zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics)):
-        std = cv_model.stdMetrics[i] if cv_model.stdMetrics else None
-        params = {p.name: str(v) for p, v in pm.items()}
-        rows.append((i, params, float(avg), None if std is None else float(std)))
+    rows = [(i, {p.name: str(v) for p, v in params.items()}, mean, std)
+            for i, (params, mean, std) in enumerate(zip(result.grid, result.avg_metrics, result.std_metrics))]
     return spark.createDataFrame(rows, f"grid_id int, params map<string,string>, {metric} double, "
                                        f"std_metric double")
 
@@ -175,6 +201,10 @@ def score(model: PipelineModel, df: DataFrame, score_col: str = "score") -> Data
 
 # -- text: character counts and the URL classifier (M9, M10) ----------------------
 
+#: Every code point there can be: no character is left out of a vocabulary.
+CODE_POINTS = 0x110000
+
+
 def char_tokens_sql(text_col: str) -> str:
     """SQL for M9 tokens: lower-case, runs of 2+ blanks folded to one, split in characters."""
     return (f"filter(split(regexp_replace(lower({text_col}), '\\\\s\\\\s+', ' '), ''), "
@@ -190,7 +220,7 @@ def text_pipeline(text_col: str, label: str, num_trees: int = URL_NUM_TREES,
                   max_depth: int = URL_MAX_DEPTH, seed: int = SEED, **forest_params) -> Pipeline:
     """Character 1-gram counts -> forest (35 trees, depth 9)."""
     tok = SQLTransformer(statement=f"SELECT *, {char_tokens_sql(text_col)} AS chars FROM __THIS__")
-    cv = CountVectorizer(inputCol="chars", outputCol="features", minDF=1.0)
+    cv = CountVectorizer(inputCol="chars", outputCol="features", minDF=1.0, vocabSize=CODE_POINTS)
     return Pipeline(stages=[tok, cv, forest(label, "features", num_trees, max_depth, seed, **forest_params)])
 
 

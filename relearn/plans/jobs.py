@@ -30,12 +30,10 @@ from relearn.operators import (abtest, bootstrap, metrics, profile, sampling, st
                                training)
 from relearn.operators.registry import Registry
 from relearn.sources import files
-from relearn.sources.tables import load_data
+from relearn.sources.tables import DEFAULT_SPLIT, load_data
 
 log = logging.getLogger("relearn")
 
-DEFAULT_SPLIT = (0.005, 0.0001)
-
 
 @dataclass
 class TrainResult:
@@ -52,21 +50,22 @@ class TrainResult:
 def train_with_cv(train: DataFrame, test: DataFrame, label: str, exclude: Sequence[str],
                   key_cols: Sequence[str], folds: int = training.CV_FOLDS, parallelism: int = 4,
                   model_type: str = "rf", handle_invalid: str = "error",
-                  fold_seed: str = "fold") -> TrainResult:
+                  fold_seed: str = "fold", partitions: int = training.FIT_PARTITIONS) -> TrainResult:
     """M1-M8: feature selection, 2 x 2 grid, k hash folds on AUC, refit, test metrics."""
     spark = train.sparkSession
     feats = profile.feature_columns(train, exclude)
     pipe = training.numeric_pipeline(feats, label, model_type, handle_invalid)
     grid = training.forest_grid(pipe.getStages()[-1])
-    folded = training.cache_for_fitting(training.add_folds(train, folds, fold_seed, key_cols), key_cols)
+    needed = list(dict.fromkeys([*key_cols, label, *feats]))
+    folded = training.cache_for_fitting(training.add_folds(train.select(*needed), folds, fold_seed, key_cols), key_cols, partitions)
     try:
         cvm = training.cross_validate(pipe, grid, training.auc_evaluator(label), folded, folds,
                                       parallelism=parallelism)
     finally:
         folded.unpersist()
-    best_model = cvm.bestModel
+    best_model = cvm.best_model
     best = training.best_params(best_model)
-    cv_auc = float(max(cvm.avgMetrics))
+    cv_auc = cvm.avg_metrics[cvm.best_index]
     scored = training.score(best_model, test).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         m = metrics.score_metrics(scored, label, "score", "prediction").first().asDict()
@@ -82,13 +81,14 @@ def train_with_cv(train: DataFrame, test: DataFrame, label: str, exclude: Sequen
     return TrainResult(best_model, feats, best, cv_auc, values, summary, training.cv_table(spark, cvm, "avg_auc"))
 
 
-def _key_columns(df: DataFrame, label: str, timestamp: str, key_cols: Sequence[str] | None) -> list[str]:
+def _key_columns(df: DataFrame, label: str, key_cols: Sequence[str] | None) -> tuple[list[str], list[str]]:
+    """Columns that the row hashes read, and those of them that name a row and so aren't features."""
     if key_cols:
-        return list(key_cols)
+        return list(key_cols), list(key_cols)
     if "transaction_id" in df.columns:
-        return ["transaction_id"]
-    # no declared key: hash every column except the label (duplicates share a split)
-    return [c for c in df.columns if c != label]
+        return ["transaction_id"], ["transaction_id"]
+    # no declared key: hash every column except the label (equal rows share a split); all of them may be features
+    return [c for c in df.columns if c != label], []
 
 
 def run_training(spark: SparkSession, input_path: str, output_path: str, registry_root: str,
@@ -98,14 +98,16 @@ def run_training(spark: SparkSession, input_path: str, output_path: str, registr
                  label: str = "tx_fraud", timestamp: str = "tx_timestamp",
                  key_cols: Sequence[str] | None = None, exclude: Sequence[str] = (),
                  split_weights: Sequence[float] = DEFAULT_SPLIT, sample_fraction: float | None = None,
-                 require_ab_win: bool = False, parallelism: int = 4,
-                 input_df: DataFrame | None = None) -> dict:
+                 require_ab_win: bool = False, parallelism: int = 4, handle_invalid: str = "error",
+                 partitions: int = training.FIT_PARTITIONS, input_df: DataFrame | None = None) -> dict:
     """Train, evaluate, save, A/B and promote, as the reference's training job.
 
     ``split_weights`` are normalised (the reference's 0.005 : 0.0001 keeps all
     rows, 98 % / 2 %); ``sample_fraction`` subsamples first.  Promotion follows
     the reference: by test AUC against the champion's stored AUC, whatever the
-    A/B winner, unless ``require_ab_win``.
+    A/B winner, unless ``require_ab_win``.  ``handle_invalid`` is the null policy
+    of the features ("error", "skip" or "keep"), ``partitions`` the layout of the
+    cached training set (logged: the trees depend on it).
     """
     if model_type not in training.MODEL_TYPES:
         raise ValueError(f"model_type {model_type!r} is not supported")
@@ -114,7 +116,7 @@ def run_training(spark: SparkSession, input_path: str, output_path: str, registr
     model_name = f"{experiment}_model"
 
     df = input_df if input_df is not None else load_data(spark, input_path)
-    keys = _key_columns(df, label, timestamp, key_cols)
+    keys, not_features = _key_columns(df, label, key_cols)
     key = [F.col(c) for c in keys]
     if sample_fraction is not None:
         df = sampling.sample_rows(df, sample_fraction, "sample", key)
@@ -141,10 +143,11 @@ def run_training(spark: SparkSession, input_path: str, output_path: str, registr
         name = run_name or f"fraud_detection_{model_type}_{os.path.basename(input_path.rstrip('/'))}"
         run_id = reg.start_run(experiment, name)
         reg.log_params(run_id, {"numTrees_options": list(training.GRID_NUM_TREES),
-                                "maxDepth_options": list(training.GRID_MAX_DEPTH)})
-        exclude_all = [label, timestamp, *keys, *exclude]
+                                "maxDepth_options": list(training.GRID_MAX_DEPTH),
+                                "fit_partitions": partitions})
+        exclude_all = [label, timestamp, *not_features, *exclude]
         result = train_with_cv(train, test, label, exclude_all, keys, parallelism=parallelism,
-                               model_type=model_type)
+                               model_type=model_type, handle_invalid=handle_invalid, partitions=partitions)
         reg.log_metrics(run_id, {k: result.metrics[k] for k in ("auc", "accuracy", "f1")})
         reg.log_params(run_id, {"best_numTrees": result.best["numTrees"],
                                 "best_maxDepth": result.best["maxDepth"]})
@@ -156,9 +159,11 @@ def run_training(spark: SparkSession, input_path: str, output_path: str, registr
             scored = abtest.score_by_arm(arms, champion, result.model, keep=[label])
             compared = abtest.compare_arms(abtest.arm_metrics(scored, label)).persist()
             ab_run = reg.start_run(experiment, f"ab_test_{_dt.datetime.now():%Y%m%d_%H%M%S}")
-            reg.log_params(ab_run, {"ab_traffic_split": ab_traffic_split})
-            reg.log_metrics(ab_run, abtest.metric_rows(compared, ab_run))
             record = abtest.result_record(compared, ab_traffic_split)
+            told = record.select("timestamp", "winner", "improvement_message").first()
+            reg.log_params(ab_run, {"ab_traffic_split": ab_traffic_split, "ab_test_timestamp": told[0], "winner": told[1],
+                                    "improvement_message": told[2]})
+            reg.log_metrics(ab_run, abtest.metric_rows(compared, ab_run))
             files.write_json(record, output_path.rstrip("/") + "_ab_test_results")
             ab = compared.first().asDict()
             compared.unpersist()
@@ -184,16 +189,16 @@ def random_search(train: DataFrame, text_col: str, label: str, key_cols: Sequenc
     rf = pipe.getStages()[-1]
     candidates = training.draw_candidates(training.search_grid(spark), n_iter, seed)
     maps = training.param_maps(rf, candidates)
-    folded = training.cache_for_fitting(training.add_folds(train, folds, "fold", key_cols, label=label),
+    needed = list(dict.fromkeys([*key_cols, label, text_col]))
+    folded = training.cache_for_fitting(training.add_folds(train.select(*needed), folds, "fold", key_cols, label=label),
                                         key_cols)
     try:
         cvm = training.cross_validate(pipe, maps, training.f1_class1_evaluator(label), folded, folds,
                                       parallelism=parallelism)
     finally:
         folded.unpersist()
-    best_i = max(range(len(cvm.avgMetrics)), key=lambda i: cvm.avgMetrics[i])
-    best = {p.name: v for p, v in maps[best_i].items()}
-    return cvm.bestModel, best, float(cvm.avgMetrics[best_i])
+    best = {p.name: v for p, v in maps[cvm.best_index].items()}
+    return cvm.best_model, best, cvm.avg_metrics[cvm.best_index]
 
 
 def predict_both(df: DataFrame, champion: PipelineModel, candidate: PipelineModel,
@@ -231,7 +236,7 @@ def run_ab_test(spark: SparkSession, data: DataFrame, registry_root: str, text_c
 
     row = reg.resolve(model_name)
     if row is None:
-        log.warning("no champion for %s; train one first", model_name)
+        log.warning("model %s has no champion version: nothing to compare with", model_name)
         return None
     champion = files.load_model(row["path"])
     candidate, best, cv_f1 = random_search(train, text_col, label, list(key_cols), n_iter, cv, parallelism)
@@ -255,13 +260,13 @@ def run_ab_test(spark: SparkSession, data: DataFrame, registry_root: str, text_c
     run_id = reg.start_run("url_classification", f"{model_name}_candidate")
     reg.log_metrics(run_id, {"precision": cand["precision"], "recall": cand["recall"],
                              "f1_score": cand["f1_binary"], "auc": cand["auc_label"]})
-    description = f"Optimised model (CV F1: {cv_f1:.4f}). Parameters: {best}"
+    description = f"Random search, F1 over the folds {cv_f1:.4f}, parameters {best}"
     version = reg.register_version(model_name, run_id, path, description)
     deployed = bool(decision["should_deploy"]) and auto_deploy
     if deployed:
         f1_gain = next(r["improvement"] for r in comparison_rows if r["metric"] == "f1")
         reg.set_alias(model_name, version, "champion",
-                      f"Deployed automatically after A/B test. F1 improvement: {f1_gain:+.4f}")
+                      f"Champion since its paired bootstrap test, F1 change {f1_gain:+.4f}")
     return {"should_deploy": bool(decision["should_deploy"]), "deployed": deployed, "version": version,
             "best_params": best, "cv_f1": cv_f1, "metrics": model_metrics, "comparison": comparison_rows,
             "unsupported_search": training.UNSUPPORTED_SEARCH}

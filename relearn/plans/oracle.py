@@ -26,7 +26,7 @@ def dbl(x: float) -> str:
 
 def U(seed: str, keys: str) -> str:
     """Hash uniform: first 32 bits of md5('seed|k1|k2..') / 2^32."""
-    cast_keys = ", ".join(f"CAST({k.strip()} AS VARCHAR)" for k in _split_keys(keys))
+    cast_keys = ", ".join(f"coalesce(CAST({k.strip()} AS VARCHAR), chr(1))" for k in _split_keys(keys))
     return (f"(CAST(('0x' || substr(md5(concat_ws('|', '{seed}', {cast_keys})), 1, 8)) AS BIGINT)"
             f" / 4294967296.0)")
 
@@ -277,8 +277,8 @@ SELECT CAST(iteration AS BIGINT) AS iteration,
        {', '.join(f'CAST(count_if(cell = {i}) AS BIGINT) AS k{i}' for i in range(8))}
 FROM (SELECT id // n AS iteration, {BOOT_CASE} AS cell
       FROM (SELECT t.id, q.*,
-                   (CAST(('0x' || substr(md5(concat_ws('|', '{Q.BOOT_SEED}', CAST(t.id AS VARCHAR))), 1, 8))
-                         AS BIGINT) * n) >> 32 AS pos
+                   CAST(CAST(('0x' || substr(md5(concat_ws('|', '{Q.BOOT_SEED}', CAST(t.id AS VARCHAR))), 1, 15))
+                             AS BIGINT)::HUGEINT * n // 1152921504606846976 AS BIGINT) AS pos
             FROM (SELECT c0 + c1 + c2 + c3 + c4 + c5 + c6 + c7 AS n,
                          {', '.join(f'{e} AS q{i}' for i, e in enumerate(_cum))}
                   FROM ({CELLS_SQL})) q,
@@ -326,9 +326,12 @@ def ttest_sql(scores: str, metrics, alpha: float) -> str:
 SELECT metric, t AS t_statistic, p AS p_value, d AS effect_size,
        coalesce(p < {dbl(alpha)}, false) AS is_significant,
        base_mean, candidate_mean, candidate_mean - base_mean AS improvement
-FROM (SELECT *, CASE WHEN t IS NULL THEN NULL ELSE {p_even_sql('t', 'n_base + n_candidate - 2')} END AS p
+FROM (SELECT *, CASE WHEN t IS NULL THEN NULL WHEN isinf(t) THEN 0.0
+                     ELSE {p_even_sql('t', 'n_base + n_candidate - 2')} END AS p
       FROM (SELECT *,
-                   CASE WHEN se > 0 THEN (base_mean - candidate_mean) / se END AS t,
+                   CASE WHEN se > 0 THEN (base_mean - candidate_mean) / se
+                        WHEN se = 0 AND base_mean > candidate_mean THEN CAST('inf' AS DOUBLE)
+                        WHEN se = 0 AND base_mean < candidate_mean THEN CAST('-inf' AS DOUBLE) END AS t,
                    CASE WHEN sqrt((var_base + var_candidate) / 2) > 0
                         THEN abs(candidate_mean - base_mean) / sqrt((var_base + var_candidate) / 2) END AS d
             FROM (SELECT *, sqrt(((n_base - 1) * var_base + (n_candidate - 1) * var_candidate)
@@ -368,12 +371,10 @@ FROM ({score_metrics_sql(f'''SELECT strftime(tx_timestamp, '%Y-%m') AS month, tx
 
 REPLAY_SQL = f"""
 SELECT run_id, CAST(version AS INTEGER) AS version, auc, accuracy, f1, champion_auc,
-       (version = 1 OR (first_auc IS NOT NULL AND coalesce(auc > champion_auc, false))) AS promoted,
+       (champion_auc IS NULL OR coalesce(auc > champion_auc, false)) AS promoted,
        (auc - champion_auc) / nullif(champion_auc, 0) * 100 AS gain_pct
 FROM (SELECT *, row_number() OVER (ORDER BY month, run_id) AS version,
-             max(auc) OVER (ORDER BY month, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS champion_auc,
-             first_value(auc) OVER (ORDER BY month, run_id ROWS BETWEEN UNBOUNDED PRECEDING
-                                    AND UNBOUNDED FOLLOWING) AS first_auc
+             max(auc) OVER (ORDER BY month, run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS champion_auc
       FROM ({MONTH_RUNS_SQL}))"""
 
 TRAIN_SQL = f"SELECT * FROM ({SPLIT_SQL}) WHERE split = 'train'"
@@ -415,76 +416,6 @@ FROM (SELECT *, CASE WHEN promoted THEN 'champion' ELSE 'challenger' END AS alia
 WHERE rn = 1""")
 
 
-# -- synthetic transactions ----------------------------------------------------------
-
-def _su(purpose: str) -> str:
-    """Generator uniform: a 32-bit lane of md5('seed|digest|id')."""
-    from relearn.operators import synth
-    digest, lane = synth.UNIFORM_LANES[purpose]
-    hexd = f"md5(concat_ws('|', '{synth.SEED}|{digest}', CAST(id AS VARCHAR)))"
-    return f"(CAST(('0x' || substr({hexd}, {8 * lane + 1}, 8)) AS BIGINT) / 4294967296.0)"
-
-
-def _cls(pair) -> str:
-    return f"(CASE WHEN fraud = 1 THEN {dbl(pair[1])} ELSE {dbl(pair[0])} END)"
-
-
-def _norm(purpose: str) -> str:
-    return (f"(sqrt({dbl(-2.0)} * ln({dbl(1.0)} - {_su(purpose + '_a')})) "
-            f"* cos({dbl(6.283185307179586)} * {_su(purpose + '_b')}))")
-
-
-def _demo_sql() -> str:
-    from relearn.operators import synth as S
-    bern = lambda p, pair: f"CAST({_su(p)} < {_cls(pair)} AS INTEGER)"
-    mu, sg = (tuple(p[i] for p in S.AMOUNT_LOGNORMAL) for i in (0, 1))
-    lo, sc = (tuple(p[i] for p in S.RATIO_NORMAL) for i in (0, 1))
-    raw = f"""
-SELECT id, fraud,
-       exp({_cls(mu)} + {_cls(sg)} * {_norm('amount')}) AS amount,
-       CAST(floor({_su('hour')} * 24) AS INTEGER) AS hour_of_day,
-       CAST(floor({_su('weekday')} * 7) AS INTEGER) AS day_of_week,
-       -{_cls(S.DISTANCE_HOME_SCALE)} * ln({dbl(1.0)} - {_su('home')}) AS distance_from_home,
-       -{_cls(S.DISTANCE_LAST_SCALE)} * ln({dbl(1.0)} - {_su('last')}) AS distance_from_last_transaction,
-       {_cls(lo)} + {_cls(sc)} * {_norm('ratio')} AS ratio_to_median_purchase_price,
-       {bern('repeat', S.P_REPEAT_RETAILER)} AS repeat_retailer,
-       {bern('chip', S.P_USED_CHIP)} AS used_chip,
-       {bern('pin', S.P_USED_PIN)} AS used_pin_number,
-       {bern('online', S.P_ONLINE)} AS online_order,
-       CAST(floor({_su('minutes')} * {S.MAX_MINUTES - 1}) + 1 AS INTEGER) AS minutes_ago,
-       {_su('shuffle')} AS shuffle
-FROM (SELECT t.id, CASE WHEN t.id >= c.n_normal THEN 1 ELSE 0 END AS fraud
-      FROM (SELECT n, CAST(floor(CAST(n AS DOUBLE) * ({dbl(1.0)} - {dbl(S.FRAUD_RATE)})) AS BIGINT) AS n_normal
-            FROM (SELECT count(*) AS n FROM lineitem)) c,
-           range(0, c.n) t(id))"""
-    return f"""
-SELECT printf('tx_%08d', row_number() OVER (ORDER BY shuffle, id) - 1) AS transaction_id,
-       TIMESTAMP '{Q.DEMO_AS_OF}' - to_minutes(minutes_ago) AS timestamp,
-       amount, hour_of_day, day_of_week, distance_from_home, distance_from_last_transaction,
-       ratio_to_median_purchase_price, repeat_retailer, used_chip, used_pin_number, online_order, fraud
-FROM ({raw})"""
-
-
-DEMO_SQL = _demo_sql()
-
-register("demo_transactions", f"""
-SELECT transaction_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS timestamp, {r6('amount')} AS amount,
-       hour_of_day, day_of_week, {r6('distance_from_home')} AS distance_from_home,
-       {r6('distance_from_last_transaction')} AS distance_from_last_transaction,
-       {r6('ratio_to_median_purchase_price')} AS ratio_to_median_purchase_price,
-       repeat_retailer, used_chip, used_pin_number, online_order, fraud
-FROM ({DEMO_SQL})""")
-
-register("demo_summary", f"""
-SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(fraud) AS BIGINT) AS positives,
-       {r6('avg(CAST(fraud AS DOUBLE)) * 100')} AS positive_rate_pct
-FROM ({DEMO_SQL})""")
-
-register("demo_split_sizes", f"""
-SELECT CASE WHEN {U('demo_split', 'transaction_id')} < {dbl(0.8)} THEN 'train' ELSE 'test' END AS part,
-       CAST(count(*) AS BIGINT) AS n_rows
-FROM ({DEMO_SQL}) GROUP BY part""")
-
 # -- text ---------------------------------------------------------------------------------
 
 
@@ -498,5 +429,4 @@ GROUP BY {id_col}, ch"""
 
 
 register("url_char_counts", char_counts_sql("SELECT * FROM pages", "page_id", "url"))
-register("doc_char_counts", char_counts_sql(
-    "SELECT * FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)", "doc_id", "text"))
+register("doc_char_counts", char_counts_sql("SELECT * FROM documents", "doc_id", "text"))

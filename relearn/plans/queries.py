@@ -14,15 +14,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relearn.operators import (abtest, bootstrap, metrics, profile, registry, sampling, scorers,
-                               stats, synth, training)
+                               stats, training)
 from relearn.session import ensure_checkpoint_dir
-from relearn.sources.tables import LABEL, read_table, transactions, tx_key
+from relearn.sources.tables import DEFAULT_SPLIT, LABEL, read_table, transactions, tx_key
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-# Fixed values of the reference job: split weights and seed purpose strings.
-SPLIT_WEIGHTS = (0.005, 0.0001)
+SPLIT_WEIGHTS = DEFAULT_SPLIT
+# Fixed values of the reference job: seed purpose strings.
 SPLIT_SEED = "split"
 ARM_SEED = "arm"
 TRAFFIC_SPLIT = 0.5
@@ -364,55 +364,12 @@ def q_champion_lookup(spark, sf_dir):
     return rounded(out)
 
 
-# -- synthetic transactions (G1-G10): as many rows as the input table ----------------
-
-DEMO_AS_OF = "2024-02-01 00:00:00"
-
-
-def demo_rows(spark, sf_dir):
-    import datetime as _dt
-    n = transactions(spark, sf_dir).count()  # one number: the size to generate
-    return synth.generate_transactions(spark, n, synth.FRAUD_RATE, synth.SEED,
-                                       _dt.datetime.fromisoformat(DEMO_AS_OF))
-
-
-@register("demo_transactions")
-def q_demo_transactions(spark, sf_dir):
-    """Synthetic transactions, one per input row, shuffled, ids tx_%08d."""
-    df = demo_rows(spark, sf_dir)
-    return rounded(df.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")))
-
-
-@register("demo_summary")
-def q_demo_summary(spark, sf_dir):
-    """G1 + P11 (J4 summary): rows, fraud rows and fraud share in percent."""
-    return rounded(profile.label_summary(demo_rows(spark, sf_dir), "fraud"))
-
-
-@register("demo_split_sizes")
-def q_demo_split_sizes(spark, sf_dir):
-    """Sizes of the 80 % training part and its complement."""
-    train, test = synth.demo_split(demo_rows(spark, sf_dir))
-    return train.select(F.lit("train").alias("part")).unionByName(
-        test.select(F.lit("test").alias("part"))).groupBy("part").agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 # -- text: character counts and the text forest (M9, M10) ---------------------------------
 
 def char_count_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """M9 through CountVectorizer: (id, ch, n) for every character of every text."""
-    from pyspark.ml.feature import CountVectorizer
-    from pyspark.ml.functions import vector_to_array
-    tokens = df.select(id_col, training.char_tokens(text_col).alias("chars"))
-    model = CountVectorizer(inputCol="chars", outputCol="vec", minDF=1.0).fit(tokens)
-    # The vocabulary is one entry per distinct character: at most vocabSize
-    # (2^18, more than all assigned code points), so it is broadcast.
-    vocab = df.sparkSession.createDataFrame(list(enumerate(model.vocabulary)), "pos int, ch string")
-    # Non-zero entries are picked inside the array (no row per vocabulary entry).
-    entries = F.filter(F.transform(vector_to_array("vec"), lambda x, i: F.struct(i.alias("pos"), x.alias("cnt"))),
-                       lambda e: e["cnt"] > 0)
-    counts = model.transform(tokens).select(id_col, F.inline(entries))
-    return counts.join(F.broadcast(vocab), "pos").select(id_col, "ch", F.col("cnt").cast("bigint").alias("n"))
+    """M9: (id, ch, n) for every character of every text, counted as they stream by (a few dozen rows a text)."""
+    chars = df.select(id_col, F.explode(training.char_tokens(text_col)).alias("ch"))
+    return chars.groupBy(id_col, "ch").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 @register("url_char_counts")
@@ -423,9 +380,8 @@ def q_url_char_counts(spark, sf_dir):
 
 @register("doc_char_counts")
 def q_doc_char_counts(spark, sf_dir):
-    """M9 on whole documents: character counts per labelled document."""
-    docs = read_table(spark, sf_dir, "documents").join(read_table(spark, sf_dir, "labels"), "doc_id", "left_semi")
-    return char_count_rows(docs, "doc_id", "text")
+    """M9 on whole documents: character counts of every document."""
+    return char_count_rows(read_table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 def labelled_docs(spark, sf_dir):

@@ -23,6 +23,9 @@ TIMESTAMP = "tx_timestamp"
 # the generated lineitem; these five columns are, at all three scales.
 TX_KEY_NAMES = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_qty_key"]
 
+# Train and test weights of the reference job.
+DEFAULT_SPLIT = (0.005, 0.0001)
+
 # Fixed values of the stand-in label: a learnable rule plus 3 % label noise.
 FRAUD_MIN_QUANTITY = 40
 FRAUD_MIN_DISCOUNT = 0.07

@@ -98,3 +98,29 @@ def test_xxhash_method_uniform_repeatable_and_switchable(spark):
     assert 5600 < fast < 6400
     with pytest.raises(ValueError):
         hashrand.use_hash("crc")
+
+
+def test_hash_index_beyond_two_to_the_31(spark):
+    n = 3 * 2 ** 40 + 7
+    got = spark.range(0, 2000).select("id", hash_index("s", n, F.col("id")).alias("i")).collect()
+    import hashlib
+    for r in got[:50]:
+        top = int(hashlib.md5(f"s|{r.id}".encode()).hexdigest()[:15], 16)
+        assert r.i == top * n >> 60
+    assert 0 <= min(r.i for r in got) and max(r.i for r in got) < n
+    assert 0.45 < sum(r.i for r in got) / len(got) / n < 0.55
+
+
+def test_cells_of_counts_beyond_two_to_the_31(spark):
+    from relearn.operators.bootstrap import cell_of
+    counts = [2 ** 33, 5, 0, 2 ** 35, 1, 0, 0, 9]
+    at = [0, 2 ** 33 - 1, 2 ** 33, 2 ** 33 + 4, 2 ** 33 + 5, 2 ** 33 + 5 + 2 ** 35, 2 ** 33 + 6 + 2 ** 35]
+    rows = spark.createDataFrame([(i,) for i in at], "pos long").select("pos", cell_of(F.col("pos"), counts).alias("c")).collect()
+    assert [r.c for r in rows] == [0, 0, 1, 1, 3, 4, 7]
+
+
+@pytest.mark.parametrize("method", ["md5", "xxhash64"])
+def test_null_keys_have_places(spark, method):
+    df = spark.createDataFrame([("a", None, "b"), ("a", "b", None)], "x string, y string, z string")
+    u = [r[0] for r in df.select(hash_uniform("s", "x", "y", "z", method=method)).collect()]
+    assert u[0] != u[1]

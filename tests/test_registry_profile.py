@@ -20,10 +20,25 @@ def test_first_model_promoted_then_tie_keeps_champion(spark, scratch):
     assert reg.resolve("m").version == 3 and reg.resolve("m", "challenger").version == 2
 
 
-def test_champion_without_stored_auc_is_not_beaten(spark, scratch):
+def test_champion_without_stored_auc_is_replaced(spark, scratch):
     reg = Registry(spark, scratch + "/reg")
     reg.compare_and_register("m", "r1", "/p1", 0.80)   # no metrics logged for r1
-    assert not reg.compare_and_register("m", "r2", "/p2", 0.99)["promoted"]
+    assert reg.compare_and_register("m", "r2", "/p2", 0.99)["promoted"]
+
+
+@pytest.mark.parametrize("history, promoted", [((None, .9, .95), [True, True, True]), ((.7, None, .8), [True, False, True]),
+                                               ((None, None, .5, .4), [True, True, True, False])])
+def test_replay_with_unknown_metrics(spark, history, promoted):
+    import datetime
+    rows = [("m", f"r{i}", datetime.datetime(2024, 1, i + 1), v) for i, v in enumerate(history)]
+    runs = spark.createDataFrame(rows, "model string, run_id string, ts timestamp, auc double")
+    out = registry.replay_promotions(runs).orderBy("version").collect()
+    assert [r.promoted for r in out] == promoted
+
+
+def test_null_counts_of_odd_names(spark):
+    df = spark.createDataFrame([(None, 1), (2, None)], "`it's` int, `a.b` int")
+    assert {r.column_name: r.null_count for r in profile.null_counts(df).collect()} == {"it's": 1, "a.b": 1}
 
 
 def test_champion_metrics_follow_alias(spark, scratch):

@@ -83,3 +83,13 @@ def test_relative_gain(spark):
     df = spark.createDataFrame([(0.9, 0.8), (0.5, 0.0)], "new double, best double")
     g = [r[0] for r in df.select(stats.relative_gain_pct(F.col("new"), F.col("best"))).collect()]
     assert g[0] == pytest.approx(12.5) and g[1] is None
+
+
+@pytest.mark.parametrize("base, candidate, significant, p", [(0.0, 1.0, True, 0.0), (1.0, 0.0, True, 0.0), (0.5, 0.5, False, None)])
+def test_constant_scores(spark, base, candidate, significant, p):
+    rows = [(i, m, v, v) for i in range(5) for m, v in (("base", base), ("candidate", candidate))]
+    df = spark.createDataFrame(rows, "iteration int, model string, f1 double, precision double")
+    cmp = stats.compare_scores(df)
+    row = cmp.where("metric = 'f1'").first()
+    assert (row.is_significant, row.p_value, row.effect_size) == (significant, p, None)
+    assert stats.deploy_decision(cmp).first().should_deploy == (candidate > base)

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,22 +16,43 @@ def test_unknown_model_type_raises():
         training.numeric_pipeline(["a"], "y", model_type="lr")
 
 
-def test_cache_for_fitting_spreads_only_few_partitions(spark):
-    cores = spark.sparkContext.defaultParallelism
-    few = spark.range(0, 1000, 1, 1).withColumn("k", F.col("id") * 7)
-    spread = training.cache_for_fitting(few, ["id"])
-    try:
-        assert spread.rdd.getNumPartitions() == cores
-        assert spread.count() == 1000 and spread.agg(F.sum("k")).first()[0] == 7 * 999 * 1000 // 2
-    finally:
-        spread.unpersist()
-    many = spark.range(0, 1000, 1, cores + 3)
-    kept = training.cache_for_fitting(many, ["id"])
-    try:
-        assert kept.rdd.getNumPartitions() == cores + 3
-        assert kept.is_cached
-    finally:
-        kept.unpersist()
+def test_trees_do_not_depend_on_the_input_layout(spark):
+    rows = transactions(spark, SF_SMALL).select(*TX_KEY_COLS, LABEL, "l_quantity", "l_discount", "l_tax")
+    texts = []
+    for parts in (1, 4, 9):
+        cached = training.cache_for_fitting(rows.repartition(parts), TX_KEY_COLS, 8)
+        try:
+            assert cached.rdd.getNumPartitions() == 8 and cached.count() == rows.count()
+            model = training.numeric_pipeline(["l_quantity", "l_discount", "l_tax"], LABEL, num_trees=3).fit(cached)
+        finally:
+            cached.unpersist()
+        text = model.stages[-1].toDebugString.split("\n", 1)[1]
+        texts.append([[float(x) for x in re.findall(r"-?[0-9]+[.][0-9eE+-]+", text)], re.sub(r"-?[0-9]+[.][0-9eE+-]+", "#", text)])
+    for numbers, shape in texts[1:]:
+        assert shape == texts[0][1] and numbers == pytest.approx(texts[0][0], rel=1e-9, abs=1e-9)
+
+
+def test_cross_validation_fits_features_once_per_fold(spark, monkeypatch):
+    from pyspark.ml.feature import StandardScaler
+    fits = []
+    plain = StandardScaler._fit
+    monkeypatch.setattr(StandardScaler, "_fit", lambda self, df: fits.append(1) or plain(self, df))
+    df = spark.range(0, 400).select((F.col("id") % 2).cast("int").alias("y"), (F.col("id") % 2 + F.col("id") % 7 / 10).alias("a"),
+                                    (F.col("id") % 3).cast("int").alias("fold"))
+    pipe = training.numeric_pipeline(["a"], "y", num_trees=2, max_depth=2)
+    grid = training.forest_grid(pipe.getStages()[-1], (2, 3), (1, 2))
+    out = training.cross_validate(pipe, grid, training.auc_evaluator("y"), df, 3)
+    assert len(out.avg_metrics) == 4 and min(out.avg_metrics) > 0.95 and len(fits) == 3 + 1
+
+
+@pytest.mark.parametrize("nulls", [False, True])
+def test_run_training_without_keys(spark, scratch, nulls):
+    tx = transactions(spark, SF_SMALL).select("l_quantity", "l_discount", "l_tax", "tx_timestamp", LABEL)
+    if nulls:
+        tx = tx.withColumn("l_tax", F.when(F.col("l_quantity") != 7, F.col("l_tax")))
+    out = jobs.run_training(spark, "day", scratch + "/m", scratch + "/reg", input_df=tx, split_weights=(0.8, 0.2), partitions=4,
+                            handle_invalid="skip" if nulls else "error")
+    assert out["features"] == ["l_quantity", "l_discount", "l_tax"] and out["metrics"]["auc"] > 0.75
 
 
 def test_stratified_folds_balance(spark):
