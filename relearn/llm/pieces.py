@@ -225,7 +225,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("do
     every text has an encoding.  Other columns are left out, an empty table gives no rows.
     """
     shared = _shared(docs.sparkSession, vocabulary)
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").cast("string").alias("__text"))
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], F.col("text").cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]):
         v = _vocabulary(shared.value)
@@ -243,22 +243,24 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...] = ("do
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(len(keep))]
                     + [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)), pa.array(np.diff(offsets).astype(np.int64)), pa.array(n_bytes.astype(np.int64))],
-                    names=[*keep, "ids", "n_pieces", "n_byte_pieces"])
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(run, f"{kept}, ids array<int>, n_pieces long, n_byte_pieces long")
+                    names=[*[f"c{i}" for i in range(len(keep))], "ids", "n_pieces", "n_byte_pieces"])
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    return rows.mapInArrow(run, f"{kept}, ids array<int>, n_pieces long, n_byte_pieces long").toDF(*keep, "ids", "n_pieces", "n_byte_pieces")
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``rows`` with ``decoded``, the text of ``ids``; null or empty ids give an empty text, other ids than pieces nothing."""
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary.bytes_of)
+    names, place = rows.columns, rows.columns.index("ids")
+    rows = rows.toDF(*[f"c{i}" for i in range(len(names))])
 
     def run(batches: Iterator[pa.RecordBatch]):
         decoder = Decoder(shared.value)
         for batch in batches:
-            ids = batch.column("ids")
+            ids = batch.column(place)
             flat, n = ids.flatten().fill_null(-1).to_numpy(zero_copy_only=False), ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             ends = np.cumsum(n)
             texts = [decoder.decode(flat[a:b]) for a, b in zip(ends - n, ends)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, f"{kept}, decoded string")
+    kept = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    return rows.mapInArrow(run, f"{kept}, decoded string").toDF(*names, "decoded")

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relearn.llm import licences, lm, pieces, toxicity
+from relearn.functions.hashrand import hash_index, hash_uniform
+from relearn.llm import licences, lm, pieces, toxicity, url_filters
 from relearn.llm.common import documents, fold
 from relearn.llm.decontaminate import decontaminate
 from relearn.llm.language import dictionaries, identify
@@ -83,3 +84,59 @@ def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir))
+
+
+MONTH, LISTED, AGAIN, PREFIXED = 30 * 1440, 0.3, 0.5, 0.1
+
+
+@register
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a capture of a time given by a hash of its id, against a list derived from the pages' hosts and
+    first path segments: some are added, removed and added again at hashed times.  Times are minutes of January 2024."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    captures = pages.withColumn("fetched_at", hash_index("fetch", MONTH, F.col("page_id"), method="md5"))
+    hosts = pages.select(url_filters.host(F.col("url")).alias("host")).where("host <> ''").distinct()
+    entry, add = F.concat(F.lit("domain:"), "host"), hash_index("add", 20 * 1440, F.col("host"), method="md5")
+    gone = add + 1 + hash_index("remove", 10 * 1440, F.col("host"), method="md5")
+    listed = hosts.where(hash_uniform("list", "host", method="md5") < LISTED)
+    lines = [listed.select(entry.alias("entry"), add.alias("at"), F.lit("add").alias("action")),
+             listed.select(entry.alias("entry"), gone.alias("at"), F.lit("remove").alias("action")),
+             listed.where(hash_uniform("again", "host", method="md5") < AGAIN)
+             .select(entry.alias("entry"), (add + 15 * 1440).alias("at"), F.lit("add").alias("action"))]
+    paths = pages.select(F.concat(url_filters.host(F.col("url")), F.lit("/"), F.get(url_filters.segments(F.col("url")), F.lit(0))).alias("p")).where(
+        "p is not null and p not like '/%'").distinct()
+    lines.append(paths.where(hash_uniform("prefix", "p", method="md5") < PREFIXED).select(
+        F.concat(F.lit("prefix:"), "p").alias("entry"), hash_index("since", MONTH, F.col("p"), method="md5").alias("at"), F.lit("add").alias("action")))
+    log = lines[0].unionByName(lines[1]).unionByName(lines[2]).unionByName(lines[3])
+    out = url_filters.filter_urls(captures, log)
+    return out.select("page_id", "fetched_at", "blocked", F.size("entries").cast("long").alias("n_entries"), F.array_join("entries", ",").alias("entries"))
+
+
+def _u(seed: str, key: str) -> str:
+    return f"(CAST(('0x' || substr(md5(concat_ws('|', '{seed}', coalesce(CAST({key} AS VARCHAR), chr(1)))), 1, 8)) AS BIGINT) / 4294967296.0)"
+
+
+def _index(seed: str, n: int, key: str) -> str:
+    return (f"CAST(CAST(('0x' || substr(md5(concat_ws('|', '{seed}', coalesce(CAST({key} AS VARCHAR), chr(1)))), 1, 15)) AS BIGINT)::HUGEINT"
+            f" * {n} // 1152921504606846976 AS BIGINT)")
+
+
+ORACLE["op3_url_filters"] = f"""
+WITH p AS (SELECT page_id, url, {_index('fetch', MONTH, 'page_id')} AS fetched_at,
+                  rtrim(lower(regexp_extract(url, '{url_filters.HOST}', 1)), '.') AS host,
+                  list_filter(string_split(regexp_extract(url, '{url_filters.PATH}', 1), '/'), lambda x: x <> '') AS seg FROM pages),
+     h AS (SELECT DISTINCT host, {_index('add', 20 * 1440, 'host')} AS added FROM p WHERE host <> '' AND {_u('list', 'host')} < {LISTED}),
+     d AS (SELECT DISTINCT host || '/' || seg[1] AS k FROM p WHERE host <> '' AND len(seg) > 0),
+     log AS (SELECT 'domain:' || host AS entry, added AS t, true AS is_on FROM h
+             UNION ALL SELECT 'domain:' || host, added + 1 + {_index('remove', 10 * 1440, 'host')}, false FROM h
+             UNION ALL SELECT 'domain:' || host, added + 15 * 1440, true FROM h WHERE {_u('again', 'host')} < {AGAIN}
+             UNION ALL SELECT 'prefix:' || k, {_index('since', MONTH, 'k')}, true FROM d WHERE {_u('prefix', 'k')} < {PREFIXED}),
+     state AS (SELECT entry, t, bool_or(is_on) AS is_on FROM log GROUP BY entry, t),
+     keys AS (SELECT page_id, fetched_at, 'domain:' || array_to_string(string_split(host, '.')[i:], '.') AS entry
+              FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM p WHERE host <> '')
+              UNION ALL SELECT page_id, fetched_at, 'prefix:' || host || '/' || array_to_string(seg[1:i], '/')
+              FROM (SELECT *, unnest(range(1, len(seg) + 1)) AS i FROM p WHERE host <> '')),
+     active AS (SELECT k.page_id, k.entry FROM keys k ASOF JOIN state s ON k.entry = s.entry AND k.fetched_at >= s.t WHERE s.is_on)
+SELECT p.page_id, p.fetched_at, count(a.entry) > 0 AS blocked, count(DISTINCT a.entry) AS n_entries,
+       coalesce(string_agg(DISTINCT a.entry, ',' ORDER BY a.entry), '') AS entries
+FROM p LEFT JOIN active a ON p.page_id = a.page_id GROUP BY p.page_id, p.fetched_at"""
