@@ -1,0 +1,57 @@
+"""``spark-submit relearn/cli/train.py``: the training job J1 from the command line.
+
+Object-store keys are read from the environment (RELEARN_S3_ACCESS_KEY, RELEARN_S3_SECRET_KEY) or from flags; they
+are set on the session and never logged.
+"""
+
+from __future__ import annotations
+
+import argparse
+import os
+from collections.abc import Sequence
+
+from pyspark.sql import SparkSession
+
+from relearn.plans import jobs
+from relearn.sources.objectstore import s3a_settings
+
+
+def parser() -> argparse.ArgumentParser:
+    p = argparse.ArgumentParser(description="Train a forest on transactions, compare it with the champion, register it")
+    p.add_argument("--input", required=True, help="Parquet path of the transactions")
+    p.add_argument("--output", required=True, help="folder for the fitted model")
+    p.add_argument("--registry", required=True, help="folder of the registry tables")
+    p.add_argument("--model-type", default="rf")
+    p.add_argument("--experiment-name", default="fraud_detection")
+    p.add_argument("--run-name")
+    p.add_argument("--auto-register", action="store_true", help="apply the promotion rule")
+    p.add_argument("--ab-testing", action="store_true", help="score the test part by champion and challenger arms")
+    p.add_argument("--ab-traffic-split", type=float, default=0.5, help="share of the challenger")
+    p.add_argument("--key", action="append", help="column that names a row (repeat for several)")
+    p.add_argument("--handle-invalid", choices=("error", "skip", "keep"), default="error", help="null policy of the features")
+    p.add_argument("--partitions", type=int, default=None, help="partitions of the cached training set")
+    p.add_argument("--s3-endpoint-url")
+    p.add_argument("--s3-access-key", default=os.environ.get("RELEARN_S3_ACCESS_KEY"))
+    p.add_argument("--s3-secret-key", default=os.environ.get("RELEARN_S3_SECRET_KEY"))
+    return p
+
+
+def session(args: argparse.Namespace, name: str) -> SparkSession:
+    builder = SparkSession.builder.appName(name)
+    if args.s3_endpoint_url and args.s3_access_key and args.s3_secret_key:
+        for k, v in s3a_settings(args.s3_endpoint_url, args.s3_access_key, args.s3_secret_key).items():
+            builder = builder.config(k, v)
+    return builder.getOrCreate()
+
+
+def main(argv: Sequence[str] | None = None) -> dict:
+    args = parser().parse_args(argv)
+    options = {} if args.partitions is None else {"partitions": args.partitions}
+    return jobs.run_training(
+        session(args, "relearn-train"), args.input, args.output, args.registry, experiment=args.experiment_name, model_type=args.model_type,
+        run_name=args.run_name, auto_register=args.auto_register, ab_testing=args.ab_testing, ab_traffic_split=args.ab_traffic_split,
+        key_cols=args.key, handle_invalid=args.handle_invalid, **options)
+
+
+if __name__ == "__main__":
+    main()

@@ -34,6 +34,7 @@ SCHEMAS = {
     "run_metrics": "run_id string, key string, value double, ts timestamp",
     "model_versions": "model string, version int, run_id string, path string, description string, ts timestamp",
     "alias_events": "model string, version int, alias string, ts timestamp",
+    "version_tags": "model string, version int, key string, value string, ts timestamp",
     "description_events": "model string, version int, description string, ts timestamp",
 }
 
@@ -60,6 +61,20 @@ def current_aliases(alias_events: DataFrame) -> DataFrame:
             .filter(F.col("__rn") == 1).drop("__rn"))
 
 
+def resolved_aliases(alias_events: DataFrame, version_tags: DataFrame) -> DataFrame:
+    """R5 with the fallback of older registries: (model, alias, version), the alias first, else the tag ``alias``.
+
+    A tag's latest value counts per version; of several versions tagged alike the latest tag wins.
+    """
+    w = Window.partitionBy("model", "version").orderBy(F.col("ts").desc(), F.col("value").desc())
+    tags = (version_tags.filter(F.col("key") == "alias").withColumn("__rn", F.row_number().over(w))
+            .filter(F.col("__rn") == 1).groupBy("model", F.col("value").alias("alias"))
+            .agg(F.max(F.struct("ts", "version")).alias("__t")).select("model", "alias", F.col("__t.version").alias("tagged")))
+    named = current_aliases(alias_events).select("model", "alias", F.col("version").alias("named"))
+    return (named.join(tags, ["model", "alias"], "full")
+            .select("model", "alias", F.coalesce("named", "tagged").alias("version")))
+
+
 def next_versions(model_versions: DataFrame, candidates: DataFrame) -> DataFrame:
     """Number new (model, run_id) rows after the largest existing version.
 
@@ -183,8 +198,10 @@ class Registry:
         return experiment
 
     # R2
-    def start_run(self, experiment: str, run_name: str) -> str:
-        run_id = uuid.uuid4().hex
+    def start_run(self, experiment: str, run_name: str, run_id: str | None = None) -> str:
+        if run_id and not self.table("runs").filter(F.col("run_id") == run_id).isEmpty():
+            return run_id
+        run_id = run_id or uuid.uuid4().hex
         self.append("runs", self._rows("runs", [(run_id, experiment, run_name, _now())]))
         return run_id
 
@@ -204,9 +221,14 @@ class Registry:
     def register_version(self, model: str, run_id: str, path: str, description: str = "") -> int:
         cand = self.spark.createDataFrame([(model, run_id, path, description, _now())],
                                           "model string, run_id string, path string, description string, ts timestamp")
+        # a registered run keeps its version: registering it again is a repeat after a failure
+        same = (F.col("model") == model) & (F.col("run_id") == run_id)
+        before = self.table("model_versions").filter(same).agg(F.min("version")).first()[0]
+        if before is not None:
+            return int(before)
         row = next_versions(self.table("model_versions"), cand)
         self.append("model_versions", row)
-        return int(row.select("version").first()[0])
+        return int(self.table("model_versions").filter(same).agg(F.min("version")).first()[0])
 
     # R4
     def set_alias(self, model: str, version: int, alias: str, description: str = "") -> None:
@@ -227,7 +249,15 @@ class Registry:
 
     # R5
     def aliases(self) -> DataFrame:
-        return current_aliases(self.table("alias_events"))
+        return resolved_aliases(self.table("alias_events"), self.table("version_tags"))
+
+    def set_tag(self, model: str, version: int, key: str, value: str) -> None:
+        self.append("version_tags", self._rows("version_tags", [(model, int(version), key, value, _now())]))
+
+    def has_run(self, run_id: str) -> bool:
+        """Whether this run is finished: its version is registered and has an alias."""
+        versions = self.table("model_versions").filter(F.col("run_id") == run_id).select("model", "version")
+        return not versions.join(self.table("alias_events"), ["model", "version"], "left_semi").isEmpty()
 
     def resolve(self, model: str, alias: str = CHAMPION):
         """Version row an alias points at, or None."""
@@ -246,7 +276,8 @@ class Registry:
     def compare_and_register(self, model: str, run_id: str, path: str, new_auc: float | None,
                              description: str = "") -> dict:
         """Register the new version and point ``champion`` or ``challenger`` at it."""
-        best = self.champion_metrics(model)
+        champion = self.resolve(model)
+        best = None if champion is not None and champion["run_id"] == run_id else self.champion_metrics(model)
         version = self.register_version(model, run_id, path, description)
         new = self.spark.createDataFrame([(model, version, run_id, new_auc)],
                                          "model string, version int, run_id string, auc double")

@@ -93,7 +93,7 @@ def _key_columns(df: DataFrame, label: str, key_cols: Sequence[str] | None) -> t
 
 def run_training(spark: SparkSession, input_path: str, output_path: str, registry_root: str,
                  experiment: str = "fraud_detection", model_type: str = "rf",
-                 run_name: str | None = None, auto_register: bool = False,
+                 run_name: str | None = None, run_id: str | None = None, auto_register: bool = False,
                  ab_testing: bool = False, ab_traffic_split: float = 0.5,
                  label: str = "tx_fraud", timestamp: str = "tx_timestamp",
                  key_cols: Sequence[str] | None = None, exclude: Sequence[str] = (),
@@ -141,7 +141,7 @@ def run_training(spark: SparkSession, input_path: str, output_path: str, registr
             champion = files.load_model(row["path"]) if row is not None else None
 
         name = run_name or f"fraud_detection_{model_type}_{os.path.basename(input_path.rstrip('/'))}"
-        run_id = reg.start_run(experiment, name)
+        run_id = reg.start_run(experiment, name, run_id)
         reg.log_params(run_id, {"numTrees_options": list(training.GRID_NUM_TREES),
                                 "maxDepth_options": list(training.GRID_MAX_DEPTH),
                                 "fit_partitions": partitions})

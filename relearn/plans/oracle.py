@@ -408,11 +408,12 @@ SELECT run_id, version, {r6('auc')} AS auc, {r6('accuracy')} AS accuracy, {r6('f
 FROM ({REPLAY_SQL})""")
 
 register("champion_lookup", f"""
-SELECT 'fraud_detection_model' AS model, alias, version, run_id, {r6('auc')} AS auc,
+SELECT model, alias, version, run_id, {r6('auc')} AS auc,
        {r6('accuracy')} AS accuracy, {r6('f1')} AS f1
 FROM (SELECT *, CASE WHEN promoted THEN 'champion' ELSE 'challenger' END AS alias,
              row_number() OVER (PARTITION BY promoted ORDER BY version DESC) AS rn
-      FROM ({REPLAY_SQL}))
+      FROM ({REPLAY_SQL})),
+     (VALUES ('fraud_detection_model'), ('tagged_model')) m(model)
 WHERE rn = 1""")
 
 

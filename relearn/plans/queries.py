@@ -354,11 +354,14 @@ def q_champion_lookup(spark, sf_dir):
     # the shared checkpoint folder instead of re-reading the transactions.
     ensure_checkpoint_dir(spark)
     replay = registry.replay_promotions(monthly_runs(spark, sf_dir)).checkpoint(eager=True)
+    # a second model as an older registry keeps it: the same versions, named by tags only
+    older = F.lit("tagged_model").alias("model")
     events = replay.select("model", "version", "alias", "ts")
-    versions = replay.select("model", "version", "run_id")
+    tags = replay.select(older, "version", F.lit("alias").alias("key"), F.col("alias").alias("value"), "ts")
+    versions = replay.select("model", "version", "run_id").unionByName(replay.select(older, "version", "run_id"))
     run_metrics = replay.select("run_id", F.expr("stack(3, 'auc', auc, 'accuracy', accuracy, 'f1', f1) "
                                                  "AS (key, value)"), "ts")
-    aliases = registry.current_aliases(events)
+    aliases = registry.resolved_aliases(events, tags)
     out = registry.alias_metrics(aliases, versions, run_metrics, registry.CHAMPION).unionByName(
         registry.alias_metrics(aliases, versions, run_metrics, registry.CHALLENGER))
     return rounded(out)

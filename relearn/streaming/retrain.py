@@ -4,18 +4,22 @@ The reference retrains from a scheduler on a fixed day path.  Here the
 scheduler only has to start this job: a Structured Streaming file source over
 the day partitions finds the files not yet trained on, and ``foreachBatch``
 runs the training job on them.  The streaming checkpoint (in the shared
-checkpoint folder) records which files were consumed, so a restarted or
-retried run neither skips nor repeats a day.  ``availableNow`` processes what
+checkpoint folder) records which files were consumed.  A batch that failed is
+run again, so its function must bear repeats; ``retrain_days`` does.  ``availableNow`` processes what
 has arrived and stops, which suits a timer.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from relearn.operators.registry import Registry
+from relearn.plans import jobs
 from relearn.session import checkpoint_path
 
 
@@ -42,6 +46,39 @@ def retrain_on_arrival(spark: SparkSession, input_dir: str, schema,
             .start())
 
 
+def day_run_id(experiment: str, day) -> str:
+    """The run id of an experiment's training on one day: the same whenever the day is trained again."""
+    return hashlib.md5(f"{experiment}|{day}".encode()).hexdigest()
+
+
+def retrain_days(spark: SparkSession, input_dir: str, schema, output_root: str, registry_root: str,
+                 experiment: str = "fraud_detection", day_col: str = "dt", checkpoint: str | None = None,
+                 max_files_per_trigger: int | None = None, train: Callable[..., dict] = jobs.run_training, **options) -> StreamingQuery:
+    """J3 with J1: one ``run_training`` per day of newly arrived files (``schema`` holds ``day_col``).
+
+    ``foreachBatch`` may repeat a batch after a failure.  A day's run id follows
+    from (experiment, day): a finished day (its version has an alias) is not
+    trained again, and registering a run twice keeps its version, so a repeat
+    only does what is missing.  Files that arrive later for a finished day are
+    not trained on.  ``options`` go to ``run_training``.
+    """
+    def batch(df: DataFrame, _batch_id: int) -> None:
+        df = df.persist()
+        try:
+            days = [r[0] for r in df.select(day_col).where(F.col(day_col).isNotNull()).distinct().orderBy(day_col).collect()]   # a few days a trigger
+            registry = Registry(spark, registry_root)
+            for day in days:
+                run_id = day_run_id(experiment, day)
+                if registry.has_run(run_id):
+                    continue
+                train(spark, f"{input_dir.rstrip('/')}/{day_col}={day}", f"{output_root.rstrip('/')}/{run_id}", registry_root,
+                      experiment=experiment, run_name=f"{experiment}_{day}", run_id=run_id, auto_register=True,
+                      input_df=df.filter(F.col(day_col) == F.lit(day)).drop(day_col), **options)
+        finally:
+            df.unpersist()
+    return retrain_on_arrival(spark, input_dir, schema, batch, checkpoint, max_files_per_trigger, f"retrain_{experiment}")
+
+
 def run_until_done(query: StreamingQuery, timeout_s: float | None = None) -> None:
     """Wait for an ``availableNow`` run to finish (raises if it failed)."""
     query.awaitTermination(timeout_s)

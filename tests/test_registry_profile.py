@@ -121,3 +121,23 @@ def test_rows_and_nulls_by_group_one_pass(spark):
     got = {r["split"]: r.asDict() for r in profile.rows_and_nulls_by(df, "split").collect()}
     assert got["train"] == {"split": "train", "n_rows": 3, "a": 1, "b": 2}
     assert got["test"] == {"split": "test", "n_rows": 1, "a": 0, "b": 0}
+
+
+def test_tag_fallback(spark, scratch):
+    reg = Registry(spark, scratch + "/reg")
+    for model in ("m", "n"):
+        reg.register_version(model, model + "1", "/p1")
+        reg.register_version(model, model + "2", "/p2")
+    reg.set_tag("m", 2, "alias", "champion")
+    assert reg.resolve("m").version == 2 and reg.resolve("n") is None
+    reg.set_alias("m", 1, "champion")
+    assert reg.resolve("m").version == 1          # the alias goes first
+    assert reg.register_version("m", "m2", "/again") == 2
+
+
+def test_command_lines():
+    from relearn.cli import ab_test, train
+    args = train.parser().parse_args(["--input", "i", "--output", "o", "--registry", "r", "--key", "a", "--key", "b", "--ab-testing"])
+    assert args.key == ["a", "b"] and args.ab_testing and args.ab_traffic_split == 0.5 and args.experiment_name == "fraud_detection"
+    args = ab_test.parser().parse_args(["--input", "i", "--registry", "r"])
+    assert (args.n_iter, args.cv, args.sample_frac, args.bootstrap_iterations, args.alpha, args.auto_deploy) == (50, 5, 0.1, 100, 0.01, False)

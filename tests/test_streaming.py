@@ -32,3 +32,35 @@ def test_new_partitions_trained_once(spark, scratch):
     # nothing new: nothing trained
     run_until_done(retrain_on_arrival(spark, src, schema, train_batch, ck), 120)
     assert len(seen) == 2
+
+
+def test_a_day_that_failed_after_registration_is_finished_once(spark, scratch, monkeypatch):
+    from relearn.operators.registry import Registry
+    from relearn.streaming.retrain import retrain_days
+    tx = transactions(spark, SF_SMALL).select("l_orderkey", "l_quantity", "l_discount", "l_tax", "tx_timestamp", LABEL)
+    tx = tx.withColumn("dt", F.concat(F.lit("day"), (F.year("tx_timestamp") % 2).cast("string")))
+    src, root = scratch + "/days", scratch + "/reg"
+    tx.write.partitionBy("dt").parquet(src)
+    calls, plain = [], Registry.set_alias
+
+    def fails_once(self, *a, **k):
+        calls.append(a)
+        if len(calls) == 1:
+            raise RuntimeError("lost")
+        return plain(self, *a, **k)
+    monkeypatch.setattr(Registry, "set_alias", fails_once)
+
+    def run():
+        return retrain_days(spark, src, tx.schema, scratch + "/models", root, checkpoint=scratch + "/ck", key_cols=["l_orderkey"],
+                            split_weights=(0.8, 0.2), partitions=2)
+    try:
+        run_until_done(run(), 300)
+        raise AssertionError("the first run must fail")
+    except Exception as e:  # noqa: BLE001
+        assert "lost" in str(e)
+    run_until_done(run(), 300)
+    run_until_done(run(), 300)
+    reg = Registry(spark, root)
+    versions = reg.table("model_versions").collect()
+    assert sorted(v.version for v in versions) == [1, 2] and len({v.run_id for v in versions}) == 2
+    assert reg.table("runs").count() == 2 and reg.table("alias_events").count() == 2 and reg.resolve("fraud_detection_model") is not None
