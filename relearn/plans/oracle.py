@@ -431,3 +431,61 @@ GROUP BY {id_col}, ch"""
 
 register("url_char_counts", char_counts_sql("SELECT * FROM pages", "page_id", "url"))
 register("doc_char_counts", char_counts_sql("SELECT * FROM documents", "doc_id", "text"))
+
+
+# -- fitted models: what SQL can say of them, and flags that must hold ------------------------
+
+register("forest_fit_score", f"""
+SELECT count(*) AS sample_size, CAST(sum(tx_fraud) AS BIGINT) AS positives, CAST({len(Q.TX_FEATURES)} AS BIGINT) AS n_features,
+       CAST(10 AS BIGINT) AS n_trees, true AS near_rule_auc
+FROM ({SPLIT_SQL}) WHERE split = 'test'""")
+
+register("forest_cv", f"""
+SELECT count(*) AS sample_size, CAST(4 AS BIGINT) AS grid_size, CAST(3 AS BIGINT) AS folds,
+       CAST({len(Q.TX_FEATURES)} AS BIGINT) AS n_features, true AS best_is_largest, true AS near_rule_auc
+FROM ({SPLIT_SQL}) WHERE split = 'test'""")
+
+register("text_forest_fit", f"""
+SELECT count(*) AS n_test, CAST(sum(quality) AS BIGINT) AS positives, CAST(35 AS BIGINT) AS n_trees, true AS near_majority
+FROM documents JOIN labels USING (doc_id) WHERE {U('split', 'doc_id')} >= {dbl(0.7)}""")
+
+ALL_CELLS_SQL = f"""
+SELECT 0 AS iteration, {', '.join(f'CAST(count_if(cell = {i}) AS BIGINT) AS k{i}' for i in range(8))}
+FROM (SELECT tx_fraud * 4 + {PRED_BASE} * 2 + {PRED_CAND} AS cell FROM ({TX_SQL}))"""
+register("bootstrap_multinomial_ttest", f"""
+SELECT model, CAST({Q.BOOT_ITERATIONS} AS BIGINT) AS iterations,
+       CAST({Q.BOOT_ITERATIONS} * (SELECT count(*) FROM ({TX_SQL})) AS BIGINT) AS drawn,
+       {', '.join(f"{r6(m)} AS {m}" for m in ("f1", "precision", "recall", "auc"))},
+       true AS f1_near, true AS precision_near, true AS recall_near, true AS auc_near
+FROM ({BOOT_SCORES_SQL.replace(BOOT_COUNTS_SQL, ALL_CELLS_SQL)})""")
+
+# -- profile and registry functions on table data ----------------------------------------------
+
+_LINEITEM = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+             "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
+             "l_shipdate": "timestamp_ntz"}
+_NO_FEATURE = ("l_orderkey", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_shipdate")
+register("column_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, '{t}' AS type, {str(c not in _NO_FEATURE).lower()} AS is_feature, "
+    f"count(*) - count({c}) AS null_count, count(*) AS n_rows FROM lineitem" for c, t in _LINEITEM.items()))
+
+register("stage_aliases", """
+SELECT stage, count(*) AS n_rows,
+       CASE stage WHEN 'Production' THEN 'champion' WHEN 'Staging' THEN 'challenger' WHEN 'Archived' THEN 'archived' ELSE lower(stage) END AS alias
+FROM (SELECT CASE o_orderstatus WHEN 'F' THEN 'Production' WHEN 'O' THEN 'Staging' ELSE o_orderstatus END AS stage FROM orders
+      UNION ALL SELECT upper(event_type[1]) || lower(event_type[2:]) FROM events)
+GROUP BY stage""")
+
+register("version_descriptions", """
+SELECT coalesce(u.event_type, o_orderpriority) AS description, count(*) AS n_versions, CAST(sum(o_orderkey) AS BIGINT) AS versions
+FROM orders LEFT JOIN (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC) AS rn FROM events) u
+     ON o_orderkey = u.user_id AND u.rn = 1
+GROUP BY 1""")
+
+register("new_runs", f"""
+WITH r AS ({MONTH_RUNS_SQL}), old AS (SELECT * FROM r WHERE month < '1998'), c AS (SELECT max(auc) AS champion_auc, count(*) AS n FROM old)
+SELECT run_id, CAST(c.n + row_number() OVER (ORDER BY month, run_id) AS INTEGER) AS version, {r6('auc')} AS auc, {r6('c.champion_auc')} AS champion_auc,
+       c.champion_auc IS NULL OR coalesce(auc > c.champion_auc, false) AS promoted,
+       CASE WHEN c.champion_auc IS NULL OR coalesce(auc > c.champion_auc, false) THEN 'champion' ELSE 'challenger' END AS alias,
+       {r6('(auc - c.champion_auc) / nullif(c.champion_auc, 0) * 100')} AS gain_pct
+FROM r, c WHERE month >= '1998'""")

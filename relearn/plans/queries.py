@@ -216,6 +216,8 @@ def q_score_metrics(spark, sf_dir):
 
 # -- paired bootstrap and t-test (E7-E11) -----------------------------------------
 
+#: How far under the rule scorer's AUC a fitted forest's may be; standard errors of a bootstrap mean.
+AUC_MARGIN, STANDARD_ERRORS = 0.1, 5.0
 BOOT_ITERATIONS = 100
 BOOT_SEED = "boot"
 ALPHA = 0.01
@@ -261,9 +263,16 @@ def q_deploy_decision(spark, sf_dir):
 def q_bootstrap_multinomial_ttest(spark, sf_dir):
     """E7-E10 on all transactions with exact multinomial resamples (cost O(B), any n)."""
     scored = scorers.score_rules(transactions(spark, sf_dir))
-    scores = bootstrap.paired_bootstrap(scored, LABEL, "pred_base", "pred_candidate",
-                                        BOOT_ITERATIONS, BOOT_SEED, "multinomial")
-    return rounded(stats.compare_scores(scores, ("f1", "precision", "recall", "auc"), ALPHA))
+    cells = bootstrap.joint_cells(scored, LABEL, "pred_base", "pred_candidate").withColumnsRenamed(
+        {f"c{i}": f"k{i}" for i in range(bootstrap.N_CELLS)})
+    drawn = bootstrap.resample(spark, bootstrap.joint_cells(scored, LABEL, "pred_base", "pred_candidate"), BOOT_ITERATIONS, BOOT_SEED, "multinomial")
+    whole = bootstrap.bootstrap_scores(cells.withColumn("iteration", F.lit(0)))
+    names = ("f1", "precision", "recall", "auc")
+    means = bootstrap.bootstrap_scores(drawn).groupBy("model").agg(
+        *[F.avg(m).alias(f"mean_{m}") for m in names], *[F.stddev_samp(m).alias(f"sd_{m}") for m in names])
+    total = drawn.agg(sum((F.sum(f"k{i}") for i in range(bootstrap.N_CELLS)), F.lit(0)).cast("bigint").alias("drawn"), F.count("*").alias("iterations"))
+    near = [(F.abs(F.col(f"mean_{m}") - F.col(m)) <= STANDARD_ERRORS * F.col(f"sd_{m}") / F.sqrt(F.lit(float(BOOT_ITERATIONS))) + 1e-6).alias(f"{m}_near") for m in names]
+    return rounded(whole.join(means, "model").crossJoin(total).select("model", "iterations", "drawn", *names, *near))     # two rows, one row
 
 
 # -- model training (M1-M8): rows-only checks -----------------------------------------
@@ -287,8 +296,14 @@ def q_forest_fit_score(spark, sf_dir):
         model = training.numeric_pipeline(feats, LABEL).fit(cached)
     finally:
         cached.unpersist()
-    scored = training.score(model, test)
-    return rounded(metrics.score_metrics(scored, LABEL, "score", "prediction"))
+    scored = training.score(model, test).withColumn("rule", scorers.candidate_score())
+    fitted = metrics.score_metrics(scored, LABEL, "score", "prediction").select("sample_size", F.col("auc_score").alias("auc"))
+    rule = metrics.roc_auc(scored, LABEL, "rule").select(F.col("auc_score").alias("rule_auc"))
+    positives = scored.agg(F.sum(LABEL).cast("bigint").alias("positives"))
+    return (fitted.crossJoin(rule).crossJoin(positives)      # one row each
+            .select("sample_size", "positives", F.lit(len(feats)).cast("bigint").alias("n_features"),
+                    F.lit(training.FOREST_NUM_TREES).cast("bigint").alias("n_trees"),
+                    (F.col("auc") > F.col("rule_auc") - AUC_MARGIN).alias("near_rule_auc")))
 
 
 @register("forest_cv")
@@ -297,7 +312,13 @@ def q_forest_cv(spark, sf_dir):
     from relearn.plans.jobs import train_with_cv
     train, test = train_test(spark, sf_dir)
     result = train_with_cv(train, test, LABEL, FEATURE_EXCLUDE, TX_KEY_COLS)
-    return result.summary
+    rule = metrics.roc_auc(test.withColumn("rule", scorers.candidate_score()), LABEL, "rule").select(F.col("auc_score").alias("rule_auc"))
+    grid = result.grid.agg(F.count(F.lit(1)).cast("bigint").alias("grid_size"), F.max("avg_auc").alias("best"))
+    return (result.summary.crossJoin(rule).crossJoin(grid)      # one row each
+            .select("sample_size", "grid_size", F.lit(training.CV_FOLDS).cast("bigint").alias("folds"),
+                    F.lit(len(result.feature_cols)).cast("bigint").alias("n_features"),
+                    (F.col("best") == F.col("cv_auc")).alias("best_is_largest"),
+                    (F.col("auc_score") > F.col("rule_auc") - AUC_MARGIN).alias("near_rule_auc")))
 
 
 @register("standardized_features")
@@ -404,4 +425,56 @@ def q_text_forest_fit(spark, sf_dir):
     finally:
         cached.unpersist()
     preds = model.transform(test).withColumn("prediction", F.col("prediction").cast("int"))
-    return rounded(metrics.evaluate_models(preds, "quality", {"candidate": "prediction"}))
+    out = metrics.evaluate_models(preds, "quality", {"candidate": "prediction"})
+    n = preds.agg(F.count("*").alias("n_test"), F.sum("quality").cast("bigint").alias("positives"))
+    return (out.crossJoin(n)      # one row each
+            .select("n_test", "positives", F.lit(training.URL_NUM_TREES).cast("bigint").alias("n_trees"),
+                    (F.col("accuracy") >= F.greatest("positives", F.col("n_test") - F.col("positives")) / F.col("n_test") - AUC_MARGIN).alias("near_majority")))
+
+
+# -- profile and registry functions on table data (P1, P4, P5, R1, R2, R8, R9) -------------
+
+@register("column_profile")
+def q_column_profile(spark, sf_dir):
+    """P1 + P4 + P5: type, whether a feature, and null count of every column of lineitem."""
+    li = read_table(spark, sf_dir, "lineitem")
+    feats = profile.feature_columns(li, ["l_orderkey", "l_partkey", "l_suppkey"])
+    types = spark.createDataFrame([(f.name, f.dataType.simpleString(), f.name in feats) for f in li.schema.fields],
+                                  "column_name string, type string, is_feature boolean")
+    rows = li.agg(F.count("*").alias("n_rows"))
+    return profile.null_counts(li, only_nonzero=False).join(types, "column_name").crossJoin(rows)     # a row per column
+
+
+@register("stage_aliases")
+def q_stage_aliases(spark, sf_dir):
+    """Statuses and event types read as stages of an older registry, with their aliases and rows."""
+    stages = read_table(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderstatus") == "F", "Production").when(F.col("o_orderstatus") == "O", "Staging").otherwise(F.col("o_orderstatus")).alias("stage"))
+    stages = stages.unionByName(read_table(spark, sf_dir, "events").select(F.initcap("event_type").alias("stage")))
+    return stages.groupBy("stage").agg(F.count("*").alias("n_rows")).withColumn("alias", registry.stage_alias("stage"))
+
+
+@register("version_descriptions")
+def q_version_descriptions(spark, sf_dir):
+    """Every order as a version, described by its priority or the latest event with its number."""
+    orders, events = read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "events")
+    versions = orders.select(F.lit("m").alias("model"), F.col("o_orderkey").alias("version"), F.col("o_orderpriority").alias("description"))
+    updates = events.select(F.lit("m").alias("model"), F.col("user_id").alias("version"), F.col("event_type").alias("description"), "ts")
+    out = registry.current_descriptions(versions, updates)
+    return out.groupBy("description").agg(F.count("*").alias("n_versions"), F.sum("version").cast("bigint").alias("versions"))
+
+
+@register("new_runs")
+def q_new_runs(spark, sf_dir):
+    """R1 + R2 + R3 + R7: months without a run become runs: numbered after the existing versions, decided against the champion.
+
+    Months before 1998 are the existing table (their promotions replayed), the later ones are new.
+    """
+    ensure_checkpoint_dir(spark)
+    runs = monthly_runs(spark, sf_dir).checkpoint(eager=True)
+    old = registry.replay_promotions(runs.where(F.year("ts") < 1998))
+    new = runs.where(F.year("ts") >= 1998).join(old.select("run_id"), "run_id", "left_anti")
+    numbered = registry.next_versions(old.select("model", "version"), new)
+    champion = old.where("promoted").groupBy("model").agg(F.max_by("auc", "version").alias("auc"))
+    out = registry.promotion_decision(numbered, champion)
+    return rounded(out.select("run_id", "version", "auc", "champion_auc", "promoted", "alias", "gain_pct"))
