@@ -173,9 +173,10 @@ def train(s: W.Words, labels: np.ndarray, updates: int, seed: int = 7, batch: in
     """
     doc = s.doc()
     words, number = np.unique(s.hash, return_inverse=True)
-    pairs = np.unique(np.stack([number, doc], 1), axis=0)
-    seen = np.bincount(pairs[:, 0], minlength=len(words))
-    hits = np.bincount(pairs[:, 0], labels[pairs[:, 1]], minlength=len(words))
+    pairs = np.unique(doc * max(len(words), 1) + number)              # a document's words, each once
+    word_of, doc_of = pairs % max(len(words), 1), pairs // max(len(words), 1)
+    seen = np.bincount(word_of, minlength=len(words))
+    hits = np.bincount(word_of, labels[doc_of], minlength=len(words))
     positive, n = max(labels.sum(), 1), max(len(labels) - labels.sum(), 1)
     odds = lambda a, b: np.log((a + 0.5) / (positive + 1)) - np.log((b + 0.5) / (n + 1))
     often = seen >= 2
@@ -184,10 +185,14 @@ def train(s: W.Words, labels: np.ndarray, updates: int, seed: int = 7, batch: in
     p["word"][1:, 0] = np.clip(0.5 * odds(hits, seen - hits)[often], -2, 2)
     at, mask, of = windows(s.first)
     number, row, grams, first, x = inputs(model, s)
-    gram_docs = np.unique(np.stack([grams[np.concatenate([np.arange(first[w], first[w + 1]) for w in pairs[:, 0]])],
-                                    np.repeat(pairs[:, 1], np.diff(first)[pairs[:, 0]])], 1), axis=0)
-    g_seen = np.bincount(gram_docs[:, 0], minlength=TRIGRAMS)
-    g_hits = np.bincount(gram_docs[:, 0], labels[gram_docs[:, 1]], minlength=TRIGRAMS)
+    g_seen, g_hits = np.zeros(TRIGRAMS), np.zeros(TRIGRAMS)
+    ends = np.searchsorted(doc_of, np.arange(0, s.n_docs + 200, 200))
+    for i, j in zip(ends[:-1], ends[1:]):                             # some documents at a time
+        length = np.diff(first)[word_of[i:j]]
+        at_gram = np.repeat(first[word_of[i:j]] - np.cumsum(length) + length, length) + np.arange(length.sum())
+        cells = np.unique(np.repeat(doc_of[i:j], length) * TRIGRAMS + grams[at_gram])
+        g_seen += np.bincount(cells % TRIGRAMS, minlength=TRIGRAMS)
+        g_hits += np.bincount(cells % TRIGRAMS, labels[cells // TRIGRAMS], minlength=TRIGRAMS)
     p["gram"][:, 0] = np.clip(0.5 * odds(g_hits, g_seen - g_hits), -2, 2) * (g_seen > 0)
     rng = np.random.Generator(np.random.PCG64(seed))
     m1, m2, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
