@@ -33,7 +33,7 @@ from relearn.llm.arrowutil import as_long, binary_list, binary_rows, hashes, mat
 from relearn.llm.common import cut
 from relearn.llm.components import components
 
-MINHASHES = 128
+MINHASHES = 96
 #: Bits of the bitmap that marks the documents whose sets are wanted: 2 MB, whatever the input; more set bits let more rows through.
 MARK_BITS = 1 << 24
 TREES, STARS, STAR_DEPTH = 12, 8, 4
@@ -235,8 +235,8 @@ def _positions(node: np.ndarray, second: float) -> Iterator[tuple[np.ndarray, np
     yield more, (first[more] + step) % MINHASHES
 
 
-def _branch(rows: DataFrame, percent: int, carry: bool) -> DataFrame:
-    """Children of the rows' nodes; ``carry`` keeps the tokens.  Rows without a node begin every tree."""
+def _branch(rows: DataFrame, percent: int) -> DataFrame:
+    """Children (node, key, comp) of the rows' nodes.  Rows without a node begin every tree."""
     second, root = 100 / percent - 1, "node" not in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -247,10 +247,8 @@ def _branch(rows: DataFrame, percent: int, carry: bool) -> DataFrame:
                 for rows_, at in _positions(node, second):
                     child = W.mix(W.mix(node[rows_] + at.astype(np.uint64)) ^ tokens[rows_, at])
                     take = pa.array(rows_)
-                    out = [as_long(child), key.take(take), batch.column("comp").take(take)]
-                    yield pa.RecordBatch.from_arrays(out + ([batch.column("tokens").take(take)] if carry else []),
-                                                     names=["node", "key", "comp"] + ["tokens"] * carry)
-    return rows.mapInArrow(run, "node long, key long, comp long" + ", tokens binary" * carry)
+                    yield pa.RecordBatch.from_arrays([as_long(child), key.take(take), batch.column("comp").take(take)], names=["node", "key", "comp"])
+    return rows.mapInArrow(run, "node long, key long, comp long")
 
 
 def _mixed(nodes: DataFrame) -> DataFrame:
@@ -299,16 +297,18 @@ def tree_pairs(classes: DataFrame, linked: DataFrame, percent: int) -> DataFrame
     spark = classes.sparkSession
     rows = (classes.join(linked.withColumnRenamed("node", "key"), "key", "left")
             .select("key", F.coalesce("component", "key").alias("comp"), "tokens"))
-    members = _mixed(_branch(rows, percent, carry=False)).join(classes.select("key", "tokens"), "key")
+    tokens = classes.select("key", "tokens")
+    members = _mixed(_branch(rows, percent))
     found = spark.createDataFrame([], "a long, b long")
     for depth in range(1, DEPTH + 1):
-        members = cut(members.select("node", "key", "comp", "tokens", "size"))
-        large = members.where(F.col("size") > LEAF)
-        found = found.unionByName(_exhaustive(members.where(F.col("size") <= LEAF).withColumn("side", F.lit(0)), percent))
+        members = cut(members.select("node", "key", "comp", "size"))
+        small, large = members.where(F.col("size") <= LEAF), members.where(F.col("size") > LEAF)
+        found = found.unionByName(_exhaustive(small.join(tokens, "key").withColumn("side", F.lit(0)), percent))
         if large.isEmpty():
             return found.distinct()
+        large = large.join(tokens, "key")
         if depth < DEPTH:
-            members = _mixed(_branch(large, percent, carry=True))
+            members = _mixed(_branch(large, percent))
     return found.unionByName(_exhaustive(_blocks(large, LEAF, "comp", "tokens"), percent)).distinct()
 
 
