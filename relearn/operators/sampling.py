@@ -2,8 +2,9 @@
 
 All random choices use the hash uniform ``U(seed, key)``: a row lands in the
 same split or arm on every run, after any repartition and after a retried
-task.  The assignments are plain deterministic expressions, so Catalyst can
-push the resulting filters into scans and no shuffle is needed.
+task.  The assignments are plain deterministic expressions, so no shuffle is
+needed; a hash can't be pushed into Parquet, so all rows of the needed columns
+are read.
 """
 
 from __future__ import annotations
