@@ -48,6 +48,10 @@ class _Powers:
         self.base, self.inverse = base, pow(base, -1, 1 << 64)
         self.up = self.down = np.ones(1, np.uint64)
 
+    def __getstate__(self) -> dict:
+        """Without the tables: what is sent to tasks stays small, they make their own."""
+        return {"base": self.base, "inverse": self.inverse, "up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+
     def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = 1 << (n - 1).bit_length()

@@ -36,6 +36,13 @@ def test_word_hashes_are_equal_only_for_equal_words():
     assert len(set(seen.values())) == len(seen) == 3050
 
 
+def test_power_tables_are_not_sent():
+    import pickle
+    W._byte_powers(1 << 16)
+    back = pickle.loads(pickle.dumps(W._byte_powers))
+    assert len(back.up) == 1 and (back(5)[0] == W._byte_powers(5)[0]).all()
+
+
 # -- op1 -----------------------------------------------------------------------------
 
 def test_language_held_out_accuracy(spark):
