@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from llm_fixtures import SF_SMALL, empty, odd  # noqa: F401
 from relearn.llm import licences, pieces, queries
-from relearn.llm.decontaminate import common_subsequence, decontaminate
+from relearn.llm.decontaminate import _leak, common_subsequence, decontaminate
 
 VOCABULARY = pieces.load()
 
@@ -111,6 +111,14 @@ def test_common_subsequence():
     assert common_subsequence([1, 2, 3, 2], [2, 3, 9, 2]) == 3 and common_subsequence([], [1]) == 0 and common_subsequence([1], []) == 0
 
 
+def test_the_last_stretch_ends_with_the_document():
+    item = list(range(1, 41))
+    for before in range(100):
+        assert _leak(item, set(item[-8:]), [0] * before + item) == 1
+    changed = [0 if k % 2 and k < 32 else w for k, w in enumerate(item)]       # half of the question, the whole answer
+    assert all(_leak(item, set(item[-8:]), [0] * before + changed) == 0.6 for before in range(100))
+
+
 def test_leaks_and_paraphrases_are_found(spark):
     import random
     rng = random.Random(2)
