@@ -141,6 +141,41 @@ def test_leaks_and_paraphrases_are_found(spark):
     assert {r.doc_id: r["items"] for r in out.collect() if r["items"]} == want
 
 
+def test_short_items_and_loose_paraphrases_match_brute_force(spark):
+    """Items of 5 to 38 words in longer texts, whole or with 50 to 70% of the words, against the word check of every pair."""
+    import random
+
+    import pyarrow as pa
+    from relearn.llm import decontaminate as D
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("bdgklmnrst") + rng.choice("aeiou") for _ in range(rng.choice([2, 3])))
+    vocabulary = [word() for _ in range(4000)]
+    prose = lambda n: [rng.choice(vocabulary[:50] if rng.random() < 0.4 else vocabulary) for _ in range(n)]
+    texts = [" ".join(prose(n - n // 4)) + ". " + " ".join(prose(n // 4)) + "." for n in (5, 7, 10, 16, 24, 38) for _ in range(5)]
+    docs, whole = [], set()
+    for d in range(400):
+        i, w = rng.randrange(30), prose(rng.randrange(80, 300))
+        leak, share = words(texts[i]), rng.choice([1, 1, 0.7, 0.6, 0.5])
+        for k in rng.sample(range(len(leak)), int(len(leak) * (1 - share))):
+            leak[k] = rng.choice(vocabulary)
+        if share == 1:
+            whole.add((d, i))
+        at = rng.randrange(len(w))
+        docs.append((d, " ".join(w[:at] + leak + w[at:])))
+    items, answers = D._items(pa.array(texts))
+    hashed, _ = D._items(pa.array([t for _, t in docs]))
+    brute = {(d, i) for d, w in enumerate(hashed) for i in range(30) if D._leak(items[i], answers[i], w)}
+    out = decontaminate(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(enumerate(texts)), "item_id long, text string"))
+    found = {(r.doc_id, i) for r in out.collect() for i in r["items"]}
+    assert whole <= found and len(brute) > len(whole) + 80 and len(found & brute) >= 0.95 * len(brute)
+
+
+def test_items_of_words_that_every_document_has_are_found(spark):
+    docs = spark.createDataFrame([(1, "what is the question here")], "doc_id long, text string")
+    out = decontaminate(docs, spark.createDataFrame([(5, "is the question"), (6, "an other thing")], "item_id long, text string"))
+    assert [r["items"] for r in out.collect()] == [[5]]
+
+
 def test_leak_query_matches_search_for_whole_items(spark):
     items = {r.item_id: words(r.text) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()}
     texts = {r.doc_id: " ".join(words(r.text)) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
