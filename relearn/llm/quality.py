@@ -1,9 +1,10 @@
 """Operator 7: robust multivariate outliers by the minimum covariance determinant (DataFrame functions only).
 
 Counts of each text become a vector of transformed statistics.  For every language and source a location and scatter
-are estimated from the half or more of the rows (``SHARE``) with the smallest covariance determinant: from two
-deterministic starts, concentration steps keep the rows nearest to the present estimate and estimate again; the start
-with the smaller determinant wins, then one reweighting step follows.  A row is rejected if its squared Mahalanobis
+are estimated from the half of the rows, (n + ``DIM`` + 1) / 2, with the smallest covariance determinant: from three
+deterministic starts (quartiles, moments, shortest halves), concentration steps keep the rows nearest to the present
+estimate and estimate again until the determinant stops falling (by ``SETTLED``); the start with the smallest
+determinant wins, then one reweighting step follows.  So up to nearly half of a group may be copies of one bad text.  A row is rejected if its squared Mahalanobis
 distance to its group's estimate is over ``CUTOFF``.
 
 "Nearest" is decided on a fixed grid of distances: counts per (group, grid cell) give the cell up to which rows
@@ -33,8 +34,7 @@ STATS = ["length", "symbols", "dup_lines", "repeats", "capitals", "size"]
 #: Standard deviations that every statistic has at least.
 FLOORS = [0.08, 0.3, 0.2, 0.15, 0.06, 0.7]
 DIM = len(STATS)
-SHARE = 0.75
-STEPS = 3
+SETTLED = 5e-3
 MIN_GROUP = 200
 #: Chi-square quantiles for six dimensions, 0.5, 0.975 and 0.999999.
 MEDIAN, WEIGHT, CUTOFF = 5.348, 14.449, 38.258
@@ -148,24 +148,37 @@ def _measured(rows: DataFrame, est: DataFrame) -> DataFrame:
     return out.withColumn("cell", F.floor(F.log2(1 + F.col("distance")) * GRID))
 
 
-def _cell_at(cells: DataFrame, keys: list[str], share: float, name: str) -> DataFrame:
-    """From counts ``n`` per cell: the first cell by which the share of a key's rows is reached."""
+def _cell_at(cells: DataFrame, keys: list[str], share: float, name: str, more: float = 0) -> DataFrame:
+    """From counts ``n`` per cell: the first cell by which the share of a key's rows, and ``more``, is reached."""
     w = Window.partitionBy(*keys)
     run = cells.withColumn("upto", F.sum("n").over(w.orderBy("cell"))).withColumn("all", F.sum("n").over(w))
-    return run.where(F.col("upto") >= share * F.col("all")).groupBy(*keys).agg(F.min("cell").alias(name))
+    return run.where(F.col("upto") >= share * F.col("all") + more).groupBy(*keys).agg(F.min("cell").alias(name))
 
 
-def _quartile_start(rows: DataFrame) -> DataFrame:
-    """Median and quartile range of every statistic, from counts on a grid."""
+def _shortest_halves(cells: DataFrame) -> DataFrame:
+    """From counts ``n`` per group, dim and cell: first and last cell (lo, hi) of the shortest run with half of the rows."""
+    w, unit = Window.partitionBy("group", "dim"), 1 << 20
+    before = F.col("upto") - F.col("n")
+    run = cells.withColumn("upto", F.sum("n").over(w.orderBy("cell"))).withColumn("all", F.sum("n").over(w)).withColumn("top", F.max("cell").over(w))
+    run = run.withColumn("prev", F.lag("cell").over(w.orderBy("cell"))).withColumn("place", F.floor(before * (2.0 * unit) / F.col("all")))
+    last = F.first("prev").over(w.orderBy("place").rangeBetween(unit, Window.unboundedFollowing))
+    run = run.withColumn("hi", F.coalesce(last, F.when(2 * before <= F.col("all"), F.col("top")))).where("hi is not null")
+    best = run.groupBy("group", "dim").agg(F.min(F.struct((F.col("hi") - F.col("cell")).alias("width"), "cell", "hi")).alias("b"))
+    return best.select("group", "dim", F.col("b.cell").alias("lo"), ((F.col("b.cell") + F.col("b.hi")) / 2).alias("mid"), F.col("b.hi").alias("hi"))
+
+
+def _grid_starts(rows: DataFrame) -> DataFrame:
+    """Median and quartile range (start 0), middle and length of the shortest half (2) of every statistic, from counts on a grid."""
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("dim"), F.floor(F.col(c) * GRID * 4).alias("cell")) for i, c in enumerate(STATS)]))
     cells = cut(rows.select("group", each.alias("e")).groupBy("group", "e.dim", "e.cell").agg(F.count("*").alias("n")))
-    at = reduce(lambda a, b: a.join(b, ["group", "dim"]), [_cell_at(cells, ["group", "dim"], q, n) for q, n in ((0.25, "lo"), (0.5, "mid"), (0.75, "hi"))])
+    quartiles = reduce(lambda a, b: a.join(b, ["group", "dim"]), [_cell_at(cells, ["group", "dim"], q, n) for q, n in ((0.25, "lo"), (0.5, "mid"), (0.75, "hi"))])
+    at = quartiles.withColumn("start", F.lit(0)).unionByName(_shortest_halves(cells).withColumn("start", F.lit(2)))
     scale = F.lit(GRID * 4.0)
     cols = []
     for i in range(DIM):
         cols.append(F.max(F.when(F.col("dim") == i, (F.col("mid") + 0.5) / scale)).alias(f"m_{i}"))
         cols.append((F.pow(F.max(F.when(F.col("dim") == i, (F.col("hi") - F.col("lo")) / scale)) / 1.349, F.lit(2)) + FLOORS[i] ** 2).alias(f"s_{i}_{i}"))
-    out = at.groupBy("group").agg(*cols).withColumn("start", F.lit(0))
+    out = at.groupBy("group", "start").agg(*cols)
     return out.withColumns({f"s_{i}_{j}": F.lit(0.0) for i, j in _pairs() if i != j})
 
 
@@ -179,13 +192,18 @@ def _scaled(rows: DataFrame, est: DataFrame) -> DataFrame:
 
 def robust_estimates(rows: DataFrame) -> DataFrame:
     """Location, scatter (inverse factor) and ``factor`` per group of the rows (group and the statistics)."""
-    first = _quartile_start(rows).unionByName(_moments(rows.withColumn("start", F.lit(1))))
-    est = _factor(first)
-    for _ in range(STEPS):
-        cells = _measured(rows, est).groupBy("group", "start", "cell").agg(F.count("*").alias("n"))
-        last = _cell_at(cells, ["group", "start"], SHARE, "last")
-        near = _measured(rows, est.join(last, ["group", "start"])).where("cell <= last")
-        est = _factor(_moments(near))
+    keys = ["group", "start"]
+    est, least = _factor(_grid_starts(rows).unionByName(_moments(rows.withColumn("start", F.lit(1))))), None
+    while True:
+        cells = _measured(rows, est).groupBy(*keys, "cell").agg(F.count("*").alias("n"))
+        last = _cell_at(cells, keys, 0.5, "last", (DIM + 1) / 2)
+        before, est = est, _factor(_moments(_measured(rows, est.join(last, keys)).where("cell <= last")))
+        both = est.join(before.select(*keys, F.col("det").alias("old")), keys)
+        fall, total = both.agg(F.max(F.col("old") - F.col("det")), F.sum("det")).first()
+        # a start is no subset, so two steps at least; on a grid steps could go round, so the sum has to fall too
+        if fall is None or least is not None and (fall <= SETTLED or total >= least):
+            break
+        least = total
     best = est.groupBy("group").agg(F.min(F.struct("det", "start")).alias("b")).select("group", F.col("b.start").alias("start"))
     est = _scaled(rows, est.join(best, ["group", "start"]))
     inner = _measured(rows, est).where(F.col("distance") <= WEIGHT * F.col("factor"))

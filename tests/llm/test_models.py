@@ -92,6 +92,30 @@ def test_quality_rejects_outliers_and_keeps_the_rest(spark):
     assert all(kept[i] for i in range(600)) and not any(kept[1000 + i] for i in range(20))
 
 
+def test_a_cluster_of_bad_copies_is_rejected(spark):
+    """Near copies of one text that passes the base rules, more than a third of one group."""
+    rng = np.random.default_rng(3)
+    def prose(n):
+        return " ".join("abcdefgh"[: 2 + int(rng.integers(6))] + str(int(rng.integers(100_000))) for _ in range(n))
+    good = [(i, prose(int(rng.integers(60, 400))), "en", "a") for i in range(300)]
+    bad = prose(90).replace(" ", " &%|# ")
+    rows = good + [(1000 + i, bad + f" copy{i}", "en", "a") for i in range(160)]
+    kept = {r.doc_id: r.kept for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(kept[i] for i in kept if i >= 1000) and sum(kept[i] for i in range(300)) >= 297
+
+
+def test_shortest_halves_match_brute_force(spark):
+    from relearn.llm.quality import _shortest_halves
+    rng = np.random.default_rng(5)
+    rows = [(g, d, int(c), int(rng.integers(1, 9))) for g in "ab" for d in range(3) for c in rng.choice(60, 3 + 7 * d, replace=False)]
+    got = {(r.group, r.dim): r.hi - r.lo for r in _shortest_halves(spark.createDataFrame(rows, "group string, dim int, cell long, n long")).collect()}
+    for key in got:
+        cells = sorted((c, n) for g, d, c, n in rows if (g, d) == key)
+        half = sum(n for _, n in cells) / 2
+        assert got[key] == min(e - b for b, _ in cells for e, _ in cells if sum(n for c, n in cells if b <= c <= e) >= half)
+    assert len(got) == 6
+
+
 def test_mahalanobis_distances_match_numpy(spark):
     """One group: the last reweighting step, from its own inner rows, done again with NumPy."""
     from relearn.llm import quality as Q
