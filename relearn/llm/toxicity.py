@@ -1,7 +1,8 @@
 """Operator 10: toxicity by a bidirectional gated recurrent network over all overlapping windows (see ``gru``).
 
-The network is fitted to a bounded sample of the labelled rows: per label at most ``SAMPLE`` documents of at most
-``SAMPLE_CHARS`` characters, chosen by a hash.  Scoring reads every whole text: windows of 32 words, a stride of 16;
+The network is fitted to a bounded sample of the labelled rows: per label at most ``SAMPLE`` documents of any length,
+chosen by a hash.  Up to ``SAMPLE_CHARS`` characters a document is read whole; a longer one gives ``PIECES`` pieces of
+as many characters together, spread evenly from its start to its end.  Scoring reads every whole text: windows of 32 words, a stride of 16;
 a document's score is that of its highest window.
 """
 
@@ -11,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -20,22 +21,28 @@ from relearn.llm import words as W
 
 #: Sampled documents of label 0 and 1 at most.
 SAMPLE = (3000, 1000)
-SAMPLE_CHARS = 6000
+SAMPLE_CHARS, PIECES = 24_000, 12
 UPDATES = 240
 THRESHOLD = 0.7
 
 
+def _spread(text: Column) -> Column:
+    """The text, of a long one its pieces."""
+    size, n = SAMPLE_CHARS // PIECES, F.length(text)
+    starts = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.floor(i * (n - size) / (PIECES - 1)).cast("int") + 1)
+    return F.when(n <= SAMPLE_CHARS, text).otherwise(F.array_join(F.transform(starts, lambda a: F.substring(text, a, F.lit(size))), " "))
+
+
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(text, toxic)`` of the sampled rows; of several labels of a document the largest counts, null ones don't."""
+    """``(text, toxic)`` of the sampled documents; of several labels of a document the largest counts, null ones don't."""
     marks = labels.where("toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    short = ids.where(F.length("text") <= SAMPLE_CHARS)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     at = F.xxhash64("doc_id", F.lit("sample"))
     rank = F.row_number().over(Window.partitionBy("toxic").orderBy(at, "doc_id"))
-    chosen = short.select("doc_id").join(marks, "doc_id").dropDuplicates(["doc_id"]).withColumn("rank", rank).where(F.col("rank") <= max(SAMPLE))
+    chosen = texts.select("doc_id").join(marks, "doc_id").dropDuplicates(["doc_id"]).withColumn("rank", rank).where(F.col("rank") <= max(SAMPLE))
     most = F.when(F.col("toxic") == 1, SAMPLE[1]).otherwise(SAMPLE[0])
     chosen = chosen.where(F.col("rank") <= most).select("doc_id", "toxic")
-    return short.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").select("text", "toxic")     # 4000 ids at most
+    return texts.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").select(_spread(F.col("text")).alias("text"), "toxic")     # 4000 ids at most
 
 
 def fit(rows: DataFrame, updates: int = UPDATES) -> gru.Model | float:

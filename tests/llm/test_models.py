@@ -189,6 +189,18 @@ def test_toxicity_edge_cases(spark, odd, empty):  # noqa: F811
     assert {r.score for r in toxicity.score(odd(), 0.0).collect()} == {0.0}
 
 
+def test_long_labelled_documents_are_sampled(spark):
+    """Toxic documents that are all long: they are in the sample, from start to end, each once."""
+    long = lambda i: f"first{i} " + "filler words " * 4000 + f"last{i}"
+    rows = [(i, f"some short text {i}") for i in range(20)] + [(100 + i, long(i)) for i in range(5)] + [(200, "mid " * 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i in {r[0] for r in rows}], "doc_id long, toxic int")
+    got = toxicity.sample(docs, labels).collect()
+    assert len(got) == 26 and all(len(r.text) <= toxicity.SAMPLE_CHARS + toxicity.PIECES for r in got)
+    assert {(r.text.split()[0], r.text.split()[-1]) for r in got if r.toxic} == {(f"first{i}", f"last{i}") for i in range(5)} | {("mid", "mid")}
+    assert isinstance(toxicity.fit(toxicity.sample(docs, labels), updates=1), gru.Model)
+
+
 # -- op5 -----------------------------------------------------------------------------
 
 def test_base_score_matches_brute_force_and_model_is_better(spark):
