@@ -14,10 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from relearn.llm import gru
 from relearn.llm import words as W
+from relearn.llm.common import cut
 
 #: Sampled documents of label 0 and 1 at most.
 SAMPLE = (3000, 1000)
@@ -34,15 +34,16 @@ def _spread(text: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``(text, toxic)`` of the sampled documents; of several labels of a document the largest counts, null ones don't."""
+    """``(text, toxic)`` of the sampled documents; of several labels of a document the largest counts, null ones don't.
+
+    Of rows that repeat a doc_id one is taken, that with the smallest text."""
     marks = labels.where("toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    labelled = cut(texts.select("doc_id").distinct().join(marks, "doc_id"))
     at = F.xxhash64("doc_id", F.lit("sample"))
-    rank = F.row_number().over(Window.partitionBy("toxic").orderBy(at, "doc_id"))
-    chosen = texts.select("doc_id").join(marks, "doc_id").dropDuplicates(["doc_id"]).withColumn("rank", rank).where(F.col("rank") <= max(SAMPLE))
-    most = F.when(F.col("toxic") == 1, SAMPLE[1]).otherwise(SAMPLE[0])
-    chosen = chosen.where(F.col("rank") <= most).select("doc_id", "toxic")
-    return texts.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").select(_spread(F.col("text")).alias("text"), "toxic")     # 4000 ids at most
+    chosen = [labelled.where(which).orderBy(at, "doc_id").limit(n) for which, n in zip(("toxic <> 1", "toxic = 1"), SAMPLE)]
+    found = texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id").select("doc_id", "toxic", _spread(F.col("text")).alias("text"))   # 4000 ids at most
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).orderBy("doc_id").select("text", "toxic")
 
 
 def fit(rows: DataFrame, updates: int = UPDATES) -> gru.Model | float:

@@ -192,7 +192,7 @@ def test_toxicity_edge_cases(spark, odd, empty):  # noqa: F811
 def test_long_labelled_documents_are_sampled(spark):
     """Toxic documents that are all long: they are in the sample, from start to end, each once."""
     long = lambda i: f"first{i} " + "filler words " * 4000 + f"last{i}"
-    rows = [(i, f"some short text {i}") for i in range(20)] + [(100 + i, long(i)) for i in range(5)] + [(200, "mid " * 3000)]
+    rows = [(i, f"some short text {i}") for i in range(20)] + [(100 + i, long(i)) for i in range(5)] + [(200, "mid " * 3000), (1, "some short text 1")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i >= 100)) for i in {r[0] for r in rows}], "doc_id long, toxic int")
     got = toxicity.sample(docs, labels).collect()
