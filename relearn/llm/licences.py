@@ -2,7 +2,8 @@
 
 A text is cut into segments at line ends and after sentence marks.  One segment, or several in a row, whose normalised
 words are a known licence sentence become that sentence's identifier; of several readings from one place the longest
-counts.  The text's identifiers, in order, are then matched with ordered rules: the first rule whose identifiers occur
+counts.  Other segments are read with slots: the clause on names with any holder (``CLAUSE``), and statements that
+something is licensed under a named licence (``STATED``) with other words around them, unless they are denied.  The text's identifiers, in order, are then matched with ordered rules: the first rule whose identifiers occur
 as a run takes them, until no rule matches.  Work is per text and linear in it; nothing is shuffled.
 """
 
@@ -67,9 +68,34 @@ SENTENCES = {
                  "this work is licensed under a creative commons attribution sharealike 4 0 international license"],
     "cc-by-nc": ["licensed under cc by nc 4 0", "this work is licensed under cc by nc 4 0",
                  "this work is licensed under a creative commons attribution noncommercial 4 0 international license"],
+    "cc-by-nd": ["licensed under cc by nd 4 0", "this work is licensed under cc by nd 4 0",
+                 "this work is licensed under a creative commons attribution noderivatives 4 0 international license"],
+    "cc-by-nc-sa": ["licensed under cc by nc sa 4 0", "this work is licensed under cc by nc sa 4 0",
+                    "this work is licensed under a creative commons attribution noncommercial sharealike 4 0 international license"],
+    "cc-by-nc-nd": ["licensed under cc by nc nd 4 0", "this work is licensed under cc by nc nd 4 0",
+                    "this work is licensed under a creative commons attribution noncommercial noderivatives 4 0 international license"],
     "cc0": ["cc0 1 0 universal", "licensed under cc0 1 0", "spdx license identifier cc0 1 0"],
     "unlicense": ["this is free and unencumbered software released into the public domain"],
 }
+for _key, _name, _version, _spdx in (("lgpl21", "lesser", "2 1", "lgpl 2 1"), ("lgpl3", "lesser", "3", "lgpl 3 0"), ("agpl3", "affero", "3", "agpl 3 0")):
+    _long = f"gnu {_name} general public license"
+    SENTENCES[f"{_key}-name"] = [f"{_long} version {_version}", f"licensed under the {_long} version {_version}", f"released under the {_long} version {_version}",
+                                 f"this work is licensed under the {_long} version {_version}", f"spdx license identifier {_spdx} only"]
+    SENTENCES[f"{_key}-later"] = [f"{_what} is free software you can redistribute it and or modify it under the terms of the {_long} as published by the free "
+                                  f"software foundation either version {_version} of the license or at your option any later version"
+                                  for _what in ("this program", "this library")] + [f"spdx license identifier {_spdx} or later"]
+
+# Names after "licensed under", with the identifier of the sentence; the more specific ones first.
+_VERSION = r"(?: licen[sc]e)? ?(?:version |v ?)?"
+_LATER = r" (?:of the license )?or (?:at your option )?(?:any )?(?:later|newer|above)"
+NAMES = [(f"{key}-{kind}", rf"(?:gnu )?(?:{long}|{short}){_VERSION}{version}{end}(?! \d)") for key, long, short, version in (
+    ("lgpl21", "lesser general public", "lgpl", "2 1"), ("lgpl3", "lesser general public", "lgpl", "3(?: 0)?"), ("agpl3", "affero general public", "agpl", "3(?: 0)?"),
+    ("gpl3", "general public", "gpl", "3(?: 0)?"), ("gpl2", "general public", "gpl", "2(?: 0)?")) for kind, end in (("later", _LATER), ("name", ""))] + [
+    ("mit-name", r"(?:mit|expat)(?: licen[sc]e|$)"), ("apache-name", rf"apache(?: software)?{_VERSION}2(?: 0)?"), ("mpl2-form", rf"(?:mozilla public|mpl){_VERSION}2(?: 0)?"),
+    ("bsd2-name", "(?:bsd 2 clause|2 clause bsd|simplified bsd)"), ("bsd3-name", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)"), ("isc-name", "isc(?: licen[sc]e|$)"),
+    *((f"cc-{code.replace(' ', '-')}", rf"(?:creative commons |cc )(?:{code}|{name})(?: license)? 4 0") for code, name in (
+        ("by nc sa", "attribution non ?commercial share ?alike"), ("by nc nd", "attribution non ?commercial no ?deriv(?:ative)?s"), ("by nc", "attribution non ?commercial"),
+        ("by sa", "attribution share ?alike"), ("by nd", "attribution no ?deriv(?:ative)?s"), ("by", "attribution"))), ("cc0", "(?:creative commons )?cc0(?: 1 0)?")]
 
 # Ordered rules, the more specific ones first.
 RULES = [
@@ -82,17 +108,20 @@ RULES = [
     ("GPL-2.0-or-later", ("gpl2-later", "gpl-useful", "gpl-received")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
+    *((f"{name}-or-later", (f"{key}-later", "gpl-useful")) for key, name in (("lgpl21", "LGPL-2.1"), ("lgpl3", "LGPL-3.0"), ("agpl3", "AGPL-3.0"))),
+    *((f"{name}-{end}", (f"{key}-{kind}",)) for key, name in (("lgpl21", "LGPL-2.1"), ("lgpl3", "LGPL-3.0"), ("agpl3", "AGPL-3.0"))
+      for end, kind in (("or-later", "later"), ("only", "name"))),
     ("GPL-3.0-or-later", ("gpl3-later",)), ("GPL-2.0-or-later", ("gpl2-later",)),
     ("GPL-3.0-only", ("gpl3-name",)), ("GPL-2.0-only", ("gpl2-name",)),
-    ("Apache-2.0", ("apache-name",)), ("MIT", ("mit-name",)), ("MIT", ("permission-grant",)), ("ISC", ("isc-grant",)),
+    ("Apache-2.0", ("apache-name",)), ("MIT", ("mit-name",)), ("MIT", ("permission-grant",)), ("ISC", ("isc-name", "isc-grant")), ("ISC", ("isc-grant",)), ("ISC", ("isc-name",)),
     ("BSD-3-Clause", ("bsd3-name",)), ("BSD-2-Clause", ("bsd2-name",)), ("MPL-2.0", ("mpl2-form",)),
-    ("CC-BY-NC-4.0", ("cc-by-nc",)), ("CC-BY-SA-4.0", ("cc-by-sa",)), ("CC-BY-4.0", ("cc-by",)), ("CC0-1.0", ("cc0",)), ("Unlicense", ("unlicense",)),
+    ("CC-BY-NC-SA-4.0", ("cc-by-nc-sa",)), ("CC-BY-NC-ND-4.0", ("cc-by-nc-nd",)), ("CC-BY-ND-4.0", ("cc-by-nd",)), ("CC-BY-NC-4.0", ("cc-by-nc",)), ("CC-BY-SA-4.0", ("cc-by-sa",)), ("CC-BY-4.0", ("cc-by",)), ("CC0-1.0", ("cc0",)), ("Unlicense", ("unlicense",)),
 ]
 
 _WORDS = re.compile(r"[^\W_]+")
 _CUT = re.compile(r"[\n\r]+|(?<=[.;:!?])\s+")
 #: Every known sentence has one of these stems, so other texts need no reading in detail (checked when the module loads).
-_STEMS = ("licen", "warrant", "permission", "copyright", "redistribut", "notice", "liab", "public domain", "cc0")
+_STEMS = ("licen", "warrant", "permission", "copyright", "redistribut", "notice", "liab", "public domain", "cc0", r"\bunder\b")
 _ANY_STEM = re.compile("|".join(_STEMS))
 
 
@@ -105,6 +134,32 @@ _PREFIXES = {" ".join(words[:i]) for words in (s.split() for s in KNOWN) for i i
 if not all(_ANY_STEM.search(s) for s in KNOWN):
     raise ValueError("a known sentence has none of the stems")
 
+_UNDER = r"\b(?:licen[sc]ed|released|distributed|available|published|provided|covered|redistributed) (?:\w+ ){0,4}?under (?:the )?(?:terms (?:and conditions )?of )?(?:the |an? )?"
+STATED = [(name, re.compile(_UNDER + "(?:" + pattern + r")\b")) for name, pattern in NAMES]
+_STATEMENT = re.compile(_UNDER)
+_DENIED = re.compile(r"\b(?:not|never|no longer|neither)(?: \w+){0,2} $")
+#: The clause on names: who is named is free, and so are line ends and full stops in the name.
+CLAUSE = re.compile(r"(?:\d )?(?:neither )?(?:the )?names? of .{1,300}? may (?:not )?be used to endorse or promote products derived from this software "
+                    r"without (?:specific )?prior written permission")
+_CLAUSE_START = re.compile(r"(?:\d )?(?:neither (?:the )?names? of|the names? of) ")
+_CLAUSE_SEGMENTS = 12
+
+
+def _with_slots(segments: list[tuple[str, int, int]], i: int) -> tuple[str, int, int, int] | None:
+    """The sentence with slots that begins with segment ``i``: identifier, first and last character, last segment."""
+    words = segments[i][0]
+    m = _STATEMENT.search(words)
+    if m and not _DENIED.search(words[:m.start()]):
+        name = next((name for name, pattern in STATED if pattern.search(words)), None)
+        if name:
+            return name, segments[i][1], segments[i][2], i
+    if _CLAUSE_START.match(words + " "):
+        for j in range(i, min(i + _CLAUSE_SEGMENTS, len(segments))):
+            words += " " + segments[j][0] if j > i else ""
+            if CLAUSE.match(words):
+                return "bsd-names", segments[i][1], segments[j][2], j
+    return None
+
 
 def sentences(text: str | None) -> list[tuple[str, int, int]]:
     """Known sentences of a text in order: identifier, first and last character (its end)."""
@@ -128,6 +183,7 @@ def sentences(text: str | None) -> list[tuple[str, int, int]]:
             if j == len(segments):
                 break
             words += " " + segments[j][0]
+        best = best or _with_slots(segments, i)
         if best:
             out.append(best[:3])
         i = best[3] + 1 if best else i + 1

@@ -88,6 +88,34 @@ def test_licence_sentences_and_rules():
     assert licences.sentences("A licence is not a licence. Licensed under nothing.") == []
 
 
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.
+"""
+
+
+@pytest.mark.parametrize("clause", [
+    "3. Neither the name of X Inc. nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.",
+    "* Neither the name of the University of Y nor the names of its contributors may be used to endorse or\npromote products derived from this software without "
+    "specific prior written permission.", "3. The name of the author may not be used to endorse or promote products derived from this software without prior written permission."])
+def test_third_clause_with_any_name(clause):
+    of = lambda text: [k for k, _ in licences.licences([n for n, _, _ in licences.sentences(text)])]
+    assert of(BSD + clause) == ["BSD-3-Clause"] and of(BSD) == ["BSD-2-Clause"]
+
+
+@pytest.mark.parametrize("line, licence", [
+    ("This file is licensed under the MIT license", "MIT"), ("The code here is distributed under the terms of the Apache License, Version 2.0, see below.", "Apache-2.0"),
+    ("This library is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1-only"), ("Our tool is released under the LGPL v3 or later.", "LGPL-3.0-or-later"),
+    ("Licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0-only"), ("All text is available under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
+    ("SPDX-License-Identifier: AGPL-3.0-or-later", "AGPL-3.0-or-later"),
+    ("Photos are licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 licence.", "CC-BY-NC-SA-4.0"), ("This is not licensed under the MIT license.", None),
+    ("Some of it was published under the MIT Press imprint of 1990.", None), ("It is distributed under the GPL.", None)])
+def test_licence_statements_with_other_words(line, licence):
+    found = licences.licences([n for n, _, _ in licences.sentences(f"Some text.\n{line}\nMore text.")])
+    assert [k for k, _ in found] == ([licence] if licence else [])
+
+
 def test_licences_match_plain_search(spark):
     lines = {"This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
              "Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0"}
