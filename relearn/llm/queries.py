@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relearn.functions.hashrand import hash_index, hash_uniform
-from relearn.llm import licences, lm, pieces, toxicity, url_filters
+from relearn.llm import licences, lm, merkle, pieces, secret_ledger, toxicity, url_filters
 from relearn.llm.common import documents, fold
 from relearn.llm.decontaminate import decontaminate
 from relearn.llm.language import dictionaries, identify
 from relearn.llm.near_dedup import near_duplicates
 from relearn.llm.quality import quality_rules
 from relearn.llm.substring_dedup import remove_repeats
+from relearn.session import checkpoint_path
 from relearn.sources.tables import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +88,28 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir))
 
 
+@register
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir))
+
+
+@register
+def op13_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as one version of a path, against a new ledger."""
+    ledger = checkpoint_path(spark, f"secrets-{uuid.uuid4().hex}")
+    out = secret_ledger.scan_history(documents(spark, sf_dir), ledger, ("doc_id",))
+    found, base = F.col("findings"), [r.kind for r in secret_ledger.BASE]
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def of(*kinds):
+        return F.filter(found, lambda x: x["kind"].isin(*kinds))
+    counts = [F.size(of(k)).cast("long").alias(f"n_{k}") for k in base]
+    own = joined(of(*base))
+    return out.select("doc_id", *counts, F.sha2(own.cast("binary"), 256).alias("base_sha256"), joined(found).alias("spans"))
+
+
 MONTH, LISTED, AGAIN, PREFIXED = 30 * 1440, 0.3, 0.5, 0.1
 
 
@@ -140,3 +164,67 @@ WITH p AS (SELECT page_id, url, {_index('fetch', MONTH, 'page_id')} AS fetched_a
 SELECT p.page_id, p.fetched_at, count(a.entry) > 0 AS blocked, count(DISTINCT a.entry) AS n_entries,
        coalesce(string_agg(DISTINCT a.entry, ',' ORDER BY a.entry), '') AS entries
 FROM p LEFT JOIN active a ON p.page_id = a.page_id GROUP BY p.page_id, p.fetched_at"""
+
+
+def _rule_spans(rule: secret_ledger.Rule, rank: int) -> str:
+    """Start and end (code points) of each match that counts, from the lengths of matches and of the text between them."""
+    p, g = rule.pattern.replace("'", "''"), f", {rule.group}" if rule.group else ""
+    return f"""
+SELECT doc_id, '{rule.kind}' AS kind, {rank} AS rank, upto - length(m[k]) AS a, upto AS b
+FROM (SELECT doc_id, m, g, k, CAST(list_sum(list_transform(s[1:k], lambda x: length(x))) + list_sum(list_transform(m[1:k], lambda x: length(x))) AS BIGINT) AS upto
+      FROM (SELECT doc_id, m, g, s, unnest(range(1, len(m) + 1)) AS k
+            FROM (SELECT doc_id, regexp_extract_all(t, '{p}') AS m, regexp_extract_all(t, '{p}'{g}) AS g, regexp_split_to_array(t, '{p}') AS s FROM d) WHERE len(m) > 0))
+WHERE length(g[k]) >= {rule.least}"""
+
+
+_JOINED = "coalesce(string_agg({}, ',' ORDER BY a, rank){}, '')"
+_SPAN = "kind || ':' || a || ':' || b"
+ORACLE["op13_secret_ledger"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+     f AS ({' UNION ALL '.join(_rule_spans(r, i) for i, r in enumerate(secret_ledger.RULES))})
+SELECT d.doc_id, {', '.join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in secret_ledger.BASE)},
+       sha256({_JOINED.format(_SPAN, f" FILTER (WHERE rank < {len(secret_ledger.BASE)})")}) AS base_sha256,
+       {_JOINED.format(_SPAN, " FILTER (WHERE kind IS NOT NULL)")} AS spans
+FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id"""
+
+_CRC = ("xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),"
+        " lambda crc, c: list_reduce([xor(crc, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)")
+
+
+def _leaf(text: str) -> str:
+    parts = [f"coalesce(strlen(CAST({v} AS VARCHAR)) || ':' || {v}, '-')" for v in ("doc_id", "source", "lang", "n_chars", text)]
+    return f"sha256({' || '.join(parts)})"
+
+
+ORACLE["op12_merkle_manifest"] = f"""
+WITH RECURSIVE l AS (SELECT doc_id, source, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, {_leaf('text')} AS leaf,
+            CASE WHEN {_CRC} % 5 = 0 THEN {_leaf(f"translate(text, '{merkle.CAPITALS}', '{merkle.SMALL}')")} ELSE {_leaf('text')} END AS bad FROM documents),
+     built AS (SELECT source, 0 AS level, pos, leaf AS h FROM l
+               UNION ALL
+               SELECT source, level + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos))
+               FROM (SELECT *, count(*) OVER (PARTITION BY source) AS n FROM built) WHERE n > 1 GROUP BY source, level, pos // 16),
+     subs AS (SELECT source, h, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place
+              FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY level DESC) AS r FROM built) WHERE r = 1),
+     tops AS (SELECT 0 AS level, place AS pos, h FROM subs
+              UNION ALL
+              SELECT level + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos))
+              FROM (SELECT *, count(*) OVER () AS n FROM tops) WHERE n > 1 GROUP BY level, pos // 16),
+     nodes AS (SELECT 0 AS stage, source, level, pos, h FROM built UNION ALL SELECT 1, NULL, level, pos, h FROM tops),
+     kin AS (SELECT stage, source, level, pos // 16 AS up, list(h ORDER BY pos) AS hs FROM nodes GROUP BY stage, source, level, pos // 16),
+     most AS (SELECT source, max(level) AS height FROM built GROUP BY source),
+     climb AS (SELECT doc_id, source, 0 AS stage, 0 AS level, pos, bad AS h, '' AS proof FROM l
+               UNION ALL
+               SELECT * FROM (
+                 SELECT c.doc_id, c.source, CASE WHEN done THEN 1 ELSE c.stage END, CASE WHEN done THEN 0 ELSE c.level + 1 END,
+                        CASE WHEN done THEN s.place ELSE c.pos // 16 END,
+                        CASE WHEN done THEN c.h ELSE sha256(array_to_string(k.hs[1:c.pos % 16], '') || c.h || array_to_string(k.hs[c.pos % 16 + 2:], '')) END,
+                        CASE WHEN done THEN c.proof ELSE c.proof || array_to_string(k.hs[1:c.pos % 16], '') || array_to_string(k.hs[c.pos % 16 + 2:], '') END
+                 FROM (SELECT c.*, c.stage = 0 AND c.level = m.height AS done FROM climb c JOIN most m ON c.source IS NOT DISTINCT FROM m.source
+                       WHERE c.stage = 0 OR c.level < (SELECT max(level) FROM tops)) c
+                 JOIN subs s ON s.source IS NOT DISTINCT FROM c.source
+                 LEFT JOIN kin k ON k.stage = c.stage AND k.level = c.level AND k.up = c.pos // 16
+                                    AND (c.stage = 1 OR k.source IS NOT DISTINCT FROM c.source)))
+SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, sha256(c.proof) AS proof_sha256, c.h AS folded_root, c.h = r.h AS verified
+FROM climb c JOIN l USING (doc_id) JOIN subs s ON s.source IS NOT DISTINCT FROM l.source
+JOIN (SELECT h FROM tops WHERE level = (SELECT max(level) FROM tops)) r ON true
+WHERE c.stage = 1 AND c.level = (SELECT max(level) FROM tops)"""
