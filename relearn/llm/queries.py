@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relearn.functions.hashrand import hash_index, hash_uniform
-from relearn.llm import licences, lm, merkle, pieces, secret_ledger, toxicity, url_filters
+from relearn.llm import licences, lm, merkle, pieces, secret_ledger, toxicity, url_filters, whitening
 from relearn.llm.common import documents, fold
 from relearn.llm.decontaminate import decontaminate
 from relearn.llm.language import dictionaries, identify
@@ -88,6 +88,11 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(documents(spark, sf_dir))
 
 
+@register
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(documents(spark, sf_dir))
