@@ -36,12 +36,15 @@ BROADCAST_BLOBS = 100_000
 
 @dataclass(frozen=True)
 class Rule:
-    """A pattern whose matches, leftmost and not overlapping, count if group ``group`` has ``least`` characters."""
+    """A pattern whose matches, leftmost and not overlapping, count if group ``group`` has ``least`` characters.
+
+    ``has`` is a string that every match contains: texts without it are passed over."""
     kind: str
     version: int
     pattern: str
     group: int = 0
     least: int = 0
+    has: str = ""
 
 
 def _any_case(word: str) -> str:
@@ -52,18 +55,18 @@ _NAMES = "|".join(map(_any_case, ("password", "passwd", "secret", "token", "api_
 #: The base rules.  Runs shorter than 18 and 16 can't become longer by starting later, so these bounds are in the pattern.
 BASE = (
     Rule("assign", 1, f"""({_NAMES})["']?\\x20*[:=]\\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
-    Rule("access", 1, "AKIA[A-Z0-9]{14,}"),
+    Rule("access", 1, "AKIA[A-Z0-9]{14,}", has="AKIA"),
     Rule("hex", 1, "[0-9a-f]{16,}"),
 )
 #: Public formats of credentials.
 MORE = (
-    Rule("pem", 1, "-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----"),
-    Rule("jwt", 1, "eyJ[A-Za-z0-9_-]{10,1000}[.]eyJ[A-Za-z0-9_-]{10,1000}[.][A-Za-z0-9_-]{10,1000}"),
-    Rule("github", 1, "gh[pousr]_[A-Za-z0-9]{36,}"),
-    Rule("slack", 1, "xox[abeprs]-[A-Za-z0-9-]{10,}"),
-    Rule("google", 1, "AIza[A-Za-z0-9_-]{35}"),
-    Rule("stripe", 1, "[rs]k_live_[A-Za-z0-9]{24,}"),
-    Rule("login", 1, "://[^\\x00-\\x20/:@]{1,64}:[^\\x00-\\x20/:@]{1,64}@"),
+    Rule("pem", 1, "-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----", has="PRIVATE KEY-----"),
+    Rule("jwt", 1, "eyJ[A-Za-z0-9_-]{10,1000}[.]eyJ[A-Za-z0-9_-]{10,1000}[.][A-Za-z0-9_-]{10,1000}", has="eyJ"),
+    Rule("github", 1, "gh[pousr]_[A-Za-z0-9]{36,}", has="gh"),
+    Rule("slack", 1, "xox[abeprs]-[A-Za-z0-9-]{10,}", has="xox"),
+    Rule("google", 1, "AIza[A-Za-z0-9_-]{35}", has="AIza"),
+    Rule("stripe", 1, "[rs]k_live_[A-Za-z0-9]{24,}", has="k_live_"),
+    Rule("login", 1, "://[^\\x00-\\x20/:@]{1,64}:[^\\x00-\\x20/:@]{1,64}@", has="://"),
 )
 RULES = BASE + MORE
 KINDS = [r.kind for r in RULES]
@@ -106,7 +109,7 @@ def _matches(rule: Rule, text: Column) -> Column:
 def scan(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """Findings of ``texts`` (blob, text, kinds): one row per blob and kind that has one; ``kinds`` are those to look for."""
     text = F.col("text")
-    each = [F.when(F.array_contains("kinds", r.kind), _matches(r, text)) for r in rules]
+    each = [F.when(F.array_contains("kinds", r.kind) & F.contains(text, F.lit(r.has)), _matches(r, text)) for r in rules]
     hits = texts.select("blob", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull() & x["matches"].isNotNull())).alias("h"))
     rows = hits.select("blob", "h.kind", "h.version", F.posexplode("h.matches").alias("k", "m"))
     upto = F.sum(F.col("m.gap") + F.col("m.size")).over(Window.partitionBy("blob", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0))

@@ -2,12 +2,12 @@
 
 Vectors become integers x = floor(64 * c) + ``SHIFT``.  The leading eigenvectors of their covariance are found without
 ever forming it: a pass multiplies a block Q of ``WANTED`` + ``GUARD`` columns by the centred XᵀX, each task over its
-blocks of rows.  A polynomial recurrence of ``DEGREE`` passes damps the unwanted part of the spectrum, between a lower
+blocks of rows.  A polynomial recurrence of up to ``DEGREE`` passes damps the unwanted part of the spectrum, between a lower
 bound (a few Lanczos passes) and the block's smallest Ritz value; then QR and a Rayleigh-Ritz step turn the block to
 its best eigenvectors.  This repeats until the wanted pairs are certified: every residual |VQ - Qe| is at most
 ``CERTIFIED`` of the largest eigenvalue and no longer falls, and a fresh random block outside the found space, filtered
 in the same way, holds no larger eigenvalue than the wanted ones.  Without a certificate after ``MOST`` rounds the
-operator raises an error instead of returning rows.
+operator raises an error instead of returning rows.  Where one direction dominates, rounds are shorter (``SPREAD``).
 
 Rows are read as long blocks of integers from the shared checkpoint folder; what a pass gathers is one matrix (dimensions x columns) per task, added up by tasks
 until at most ``FAN_IN`` are left for the driver, whatever the number of rows.  Sums of x are exact integers, so means
@@ -36,6 +36,8 @@ from relearn.llm.common import cut
 SCALE, SHIFT, BOUND = 64.0, 1_000_000, 1 << 48
 WANTED, GUARD = 32, 16
 DEGREE, LANCZOS, MOST = 12, 10, 60
+#: Most that the filter may raise the largest eigenvalue over the last wanted one; beyond it QR would lose the latter.
+SPREAD = 1e18
 CERTIFIED, RANK = 1e-12, 1e-11
 FAN_IN = 16
 #: Bytes of x in a block, and of blocks in a partition, about.
@@ -167,12 +169,16 @@ def _lower_bound(m: Moments, rng: np.random.Generator) -> float:
     return max(0.0, float(np.linalg.eigvalsh(t)[0]) - norm)
 
 
-def _filtered(m: Moments, q: np.ndarray, low: float, high: float, top: float) -> np.ndarray:
-    """The Chebyshev polynomial that is small on [low, high] and 1 at ``top``, of the covariance, times ``q``."""
+def _filtered(m: Moments, q: np.ndarray, low: float, high: float, top: float, last: float) -> np.ndarray:
+    """The Chebyshev polynomial that is small on [low, high] and 1 at ``top``, of the covariance, times ``q``.
+
+    ``last`` is the smallest value wanted: it and ``top`` bound the degree."""
     half, mid = (high - low) / 2, (high + low) / 2
+    gain = np.arccosh((top - mid) / half) - np.arccosh(max((last - mid) / half, 1.0))
+    degree = int(np.clip(np.log(SPREAD) / max(gain, 1e-9), 2, DEGREE))
     first = sigma = half / (top - mid)
     old, new = q, (m.product(q) - mid * q) * (sigma / half)
-    for _ in range(DEGREE - 1):
+    for _ in range(degree - 1):
         step = 1 / (2 / first - sigma)
         old, new, sigma = new, (m.product(new) - mid * new) * (2 * step / half) - (sigma * step) * old, step
     return new
@@ -208,7 +214,7 @@ def eigenpairs(m: Moments, wanted: int = WANTED, guard: int = GUARD, seed: int =
             fresh = rng.standard_normal((m.dim, min(8, m.dim - width)))
             fresh = fresh - q @ (q.T @ fresh)
             if not whole:
-                fresh = _filtered(m, fresh, low, high, top)
+                fresh = _filtered(m, fresh, low, high, top, values[wanted - 1])
                 fresh = fresh - q @ (q.T @ fresh)
             outside, found, _ = _ritz(m, fresh - q @ (q.T @ fresh))
             if outside[0] <= max(values[wanted - 1], RANK * top) * (1 + 1e-9):
@@ -218,7 +224,7 @@ def eigenpairs(m: Moments, wanted: int = WANTED, guard: int = GUARD, seed: int =
             continue
         best = min(best, residual)
         low = min(low, high / 2)
-        values, q, residuals = _ritz(m, q if whole else _filtered(m, q, low, high, top))
+        values, q, residuals = _ritz(m, q if whole else _filtered(m, q, low, high, top, values[wanted - 1]))
     raise RuntimeError(f"eigenpairs not certified after {m.passes} passes: residual {residual:.3g}")
 
 
