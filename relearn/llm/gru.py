@@ -2,7 +2,9 @@
 
 A word's input is its own embedding (words seen in training) plus the mean embedding of its hashed character
 trigrams.  Two gated recurrent layers read a window of words in both directions, attention pools their states, a
-logistic unit gives the window's logit.  A document's logit is that of its highest window.
+logistic unit gives the window's logit.  A document's logit is that of its highest window, and an epoch of training
+takes the highest window of every document: words of two documents or more get embeddings, the first embedding
+dimension starts from log odds, so the first epoch already takes windows with telling words.
 """
 
 from __future__ import annotations
@@ -164,66 +166,117 @@ def start(vocabulary: np.ndarray, seed: int) -> Model:
     return Model(vocabulary, p)
 
 
-def train(s: W.Words, labels: np.ndarray, updates: int, seed: int = 7, batch: int = 128, rate: float = 0.01) -> Model:
-    """Fits a model to labelled documents: each epoch takes the highest window of every document (Adam,
-    at least ``updates`` steps in whole epochs).
+@dataclass
+class Highest:
+    """The highest window of each document: word rows and mask (documents x WINDOW) and, word by word, its trigram
+    buckets with their shares of the word's trigrams."""
+    doc: np.ndarray       # document numbers
+    rows: np.ndarray
+    mask: np.ndarray
+    first: np.ndarray     # of the flattened words: each one's first bucket, one more at the end
+    grams: np.ndarray
+    share: np.ndarray
+
+    def take(self, at: np.ndarray) -> Highest:
+        word = (at[:, None] * WINDOW + np.arange(WINDOW)).ravel()
+        size = self.first[word + 1] - self.first[word]
+        first = np.r_[0, np.cumsum(size)]
+        cells = np.repeat(self.first[word] - first[:-1], size) + np.arange(first[-1])
+        return Highest(self.doc[at], self.rows[at], self.mask[at], first, self.grams[cells], self.share[cells])
+
+
+def highest(model: Model, s: W.Words, by_odds: bool, most: int = 1 << 14) -> Highest:
+    """The highest windows of a slice's documents that have words; ``by_odds``: by the largest log odds of a word
+    (first embedding dimension), for an untrained network."""
+    at, mask, doc = windows(s.first)
+    number, row, grams, first, x = inputs(model, s)
+    parts = [slice(i, i + most) for i in range(0, len(at), most)]
+    logits = [(x[number[at[k]], 0] * mask[k]).max(1) if by_odds else forward(model.p, x, number[at[k]], mask[k]) for k in parts]
+    order = np.lexsort((np.concatenate(logits), doc)) if parts else np.zeros(0, np.int64)
+    top = order[np.r_[doc[order][1:] != doc[order][:-1], True]] if parts else order
+    chosen, mask = number[at[top]], mask[top]
+    words, which = np.unique(chosen, return_inverse=True)
+    length = first[words + 1] - first[words]
+    begin = np.r_[0, np.cumsum(length)]
+    of = np.repeat(np.arange(len(words)), length)
+    cells, count = np.unique(of * TRIGRAMS + grams[np.repeat(first[words] - begin[:-1], length) + np.arange(begin[-1])], return_counts=True)
+    bounds = np.searchsorted(cells, np.arange(len(words) + 1) * TRIGRAMS)
+    which = which.ravel()
+    size = (bounds[1:] - bounds[:-1])[which]
+    ends = np.r_[0, np.cumsum(size)]
+    flat = np.repeat(bounds[which] - ends[:-1], size) + np.arange(ends[-1])
+    share = count / np.maximum(length[cells // TRIGRAMS], 1)
+    return Highest(doc[top], row[chosen], mask, ends, cells[flat] % TRIGRAMS, share[flat].astype(np.float32))
+
+
+def documents_with(s: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What the documents of a slice contain, each pair once: (document, word hash) and (document, trigram bucket)."""
+    words, at, number = np.unique(s.hash, return_index=True, return_inverse=True)
+    pairs = np.unique(s.doc() * max(len(words), 1) + number)
+    word, doc = pairs % max(len(words), 1), pairs // max(len(words), 1)
+    grams, first = trigrams(s, at)
+    length = np.diff(first)
+    cells = np.unique(np.repeat(np.arange(len(words)), length) * TRIGRAMS + grams)      # a word's buckets, each once
+    bounds = np.searchsorted(cells, np.arange(len(words) + 1) * TRIGRAMS)
+    size = np.diff(bounds)[word]
+    ends = np.cumsum(size)
+    in_doc, in_gram, i = [], [], 0
+    while i < len(word):                                              # some pairs at a time
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + (1 << 20), "right")))
+        start = np.cumsum(size[i:j]) - size[i:j]
+        flat = np.repeat(bounds[word[i:j]] - start, size[i:j]) + np.arange(size[i:j].sum())
+        found = np.unique(np.repeat(doc[i:j], size[i:j]) * TRIGRAMS + cells[flat] % TRIGRAMS)
+        in_doc.append(found // TRIGRAMS)
+        in_gram.append(found % TRIGRAMS)
+        i = j
+    both = np.unique(np.concatenate(in_doc) * TRIGRAMS + np.concatenate(in_gram)) if in_doc else np.zeros(0, np.int64)
+    return doc, words[word], both // TRIGRAMS, both % TRIGRAMS
 
-    The first embedding dimension starts from the log odds of a word's and a trigram's documents, so the first epoch
-    already takes windows with telling words.  Words of two documents or more get embeddings.
-    """
-    doc = s.doc()
-    words, number = np.unique(s.hash, return_inverse=True)
-    pairs = np.unique(doc * max(len(words), 1) + number)              # a document's words, each once
-    word_of, doc_of = pairs % max(len(words), 1), pairs // max(len(words), 1)
-    seen = np.bincount(word_of, minlength=len(words))
-    hits = np.bincount(word_of, labels[doc_of], minlength=len(words))
+
+def from_counts(labels: np.ndarray, words: tuple[np.ndarray, np.ndarray, np.ndarray], grams: tuple[np.ndarray, np.ndarray, np.ndarray], seed: int = 7) -> Model:
+    """An untrained model whose first embedding dimension is the log odds of a word's and a trigram's documents.
+
+    ``words`` are hashes, ``grams`` buckets, each with the numbers of documents, and of those of label 1, that have it."""
     positive, n = max(labels.sum(), 1), max(len(labels) - labels.sum(), 1)
     odds = lambda a, b: np.log((a + 0.5) / (positive + 1)) - np.log((b + 0.5) / (n + 1))
-    often = seen >= 2
-    model = start(words[often], seed)
-    p = model.p
-    p["word"][1:, 0] = np.clip(0.5 * odds(hits, seen - hits)[often], -2, 2)
-    at, mask, of = windows(s.first)
-    number, row, grams, first, x = inputs(model, s)
+    order = np.argsort(words[0])
+    model = start(words[0][order], seed)
+    seen, hits = words[1][order], words[2][order]
+    model.p["word"][1:, 0] = np.clip(0.5 * odds(hits, seen - hits), -2, 2)
     g_seen, g_hits = np.zeros(TRIGRAMS), np.zeros(TRIGRAMS)
-    ends = np.searchsorted(doc_of, np.arange(0, s.n_docs + 200, 200))
-    for i, j in zip(ends[:-1], ends[1:]):                             # some documents at a time
-        length = np.diff(first)[word_of[i:j]]
-        at_gram = np.repeat(first[word_of[i:j]] - np.cumsum(length) + length, length) + np.arange(length.sum())
-        cells = np.unique(np.repeat(doc_of[i:j], length) * TRIGRAMS + grams[at_gram])
-        g_seen += np.bincount(cells % TRIGRAMS, minlength=TRIGRAMS)
-        g_hits += np.bincount(cells % TRIGRAMS, labels[cells // TRIGRAMS], minlength=TRIGRAMS)
-    p["gram"][:, 0] = np.clip(0.5 * odds(g_hits, g_seen - g_hits), -2, 2) * (g_seen > 0)
-    rng = np.random.Generator(np.random.PCG64(seed))
-    m1, m2, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
-    length = np.diff(first)[:, None].astype(np.float32)
-    batches = -(-np.count_nonzero(np.diff(s.first)) // batch)
-    for epoch in range(-(-updates // batches) if batches else 0):
-        x = inputs(model, s)[4]
-        logits = np.concatenate([forward(p, x, number[at[i:i + 4096]], mask[i:i + 4096]) for i in range(0, len(at), 4096)])
-        if epoch == 0:        # by the log odds alone, while the network is untrained
-            logits = (x[number[at], 0] * mask).max(1)
-        order = np.lexsort((logits, of))
-        top = order[np.r_[of[order][1:] != of[order][:-1], True]]
-        top = top[rng.permutation(len(top))]
-        for i in range(0, len(top), batch):
-            rows = top[i:i + batch]
-            words_ = np.unique(number[at[rows]])
-            local = np.searchsorted(words_, number[at[rows]])
-            spans = [np.arange(first[w], first[w + 1]) for w in words_]
-            g_at, g_first = np.concatenate(spans), np.r_[0, np.cumsum([len(k) for k in spans])]
-            xb = p["word"][row[words_]] + np.add.reduceat(p["gram"][grams[g_at]], g_first[:-1]) / length[words_]
-            keep: dict = {}
-            y = labels[of[rows]].astype(np.float32)
-            logit = forward(p, xb, local, mask[rows], keep)
-            g, d_x = backward(p, xb, local, keep, (_sigmoid(logit) - y) / len(rows))
-            g["word"], g["gram"] = np.zeros_like(p["word"]), np.zeros_like(p["gram"])
-            np.add.at(g["word"], row[words_], d_x)
-            np.add.at(g["gram"], grams[g_at], np.repeat(d_x / length[words_], np.diff(g_first), axis=0))
-            g["word"][0] = 0
-            step += 1
-            for k in p:
-                m1[k] += 0.1 * (g[k] - m1[k])
-                m2[k] += 0.01 * (g[k] * g[k] - m2[k])
-                p[k] -= (rate * (m1[k] / (1 - 0.9 ** step)) / (np.sqrt(m2[k] / (1 - 0.99 ** step)) + 1e-6)).astype(np.float32)
+    g_seen[grams[0]], g_hits[grams[0]] = grams[1], grams[2]
+    model.p["gram"][:, 0] = np.clip(0.5 * odds(g_hits, g_seen - g_hits), -2, 2) * (g_seen > 0)
     return model
+
+
+class Adam:
+    """Steps on batches of highest windows; keeps the moments between epochs."""
+
+    def __init__(self, model: Model, rate: float = 0.01, seed: int = 7):
+        self.p, self.rate, self.step = model.p, rate, 0
+        self.m1, self.m2 = ({k: np.zeros_like(v) for k, v in model.p.items()} for _ in range(2))
+        self.rng = np.random.Generator(np.random.PCG64(seed))
+
+    def epoch(self, tops: Highest, labels: np.ndarray, batch: int) -> None:
+        """One step for every ``batch`` windows in random order; ``labels`` are those of the windows."""
+        order = self.rng.permutation(len(labels))
+        for i in range(0, len(order), batch):
+            self._update(tops.take(order[i:i + batch]), labels[order[i:i + batch]].astype(np.float32))
+
+    def _update(self, b: Highest, y: np.ndarray) -> None:
+        p, n = self.p, len(y)
+        weighted = np.add.reduceat(p["gram"][b.grams] * b.share[:, None], b.first[:-1])
+        x = p["word"][b.rows.ravel()] + weighted
+        keep: dict = {}
+        at = np.arange(n * WINDOW).reshape(n, WINDOW)
+        logit = forward(p, x, at, b.mask, keep)
+        g, d_x = backward(p, x, at, keep, (_sigmoid(logit) - y) / n)
+        g["word"], g["gram"] = np.zeros_like(p["word"]), np.zeros_like(p["gram"])
+        np.add.at(g["word"], b.rows.ravel(), d_x)
+        np.add.at(g["gram"], b.grams, np.repeat(d_x, np.diff(b.first), axis=0) * b.share[:, None])
+        g["word"][0] = 0
+        self.step += 1
+        for k in p:
+            self.m1[k] += 0.1 * (g[k] - self.m1[k])
+            self.m2[k] += 0.01 * (g[k] * g[k] - self.m2[k])
+            p[k] -= (self.rate * (self.m1[k] / (1 - 0.9 ** self.step)) / (np.sqrt(self.m2[k] / (1 - 0.99 ** self.step)) + 1e-6)).astype(np.float32)

@@ -1,5 +1,6 @@
 import collections
 import math
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -196,9 +197,81 @@ def test_long_labelled_documents_are_sampled(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i >= 100)) for i in {r[0] for r in rows}], "doc_id long, toxic int")
     got = toxicity.sample(docs, labels).collect()
-    assert len(got) == 26 and all(len(r.text) <= toxicity.SAMPLE_CHARS + toxicity.PIECES for r in got)
-    assert {(r.text.split()[0], r.text.split()[-1]) for r in got if r.toxic} == {(f"first{i}", f"last{i}") for i in range(5)} | {("mid", "mid")}
-    assert isinstance(toxicity.fit(toxicity.sample(docs, labels), updates=1), gru.Model)
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(set(rows))
+    model = toxicity.fit(toxicity.sample(docs, labels), updates=1)
+    assert {*hashed("filler words some")} <= set(model.vocabulary.tolist()) and not {*hashed("mid")} & set(model.vocabulary.tolist())
+
+
+def hashed(text):
+    (s,) = W.slices(pa.array([text]), lower=True, space=W.NOT_ALPHANUMERIC)
+    return s.hash.tolist()
+
+
+def plain_logit(model, text):
+    """The highest window's logit, word by word and state by state."""
+    p = {k: v.astype(np.float64) for k, v in model.p.items()}
+    row = {h: i + 1 for i, h in enumerate(model.vocabulary.tolist())}
+    ws = re.findall(r"[a-z0-9\x80-\U0010ffff]+", lower(text))
+    vectors = []
+    for w in ws:
+        codes = [1, *w.encode(), 2]
+        grams = [int(W.mix(np.array([(a << 16) | (b << 8) | c], np.uint64))[0]) % gru.TRIGRAMS for a, b, c in zip(codes, codes[1:], codes[2:])]
+        vectors.append(p["word"][row.get(hashed(w)[0], 0)] + np.mean([p["gram"][g] for g in grams], 0))
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    best, n, h = -np.inf, len(ws), gru.HIDDEN
+    for k in range(max(1, -(-(n - gru.WINDOW) // gru.STRIDE) + 1) if n else 0):
+        a = min(k * gru.STRIDE, max(n - gru.WINDOW, 0))
+        window, states = vectors[a:a + gru.WINDOW], []
+        for side, seq in (("f", window), ("b", window[::-1])):
+            state, out = np.zeros(h), []
+            for x in seq:
+                g, r = x @ p[f"w_{side}"] + p[f"c_{side}"], state @ p[f"u_{side}"]
+                z, reset = sigmoid(g[:h] + r[:h]), sigmoid(g[h:2 * h] + r[h:2 * h])
+                state = z * state + (1 - z) * np.tanh(g[2 * h:] + reset * r[2 * h:])
+                out.append(state)
+            states.append(out if side == "f" else out[::-1])
+        both = np.array([np.r_[f, b] for f, b in zip(*states)])
+        e = np.exp(np.tanh(both @ p["attend"] + p["attend_c"]) @ p["attend_v"])
+        best = max(best, float((e / e.sum()) @ both @ p["out"] + p["out_c"][0]))
+    return best
+
+
+def test_scores_are_those_of_a_plain_network(spark, odd):  # noqa: F811
+    docs = documents(spark, SF_SMALL).where("length(text) < 1500").limit(25).select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet").select("doc_id", "toxic")
+    model = toxicity.fit(toxicity.sample(documents(spark, SF_SMALL), labels), updates=30)
+    texts = {r.doc_id: r.text for r in docs.collect()} | {-1: "Émigré ÉTÉ x " * 30, -2: "", -3: "!?", -4: "one"}
+    rows = toxicity.score(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), model).collect()
+    for r in rows:
+        want = plain_logit(model, texts[r.doc_id])
+        assert r.score == pytest.approx(1 / (1 + np.exp(-want)) if want > -np.inf else 0.0, abs=2e-4)
+
+
+def test_highest_windows_hold_their_trigrams():
+    (s,) = W.slices(pa.array(["a few words to read " * 9, "", "x", "more of them " * 30]), lower=True, space=W.NOT_ALPHANUMERIC)
+    model = gru.start(np.unique(s.hash)[::2], 1)
+    for by_odds in (True, False):
+        t = gru.highest(model, s, by_odds)
+        x = model.p["word"][t.rows.ravel()] + np.add.reduceat(model.p["gram"][t.grams] * t.share[:, None], t.first[:-1])
+        logits = gru.forward(model.p, x, np.arange(len(x)).reshape(-1, gru.WINDOW), t.mask)
+        assert t.doc.tolist() == [0, 2, 3]
+        if not by_odds:
+            assert np.allclose(logits, gru.document_logits(model, s)[t.doc], atol=1e-5)
+        part = t.take(np.array([2, 0]))
+        assert (part.rows == t.rows[[2, 0]]).all() and part.first[-1] == len(part.grams)
+
+
+def test_document_counts_of_words_and_trigrams():
+    texts = ["some some words", "words", "", "here are other words and some"]
+    (s,) = W.slices(pa.array(texts), lower=True, space=W.NOT_ALPHANUMERIC)
+    doc, word, in_gram, gram = gru.documents_with(s)
+    assert sorted(zip(doc.tolist(), word.tolist())) == sorted((i, h) for i, t in enumerate(texts) for h in (set(hashed(t)) if t else ()))
+    want = set()
+    for i, t in enumerate(texts):
+        if t:
+            (one,) = W.slices(pa.array([t]), lower=True, space=W.NOT_ALPHANUMERIC)
+            want |= {(i, g) for g in gru.trigrams(one, np.arange(len(one.hash)))[0].tolist()}
+    assert sorted(zip(in_gram.tolist(), gram.tolist())) == sorted(want)
 
 
 # -- op5 -----------------------------------------------------------------------------
