@@ -112,6 +112,11 @@ def _top60(seed: str, keys, method: str | None) -> Column:
     raise ValueError(f"unknown hash method {m!r}; use one of {HASH_METHODS}")
 
 
+def hash_bits(seed: str, *keys, method: str | None = None) -> Column:
+    """``U(seed, keys...) * 2^32`` as a bigint."""
+    return _top32(seed, keys, method)
+
+
 def hash_uniform(seed: str, *keys, method: str | None = None) -> Column:
     """``U(seed, keys...)``: a uniform double in [0, 1) fixed by the row key.
 

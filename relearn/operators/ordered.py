@@ -77,19 +77,22 @@ def global_rank(df: DataFrame, order_cols: Sequence[str], out: str = "rank",
     The ranked rows and the per-range sizes are two branches of one plan, so
     both must see the same ranges.  With ``uniform_first`` (the first order
     key is a hash uniform in [0, 1)) the ranges are deterministic buckets of
-    it.  Otherwise the range-partitioned rows are checkpointed to the shared
+    it, and their sizes are counted beforehand and checkpointed, so the plan
+    returned reads its input once.  Otherwise the range-partitioned rows are checkpointed to the shared
     checkpoint folder once (sampled range bounds are not repeatable across
     branches), and both branches read that copy.
     """
+    from relearn.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     if uniform_first:
         tagged = uniform_parts(df, order_cols[0], num_parts)
     else:
-        from relearn.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
         tagged = range_parts(df, order_cols, group_cols, num_parts).checkpoint(eager=True)
+    sizes = tagged.groupBy(*group_cols, PART).agg(F.count(F.lit(1)).alias("__n"))
+    if uniform_first:
+        sizes = sizes.checkpoint(eager=True)
     local_w = Window.partitionBy(*group_cols, PART).orderBy(*order_cols)
     tagged = tagged.withColumn("__local", F.row_number().over(local_w) - 1)
-    sizes = tagged.groupBy(*group_cols, PART).agg(F.count(F.lit(1)).alias("__n"))
     offsets = range_offsets(sizes, group_cols, ["__n"]).select(*group_cols, PART, "off___n")
     # Without groups the offsets table has exactly one row per range (bounded
     # by num_parts), so it is broadcast; with groups its size grows with the

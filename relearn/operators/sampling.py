@@ -9,12 +9,14 @@ are read.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from relearn.functions.hashrand import hash_uniform
+from relearn.functions.hashrand import hash_bits, hash_uniform
+from relearn.operators.ordered import global_rank
+from relearn.session import ensure_checkpoint_dir
 
 # Label map of the URL data (bad -> 1, good -> 0, else null).
 URL_LABEL_MAP = {"bad": 1, "good": 0}
@@ -40,6 +42,53 @@ def sample_rows(df: DataFrame, fraction: float, seed: str, key: Sequence) -> Dat
     return df.filter(hash_uniform(seed, *key) < F.lit(float(fraction)))
 
 
+def _reached(counts: DataFrame, wanted: Callable[[int], int]) -> tuple[int, int, int] | None:
+    """From counts ``n`` per value ``p``: the first value by which ``wanted(all)`` rows are reached, how many of its rows that takes, and its rows."""
+    upto = F.sum("n").over(Window.orderBy("p"))                              # of 65,536 counts at most
+    run = counts.select("p", "n", upto.alias("upto"), F.sum("n").over(Window.partitionBy()).alias("all")).checkpoint()
+    k = wanted(run.agg(F.max("all")).first()[0] or 0)
+    if k <= 0:
+        return None
+    hit = run.where(F.col("upto") >= k).orderBy("p").first()
+    return hit["p"], k - (hit["upto"] - hit["n"]), hit["n"]
+
+
+def hash_rank_cut(df: DataFrame, u: Column, size_of: Callable[[int], int]) -> tuple[int, int, int] | None:
+    """Where the ``size_of(rows)`` smallest values of a 32-bit hash end: the value, how many of its rows belong, and its rows.
+
+    Two counting passes, by the upper and by the lower 16 bits: at most 65,536 counts each, whatever the number of
+    rows, and no sort of rows.  None for a size of 0.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    high = _reached(df.groupBy(F.shiftright(u, 16).alias("p")).agg(F.count(F.lit(1)).alias("n")), size_of)
+    if high is None:
+        return None
+    inside = df.where(F.shiftright(u, 16) == high[0]).groupBy(u.bitwiseAND(F.lit(0xFFFF)).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    low, missing, ties = _reached(inside, lambda _: high[1])
+    return (high[0] << 16) | low, missing, ties
+
+
+def sample_exact(df: DataFrame, fraction: float, seed: str, key: Sequence[str]) -> DataFrame:
+    """P7 with an exact size: ``round(fraction * rows)`` rows (half to even), those with the smallest hash uniforms.
+
+    ``key`` are names of columns.  The hash value where the sample ends is found by counts (``hash_rank_cut``), so the
+    sample is a filter.  Only if that value's rows don't all belong are they ranked by the key; rows that are equal
+    in the key too are taken in any order.  Nothing is sorted in one task.
+    """
+    if not 0.0 <= fraction <= 1.0:
+        raise ValueError("fraction must lie in [0, 1]")
+    u = hash_bits(seed, *key)
+    end = hash_rank_cut(df, u, lambda n: round(fraction * n))
+    if end is None:
+        return df.where(F.lit(False))
+    value, missing, ties = end
+    if missing == ties:
+        return df.where(u <= value)
+    same = df.where(u == value).checkpoint().withColumn("__tie", F.monotonically_increasing_id())
+    some = global_rank(same, [*key, "__tie"], out="__rank").where(F.col("__rank") < missing)
+    return df.where(u < value).unionByName(some.drop("__tie", "__rank"))
+
+
 def sample_complement(df: DataFrame, fraction: float, seed: str, key: Sequence) -> DataFrame:
     """The rows a ``sample_rows`` call with the same arguments leaves out.
 

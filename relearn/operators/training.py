@@ -19,12 +19,14 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator,
                                    MulticlassClassificationEvaluator)
 from pyspark.ml.feature import CountVectorizer, SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.param import Param
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relearn.functions.hashrand import hash_uniform
 from relearn.operators.ordered import global_rank
+from relearn.operators.trees import prune_forest
 
 # Fixed values of the fraud job: forest and grid.
 FOREST_NUM_TREES = 10
@@ -33,18 +35,20 @@ GRID_NUM_TREES = (10, 20)
 GRID_MAX_DEPTH = (5, 10)
 CV_FOLDS = 3
 
-# Fixed values of the URL job: base forest and search space.  scikit-learn's
-# ``min_samples_split`` (2, 5) has no MLlib parameter and is not searched;
+#: Name of the smallest node that is split; not an MLlib parameter, see ``relearn.operators.trees``.
+MIN_SPLIT = "minSamplesSplit"
+
+# Fixed values of the URL job: base forest and search space;
 # ``max_features`` None means all features.
 URL_NUM_TREES = 35
 URL_MAX_DEPTH = 9
 SEARCH_SPACE = {
     "numTrees": (30, 40),
     "maxDepth": (8, 10),
+    MIN_SPLIT: (2, 5),
     "minInstancesPerNode": (1, 2),
     "featureSubsetStrategy": ("sqrt", "log2", "all"),
 }
-UNSUPPORTED_SEARCH = {"min_samples_split": (2, 5)}
 SEARCH_ITERATIONS = 50
 SEARCH_FOLDS = 5
 
@@ -134,55 +138,91 @@ def add_folds(df: DataFrame, k: int, seed: str, key_names: Sequence[str], label:
 
 @dataclass
 class CVResult:
-    """Mean and spread of the metric over the folds for each grid point, and the best one refitted on all rows."""
+    """The metric for each grid point and fold, mean and spread over the folds, and the best point refitted on all rows."""
     grid: list[dict]
+    fold_metrics: list[list[float]]
     avg_metrics: list[float]
     std_metrics: list[float]
     best_index: int
     best_model: PipelineModel
 
 
+def _grown(params: dict) -> dict:
+    """The part of a grid point that MLlib's own parameters express."""
+    return {p: v for p, v in params.items() if isinstance(p, Param)}
+
+
+def _fits(grid: list[dict]) -> list[tuple[dict, list[int]]]:
+    """Fits that serve the grid: grid points that differ only in ``MIN_SPLIT`` share one, cut afterwards."""
+    fits: dict[tuple, tuple[dict, list[int]]] = {}
+    for i, params in enumerate(grid):
+        grown = _grown(params)
+        fits.setdefault(tuple(sorted((p.name, v) for p, v in grown.items())), (grown, []))[1].append(i)
+    return list(fits.values())
+
+
 def cross_validate(pipeline: Pipeline, grid: list[dict], evaluator, train: DataFrame,
-                   folds: int, fold_col: str = "fold", parallelism: int = 4) -> CVResult:
+                   folds: int, fold_col: str = "fold", parallelism: int = 4, watch=None) -> CVResult:
     """M5: k-fold CV over ``grid`` with precomputed folds ``[0, folds)``; refit on all rows.
 
     The grid sets parameters of the last stage only, so the feature stages are
     fitted once per fold and its transformed rows (label and features) are
-    cached while the grid points are fitted, ``parallelism`` at a time.  The
-    caller persists ``train``.
+    cached while the grid points are fitted, ``parallelism`` at a time.  Points
+    that differ only in ``MIN_SPLIT`` are cut from one fitted forest.  The
+    caller persists ``train``.  ``watch(fold, grid index, scored rows)`` sees what is evaluated.
     """
     stages = pipeline.getStages()
     estimator = stages[-1]
+    spark = train.sparkSession
     label, features = estimator.getLabelCol(), estimator.getFeaturesCol()
-    scores: list[list[float]] = [[] for _ in grid]
+    scores = [[0.0] * folds for _ in grid]
+    fits = _fits(grid)
     for k in range(folds):
         fitted, held = train.filter(F.col(fold_col) != k), train.filter(F.col(fold_col) == k)
         prepare = Pipeline(stages=stages[:-1]).fit(fitted)
         parts = [prepare.transform(p).select(label, features).persist(StorageLevel.MEMORY_AND_DISK) for p in (fitted, held)]
         try:
-            def one(params, parts=parts):
-                return evaluator.evaluate(estimator.copy(params).fit(parts[0]).transform(parts[1]))
-            with ThreadPool(min(parallelism, len(grid))) as pool:
-                for i, value in enumerate(pool.map(one, grid)):
-                    scores[i].append(float(value))
+            def one(fit, parts=parts, k=k):
+                params, members = fit
+                forest = estimator.copy(params).fit(parts[0])
+                for i in members:
+                    scored = prune_forest(forest, spark, grid[i].get(MIN_SPLIT, 2)).transform(parts[1])
+                    scores[i][k] = float(evaluator.evaluate(scored))
+                    if watch is not None:
+                        watch(k, i, scored)
+            with ThreadPool(min(parallelism, len(fits))) as pool:
+                pool.map(one, fits)
         finally:
             for p in parts:
                 p.unpersist()
     means = [sum(s) / len(s) for s in scores]
     spread = [(sum((x - m) ** 2 for x in s) / len(s)) ** 0.5 for s, m in zip(scores, means)]
     best = (max if evaluator.isLargerBetter() else min)(range(len(grid)), key=lambda i: means[i])
-    model = Pipeline(stages=[*stages[:-1], estimator.copy(grid[best])]).fit(train)
-    return CVResult(grid, means, spread, best, model)
+    model = Pipeline(stages=[*stages[:-1], estimator.copy(_grown(grid[best]))]).fit(train)
+    if grid[best].get(MIN_SPLIT, 2) > 2:
+        model = PipelineModel(stages=[*model.stages[:-1], prune_forest(model.stages[-1], spark, grid[best][MIN_SPLIT])])
+    return CVResult(grid, scores, means, spread, best, model)
+
+
+def param_names(params: dict) -> dict[str, str]:
+    """A grid point as names and values."""
+    return {p if isinstance(p, str) else p.name: str(v) for p, v in params.items()}
 
 
 def cv_table(spark: SparkSession, result: CVResult, metric: str = "avg_metric") -> DataFrame:
     """M5/M8: one row per grid point with its mean and spread over the folds."""
-    rows = [(i, {p.name: str(v) for p, v in params.items()}, mean, std)
+    rows = [(i, param_names(params), mean, std)
             for i, (params, mean, std) in enumerate(zip(result.grid, result.avg_metrics, result.std_metrics))]
     return spark.createDataFrame(rows, f"grid_id int, params map<string,string>, {metric} double, "
                                        f"std_metric double")
 
 
+def fold_table(spark: SparkSession, result: CVResult) -> DataFrame:
+    """One row per grid point and fold with the metric."""
+    rows = [(i, k, value) for i, values in enumerate(result.fold_metrics) for k, value in enumerate(values)]
+    return spark.createDataFrame(rows, "candidate int, fold int, metric double")
+
+
 def best_params(model: PipelineModel) -> dict:
     """M8: parameters of the chosen forest."""
     rf = model.stages[-1]
@@ -244,9 +284,9 @@ def draw_candidates(grid: DataFrame, n_iter: int, seed: str = "search") -> DataF
 
 def param_maps(rf: RandomForestClassifier, candidates: DataFrame) -> list[dict]:
     """Grid rows -> MLlib param maps (a few dozen rows at most)."""
-    casts = {"numTrees": int, "maxDepth": int, "minInstancesPerNode": int, "featureSubsetStrategy": str}
+    casts = {"numTrees": int, "maxDepth": int, "minInstancesPerNode": int, "featureSubsetStrategy": str, MIN_SPLIT: int}
     maps = []
     for row in candidates.orderBy("grid_id").collect():
-        maps.append({getattr(rf, name): cast(row[name]) for name, cast in casts.items()
+        maps.append({name if name == MIN_SPLIT else getattr(rf, name): cast(row[name]) for name, cast in casts.items()
                      if name in row.asDict()})
     return maps

@@ -18,17 +18,19 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 import os
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from relearn.operators import (abtest, bootstrap, metrics, profile, sampling, stats, synth,
                                training)
 from relearn.operators.registry import Registry
+from relearn.session import checkpoint_path
 from relearn.sources import files
 from relearn.sources.tables import DEFAULT_SPLIT, load_data
 
@@ -180,10 +182,7 @@ def run_training(spark: SparkSession, input_path: str, output_path: str, registr
 
 # -- J2 ----------------------------------------------------------------------------
 
-def random_search(train: DataFrame, text_col: str, label: str, key_cols: Sequence[str],
-                  n_iter: int = training.SEARCH_ITERATIONS, folds: int = training.SEARCH_FOLDS,
-                  parallelism: int = 4, seed: str = "search"):
-    """M11 + M12: draw grid points, stratified k-fold CV on class-1 F1, refit."""
+def _search(train: DataFrame, text_col: str, label: str, key_cols: Sequence[str], n_iter: int, folds: int, parallelism: int, seed: str, watch=None):
     spark = train.sparkSession
     pipe = training.text_pipeline(text_col, label)
     rf = pipe.getStages()[-1]
@@ -193,12 +192,37 @@ def random_search(train: DataFrame, text_col: str, label: str, key_cols: Sequenc
     folded = training.cache_for_fitting(training.add_folds(train.select(*needed), folds, "fold", key_cols, label=label),
                                         key_cols)
     try:
-        cvm = training.cross_validate(pipe, maps, training.f1_class1_evaluator(label), folded, folds,
-                                      parallelism=parallelism)
+        return candidates, maps, training.cross_validate(pipe, maps, training.f1_class1_evaluator(label), folded, folds,
+                                                         parallelism=parallelism, watch=watch)
     finally:
         folded.unpersist()
-    best = {p.name: v for p, v in maps[cvm.best_index].items()}
-    return cvm.best_model, best, cvm.avg_metrics[cvm.best_index]
+
+
+def random_search(train: DataFrame, text_col: str, label: str, key_cols: Sequence[str],
+                  n_iter: int = training.SEARCH_ITERATIONS, folds: int = training.SEARCH_FOLDS,
+                  parallelism: int = 4, seed: str = "search"):
+    """M11 + M12: draw grid points, stratified k-fold CV on class-1 F1, refit."""
+    _, maps, cvm = _search(train, text_col, label, key_cols, n_iter, folds, parallelism, seed)
+    return cvm.best_model, training.param_names(maps[cvm.best_index]), cvm.avg_metrics[cvm.best_index]
+
+
+def search_scores(train: DataFrame, text_col: str, label: str, key_cols: Sequence[str], n_iter: int = training.SEARCH_ITERATIONS,
+                  folds: int = training.SEARCH_FOLDS, parallelism: int = 4, seed: str = "search") -> DataFrame:
+    """M11 as a table: one row per drawn grid point and fold with its parameters, the search's metric and the counts,
+    precision, recall and F1 (E4) of the held-out rows that the metric was taken from.
+
+    Each evaluation writes its four counts to the shared checkpoint folder; nothing else is kept of the scored rows."""
+    spark = train.sparkSession
+    folder = checkpoint_path(spark, f"search/{uuid.uuid4().hex}")
+
+    def watch(fold: int, candidate: int, scored: DataFrame) -> None:
+        counts = metrics.evaluate_models(scored.withColumn("prediction", F.col("prediction").cast("int")), label, {"candidate": "prediction"})
+        counts.coalesce(1).write.parquet(f"{folder}/fold={fold}/candidate={candidate}")
+    candidates, _, cvm = _search(train, text_col, label, key_cols, n_iter, folds, parallelism, seed, watch)
+    drawn = candidates.withColumn("candidate", F.row_number().over(Window.orderBy("grid_id")) - 1)       # the grid's rows
+    counts = spark.read.parquet(folder).select("fold", "candidate", "tp", "fp", "fn", "tn", F.col("n").alias("n_rows"), (F.col("tp") + F.col("fn")).alias("positives"),
+                                               "precision", "recall", F.col("f1_binary").alias("f1"))
+    return drawn.join(training.fold_table(spark, cvm), "candidate").join(counts, ["fold", "candidate"])
 
 
 def predict_both(df: DataFrame, champion: PipelineModel, candidate: PipelineModel,
@@ -268,8 +292,7 @@ def run_ab_test(spark: SparkSession, data: DataFrame, registry_root: str, text_c
         reg.set_alias(model_name, version, "champion",
                       f"Champion since its paired bootstrap test, F1 change {f1_gain:+.4f}")
     return {"should_deploy": bool(decision["should_deploy"]), "deployed": deployed, "version": version,
-            "best_params": best, "cv_f1": cv_f1, "metrics": model_metrics, "comparison": comparison_rows,
-            "unsupported_search": training.UNSUPPORTED_SEARCH}
+            "best_params": best, "cv_f1": cv_f1, "metrics": model_metrics, "comparison": comparison_rows}
 
 
 # -- J4 ----------------------------------------------------------------------------

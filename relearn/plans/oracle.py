@@ -433,6 +433,89 @@ register("url_char_counts", char_counts_sql("SELECT * FROM pages", "page_id", "u
 register("doc_char_counts", char_counts_sql("SELECT * FROM documents", "doc_id", "text"))
 
 
+# -- trees and the search -------------------------------------------------------------------
+
+_TF = Q.TREE_FEATURES
+
+
+def splits_sql(src: str) -> str:
+    """Best split per place of ``src`` (place, features, y): every threshold between distinct values of the training part."""
+    gini = lambda n, p: f"(1 - pow({p} / {n}, 2) - pow(({n} - {p}) / {n}, 2))"
+    return f"""
+SELECT place, feature, threshold, gain FROM (
+  SELECT *, row_number() OVER (PARTITION BY place ORDER BY gain DESC, feature_no, threshold) AS best FROM (
+    SELECT place, feature, feature_no, threshold,
+           {gini('a', 'ap')} - l / a * {gini('l', 'lp')} - (a - l) / a * {gini('(a - l)', '(ap - lp)')} AS gain
+    FROM (SELECT c.place, c.feature, list_position({_TF!r}, c.feature) AS feature_no, cuts.threshold,
+                 CAST(sum(n) OVER w AS DOUBLE) AS l, CAST(sum(pos) OVER w AS DOUBLE) AS lp,
+                 CAST(sum(n) OVER (PARTITION BY place, c.feature) AS DOUBLE) AS a, CAST(sum(pos) OVER (PARTITION BY place, c.feature) AS DOUBLE) AS ap
+          FROM (SELECT place, feature, value, count(*) AS n, sum(y) AS pos
+                FROM (SELECT place, y, feature, value FROM ({src}) UNPIVOT (value FOR feature IN ({', '.join(_TF)}))) GROUP BY place, feature, value) c
+          JOIN cuts ON c.feature = cuts.feature AND c.value = cuts.value
+          WINDOW w AS (PARTITION BY place, c.feature ORDER BY c.value))
+    WHERE threshold IS NOT NULL AND a > l) WHERE gain > 0) WHERE best = 1"""
+
+
+def tree_sql(limit: str = "2") -> str:
+    """CTEs t (training part), cuts, and the levels' rows r0, r1, r2 and splits s0, s1; places with fewer than ``limit`` rows aren't split."""
+    value = "CASE feature " + " ".join(f"WHEN '{c}' THEN {c}" for c in _TF) + " END"
+    ctes = [f"t AS (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _TF)}, tx_fraud AS y FROM ({TRAIN_SQL}))",
+            f"""cuts AS (SELECT feature, value, (value + lead(value) OVER (PARTITION BY feature ORDER BY value)) / 2 AS threshold
+                  FROM (SELECT DISTINCT feature, value FROM (SELECT {', '.join(_TF)} FROM t) UNPIVOT (value FOR feature IN ({', '.join(_TF)}))))""",
+            "r0 AS (SELECT *, CAST(1 AS BIGINT) AS place FROM t)"]
+    for d in range(Q.TREE_DEPTH):
+        ctes.append(f"s{d} AS ({splits_sql(f'SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY place) AS size FROM r{d}) WHERE size >= {limit}')})")
+        ctes.append(f"r{d + 1} AS (SELECT {', '.join(_TF)}, y, 2 * place + CASE WHEN {value} <= threshold THEN 0 ELSE 1 END AS place FROM r{d} JOIN s{d} USING (place))")
+    return ",\n     ".join(ctes)
+
+
+def levels_sql(first: str = "s0", second: str = "s1", within: str = "true") -> str:
+    """Nodes of the tree with the splits of the relations given; ``within`` says which places of r1 and r2 are nodes."""
+    parts = []
+    for d, splits in ((0, first), (1, second), (2, None)):
+        split = f"LEFT JOIN {splits} USING (place)" if splits else "CROSS JOIN (SELECT NULL AS feature, NULL AS threshold, NULL AS gain)"
+        parts.append(f"SELECT place, CAST({d} AS INTEGER) AS depth, feature, threshold, gain, n, positives FROM "
+                     f"(SELECT place, count(*) AS n, CAST(sum(y) AS BIGINT) AS positives FROM r{d} GROUP BY place) {split} WHERE {within if d else 'true'}")
+    return (f"SELECT place, depth, CAST(feature AS VARCHAR) AS feature, {r6('CAST(threshold AS DOUBLE)')} AS threshold, n, positives, "
+            f"{r6('CAST(gain AS DOUBLE)')} AS gain FROM ({' UNION ALL '.join(parts)})")
+
+
+register("tree_split_search", f"WITH {tree_sql()} {levels_sql()}")
+
+# MLlib joins sibling leaves that predict the same class: k0 and k1 are the splits that stay.
+_MERGED = f"""{tree_sql()},
+     p AS (SELECT place, count(*) AS n, avg(y) AS p, 2 * sum(y) > count(*) AS c FROM (SELECT place, y FROM r0 UNION ALL SELECT place, y FROM r1 UNION ALL SELECT place, y FROM r2) GROUP BY place),
+     k1 AS (SELECT s1.* FROM s1 JOIN p a ON a.place = 2 * s1.place JOIN p b ON b.place = 2 * s1.place + 1 WHERE a.c <> b.c),
+     k0 AS (SELECT s0.* FROM s0 JOIN p a ON a.place = 2 JOIN p b ON b.place = 3 WHERE a.c <> b.c OR EXISTS (SELECT 1 FROM k1))"""
+register("forest_exact_tree", f"WITH {_MERGED} {levels_sql('k0', 'k1', 'place // 2 IN (SELECT place FROM k0 UNION ALL SELECT place FROM k1)')}")
+
+_GOES = [f"CASE WHEN (CASE {s}.feature " + " ".join(f"WHEN '{c}' THEN x.{c}" for c in _TF) + f" END) <= {s}.threshold THEN 0 ELSE 1 END" for s in ("q0", "q1")]
+register("forest_pruned", f"""
+WITH {_MERGED}, q0 AS (SELECT k0.* FROM k0 JOIN p USING (place) WHERE n >= (SELECT greatest(2, count(*) // 10) FROM t)),
+     q1 AS (SELECT k1.* FROM k1 JOIN p USING (place) WHERE n >= (SELECT greatest(2, count(*) // 10) FROM t) AND EXISTS (SELECT 1 FROM q0)),
+     x AS (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _TF)}, tx_fraud AS y FROM ({SPLIT_SQL}) WHERE split = 'test'),
+     one AS (SELECT x.*, CASE WHEN q0.place IS NULL THEN 1 ELSE 2 + {_GOES[0]} END AS place FROM x LEFT JOIN q0 ON true),
+     two AS (SELECT x.y, CASE WHEN q1.place IS NULL THEN x.place ELSE 2 * x.place + {_GOES[1]} END AS place FROM one x LEFT JOIN q1 ON x.place = q1.place)
+SELECT {r6('p')} AS score, CAST(p > 0.5 AS INTEGER) AS prediction, count(*) AS n_rows, CAST(sum(y) AS BIGINT) AS positives
+FROM two JOIN p USING (place) GROUP BY p""")
+
+_space = {n: [str(v) for v in vs] for n, vs in training.SEARCH_SPACE.items()}
+_grid = " CROSS JOIN ".join(f"(SELECT unnest({vs!r}) AS {n}, unnest(range({len(vs)})) AS i{k})" for k, (n, vs) in enumerate(_space.items()))
+_place = "0"
+for _k, _vs in enumerate(_space.values()):
+    _place = f"({_place} * {len(_vs)} + i{_k})"
+register("search_folds", f"""
+WITH g AS (SELECT CAST({_place} AS INTEGER) AS grid_id, {', '.join(_space)} FROM {_grid}),
+     drawn AS (SELECT * FROM g ORDER BY {U('search', 'grid_id')}, grid_id LIMIT {Q.SEARCH_DRAWN}),
+     f AS (SELECT quality, CAST((row_number() OVER (PARTITION BY quality ORDER BY {U('fold', 'doc_id')}, doc_id) - 1) % {Q.SEARCH_CV} AS INTEGER) AS fold
+           FROM documents JOIN labels USING (doc_id)),
+     s AS (SELECT fold, count(*) AS n_rows, CAST(sum(quality) AS BIGINT) AS positives FROM f GROUP BY fold)
+SELECT grid_id, {', '.join(_space)}, fold, n_rows, positives, true AS f1_agrees FROM drawn CROSS JOIN s""")
+
+register("sample_exact", f"""
+SELECT {TX_KEY_COLS} FROM (SELECT *, row_number() OVER (ORDER BY {U('sample', TX_KEY_COLS)}, {TX_KEY_COLS}) AS place, count(*) OVER () AS n FROM ({TX_SQL}))
+WHERE place <= round_even({dbl(Q.SAMPLE_FRACTION)} * n, 0)""")
+
 # -- fitted models: what SQL can say of them, and flags that must hold ------------------------
 
 register("forest_fit_score", f"""

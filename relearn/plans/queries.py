@@ -8,14 +8,16 @@ the results can be compared value by value with the SQL in
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relearn.operators import (abtest, bootstrap, metrics, profile, registry, sampling, scorers,
-                               stats, training)
-from relearn.session import ensure_checkpoint_dir
+                               stats, training, trees)
+from relearn.session import checkpoint_path, ensure_checkpoint_dir
 from relearn.sources.tables import DEFAULT_SPLIT, LABEL, read_table, transactions, tx_key
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +123,12 @@ def q_sample_rows(spark, sf_dir):
     return sampling.sample_rows(orders, SAMPLE_FRACTION, "sample", [F.col("o_orderkey")])
 
 
+@register("sample_exact")
+def q_sample_exact(spark, sf_dir):
+    """P7 with an exact size: a tenth of the transactions, to the row."""
+    return sampling.sample_exact(transactions(spark, sf_dir).select(*TX_KEY_COLS), SAMPLE_FRACTION, "sample", TX_KEY_COLS)
+
+
 @register("sample_complement")
 def q_sample_complement(spark, sf_dir):
     """The orders an 80 % sample leaves out (the demo data's test part)."""
@@ -338,14 +346,71 @@ def q_standardized_features(spark, sf_dir):
 def q_fold_sizes(spark, sf_dir):
     """M5: rows per (kind, fold, label) of the training part, hash and stratified folds."""
     train, _ = train_test(spark, sf_dir)
-    kinds = {"hash": training.add_folds(train, training.CV_FOLDS, "fold", TX_KEY_COLS),
-             "stratified": training.add_folds(train, training.CV_FOLDS, "fold", TX_KEY_COLS,
-                                              label=LABEL)}
-    parts = [df.select(F.lit(k).alias("kind"), "fold", LABEL) for k, df in kinds.items()]
-    return (parts[0].unionByName(parts[1]).groupBy("kind", "fold", LABEL)
+    both = training.add_folds(training.add_folds(train, training.CV_FOLDS, "fold", TX_KEY_COLS, col="hash"), training.CV_FOLDS, "fold", TX_KEY_COLS,
+                              label=LABEL, col="stratified")
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("fold")) for k in ("hash", "stratified")])
+    return (both.select(LABEL, F.inline(kinds)).groupBy("kind", "fold", LABEL)
             .agg(F.count(F.lit(1)).cast("bigint").alias("n")))
 
 
+# -- trees as tables (M3, M6, M7, M12), the search (M11) ------------------------------------
+
+TREE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+TREE_DEPTH, TREE_BINS = 2, 64
+
+
+def tree_rows(spark, sf_dir) -> DataFrame:
+    """Label and features with few distinct values of the training part, written once."""
+    train, _ = train_test(spark, sf_dir)
+    ensure_checkpoint_dir(spark)
+    return train.select(*[F.col(c).cast("double").alias(c) for c in TREE_FEATURES], LABEL).checkpoint()
+
+
+@register("forest_exact_tree")
+def q_forest_exact_tree(spark, sf_dir):
+    """M1, M3, M6: a forest of one tree, without bootstrap, on all features, as its nodes."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    rows = tree_rows(spark, sf_dir)
+    one = training.forest(LABEL, num_trees=1, max_depth=TREE_DEPTH, bootstrap=False, featureSubsetStrategy="all", maxBins=TREE_BINS)
+    model = Pipeline(stages=[VectorAssembler(inputCols=TREE_FEATURES, outputCol="features"), one]).fit(rows)
+    nodes = trees.forest_nodes(model.stages[-1], spark, TREE_FEATURES)
+    return rounded(nodes.select("place", "depth", "feature", "threshold", "n", F.get("stats", F.lit(1)).cast("bigint").alias("positives"), "gain"))
+
+
+@register("tree_split_search")
+def q_tree_split_search(spark, sf_dir):
+    """M3: the same tree, its splits searched by aggregations."""
+    return rounded(trees.grow_tree(tree_rows(spark, sf_dir), TREE_FEATURES, LABEL, TREE_DEPTH, TREE_BINS))
+
+
+@register("forest_pruned")
+def q_forest_pruned(spark, sf_dir):
+    """That tree under a limit on splitting (a share of the rows), and the test rows that each leaf scores."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    rows = tree_rows(spark, sf_dir)
+    limit = max(2, rows.count() // 10)
+    one = training.forest(LABEL, num_trees=1, max_depth=TREE_DEPTH, bootstrap=False, featureSubsetStrategy="all", maxBins=TREE_BINS)
+    assembler = VectorAssembler(inputCols=TREE_FEATURES, outputCol="features")
+    pruned = trees.prune_forest(Pipeline(stages=[assembler, one]).fit(rows).stages[-1], spark, limit)
+    _, test = train_test(spark, sf_dir)
+    scored = training.score(pruned, assembler.transform(test.select(*[F.col(c).cast("double").alias(c) for c in TREE_FEATURES], LABEL)))
+    return rounded(scored.groupBy("score", "prediction").agg(F.count("*").alias("n_rows"), F.sum(LABEL).cast("bigint").alias("positives")))
+
+
+SEARCH_DRAWN, SEARCH_CV = 3, 3
+
+
+@register("search_folds")
+def q_search_folds(spark, sf_dir):
+    """Grid points drawn from all 48 and their folds: held-out rows, and whether the search's F1 is that of the rows it scored."""
+    from relearn.plans.jobs import search_scores
+    scores = search_scores(labelled_docs(spark, sf_dir), "text", "quality", ["doc_id"], SEARCH_DRAWN, SEARCH_CV)
+    names = list(training.SEARCH_SPACE)
+    return scores.select("grid_id", *names, "fold", "n_rows", "positives", (F.abs(F.col("f1") - F.col("metric")) < 1e-9).alias("f1_agrees"))
+
+
 # -- registry replay (R3-R7, E12) ---------------------------------------------------------
 
 def monthly_runs(spark, sf_dir):

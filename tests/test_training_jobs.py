@@ -66,14 +66,14 @@ def test_stratified_folds_balance(spark):
 
 def test_search_draw_is_whole_grid_when_n_iter_large(spark):
     grid = training.search_grid(spark)
-    assert grid.count() == 24
+    assert grid.count() == 48
     drawn = training.draw_candidates(grid, 50)
-    assert drawn.count() == 24
+    assert drawn.count() == 48
     few = training.draw_candidates(grid, 5).collect()
     assert len(few) == 5 and few == training.draw_candidates(grid, 5).collect()
     rf = training.forest("y")
     maps = training.param_maps(rf, training.draw_candidates(grid, 3))
-    assert len(maps) == 3 and all(len(m) == 4 for m in maps)
+    assert len(maps) == 3 and all(len(m) == 5 for m in maps)
 
 
 def test_cv_learns_label_and_model_round_trip(spark, scratch):
