@@ -11,20 +11,24 @@ an appended row, and the current state is a query:
 * alias_events(model, version, alias, ts)       -- latest event per (model, alias) wins
 * description_events(model, version, description, ts)
 
+* day_files(experiment, day, file, ts)            -- what each day's training has seen; a null day was not trained on
+
 The state functions are DataFrame -> DataFrame and run the same on a replay
-of many runs.  Appends are plain Parquet writes: one writer per model at a
-time (a scheduler run), as with the reference's single training job.
+of many runs.  Events that are decided from the state (``COMMITTED``) go
+through an optimistic commit log, so several jobs may register, promote and
+create at once; parameters, metrics and file lists are plain Parquet appends.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from relearn.operators.commits import CommitLog
 from relearn.operators.stats import relative_gain_pct
 
 SCHEMAS = {
@@ -36,8 +40,12 @@ SCHEMAS = {
     "alias_events": "model string, version int, alias string, ts timestamp",
     "version_tags": "model string, version int, key string, value string, ts timestamp",
     "description_events": "model string, version int, description string, ts timestamp",
+    "day_files": "experiment string, day string, file string, ts timestamp",
 }
 
+#: Tables whose rows are commits.
+COMMITTED = ("experiments", "runs", "model_versions", "alias_events", "version_tags", "description_events")
+
 # Stage names of older registries and the alias each maps to;
 # any other stage becomes its lower-case name.
 STAGE_TO_ALIAS = {"Production": "champion", "Staging": "challenger", "Archived": "archived"}
@@ -45,7 +53,7 @@ CHAMPION, CHALLENGER = "champion", "challenger"
 PROMOTION_METRIC = "auc"
 
 
-def _now() -> _dt.datetime:
+def now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
@@ -170,12 +178,15 @@ class Registry:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.log = CommitLog(spark, f"{self.root}/commits")
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
     def table(self, name: str) -> DataFrame:
         """The table, or an empty one with its schema before the first write."""
+        if name in COMMITTED:
+            return self.log.table(name, SCHEMAS[name])
         try:
             return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
         except Exception as e:  # noqa: BLE001 - missing path
@@ -184,7 +195,12 @@ class Registry:
             raise
 
     def append(self, name: str, df: DataFrame) -> None:
+        """Appends rows as they are; those of a committed table (a few events) as one commit."""
         cols = [c.strip().split(" ")[0] for c in SCHEMAS[name].split(",")]
+        if name in COMMITTED:
+            events = [(name, r.asDict()) for r in df.select(*cols).collect()]
+            self.log.commit(lambda: events)
+            return
         df.select(*cols).write.mode("append").parquet(self.path(name))
 
     def _rows(self, name: str, rows: list[tuple]) -> DataFrame:
@@ -192,47 +208,59 @@ class Registry:
 
     # R1
     def get_or_create_experiment(self, experiment: str) -> str:
-        cand = self._rows("experiments", [(experiment, _now())])
-        new = cand.join(self.table("experiments").select("experiment"), "experiment", "left_anti")
-        self.append("experiments", new)
+        def build():
+            new = self._rows("experiments", [(experiment, now())]).join(self.table("experiments").select("experiment"), "experiment", "left_anti")
+            return [("experiments", r.asDict()) for r in new.collect()]
+        self.log.commit(build)
         return experiment
 
     # R2
     def start_run(self, experiment: str, run_name: str, run_id: str | None = None) -> str:
-        if run_id and not self.table("runs").filter(F.col("run_id") == run_id).isEmpty():
-            return run_id
         run_id = run_id or uuid.uuid4().hex
-        self.append("runs", self._rows("runs", [(run_id, experiment, run_name, _now())]))
+
+        def build():
+            there = not self.table("runs").filter(F.col("run_id") == run_id).isEmpty()
+            return [] if there else [("runs", {"run_id": run_id, "experiment": experiment, "run_name": run_name, "ts": now()})]
+        self.log.commit(build)
         return run_id
 
     def log_params(self, run_id: str, params: Mapping[str, object]) -> None:
-        ts = _now()
+        ts = now()
         self.append("run_params", self._rows("run_params", [(run_id, k, str(v), ts) for k, v in params.items()]))
 
     def log_metrics(self, run_id: str, values: Mapping[str, float] | DataFrame) -> None:
         if isinstance(values, DataFrame):  # (run_id, key, value, ts) rows built by Spark
             self.append("run_metrics", values)
             return
-        ts = _now()
+        ts = now()
         rows = [(run_id, k, None if v is None else float(v), ts) for k, v in values.items()]
         self.append("run_metrics", self._rows("run_metrics", rows))
 
     # R3
-    def register_version(self, model: str, run_id: str, path: str, description: str = "") -> int:
-        cand = self.spark.createDataFrame([(model, run_id, path, description, _now())],
-                                          "model string, run_id string, path string, description string, ts timestamp")
-        # a registered run keeps its version: registering it again is a repeat after a failure
+    def version_of(self, model: str, run_id: str) -> int | None:
         same = (F.col("model") == model) & (F.col("run_id") == run_id)
-        before = self.table("model_versions").filter(same).agg(F.min("version")).first()[0]
-        if before is not None:
-            return int(before)
-        row = next_versions(self.table("model_versions"), cand)
-        self.append("model_versions", row)
-        return int(self.table("model_versions").filter(same).agg(F.min("version")).first()[0])
+        return self.table("model_versions").filter(same).agg(F.min("version")).first()[0]
+
+    def register_version(self, model: str, run_id: str, path: str, description: str = "") -> int:
+        """The version of a run, the next number if it has none: registering it again is a repeat after a failure."""
+        def build():
+            if self.version_of(model, run_id) is not None:
+                return []
+            cand = self.spark.createDataFrame([(model, run_id, path, description, now())],
+                                              "model string, run_id string, path string, description string, ts timestamp")
+            return [("model_versions", next_versions(self.table("model_versions"), cand).first().asDict())]
+        self.log.commit(build)
+        return int(self.version_of(model, run_id))
 
     # R4
-    def set_alias(self, model: str, version: int, alias: str, description: str = "") -> None:
-        self.append("alias_events", self._rows("alias_events", [(model, int(version), alias, _now())]))
+    def set_alias(self, model: str, version: int, alias: str | Callable[[], str], description: str = "") -> None:
+        """Points an alias at a version; ``alias`` may be a function of the state, which is asked again if another
+        commit comes in between.  Times of one registry's aliases never go back."""
+        def build():
+            last = self.table("alias_events").agg(F.max("ts")).first()[0]
+            ts = now() if last is None else max(now(), last + _dt.timedelta(microseconds=1))
+            return [("alias_events", {"model": model, "version": int(version), "alias": alias if isinstance(alias, str) else alias(), "ts": ts})]
+        self.log.commit(build)
         if description:
             self.update_description(model, version, description)
 
@@ -245,14 +273,14 @@ class Registry:
     # R9
     def update_description(self, model: str, version: int, description: str) -> None:
         self.append("description_events",
-                    self._rows("description_events", [(model, int(version), description, _now())]))
+                    self._rows("description_events", [(model, int(version), description, now())]))
 
     # R5
     def aliases(self) -> DataFrame:
         return resolved_aliases(self.table("alias_events"), self.table("version_tags"))
 
     def set_tag(self, model: str, version: int, key: str, value: str) -> None:
-        self.append("version_tags", self._rows("version_tags", [(model, int(version), key, value, _now())]))
+        self.append("version_tags", self._rows("version_tags", [(model, int(version), key, value, now())]))
 
     def has_run(self, run_id: str) -> bool:
         """Whether this run is finished: its version is registered and has an alias."""
@@ -275,14 +303,20 @@ class Registry:
     # R7
     def compare_and_register(self, model: str, run_id: str, path: str, new_auc: float | None,
                              description: str = "") -> dict:
-        """Register the new version and point ``champion`` or ``challenger`` at it."""
-        champion = self.resolve(model)
-        best = None if champion is not None and champion["run_id"] == run_id else self.champion_metrics(model)
+        """Register the new version and point ``champion`` or ``challenger`` at it.
+
+        The comparison is made with the champion as of the commit that sets the alias."""
         version = self.register_version(model, run_id, path, description)
-        new = self.spark.createDataFrame([(model, version, run_id, new_auc)],
-                                         "model string, version int, run_id string, auc double")
-        champs = self.spark.createDataFrame([] if best is None else [(model, best["auc"])],
-                                            "model string, auc double")
-        decision = promotion_decision(new, champs).first().asDict()
-        self.set_alias(model, version, decision["alias"])
-        return decision
+        decided = {}
+
+        def alias() -> str:
+            champion = self.resolve(model)
+            best = None if champion is not None and champion["run_id"] == run_id else self.champion_metrics(model)
+            new = self.spark.createDataFrame([(model, version, run_id, new_auc)],
+                                             "model string, version int, run_id string, auc double")
+            champs = self.spark.createDataFrame([] if best is None else [(model, best["auc"])],
+                                                "model string, auc double")
+            decided.update(promotion_decision(new, champs).first().asDict())
+            return decided["alias"]
+        self.set_alias(model, version, alias)
+        return decided

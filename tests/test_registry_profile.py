@@ -141,3 +141,68 @@ def test_command_lines():
     assert args.key == ["a", "b"] and args.ab_testing and args.ab_traffic_split == 0.5 and args.experiment_name == "fraud_detection"
     args = ab_test.parser().parse_args(["--input", "i", "--registry", "r"])
     assert (args.n_iter, args.cv, args.sample_frac, args.bootstrap_iterations, args.alpha, args.auto_deploy) == (50, 5, 0.1, 100, 0.01, False)
+
+
+# -- commits that race -------------------------------------------------------------
+
+def together(monkeypatch, *calls):
+    """Runs the calls in threads; each one's first commit waits until all have built theirs from the same state."""
+    import threading
+    from relearn.operators.commits import CommitLog
+    barrier, waited, put = threading.Barrier(len(calls)), threading.local(), CommitLog.put
+
+    def late(self, number, events):
+        if not getattr(waited, "done", False):
+            waited.done = True
+            barrier.wait(60)
+        return put(self, number, events)
+    monkeypatch.setattr(CommitLog, "put", late)
+    out = [None] * len(calls)
+
+    def work(i):
+        out[i] = calls[i]()
+    threads = [threading.Thread(target=work, args=(i,)) for i in range(len(calls))]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    monkeypatch.setattr(CommitLog, "put", put)
+    return out
+
+
+def test_versions_registered_at_once_are_numbered(spark, scratch, monkeypatch):
+    regs = [registry.Registry(spark, scratch + "/reg") for _ in range(3)]
+    got = together(monkeypatch, *[lambda r=r, i=i: r.register_version("m", f"run{i}", "p") for i, r in enumerate(regs)])
+    assert sorted(got) == [1, 2, 3] and sorted(r.version for r in regs[0].table("model_versions").collect()) == [1, 2, 3]
+    # the same run from two writers, as after a failure: one version
+    assert together(monkeypatch, *[lambda r=r: r.register_version("m", "same", "p") for r in regs[:2]]) == [4, 4]
+    assert regs[0].table("model_versions").count() == 4
+
+
+def test_experiments_and_runs_created_at_once_exist_once(spark, scratch, monkeypatch):
+    reg = registry.Registry(spark, scratch + "/reg")
+    together(monkeypatch, *[lambda: reg.get_or_create_experiment("e")] * 2)
+    together(monkeypatch, *[lambda: reg.start_run("e", "n", "id")] * 2)
+    assert reg.table("experiments").count() == 1 and reg.table("runs").count() == 1
+
+
+def test_the_better_of_two_champions_stays(spark, scratch, monkeypatch):
+    """Both beat the old champion; whichever commits later is compared with the other one."""
+    reg = registry.Registry(spark, scratch + "/reg")
+    for run, auc in (("old", 0.6), ("good", 0.9), ("better", 0.95)):
+        reg.log_metrics(run, {"auc": auc})
+    reg.compare_and_register("m", "old", "p", 0.6)
+    v = {run: reg.register_version("m", run, "p") for run in ("good", "better")}
+    got = together(monkeypatch, *[lambda run=run, auc=auc: reg.compare_and_register("m", run, "p", auc) for run, auc in (("good", 0.9), ("better", 0.95))])
+    assert reg.resolve("m")["version"] == v["better"] and got[1]["alias"] == "champion"
+    events = reg.table("alias_events").orderBy("ts").collect()
+    assert len(events) == 3 and len({e.ts for e in events}) == 3
+
+
+def test_a_commit_number_is_claimed_once(spark, scratch):
+    from relearn.operators.commits import CommitLog
+    log = CommitLog(spark, scratch + "/log")
+    row = {"experiment": "e", "ts": None}
+    assert log.head() == 0 and log.put(1, [("experiments", row)]) and not log.put(1, [("experiments", row)]) and log.head() == 1
+    # by renaming, as on file systems without hard links
+    log._claim = lambda written, number: log._rename(written, log._path(f"{number:012d}.json"))
+    assert not log.put(1, [("experiments", row)]) and log.put(2, [("experiments", row)]) and log.head() == 2
+    assert log.table("experiments", registry.SCHEMAS["experiments"]).count() == 2 and log.commit(lambda: []) == 0

@@ -64,3 +64,41 @@ def test_a_day_that_failed_after_registration_is_finished_once(spark, scratch, m
     versions = reg.table("model_versions").collect()
     assert sorted(v.version for v in versions) == [1, 2] and len({v.run_id for v in versions}) == 2
     assert reg.table("runs").count() == 2 and reg.table("alias_events").count() == 2 and reg.resolve("fraud_detection_model") is not None
+
+
+def test_late_files_make_one_new_version_of_their_day(spark, scratch, caplog):
+    """Two days; a late file for the first; a batch that is repeated; files without a day."""
+    from relearn.operators.registry import Registry
+    from relearn.streaming import retrain
+    schema = "a long, dt string"
+    src, root, trained = scratch + "/da ys", scratch + "/reg", []
+
+    def arrive(ids, day):
+        spark.createDataFrame([(i, day) for i in ids], schema).coalesce(1).write.mode("append").partitionBy("dt").parquet(src)
+
+    def train(spark, input_path, output_path, registry_root, run_id, input_df, **_):
+        trained.append((input_path.rsplit("=", 1)[1], sorted(r.a for r in input_df.collect())))
+        Registry(spark, registry_root).compare_and_register("m", run_id, output_path, 0.5)
+
+    def run(checkpoint=scratch + "/ck"):
+        run_until_done(retrain.retrain_days(spark, src, schema, scratch + "/out", root, experiment="e", checkpoint=checkpoint, train=train), 300)
+    arrive([1, 2], "2024-01-01")
+    arrive([3], "2024-01-02")
+    run()
+    assert sorted(trained) == [("2024-01-01", [1, 2]), ("2024-01-02", [3])]
+    trained.clear()
+    run()
+    assert not trained
+    arrive([4], "2024-01-01")                    # late: the whole day again, once
+    arrive([5, 6], None)
+    with caplog.at_level("WARNING"):
+        run()
+    assert trained == [("2024-01-01", [1, 2, 4])] and "1 files without a dt" in caplog.text
+    trained.clear()
+    # progress lost: every file comes again in one batch; each day's set of files is known
+    run(scratch + "/other")
+    assert not trained
+    reg = Registry(spark, root)
+    assert reg.table("model_versions").count() == 3
+    listed = retrain.day_files(reg, "e").collect()
+    assert sorted(str(r.day) for r in listed) == ["2024-01-01", "2024-01-01", "2024-01-02", "None"]
