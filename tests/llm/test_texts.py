@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from brute import words
 from pyspark.sql import functions as F
@@ -248,3 +249,25 @@ def test_registered_queries():
     import __spark_entry__ as entry
     names = entry.queries()
     assert "pipeline" in names and {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+
+
+def test_leaks_of_many_pairs_are_those_of_each(spark):
+    from relearn.llm import decontaminate as D
+    rng = np.random.default_rng(4)
+    vocabulary = rng.integers(1, 1 << 62, 60).astype(np.uint64)
+    whole = [rng.choice(vocabulary[:n], n).tolist() for n in (1, 2, 5, 17, 40, 63, 64, 64)]
+    answers = [set(w[-(len(w) // 3 + 1):]) for w in whole]
+    _, salt = D._members(whole)
+    masks, sizes = D._word_masks(whole, answers, salt), np.array([len(w) for w in whole])
+    h = rng.choice(vocabulary, 3000)
+    a, b, item = [], [], []
+    for k, w in enumerate(whole):
+        for _ in range(25):
+            at, n = int(rng.integers(0, 2500)), int(rng.integers(1, 300))
+            keep = rng.random(len(w)) < rng.random()
+            if n > len(w):
+                h[at:at + keep.sum()] = np.array(w, np.uint64)[keep]
+            a.append(at), b.append(at + n), item.append(k)
+    got = D._leaks(h, np.array(a), np.array(b), np.array(item), sizes, np.array([len(x) for x in answers]), salt, masks)
+    want = [D._leak(whole[k], answers[k], h[x:y].tolist()) for x, y, k in zip(a, b, item)]
+    assert np.allclose(got, want) and 20 < np.count_nonzero(want) < len(want)
