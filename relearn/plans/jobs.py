@@ -20,7 +20,7 @@ import logging
 import os
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -45,8 +45,9 @@ class TrainResult:
     cv_metric: float
     metrics: dict
     summary: DataFrame
-    grid: DataFrame | None = None
-    extra: dict = field(default_factory=dict)
+    grid: DataFrame
+    folds: DataFrame
+    best_index: int
 
 
 def train_with_cv(train: DataFrame, test: DataFrame, label: str, exclude: Sequence[str],
@@ -80,7 +81,8 @@ def train_with_cv(train: DataFrame, test: DataFrame, label: str, exclude: Sequen
           values["f1"], int(values["sample_size"]))],
         "best_num_trees int, best_max_depth int, cv_auc double, auc_score double, accuracy double, "
         "f1_weighted double, sample_size bigint")
-    return TrainResult(best_model, feats, best, cv_auc, values, summary, training.cv_table(spark, cvm, "avg_auc"))
+    return TrainResult(best_model, feats, best, cv_auc, values, summary, training.cv_table(spark, cvm, "avg_auc"), training.fold_table(spark, cvm),
+                       cvm.best_index)
 
 
 def _key_columns(df: DataFrame, label: str, key_cols: Sequence[str] | None) -> tuple[list[str], list[str]]:

@@ -241,6 +241,20 @@ FROM (SELECT {_arm('champion', 'auc')} AS ch_auc, {_arm('champion', 'accuracy')}
              {_arm('challenger', 'f1')} AS cl_f1, {_arm('challenger', 'sample_size')} AS cl_n
       FROM ({ARM_METRICS_SQL}))""")
 
+_sides = {"champion": "ch", "challenger": "cl"}
+_AB_VALUES = {f"{a}_{m}": f"{p}_{m}" for a, p in _sides.items() for m in ("auc", "accuracy", "f1")}
+_AB_VALUES |= {f"{a}_sample_size": f"CAST(coalesce({p}_n, 0) AS DOUBLE)" for a, p in _sides.items()}
+_AB_VALUES |= {f"{m}_improvement": f"cl_{m} - ch_{m}" for m in ("auc", "accuracy", "f1")}
+_AB_TEXTS = {"traffic_split": f"'{Q.TRAFFIC_SPLIT}'", "winner": "CASE WHEN cl_auc - ch_auc > 0 THEN 'challenger' ELSE 'champion' END",
+             "champion_rows": "CAST(coalesce(ch_n, 0) AS BIGINT)", "challenger_rows": "CAST(coalesce(cl_n, 0) AS BIGINT)",
+             "improvement_message": "CASE WHEN cl_auc - ch_auc > 0 THEN printf('challenger better by %.4f AUC', cl_auc - ch_auc) "
+                                    "ELSE printf('champion better by %.4f AUC', coalesce(ch_auc - cl_auc, 0)) END"}
+register("ab_record", f"""
+WITH c AS (SELECT {', '.join(f"{_arm(a, m if m != 'n' else 'sample_size')} AS {p}_{m}" for a, p in _sides.items() for m in ("auc", "accuracy", "f1", "n"))}
+           FROM ({ARM_METRICS_SQL}))
+""" + " UNION ALL ".join([f"SELECT '{k}' AS key, NULL AS value, {r6(v)} AS number FROM c" for k, v in _AB_VALUES.items()]
+                         + [f"SELECT '{k}', CAST({v} AS VARCHAR), NULL FROM c" for k, v in _AB_TEXTS.items()]))
+
 # -- score metrics ----------------------------------------------------------------
 
 
@@ -417,6 +431,14 @@ FROM (SELECT *, CASE WHEN promoted THEN 'champion' ELSE 'challenger' END AS alia
 WHERE rn = 1""")
 
 
+register("model_round_trip", f"""
+SELECT CAST(1 AS BIGINT) AS version, count(*) AS n_rows, CAST(sum(tx_fraud) AS BIGINT) AS positives, CAST(0 AS BIGINT) AS n_different
+FROM ({SPLIT_SQL}) WHERE split = 'test'""")
+
+register("month_scan", f"""
+SELECT strftime(tx_timestamp, '%Y-%m') AS month, count(*) AS n_rows, CAST(sum(tx_fraud) AS BIGINT) AS positives, CAST(1 AS BIGINT) AS n_files
+FROM ({TX_SQL}) WHERE strftime(tx_timestamp, '%Y-%m') >= '{Q.PRUNED_FROM}' AND strftime(tx_timestamp, '%Y-%m') < '{Q.PRUNED_TO}' GROUP BY 1""")
+
 # -- text ---------------------------------------------------------------------------------
 
 
@@ -525,11 +547,11 @@ FROM ({SPLIT_SQL}) WHERE split = 'test'""")
 
 register("forest_cv", f"""
 SELECT count(*) AS sample_size, CAST(4 AS BIGINT) AS grid_size, CAST(3 AS BIGINT) AS folds,
-       CAST({len(Q.TX_FEATURES)} AS BIGINT) AS n_features, true AS best_is_largest, true AS near_rule_auc
+       CAST({len(Q.TX_FEATURES)} AS BIGINT) AS n_features, true AS best_is_largest, true AS fold_agrees, true AS near_rule_auc
 FROM ({SPLIT_SQL}) WHERE split = 'test'""")
 
 register("text_forest_fit", f"""
-SELECT count(*) AS n_test, CAST(sum(quality) AS BIGINT) AS positives, CAST(35 AS BIGINT) AS n_trees, true AS near_majority
+SELECT count(*) AS n_test, CAST(sum(quality) AS BIGINT) AS positives, CAST(35 AS BIGINT) AS n_trees, true AS beats_constant
 FROM documents JOIN labels USING (doc_id) WHERE {U('split', 'doc_id')} >= {dbl(0.7)}""")
 
 ALL_CELLS_SQL = f"""
