@@ -13,18 +13,19 @@ Step 2 draws the resamples, two exact ways:
 * ``draws``: n uniform row positions per iteration from the hash uniform,
   mapped to cells by the cumulative counts, counted per (iteration, cell).
   Reproducible in plain SQL, cost O(B * n), spread over all tasks.
-* ``multinomial``: per iteration one Multinomial(n, counts / n) draw with
-  NumPy (the same distribution), seeded by (seed, iteration); cost O(B),
-  independent of n.  This is the path for very large n.
+* ``multinomial``: per iteration one Multinomial(n, counts / n) draw (the same
+  distribution) as seven conditional binomials, each the inverse of its
+  distribution at a hash uniform of (seed, iteration, cell); cost O(B sqrt(n)).
+  This is the path for very large n.
 
 Nothing but the 8 counts reaches the driver.
 """
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relearn.functions.hashrand import hash_index
@@ -89,37 +90,76 @@ def resample_draws(spark: SparkSession, counts: list[int], iterations: int,
             .agg(*[F.count_if(F.col("cell") == i).alias(f"k{i}") for i in range(N_CELLS)]))
 
 
-def _seed_int(seed: str) -> int:
-    return int(hashlib.md5(seed.encode()).hexdigest()[:8], 16)
+#: Standard deviations on either side of the mode that a binomial draw looks at: beyond is less than a uniform resolves.
+REACH = 12
+UNIFORM_BITS = 52
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with ``value`` evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def binomial(u: Column, n: Column, p: Column) -> Column:
+    """A Binomial(n, p) number (bigint) from a uniform ``u`` in [0, 1), as an expression.
+
+    Values are taken in the order mode, mode + 1, ... and then mode - 1, ... down; ``u`` times their total weight falls
+    into one of them.  Weights follow from the mode's (1) by the ratio of neighbours, so nothing underflows."""
+    def ends(v: Column) -> Column:
+        reach = F.ceil(REACH * F.sqrt(v["n"] * v["p"] * (1 - v["p"]))) + REACH
+        mode = F.least(F.floor((v["n"] + 1) * v["p"]), v["n"])
+        return F.struct(v["u"].alias("u"), v["n"].alias("n"), (v["p"] / (1 - v["p"])).alias("r"), mode.alias("mode"),
+                        F.least(v["n"], mode + reach).alias("hi"), F.greatest(F.lit(0).cast("bigint"), mode - reach).alias("lo"))
+
+    def up(v, a, k):                  # the weight after that of k
+        return a["w"] * (v["n"] - k) / (k + 1) * v["r"]
+
+    def down(v, a, k):                # the weight of k - 1
+        return a["w"] * k / (v["n"] - k + 1) / v["r"]
+
+    def above(v):
+        return F.sequence(v["mode"], v["hi"])
+
+    def below(v):
+        return F.when(v["mode"] > v["lo"], F.sequence(v["mode"], v["lo"] + 1, F.lit(-1).cast("bigint"))).otherwise(F.array().cast("array<bigint>"))
+    start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("s"))
+
+    def sums(v: Column) -> Column:
+        over = F.aggregate(above(v), start, lambda a, k: F.struct(up(v, a, k).alias("w"), (a["s"] + a["w"]).alias("s")))["s"]
+        under = F.aggregate(below(v), start, lambda a, k: F.struct(down(v, a, k).alias("w"), (a["s"] + down(v, a, k)).alias("s")))["s"]
+        return F.struct(v.alias("v"), over.alias("over"), (v["u"] * (over + under)).alias("t"))
+
+    def chosen(x: Column) -> Column:
+        v, none = x["v"], F.lit(None).cast("bigint")
+        first = F.struct(F.lit(1.0).alias("w"), x["t"].alias("s"), none.alias("k"))
+        high = F.aggregate(above(v), first, lambda a, k: F.struct(up(v, a, k).alias("w"), (a["s"] - a["w"]).alias("s"), F.when(a["k"].isNull() & (a["s"] < a["w"]), k).otherwise(a["k"]).alias("k")))["k"]
+        rest = F.struct(F.lit(1.0).alias("w"), (x["t"] - x["over"]).alias("s"), none.alias("k"))
+        low = F.aggregate(below(v), rest, lambda a, k: F.struct(down(v, a, k).alias("w"), (a["s"] - down(v, a, k)).alias("s"), F.when(a["k"].isNull() & (a["s"] < down(v, a, k)), k - 1).otherwise(a["k"]).alias("k")))["k"]
+        return F.when(x["t"] < x["over"], F.coalesce(high, v["hi"])).otherwise(F.coalesce(low, v["lo"]))
+    inner = _let(ends(F.struct(u.alias("u"), n.cast("bigint").alias("n"), p.alias("p"))), lambda v: _let(sums(v), chosen))
+    return F.when((n <= 0) | (p <= 0), F.lit(0).cast("bigint")).when(p >= 1, n.cast("bigint")).otherwise(inner)
 
 
 def resample_multinomial(spark: SparkSession, counts: list[int], iterations: int,
                          seed: str = "boot", num_partitions: int | None = None) -> DataFrame:
     """Step 2, ``multinomial``: one exact Multinomial(n, p) draw per iteration.
 
-    Iterations are spread over tasks; each is seeded by (seed, iteration) so a
+    Iterations are spread over tasks; each draw depends on (seed, iteration, cell) only, so a
     retried task gives the same numbers.
     """
     n = int(sum(counts))
     if n <= 0:
         raise ValueError("bootstrap needs at least one row")
-    probs = [c / n for c in counts]
-    seed_i = _seed_int(seed)
-    schema = "iteration bigint, " + ", ".join(f"{c} bigint" for c in CELL_COLS)
-
-    def draw(batches):
-        import numpy as np
-        import pandas as pd
-        for pdf in batches:
-            its = pdf["id"].to_numpy()
-            rows = [np.random.default_rng([seed_i, int(i)]).multinomial(n, probs) for i in its]
-            mat = np.vstack(rows) if rows else np.zeros((0, N_CELLS), dtype=np.int64)
-            out = pd.DataFrame(mat.astype("int64"), columns=CELL_COLS)
-            out.insert(0, "iteration", its.astype("int64"))
-            yield out
-
+    left, shares = n, []
+    for c in counts[:-1]:             # of a cell among the cells from it on
+        shares.append(c / left if left else 0.0)
+        left -= c
     parts = num_partitions or max(1, min(iterations, spark.sparkContext.defaultParallelism))
-    return spark.range(0, iterations, 1, parts).mapInPandas(draw, schema)
+    out = spark.range(0, iterations, 1, parts).select(F.col("id").alias("iteration"), F.lit(n).cast("bigint").alias("__left"))
+    for i, share in enumerate(shares):
+        u = hash_index(seed, 1 << UNIFORM_BITS, F.col("iteration"), F.lit(i)) / F.lit(float(1 << UNIFORM_BITS))
+        out = out.withColumn(CELL_COLS[i], binomial(u, F.col("__left"), F.lit(share))).withColumn("__left", F.col("__left") - F.col(CELL_COLS[i]))
+    return out.withColumnRenamed("__left", CELL_COLS[-1]).select("iteration", *CELL_COLS)
 
 
 def resample(spark: SparkSession, cells: DataFrame, iterations: int = 100, seed: str = "boot",

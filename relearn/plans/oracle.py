@@ -9,7 +9,7 @@ view) are shared through the helpers below.
 
 from __future__ import annotations
 
-from relearn.operators import scorers, training
+from relearn.operators import bootstrap, scorers, training
 from relearn.plans import queries as Q
 from relearn.sources import tables as T
 
@@ -564,6 +564,27 @@ SELECT model, CAST({Q.BOOT_ITERATIONS} AS BIGINT) AS iterations,
        true AS f1_near, true AS precision_near, true AS recall_near, true AS auc_near
 FROM ({BOOT_SCORES_SQL.replace(BOOT_COUNTS_SQL, ALL_CELLS_SQL)})""")
 
+# Seven conditional binomials: each value's weight relative to the mode's by lgamma, values in the order mode upwards,
+# then mode downwards; the first one whose running sum is over the uniform's share of the total.
+_chain = [f"""d0 AS (SELECT i.iteration, n AS rest, c.* EXCLUDE (iteration) FROM range(0, {Q.BOOT_ITERATIONS}) i(iteration),
+            (SELECT *, {' + '.join(f'k{i}' for i in range(8))} AS n FROM ({ALL_CELLS_SQL})) c)"""]
+for _i in range(7):
+    _tail = " + ".join(f"k{j}" for j in range(_i, 8))
+    _u = (f"(CAST(('0x' || substr(md5(concat_ws('|', '{Q.BOOT_SEED}', CAST(iteration AS VARCHAR), '{_i}')), 1, 15)) AS BIGINT)::HUGEINT"
+          f" * {1 << 52} // 1152921504606846976)::DOUBLE / {float(1 << 52)!r}")
+    _chain.append(f"""b{_i} AS (SELECT *, least(CAST(floor((rest + 1) * p) AS BIGINT), rest) AS mode, CAST(ceil({bootstrap.REACH} * sqrt(rest * p * (1 - p))) AS BIGINT) + {bootstrap.REACH} AS reach
+             FROM (SELECT *, CASE WHEN {_tail} = 0 THEN 0 ELSE k{_i}::DOUBLE / ({_tail}) END AS p, {_u} AS u FROM d{_i}))""")
+    _chain.append(f"""w{_i} AS (SELECT iteration, x, u, CASE WHEN x >= mode THEN x - mode ELSE rest + 1 + mode - x END AS place,
+                    exp(lgamma(mode + 1) + lgamma(rest - mode + 1) - lgamma(x + 1) - lgamma(rest - x + 1) + (x - mode) * ln(p / (1 - p))) AS w
+             FROM (SELECT *, unnest(range(greatest(0, mode - reach), least(rest, mode + reach) + 1)) AS x FROM b{_i} WHERE p > 0 AND p < 1 AND rest > 0))""")
+    _chain.append(f"""c{_i} AS (SELECT iteration, arg_min(x, place) AS x FROM (SELECT *, sum(w) OVER (PARTITION BY iteration ORDER BY place) AS upto, sum(w) OVER (PARTITION BY iteration) AS total FROM w{_i})
+             WHERE upto > u * total GROUP BY iteration)""")
+    _chain.append(f"""d{_i + 1} AS (SELECT b.* EXCLUDE (rest, p, u, mode, reach), coalesce(x, CASE WHEN p >= 1 THEN rest ELSE 0 END) AS r{_i},
+                    rest - coalesce(x, CASE WHEN p >= 1 THEN rest ELSE 0 END) AS rest FROM b{_i} b LEFT JOIN c{_i} USING (iteration))""")
+register("bootstrap_multinomial_cells", f"""
+WITH {', '.join(_chain)}
+SELECT CAST(iteration AS BIGINT) AS iteration, {', '.join(f'CAST(r{i} AS BIGINT) AS k{i}' for i in range(7))}, CAST(rest AS BIGINT) AS k7 FROM d7""")
+
 # -- profile and registry functions on table data ----------------------------------------------
 
 _LINEITEM = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",

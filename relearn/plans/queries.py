@@ -263,6 +263,13 @@ def q_bootstrap_cells(spark, sf_dir):
     return boot_counts(spark, sf_dir)
 
 
+@register("bootstrap_multinomial_cells")
+def q_bootstrap_multinomial_cells(spark, sf_dir):
+    """Per-iteration cell counts as multinomial draws, over all transactions."""
+    scored = scorers.score_rules(transactions(spark, sf_dir))
+    return bootstrap.resample(spark, bootstrap.joint_cells(scored, LABEL, "pred_base", "pred_candidate"), BOOT_ITERATIONS, BOOT_SEED, "multinomial")
+
+
 @register("bootstrap_scores")
 def q_bootstrap_scores(spark, sf_dir):
     """F1, precision, recall, label AUC per iteration and model."""

@@ -135,12 +135,41 @@ def test_tag_fallback(spark, scratch):
     assert reg.register_version("m", "m2", "/again") == 2
 
 
-def test_command_lines():
-    from relearn.cli import ab_test, train
-    args = train.parser().parse_args(["--input", "i", "--output", "o", "--registry", "r", "--key", "a", "--key", "b", "--ab-testing"])
-    assert args.key == ["a", "b"] and args.ab_testing and args.ab_traffic_split == 0.5 and args.experiment_name == "fraud_detection"
-    args = ab_test.parser().parse_args(["--input", "i", "--registry", "r"])
-    assert (args.n_iter, args.cv, args.sample_frac, args.bootstrap_iterations, args.alpha, args.auto_deploy) == (50, 5, 0.1, 100, 0.01, False)
+def test_settings_are_checked_against_the_job():
+    from relearn.cli import job
+    from relearn.plans import jobs
+    got = job.settings_of(jobs.run_training, {"input_path": "i", "output_path": "o", "parallelism": 2}, ["parallelism=8", "auto_register=true", "key_cols=[\"a\", \"b\"]", "experiment=e=x"])
+    assert got == {"input_path": "i", "output_path": "o", "parallelism": 8, "auto_register": True, "key_cols": ["a", "b"], "experiment": "e=x"}
+    for given, pairs in (({}, ["input_path=i"]), ({"input_path": "i", "output_path": "o"}, ["colour=red"]), ({"input_path": "i", "output_path": "o"}, ["spark=1"]), ({}, ["word"])):
+        with pytest.raises(ValueError):
+            job.settings_of(jobs.run_training, given, pairs)
+    assert job.settings_of(jobs.run_ab_test, {}, ["alpha=0.05"]) == {"alpha": 0.05}
+
+
+def test_jobs_run_from_the_command_line(spark, scratch, monkeypatch):
+    import json
+    from relearn.cli import job
+    seen = []
+    monkeypatch.setattr(job, "JOBS", {"train": job.JOBS["train"], "compare": lambda spark, data, registry_root, alpha=0.01, n_iter=5: seen.append((data.columns, data.count(), registry_root, alpha, n_iter))})
+    monkeypatch.setattr(job, "_session", lambda name: spark)
+    spark.createDataFrame([("u1", "bad"), ("u2", "good")], "url string, label string").coalesce(1).write.option("header", True).csv(scratch + "/urls")
+    with open(scratch + "/settings.json", "w") as f:
+        json.dump({"alpha": 0.2, "n_iter": 1}, f)
+    job.main(["compare", "--registry", "r", "--data", scratch + "/urls", "--settings", scratch + "/settings.json", "--set", "n_iter=7"])
+    assert seen == [(["url", "label"], 2, "r", 0.2, 7)]
+
+
+def test_month_scan_reads_the_months_it_needs(spark):
+    from relearn.plans import queries
+    table, folder = queries.months(spark, "/root/testdata/sf0.001")
+    some = table.where((F.col("month") >= queries.PRUNED_FROM) & (F.col("month") < queries.PRUNED_TO))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    filters = next(line for line in plan.splitlines() if "PartitionFilters" in line).split("PartitionFilters: [")[1].split("]")[0]
+    assert "month" in filters and queries.PRUNED_FROM in filters
+    read = {r[0].rsplit("/", 2)[1] for r in some.select(F.col("_metadata.file_path")).distinct().collect()}
+    assert read == {"month=1995-03", "month=1995-04", "month=1995-05"}
+    # a day that comes later is a new folder, and the only one that its training reads
+    assert len(table.inputFiles()) > 60 and folder
 
 
 # -- commits that race -------------------------------------------------------------

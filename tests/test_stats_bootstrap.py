@@ -48,6 +48,28 @@ def test_multinomial_mean_matches_cells(spark):
         assert means[f"k{i}"] == pytest.approx(c[f"c{i}"], abs=4 + 0.1 * c[f"c{i}"])
 
 
+@pytest.mark.parametrize("n, p", [(1, 0.5), (7, 0.3), (40, 0.02), (40, 0.97), (300, 0.5)])
+def test_binomial_takes_each_value_for_its_share_of_uniforms(spark, n, p):
+    """Over a grid of uniforms every value comes up as often as its probability says."""
+    import math
+    grid = 20_000
+    df = spark.range(grid).select(((F.col("id") + 0.5) / grid).alias("u"))
+    got = {r.k: r["count"] for r in df.select(bootstrap.binomial(F.col("u"), F.lit(n), F.lit(p)).alias("k")).groupBy("k").count().collect()}
+    for k in range(n + 1):
+        assert abs(got.get(k, 0) - grid * math.comb(n, k) * p ** k * (1 - p) ** (n - k)) <= 2
+
+
+def test_binomial_edges(spark):
+    rows = [(0.0, 0, 0.5), (0.3, 5, 0.0), (0.3, 5, 1.0), (0.0, 10 ** 12, 0.4), (1 - 2 ** -52, 10 ** 12, 0.4)]
+    got = [r[0] for r in spark.createDataFrame(rows, "u double, n bigint, p double").select(bootstrap.binomial(F.col("u"), F.col("n"), F.col("p"))).collect()]
+    assert got[:3] == [0, 0, 5] and all(abs(k - 4 * 10 ** 11) < 13 * (10 ** 12 * 0.24) ** 0.5 for k in got[3:])
+
+
+def test_multinomial_has_no_python_worker(spark):
+    plan = bootstrap.resample_multinomial(spark, [3, 1, 0, 2, 1, 0, 0, 1], 10)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
 def test_multinomial_repeatable(spark):
     cells = bootstrap.joint_cells(_preds(spark), "y", "pb", "pc")
     a = bootstrap.resample(spark, cells, 20, "r", "multinomial").orderBy("iteration").collect()
