@@ -13,7 +13,9 @@ don't depend on partitioning.  Every step reads the small table of statistics, n
 
 Every variance has a floor (``FLOORS``): a statistic that is constant in most rows of a group (no symbols at all)
 would otherwise make the smallest deviation an outlier, the exact-fit case of the estimator.
-Groups under ``MIN_GROUP`` rows are pooled per language, then over languages; a pool still smaller judges nothing.
+A group under ``MIN_GROUP`` rows is judged by the estimate of its whole language, one of a language under
+``MIN_LANGUAGE`` rows by the estimate of all rows.  Only a table with under ``MIN_ALL`` rows that pass the base rules, too few
+for a covariance of six statistics, is left unjudged.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ STATS = ["length", "symbols", "dup_lines", "repeats", "capitals", "size"]
 FLOORS = [0.08, 0.3, 0.2, 0.15, 0.06, 0.7]
 DIM = len(STATS)
 SETTLED = 5e-3
-MIN_GROUP = 200
+MIN_GROUP, MIN_LANGUAGE, MIN_ALL = 200, 10 * DIM, 3 * DIM
 #: Chi-square quantiles for six dimensions, 0.5, 0.975 and 0.999999.
 MEDIAN, WEIGHT, CUTOFF = 5.348, 14.449, 38.258
 GRID = 32          # cells per doubling of 1 + distance, and per unit of a statistic
@@ -97,15 +99,20 @@ def statistics(counted: DataFrame) -> DataFrame:
 
 
 def with_groups(stats: DataFrame, min_group: int) -> DataFrame:
-    """Adds the group that judges each row: its language and source, or a pool of small ones."""
+    """Adds the group that judges each row (its language and source, its language, or all) and ``fits``: the groups that its
+    statistics count for, which are its own and those that judge some small group."""
     named = stats.withColumn("lang_key", F.coalesce("lang", F.lit("\x00"))).withColumn("source_key", F.coalesce("source", F.lit("\x00")))
-    sizes = named.where("not base_failed").groupBy("lang_key", "source_key").count()
-    sizes = sizes.withColumn("small", F.col("count") < min_group)
-    pools = sizes.where("small").groupBy("lang_key").agg(F.sum("count").alias("pooled"))
-    level = F.when(~F.col("small"), F.lit(0)).when(F.col("pooled") >= min_group, F.lit(1)).otherwise(F.lit(2))
-    levels = sizes.join(pools, "lang_key", "left").select("lang_key", "source_key", level.alias("level"))
-    group = F.when(F.col("level") == 0, F.to_json(F.array("lang_key", "source_key"))).when(F.col("level") == 1, F.to_json(F.array("lang_key"))).otherwise("[]")
-    return named.join(levels, ["lang_key", "source_key"], "left").withColumn("group", group).drop("lang_key", "source_key", "level")
+    sizes = named.groupBy("lang_key", "source_key").agg(F.count_if(~F.col("base_failed")).alias("n"))
+    languages = sizes.groupBy("lang_key").agg(F.sum("n").alias("of_language"), F.max(F.col("n").between(1, min_group - 1)).alias("has_small"))
+    level = F.when(F.col("n") >= min_group, F.lit(0)).when(F.col("of_language") >= min(MIN_LANGUAGE, min_group), F.lit(1)).otherwise(F.lit(2))
+    levels = sizes.join(languages, "lang_key").withColumn("level", level)
+    rest = levels.agg(F.coalesce(F.max((F.col("level") == 2) & (F.col("n") > 0)), F.lit(False)).alias("all_judges"))
+    levels = levels.crossJoin(rest).select("lang_key", "source_key", "level", "of_language", "has_small", "all_judges")      # one row
+    own, language, whole = F.to_json(F.array("lang_key", "source_key")), F.to_json(F.array("lang_key")), F.lit("[]")
+    group = F.when(F.col("level") == 0, own).when(F.col("level") == 1, language).otherwise(whole)
+    fits = F.array(F.when(F.col("level") == 0, own), F.when(F.col("has_small") & (F.col("of_language") >= min(MIN_LANGUAGE, min_group)), language), F.when(F.col("all_judges"), whole))
+    return (named.join(levels, ["lang_key", "source_key"], "left").withColumn("group", group).withColumn("fits", F.filter(fits, lambda x: x.isNotNull()))
+            .drop("lang_key", "source_key", "level", "of_language", "has_small", "all_judges"))
 
 
 def _pairs() -> list[tuple[int, int]]:
@@ -215,12 +222,12 @@ def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP, cutoff: float = C
 
     One row per row of ``docs``, repeated rows included; text_key is xxhash64 of the text; distance is the squared Mahalanobis distance over the
     group's factor, null for rows that failed the base rules (under 50 words, or over half of them in repeated
-    three-word windows) and for rows of pools under ``min_group`` rows, which are kept.  Null and empty texts have no
+    three-word windows) and for all rows of a table under ``MIN_ALL`` rows, which are kept.  Null and empty texts have no
     words and fail.  A null or missing lang or source is a group of its own.  An empty table gives no rows.
     """
     stats = cut(with_groups(cut(statistics(counts(docs))), min_group))
-    fit = stats.where("not base_failed").select("group", *STATS)
-    big = fit.groupBy("group").count().where(F.col("count") >= min_group).select("group")
+    fit = stats.where("not base_failed").select(F.explode("fits").alias("group"), *STATS)
+    big = fit.groupBy("group").count().where(F.col("count") >= min(MIN_ALL, min_group)).select("group")
     est = robust_estimates(fit.join(big, "group"))
     judged = stats.join(est.drop("start", "det"), "group", "left")
     distance = F.when(~F.col("base_failed"), _distance() / F.col("factor"))

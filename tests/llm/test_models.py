@@ -137,6 +137,21 @@ def test_mahalanobis_distances_match_numpy(spark):
     assert est.factor >= 1
 
 
+def test_rows_of_small_groups_are_judged_by_larger_ones(spark):
+    """A table of 22 rows, each of a source of its own; a small language beside a large one."""
+    rng = np.random.default_rng(8)
+    prose = lambda n: " ".join("abcdefgh"[: 2 + int(rng.integers(6))] + str(int(rng.integers(100_000))) for _ in range(n))
+    def row(i, lang, source, bad=False):
+        text = prose(int(rng.integers(60, 300)))
+        return i, text.replace(" ", " &%|#*$ ") if bad else text, lang, source
+    few = [row(i, "en", f"s{i}", i >= 20) for i in range(22)]
+    mixed = [row(i, "en", "a") for i in range(220)] + [row(300 + i, "xx", f"s{i % 7}", i >= 15) for i in range(17)] + [row(400 + i, "en", "rare", i >= 4) for i in range(5)]
+    for rows, bad in ((few, {20, 21}), (mixed, {315, 316, 404})):
+        got = quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+        assert all(r.distance is not None for r in got) and {r.doc_id for r in got if not r.kept} >= bad
+        assert sum(not r.kept for r in got) <= len(bad) + 2
+
+
 def test_quality_edge_cases(odd, empty):  # noqa: F811
     rows = quality_rules(odd()).collect()
     assert len(rows) == 11 and quality_rules(empty).count() == 0
