@@ -233,3 +233,28 @@ SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, sha256(c.proof) AS proof_s
 FROM climb c JOIN l USING (doc_id) JOIN subs s ON s.source IS NOT DISTINCT FROM l.source
 JOIN (SELECT h FROM tops WHERE level = (SELECT max(level) FROM tops)) r ON true
 WHERE c.stage = 1 AND c.level = (SELECT max(level) FROM tops)"""
+
+_WORDS = "regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
+_LOWER = f"translate(coalesce(text, ''), '{merkle.CAPITALS}', '{merkle.SMALL}')"
+
+ORACLE["op2_near_dedup"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS.format(_LOWER)} AS ws FROM documents),
+     s AS (SELECT DISTINCT doc_id, hash AS h FROM (
+             SELECT doc_id, md5(array_to_string(ws[i:i + 3], ' ')) AS hash FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM w WHERE len(ws) > 0))),
+     n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+     links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+     both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+     reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a),
+     c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)"""
+
+ORACLE["op4_substring_dedup"] = f"""
+WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+     p AS (SELECT doc_id, i, ws[i] AS word, CASE WHEN i + 49 <= len(ws) THEN md5(array_to_string(ws[i:i + 49], ' ')) END AS h
+           FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)),
+     hit AS (SELECT doc_id, i, word, h IS NOT NULL AND min(doc_id) OVER (PARTITION BY h) < doc_id AS starts FROM p),
+     gone AS (SELECT doc_id, i, word, bool_or(starts) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS removed FROM hit)
+SELECT w.doc_id, count(i) AS n_words, count(i) FILTER (WHERE removed) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT removed), '')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id) GROUP BY w.doc_id"""
