@@ -4,17 +4,19 @@ A word is removed if a window of ``window`` words covers it whose word sequence
 smaller doc_id.  Every window has a *phrase*: the ``PHRASE``-word run in it with the smallest hash, so equal windows
 have equal phrases wherever they stand, and about one run in fifteen is a phrase of some window.
 
-1. Phrases that occur in two documents or more are confirmed by one aggregation (phrase, smallest and largest id).
-2. Each document gets its own confirmed phrases.  A shard is about a megabyte of such documents and the phrases
-   that they hold: it compiles an Aho-Corasick automaton over word numbers and streams its documents through it,
-   which locates every occurrence.  So automata are bounded, and a phrase that is in a third of all documents is
-   compiled in many shards instead of gathering these documents in one.
+1. Phrases that occur in two documents or more are candidates: one aggregation by hash (phrase, smallest and largest
+   id).  The smallest document gives each one's words, which makes the table of recurring passages.
+2. Each document gets the words of its candidates from that table.  A shard is about a megabyte of such documents and
+   the passages that they may hold: it compiles an Aho-Corasick automaton of those passages and streams its documents
+   through it, word by word (words are compared as bytes).  What the automaton locates is the only source of
+   windows: a hash that two different phrases share locates nothing.  Automata are bounded, and a passage that is in a
+   third of all documents is compiled in many shards instead of gathering these documents in one.
 3. Windows around located phrases give (window hash, doc_id); the smallest id per window, joined back, tells which
    windows of which documents are repeats.  Both aggregations combine before the shuffle; the joins are plain joins
    of two shuffled sides, which Spark splits at a hot window.
 4. Each document drops the words under its repeats.
 
-Hashes have 64 bits.  The documents are shuffled once by doc_id; both joins with them use that exchange.
+Hashes have 64 bits.  The documents are shuffled once by doc_id; the joins with them use that exchange.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark.sql import types as T
 
 from relearn.llm import words as W
 from relearn.llm.arrowutil import as_long
+from relearn.llm.common import cut
 
 WINDOW, PHRASE = 50, 20
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -61,23 +64,26 @@ def _unique_rows(doc: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return doc[new], h[new]
 
 
-def locate(s: W.Words, run: np.ndarray, known: list[np.ndarray]) -> np.ndarray:
-    """Marks the words of a shard at which a phrase starts that is ``known`` to recur (sorted hashes per document)."""
-    _, number = np.unique(s.hash, return_inverse=True)
+def _words(s: W.Words, d: int) -> list[bytes]:
+    a, b = s.first[d], s.first[d + 1]
+    return s.data[s.start[a]:s.end[b - 1]].tobytes().split() if b > a else []
+
+
+def locate(s: W.Words, passages: list[list[bytes]]) -> np.ndarray:
+    """Marks the words of a shard at which one of its passages starts, by one automaton over word numbers.
+
+    ``passages`` are those looked for in each document, their words joined by a space."""
+    numbers: dict[bytes, int] = {}
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    first: dict[int, int] = {}
-    for d, mine in enumerate(known):
-        a, b = s.first[d], s.first[d + 1]
-        for i in np.flatnonzero(np.isin(run[a:b], mine)) + a:
-            first.setdefault(int(run[i]), i)
-    for k, i in first.items():
-        automaton.add_word(tuple(number[i:i + PHRASE].tolist()), i)
-    found = np.zeros(len(run), bool)
-    if first:
+    for passage in {p for mine in passages for p in mine}:
+        automaton.add_word(tuple([numbers.setdefault(w, len(numbers) + 1) for w in passage.split()]), 1)
+    found = np.zeros(len(s.hash), bool)
+    if numbers:
         automaton.make_automaton()
-        for a, b in zip(s.first[:-1], s.first[1:]):
-            ends = np.fromiter((e for e, _ in automaton.iter(tuple(number[a:b].tolist()))), np.int64)
-            found[a + ends - (PHRASE - 1)] = True
+        for d, mine in enumerate(passages):
+            if mine:
+                ends = np.fromiter((e for e, _ in automaton.iter(tuple([numbers.get(w, 0) for w in _words(s, d)]))), np.int64)
+                found[s.first[d] + ends - (PHRASE - 1)] = True
     return found
 
 
@@ -92,18 +98,37 @@ def phrases(docs: DataFrame, window: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "phrase long, doc_id long")
 
 
+def passage_words(docs: DataFrame) -> DataFrame:
+    """``(phrase, words)``: the words of the phrases in each document's list ``wanted``, joined by a space."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            lists = batch.column("wanted")
+            for s in W.slices(batch.column("text")):
+                at, h = s.runs(PHRASE)
+                bounds, hashes, words = np.searchsorted(at, s.first), [], []
+                for d in range(s.n_docs):
+                    mine = lists[s.first_doc + d].values.to_numpy().view(np.uint64)
+                    here = h[bounds[d]:bounds[d + 1]]
+                    where = np.flatnonzero(np.isin(here, mine))
+                    _, once = np.unique(here[where], return_index=True)
+                    text = _words(s, d)
+                    hashes.append(here[where[once]])
+                    words += [b" ".join(text[i:i + PHRASE]) for i in where[once].tolist()]
+                yield pa.RecordBatch.from_arrays([as_long(np.concatenate(hashes)), pa.array(words, pa.binary())], names=["phrase", "words"])
+    return docs.select("text", "wanted").mapInArrow(run, "phrase long, words binary")
+
+
 def located_windows(docs: DataFrame, window: int) -> DataFrame:
-    """``(window, doc_id)``: distinct windows whose phrase the automata locate, of documents with a list ``known``."""
+    """``(window, doc_id)``: distinct windows whose phrase the automata locate, of documents with a list ``known`` of passages."""
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             lists = batch.column("known")
             for s in W.slices(batch.column("text")):
-                known = [np.frombuffer(lists[s.first_doc + d].values.to_numpy(), np.uint64) for d in range(s.n_docs)]
                 runs, starts, hashes, least = _phrases(s, window, PHRASE)
                 if not len(starts):
                     continue
-                here = np.where(locate(s, runs, known), runs, _NONE)
-                hit = sliding_min(here, window - PHRASE + 1)[starts] == least
+                here = np.where(locate(s, lists.slice(s.first_doc, s.n_docs).to_pylist()), runs, _NONE)
+                hit = (sliding_min(here, window - PHRASE + 1)[starts] == least) & (least != _NONE)
                 doc, h = _unique_rows(np.searchsorted(s.first, starts[hit], "right") - 1, hashes[hit])
                 yield pa.RecordBatch.from_arrays([as_long(h), batch.column("doc_id").take(pa.array(s.first_doc + doc))], names=["window", "doc_id"])
     return docs.mapInArrow(run, "window long, doc_id long")
@@ -126,7 +151,7 @@ def _without(docs: DataFrame, window: int, schema: T.StructType, original: bool)
                 ends = np.searchsorted(starts, s.first)
                 for d in range(s.n_docs):
                     a, b = s.first[d], s.first[d + 1]
-                    words = s.data[s.start[a]:s.end[b - 1]].tobytes().split() if b > a else []
+                    words = _words(s, d)
                     if lists[s.first_doc + d].is_valid:
                         hit = np.isin(hashes[ends[d]:ends[d + 1]], lists[s.first_doc + d].values.to_numpy().view(np.uint64))
                         edge = np.zeros(b - a + 1, np.int64)
@@ -161,9 +186,11 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, original: bool = False
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), rest.alias("rest"))
     named = rows.where("doc_id is not null")
     found = phrases(named, window)
-    recurring = (found.groupBy("phrase").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-                 .where("lo <> hi").select("phrase"))
-    known = found.join(recurring, "phrase").groupBy("doc_id").agg(F.collect_list("phrase").alias("known"))
+    recurring = cut(found.groupBy("phrase").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("phrase", "lo"))
+    wanted = recurring.groupBy(F.col("lo").alias("doc_id")).agg(F.collect_list("phrase").alias("wanted"))
+    # of rows that share a doc_id several may have the phrase
+    passages = passage_words(named.join(wanted, "doc_id")).dropDuplicates(["phrase"])
+    known = found.join(passages, "phrase").groupBy("doc_id").agg(F.collect_set("words").alias("known"))
     windows = located_windows(named.join(known, "doc_id").select("doc_id", "text", "rest", "known"), window)
     first = windows.groupBy("window").agg(F.min("doc_id").alias("first"))
     repeats = (windows.join(first, "window").where("doc_id > first")

@@ -1,11 +1,14 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from brute import kept_words, near_components
 
 from llm_fixtures import SF_SMALL, empty, odd  # noqa: F401
 from relearn.llm import queries
+from relearn.llm import words as W
 from relearn.llm.common import documents
 from relearn.llm.components import components
 from relearn.llm.near_dedup import near_duplicates
@@ -98,3 +101,29 @@ def test_passages_edge_cases(odd, empty):
     assert gone[(3, 0)] == (0, "") and gone[(4, 0)] == (0, "") and gone[(7, 60_000)][0] == 0
     kept = {(r.doc_id, r.n_words): r for r in remove_repeats(odd(), original=True).collect()}
     assert kept[(5, 0)].text == " \t\n " and kept[(4, 0)].text == "" and kept[(1, 300)].rest["a.b"] == "q" and kept[(1, 300)].rest.rest == "r"
+
+
+def test_passages_are_located_by_the_automaton_alone(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"w{j}" for j in range(90))) for i in range(3)], "doc_id long, text string")
+    assert sum(r.n_removed for r in remove_repeats(docs).collect()) == 180
+    from relearn.llm import substring_dedup as S
+    (s,) = W.slices(pa.array([" ".join(f"w{j}" for j in range(90))] * 2))
+    passage = b" ".join(b"w%d" % j for j in range(40, 60))
+    found = S.locate(s, [[passage], [b" ".join(b"v%d" % j for j in range(20))]])
+    assert np.flatnonzero(found).tolist() == [40, 130]
+    assert not S.locate(s, [[], []]).any()
+
+
+def test_a_forged_hash_collision_removes_nothing():
+    """Two texts whose phrases and windows all have equal hashes but other words: only the true copy is located."""
+    from relearn.llm import substring_dedup as S
+    one, other = " ".join(f"w{j}" for j in range(60)), " ".join(f"v{j}" for j in range(60))
+    (s,) = W.slices(pa.array([one, other, one]))
+    s.hash[60:120] = s.hash[:60]
+    runs, starts, hashes, least = S._phrases(s, 50, S.PHRASE)
+    assert (hashes[:11] == hashes[11:22]).all() and (least[:11] == least[11:22]).all()
+    words = one.encode().split()
+    mine = [b" ".join(words[i:i + S.PHRASE]) for i in range(41)]       # the table holds the words of the smallest id
+    here = np.where(S.locate(s, [mine] * 3), runs, S._NONE)
+    hit = S.sliding_min(here, 50 - S.PHRASE + 1)[starts] == least
+    assert hit[:11].all() and not hit[11:22].any() and hit[22:].all()
