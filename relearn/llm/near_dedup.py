@@ -10,8 +10,11 @@ A document's set holds its distinct shingles; two documents are linked at Jaccar
    positions, a child per token there.  Nodes whose members are all tied already are dropped.  Nodes of at most
    ``LEAF`` members are compared exhaustively, larger ones branch again; after ``DEPTH`` levels what is still larger
    is compared exhaustively in blocks.  A node gives a spanning set of its ties only, never all pairs.
-4. What is tied together is a *family*.  Within each family all sets are compared whole (families over ``FAMILY``
-   sets in blocks), again giving spanning links only; components of the links are the result.  Whole sets are
+4. What is tied together is a *family*.  Its sets are compared whole.  First each class with the smallest one that it
+   is tied to: linear work, which joins most families at once.  Only families that are still apart go on: each
+   class outside the family's largest component is compared with all classes of other components, in blocks of
+   ``FAMILY``, so a family with few such classes is read about twice, whatever its size.  Both steps give spanning links only; components of
+   the links are the result.  Whole sets are
    computed again from the texts, only for the documents that a bitmap of fixed size lets through (it marks a
    document of each wanted class and a few others by chance), so texts are never shuffled.
 
@@ -149,12 +152,12 @@ class _Labels:
         return np.flatnonzero((self.label != self.label[i]) & ((side == 1) | (np.arange(len(side)) > i)))
 
 
-def _linked(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Spanning pairs of the rows whose whole sets reach the threshold."""
+def _linked(sets: list[np.ndarray], side: np.ndarray, comp: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Spanning pairs of the rows of different components whose whole sets reach the threshold."""
     _, codes = np.unique(np.concatenate(sets), return_inverse=True)
     n = np.array([len(x) for x in sets])
     at = np.r_[0, np.cumsum(n)]
-    joined, flags = _Labels(np.arange(len(sets))), np.zeros(codes.max() + 1, np.int32)
+    joined, flags = _Labels(comp), np.zeros(codes.max() + 1, np.int32)
     for i in np.flatnonzero(side == 0):
         others = joined.open(i, side)
         others = others[100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i])]
@@ -170,28 +173,66 @@ def _linked(sets: list[np.ndarray], side: np.ndarray, percent: int) -> list[tupl
     return joined.pairs
 
 
-def family_links(docs: DataFrame, classes: DataFrame, families: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Spanning links ``(a, b)`` on whole sets within each of the ``families`` (node, component) of class keys."""
-    named = families.select(F.col("node").alias("key"), F.col("component").alias("family"))
-    named = cut(named.join(named.groupBy("family").agg(F.count("*").alias("size")), "family"))
-    sets = whole_sets(docs, classes.select("key", "doc_id").join(named, "key"), shingle)
-    rows = _blocks(named.join(sets, "key").select(F.col("family").alias("node"), "key", "hashes", "size"), FAMILY, "hashes")
-
+def _compared(rows: DataFrame, percent: int) -> DataFrame:
+    """Spanning links ``(a, b)`` of the nodes of ``rows`` (node, key, comp, side, hashes): rows of side 0 against those of side 1."""
     def run(batches: Iterator[pa.RecordBatch]):
         for table, at in sorted_groups(batches, "node"):
-            key, side = table["key"].combine_chunks().to_numpy(), table["side"].combine_chunks().to_numpy()
+            key, side, comp = (table[c].combine_chunks().to_numpy() for c in ("key", "side", "comp"))
             hashed = table["hashes"].combine_chunks()
             a, b = [], []
             for x, y in zip(at[:-1], at[1:]):
                 sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in hashed[x:y]]
-                for i, j in _linked(sets, side[x:y], percent):
+                for i, j in _linked(sets, side[x:y], comp[x:y], percent):
                     a.append(key[x + i])
                     b.append(key[x + j])
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    rows = rows.select("node", "key", "comp", F.col("side").cast("int").alias("side"), "hashes")
     return rows.repartition("node").sortWithinPartitions("node").mapInArrow(run, "a long, b long")
 
 
+def _spread(column: str, count: str):
+    """A block number of a key among ``count`` rows in blocks of ``FAMILY``, and all such numbers."""
+    blocks = F.ceil(F.col(count) / FAMILY)
+    return F.pmod(F.xxhash64(F.col(column), F.lit("block")), blocks), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+
+
+def pivot_rows(ties: DataFrame) -> DataFrame:
+    """``(node, key, comp, side)``: each class (side 1) with the smallest class that it is tied to (side 0), in blocks."""
+    both = ties.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b")
+    first = cut(both.groupBy("b").agg(F.min("a").alias("a")))
+    held = first.groupBy("a").agg(F.count("*").alias("size"))
+    mine, every = _spread("b", "size")
+    of = F.xxhash64("a", "block").alias("node")
+    members = first.join(held, "a").withColumn("block", mine).select(of, F.col("b").alias("key"), F.col("b").alias("comp"), F.lit(1).alias("side"))
+    pivots = held.withColumn("block", every).select(of, F.col("a").alias("key"), F.col("a").alias("comp"), F.lit(0).alias("side"))
+    return members.unionByName(pivots)
+
+
+def apart_rows(named: DataFrame, linked: DataFrame) -> DataFrame:
+    """``(node, key, comp, side)`` of the families (key, family) that the links (node, component) leave apart: classes outside the
+    largest component on side 0, all classes on side 1, so that each two of different components meet in a node."""
+    rows = cut(named.join(linked.withColumnRenamed("node", "key"), "key", "left").select("family", "key", F.coalesce("component", "key").alias("comp")))
+    sizes = rows.groupBy("family", "comp").agg(F.count("*").alias("n"))
+    whole = sizes.groupBy("family").agg(F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top")).where("top.n < size")
+    whole = whole.select("family", "size", F.col("top.comp").alias("largest"), (F.col("size") - F.col("top.n")).alias("outside"))
+    rows = cut(rows.join(whole, "family"))
+    (own, every_own), (mine, every) = _spread("key", "outside"), _spread("key", "size")
+    node = F.xxhash64("family", "i", "j").alias("node")
+    few = rows.where("comp <> largest").withColumn("i", own).withColumn("j", every).select(node, "key", "comp", F.lit(0).alias("side"))
+    return few.unionByName(rows.withColumn("j", mine).withColumn("i", every_own).select(node, "key", "comp", F.lit(1).alias("side")))
+
+
+def family_links(docs: DataFrame, classes: DataFrame, families: DataFrame, ties: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Spanning links ``(a, b)`` on whole sets within each of the ``families`` (node, component) of class keys that ``ties`` (a, b) hold together."""
+    named = cut(families.select(F.col("node").alias("key"), F.col("component").alias("family")))
+    sets = whole_sets(docs, classes.select("key", "doc_id").join(named, "key"), shingle)
+    sets = cut(sets.join(named.select("key"), "key", "left_semi").dropDuplicates(["key"]))
+    links = cut(_compared(pivot_rows(ties).join(sets, "key"), percent))
+    apart = cut(apart_rows(named, components(links)))
+    return links if apart.isEmpty() else links.unionByName(_compared(apart.join(sets, "key"), percent))
+
+
 def _least_same(percent: int) -> int:
     p = percent / 100
     return int(np.floor(MINHASHES * p - DEVIATIONS * np.sqrt(MINHASHES * p * (1 - p))))
@@ -324,8 +365,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     """
     classes = cut(set_features(docs, shingle, True).where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens")))
     ties = cut(star_pairs(classes, percent))
-    ties = ties.unionByName(tree_pairs(classes, components(ties), percent))
-    edges = family_links(docs, classes, components(ties), shingle, percent)
+    ties = cut(ties.unionByName(tree_pairs(classes, components(ties), percent)))
+    edges = family_links(docs, classes, components(ties), ties, shingle, percent)
     linked = components(edges).withColumnRenamed("node", "key")
     named = classes.select("key", "doc_id").join(linked, "key", "left").select("key", "doc_id", F.coalesce("component", "key").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))

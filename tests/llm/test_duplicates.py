@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from brute import kept_words, near_components
+from pyspark.sql import functions as F
 
 from llm_fixtures import SF_SMALL, empty, odd  # noqa: F401
 from relearn.llm import queries
@@ -127,3 +128,33 @@ def test_a_forged_hash_collision_removes_nothing():
     here = np.where(S.locate(s, [mine] * 3), runs, S._NONE)
     hit = S.sliding_min(here, 50 - S.PHRASE + 1)[starts] == least
     assert hit[:11].all() and not hit[11:22].any() and hit[22:].all()
+
+
+def test_rows_compared_in_a_large_family_grow_with_it(spark):
+    """Rows handed to the comparison: about the family's size, also if some of its classes stay apart."""
+    from relearn.llm import near_dedup as N
+    for n in (1000, 5000):
+        ties = spark.range(1, n).select(F.lit(0).cast("long").alias("a"), F.col("id").alias("b"))
+        rows = N.pivot_rows(ties)
+        assert rows.count() <= n + n / N.FAMILY + 1 and rows.where("side = 1").count() == n - 1
+        assert rows.groupBy("node").count().agg(F.max("count")).first()[0] < 2 * N.FAMILY
+        named = spark.range(n).select(F.col("id").alias("key"), F.lit(0).cast("long").alias("family"))
+        linked = spark.range(20, n).select(F.col("id").alias("node"), F.lit(20).cast("long").alias("component"))
+        apart = N.apart_rows(named, linked)
+        assert apart.count() <= n + 20 * (n / N.FAMILY + 1) and apart.where("side = 0 and key < 20").select("key").distinct().count() == 20
+        assert N.apart_rows(named, spark.range(n).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("component"))).count() == 0
+
+
+def test_components_left_apart_all_meet(spark):
+    from relearn.llm import near_dedup as N
+    n = 900
+    named = spark.range(n).select(F.col("id").alias("key"), (F.col("id") % 2).alias("family"))
+    linked = spark.range(n).where("id % 3 <> 0").select(F.col("id").alias("node"), (F.col("id") % 2 + 10_000).alias("component"))
+    rows = N.apart_rows(named, linked).collect()
+    nodes = {}
+    for r in rows:
+        nodes.setdefault(r.node, ([], []))[r.side].append((r.key, r.comp))
+    met = {(x, y) for few, every in nodes.values() for x, cx in few for y, cy in every if cx != cy}
+    comp = {k: c for few, every in nodes.values() for k, c in every}
+    want = {(x, y) for x in range(n) for y in range(n) if x % 2 == y % 2 and comp[x] != comp[y] and comp[x] < 10_000}
+    assert want <= met
