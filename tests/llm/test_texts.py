@@ -271,3 +271,57 @@ def test_leaks_of_many_pairs_are_those_of_each(spark):
     got = D._leaks(h, np.array(a), np.array(b), np.array(item), sizes, np.array([len(x) for x in answers]), salt, masks)
     want = [D._leak(whole[k], answers[k], h[x:y].tolist()) for x, y, k in zip(a, b, item)]
     assert np.allclose(got, want) and 20 < np.count_nonzero(want) < len(want)
+
+
+LICENCE_TEXTS = {
+    "BSL-1.0": """Boost Software License - Version 1.0 - August 17th, 2003
+
+Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation
+covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative
+works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:""",
+    "ISC": """ISC License
+
+Copyright (c) {holder}
+
+Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "BSD-2-Clause": """Copyright (c) {holder}
+
+Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution.""",
+    "Apache-2.0": "                                 Apache License\n                           Version 2.0, January 2004\n                        "
+                  "http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n   1. Definitions.",
+    "GPL-3.0-only": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.",
+    "GPL-2.0-only": "                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n Copyright (C) 1989, 1991 Free Software Foundation, Inc.",
+    "LGPL-2.1-only": "                  GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 2.1, February 1999\n\n Copyright (C) 1991, 1999",
+    "AGPL-3.0-only": "                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007\n",
+    "MPL-2.0": "Mozilla Public License Version 2.0\n==================================\n\n1. Definitions",
+    "EPL-2.0": "Eclipse Public License - v 2.0\n\nTHE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE (\"AGREEMENT\").",
+    "CC-BY-4.0": "Creative Commons Attribution 4.0 International Public License\n\nBy exercising the Licensed Rights",
+}
+
+
+@pytest.mark.parametrize("licence", LICENCE_TEXTS)
+@pytest.mark.parametrize("holder", ["2020 A. Person", "1999-2024 The Something & Co. Ltd., all rights reserved"])
+def test_whole_licence_texts(licence, holder):
+    """Texts and openings of licences, with other holders and other line breaks."""
+    text = LICENCE_TEXTS[licence].format(holder=holder)
+    heading, _, rest = text.partition("\n")
+    for t in (text, heading + "\n" + " ".join(rest.split(" ")).replace(", ", ",\n"), "Preface of a file.\n\n" + text + "\n\nMore text."):
+        assert [k for k, _ in licences.licences([n for n, _, _ in licences.sentences(t)])] == [licence]
+
+
+@pytest.mark.parametrize("line, want", [
+    ("MIT OR Apache-2.0", ["MIT", "Apache-2.0"]), ("(MIT OR Apache-2.0) AND BSD-3-Clause", ["MIT", "Apache-2.0", "BSD-3-Clause"]),
+    ("SPDX-License-Identifier: MIT OR Apache-2.0", ["MIT", "Apache-2.0"]), ("// SPDX-License-Identifier: GPL-2.0+", ["GPL-2.0-or-later"]),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note", ["GPL-2.0-only"]), ("License: BSD", ["BSD"]), ("License: BSD-3-Clause", ["BSD-3-Clause"]),
+    ("Licensed under either of MIT or Apache License, Version 2.0 at your option.", ["MIT", "Apache-2.0"]),
+    ("This program is dual licensed under the terms of the GPL v3 or the MIT license.", ["GPL-3.0-only", "MIT"]),
+    ("Photo: https://creativecommons.org/licenses/by/4.0/", ["CC-BY-4.0"]), ("http://www.apache.org/licenses/LICENSE-2.0.txt", ["Apache-2.0"]),
+    ("see https://www.gnu.org/licenses/old-licenses/lgpl-2.1.html", ["LGPL-2.1-only"]), ("https://opensource.org/licenses/MIT", ["MIT"]),
+    ("Black or white, he and 3 others.", []), ("MIT", []), ("It is not licensed under the MIT license or the GPL v3.", []), ("Licence fees: none", []), ("ISC and others", []),
+])
+def test_expressions_lists_and_links(line, want):
+    assert [k for k, _ in licences.licences([n for n, _, _ in licences.sentences(f"Some text.\n{line}\nMore text.")])] == want
