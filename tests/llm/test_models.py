@@ -320,3 +320,26 @@ def test_language_model_edge_cases(spark, odd, empty):  # noqa: F811
     untaught = lm.score(odd(), empty).collect()
     assert len(untaught) == 11 and all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in untaught)
     assert lm.score(empty, odd()).count() == 0
+
+
+def test_languages_are_those_of_the_smallest_sizes(spark):
+    """Each text compressed once more with each dictionary, one compressor a text."""
+    import zstandard
+    docs = documents(spark, SF_SMALL)
+    built, order = language.dictionaries(docs.select("doc_id", "text", "lang"))
+    got = {r.doc_id: r for r in language.identify(docs, built, order).collect()}
+    how = zstandard.ZstdCompressionParameters(window_log=17, hash_log=16, chain_log=16, search_log=3, min_match=4, target_length=16,
+                                              strategy=zstandard.STRATEGY_LAZY, write_content_size=0, write_dict_id=0)
+
+    def size(data, dictionary):
+        content = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return sum(len(zstandard.ZstdCompressor(compression_params=how, dict_data=content).compress(data[i:i + language.BLOCK])) for i in range(0, len(data), language.BLOCK))
+    for r in docs.select("doc_id", "text").limit(60).collect():
+        words = "".join(c if c.isalpha() else " " for c in r.text).split()
+        if not words:
+            assert got[r.doc_id].lang_pred == language.UNKNOWN
+            continue
+        sizes = {k: size((" " + " ".join(words).lower() + " ").encode(), built[k]) for k in order}
+        least = min(sizes.values())
+        assert got[r.doc_id].lang_pred == next(k for k in order if sizes[k] == least)
+        assert got[r.doc_id].score == pytest.approx(1 / sum(2 ** (-(n - least) / language.HALF) for n in sizes.values()))

@@ -325,3 +325,32 @@ def test_whole_licence_texts(licence, holder):
 ])
 def test_expressions_lists_and_links(line, want):
     assert [k for k, _ in licences.licences([n for n, _, _ in licences.sentences(f"Some text.\n{line}\nMore text.")])] == want
+
+
+def test_segmentation_is_the_best_of_all():
+    """Every way to cut short texts into pieces and unknown characters, tried out."""
+    rng = np.random.default_rng(6)
+    alphabet = ["a", "b", "c", pieces.MARK, "é", "日"]
+    texts = sorted({"".join(rng.choice(alphabet[:5], rng.integers(1, 4))) for _ in range(40)})
+    score = np.r_[-rng.random(len(texts)) * 9 - 0.5, np.full(256, -np.inf)]
+    bytes_of = [t.replace(pieces.MARK, " ").encode() for t in texts] + [bytes([b]) for b in range(256)]
+    v = pieces.Vocabulary(pieces.build_trie({t.encode(): i for i, t in enumerate(texts)}), score, bytes_of, [len(texts) + b for b in range(256)], False)
+    encoder, unknown, known = pieces.Encoder(v), float(score[:len(texts)].min()) - pieces.UNKNOWN_COST, {t: i for i, t in enumerate(texts)}
+
+    def best(text):
+        if not text:
+            return 0.0
+        options = [score[known[text[:n]]] + best(text[n:]) for n in range(1, len(text) + 1) if text[:n] in known]
+        if text[0] not in known:
+            options.append(unknown + best(text[1:]))
+        return max(options)
+    for _ in range(300):
+        text = "".join(rng.choice(alphabet, rng.integers(1, 9)))
+        ids, total, i = encoder.viterbi(text), 0.0, 0
+        while i < len(ids):
+            if ids[i] < len(texts):
+                total, i = total + score[ids[i]], i + 1
+            else:                                  # the bytes of one unknown character
+                first = ids[i] - len(texts)
+                total, i = total + unknown, i + (1 if first < 0x80 else 2 if first < 0xE0 else 3)
+        assert total == pytest.approx(best(text)) and b"".join(bytes_of[k] for k in ids).decode() == text.replace(pieces.MARK, " ")
