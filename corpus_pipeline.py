@@ -43,7 +43,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that with the smallest doc_id; of equal rows one.  Null texts and texts without words all stay,
-    once for each doc_id.  A row without doc_id stays unless a row with one is equal or near."""
+    once for each doc_id.  A row without doc_id stays unless a row with one has an equal set."""
     kept = near_duplicates(docs).where("kept")
     one = (kept.where("component is not null").groupBy("component")
            .agg(F.min(F.struct("doc_id", "text_key")).alias("k")).select("k.doc_id", "k.text_key"))
