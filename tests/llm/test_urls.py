@@ -29,6 +29,26 @@ def test_captures_as_of_their_time(spark):
     assert filter_urls(captures.limit(0), log).count() == 0 and filter_urls(captures, log.limit(0)).where("blocked").count() == 0
 
 
+def test_entries_that_are_toggled_often(spark):
+    """Many toggles and captures, times beyond the list's on both sides: against a search of the log line by line."""
+    import random
+    rng = random.Random(2)
+    lines = [(f"domain:h{rng.randrange(4)}.x", rng.randrange(5000), rng.choice(["add", "remove"])) for _ in range(3000)] + [("domain:h0.x", 2500, "add")]
+    rows = [(i, f"http://h{rng.choice([0, 0, 0, 1, 2, 3, 4])}.x/p", rng.randrange(-200, 5600)) for i in range(4000)]
+    state = {}
+    for entry, at, action in lines:
+        state.setdefault(entry, {})[at] = state.get(entry, {}).get(at, False) or action == "add"
+
+    def listed(entry, at):
+        before = [t for t in state.get(entry, {}) if t <= at]
+        return bool(before) and state[entry][max(before)]
+    log = spark.createDataFrame(lines, "entry string, at long, action string")
+    captures = spark.createDataFrame(rows, "page_id long, url string, fetched_at long")
+    got = {r.page_id: r.entries for r in filter_urls(captures, log).collect()}
+    want = {i: [e] if listed(e := "domain:" + u[7:11], t) else [] for i, u, t in rows}
+    assert got == want and 1000 < sum(map(bool, want.values())) < 3000
+
+
 def test_query_matches_sql(spark):
     from tools.oracle_check import compare
     assert compare(spark, SF_SMALL, ["op3_url_filters"])["op3_url_filters"].startswith("OK")
