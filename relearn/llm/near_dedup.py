@@ -209,28 +209,39 @@ def pivot_rows(ties: DataFrame) -> DataFrame:
     return members.unionByName(pivots)
 
 
-def apart_rows(named: DataFrame, linked: DataFrame) -> DataFrame:
-    """``(node, key, comp, side)`` of the families (key, family) that the links (node, component) leave apart: classes outside the
+def apart_rows(rows: DataFrame) -> DataFrame:
+    """``(node, key, comp, side)`` of the families of ``rows`` (family, key, comp) that hold several components: classes outside the
     largest component on side 0, all classes on side 1, so that each two of different components meet in a node."""
-    rows = cut(named.join(linked.withColumnRenamed("node", "key"), "key", "left").select("family", "key", F.coalesce("component", "key").alias("comp")))
     sizes = rows.groupBy("family", "comp").agg(F.count("*").alias("n"))
     whole = sizes.groupBy("family").agg(F.sum("n").alias("size"), F.max(F.struct("n", "comp")).alias("top")).where("top.n < size")
     whole = whole.select("family", "size", F.col("top.comp").alias("largest"), (F.col("size") - F.col("top.n")).alias("outside"))
-    rows = cut(rows.join(whole, "family"))
+    rows = rows.join(whole, "family")
     (own, every_own), (mine, every) = _spread("key", "outside"), _spread("key", "size")
     node = F.xxhash64("family", "i", "j").alias("node")
     few = rows.where("comp <> largest").withColumn("i", own).withColumn("j", every).select(node, "key", "comp", F.lit(0).alias("side"))
     return few.unionByName(rows.withColumn("j", mine).withColumn("i", every_own).select(node, "key", "comp", F.lit(1).alias("side")))
 
 
-def family_links(docs: DataFrame, classes: DataFrame, families: DataFrame, ties: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Spanning links ``(a, b)`` on whole sets within each of the ``families`` (node, component) of class keys that ``ties`` (a, b) hold together."""
-    named = cut(families.select(F.col("node").alias("key"), F.col("component").alias("family")))
-    sets = whole_sets(docs, classes.select("key", "doc_id").join(named, "key"), shingle)
-    sets = cut(sets.join(named.select("key"), "key", "left_semi").dropDuplicates(["key"]))
+def linked_classes(docs: DataFrame, classes: DataFrame, ties: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``(node, component)`` of the class keys by links on whole sets within the families that ``ties`` (a, b) hold together.
+
+    A family that the first links join is done.  Of the others ties lead from component to component: what these hold together is
+    compared class by class."""
+    keys = cut(ties.select(F.col("a").alias("key")).unionByName(ties.select(F.col("b").alias("key"))).distinct())
+    sets = whole_sets(docs, classes.select("key", "doc_id").join(keys, "key"), shingle)
+    sets = cut(sets.join(keys, "key", "left_semi").dropDuplicates(["key"]))
     links = cut(_compared(pivot_rows(ties).join(sets, "key"), percent))
-    apart = cut(apart_rows(named, components(links)))
-    return links if apart.isEmpty() else links.unionByName(_compared(apart.join(sets, "key"), percent))
+    linked = components(links)
+    for side in ("a", "b"):
+        of = linked.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+        ties = ties.join(of, side, "left").withColumn(f"of_{side}", F.coalesce(f"of_{side}", side))
+    across = cut(ties.where("of_a <> of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b")).distinct())
+    if across.isEmpty():
+        return linked
+    families = components(across).select(F.col("node").alias("comp"), F.col("component").alias("family"))
+    rows = keys.join(linked.withColumnRenamed("node", "key"), "key", "left").select("key", F.coalesce("component", "key").alias("comp"))
+    apart = apart_rows(cut(rows.join(families, "comp")))
+    return components(links.unionByName(_compared(apart.join(sets, "key"), percent)))
 
 
 def _least_same(percent: int) -> int:
@@ -366,8 +377,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     classes = cut(set_features(docs, shingle, True).where("key is not null").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("tokens").alias("tokens")))
     ties = cut(star_pairs(classes, percent))
     ties = cut(ties.unionByName(tree_pairs(classes, components(ties), percent)))
-    edges = family_links(docs, classes, components(ties), ties, shingle, percent)
-    linked = components(edges).withColumnRenamed("node", "key")
+    linked = linked_classes(docs, classes, ties, shingle, percent).withColumnRenamed("node", "key")
     named = classes.select("key", "doc_id").join(linked, "key", "left").select("key", "doc_id", F.coalesce("component", "key").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     of_class = named.join(smallest, "comp").select("key", "comp", "component_id")

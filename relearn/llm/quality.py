@@ -121,12 +121,16 @@ def _pairs() -> list[tuple[int, int]]:
 
 def _factor(est: DataFrame) -> DataFrame:
     """From mean m_i and covariance s_i_j: the inverse r_i_j of its Cholesky factor and the log determinant."""
-    for i, j in _pairs():
-        rest = reduce(lambda a, k: a - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}"), range(j), F.col(f"s_{i}_{j}"))
-        est = est.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(rest, F.lit(FLOORS[i] ** 2 / 16))) if i == j else rest / F.col(f"l_{j}_{j}"))
-    for i, j in _pairs():
-        rest = reduce(lambda a, k: a - F.col(f"l_{i}_{k}") * F.col(f"r_{k}_{j}"), range(j, i), F.lit(1.0 if i == j else 0.0))
-        est = est.withColumn(f"r_{i}_{j}", rest / F.col(f"l_{i}_{i}"))
+    def at(i: int, j: int, of) -> Column:
+        return reduce(lambda a, k: a - of(k), range(j), F.col(f"s_{i}_{j}"))
+    for j in range(DIM):              # a column of the factor at a time, then a row of its inverse
+        corner = at(j, j, lambda k: F.col(f"l_{j}_{k}") * F.col(f"l_{j}_{k}"))
+        est = est.withColumn(f"l_{j}_{j}", F.sqrt(F.greatest(corner, F.lit(FLOORS[j] ** 2 / 16))))
+        if j + 1 < DIM:
+            est = est.withColumns({f"l_{i}_{j}": at(i, j, lambda k: F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")) / F.col(f"l_{j}_{j}") for i in range(j + 1, DIM)})
+    for i in range(DIM):
+        est = est.withColumns({f"r_{i}_{j}": reduce(lambda a, k: a - F.col(f"l_{i}_{k}") * F.col(f"r_{k}_{j}"), range(j, i), F.lit(1.0 if i == j else 0.0)) / F.col(f"l_{i}_{i}")
+                               for j in range(i + 1)})
     det = reduce(lambda a, i: a + F.log(F.col(f"l_{i}_{i}")), range(DIM), F.lit(0.0))
     keep = ["group", "start", det.alias("det")] + [f"m_{i}" for i in range(DIM)] + [f"r_{i}_{j}" for i, j in _pairs()]
     return cut(est.select(*keep))
@@ -136,9 +140,7 @@ def _moments(rows: DataFrame) -> DataFrame:
     """Mean and covariance (with floors) of the rows of each group and start."""
     sums = [F.avg(c).alias(f"m_{i}") for i, c in enumerate(STATS)] + [F.covar_pop(STATS[i], STATS[j]).alias(f"s_{i}_{j}") for i, j in _pairs()]
     out = rows.groupBy("group", "start").agg(*sums)
-    for i in range(DIM):
-        out = out.withColumn(f"s_{i}_{i}", F.col(f"s_{i}_{i}") + FLOORS[i] ** 2)
-    return out
+    return out.withColumns({f"s_{i}_{i}": F.col(f"s_{i}_{i}") + FLOORS[i] ** 2 for i in range(DIM)})
 
 
 def _distance() -> Column:

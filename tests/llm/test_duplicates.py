@@ -139,18 +139,16 @@ def test_rows_compared_in_a_large_family_grow_with_it(spark):
         assert rows.count() <= n + n / N.FAMILY + 1 and rows.where("side = 1").count() == n - 1
         assert rows.groupBy("node").count().agg(F.max("count")).first()[0] < 2 * N.FAMILY
         named = spark.range(n).select(F.col("id").alias("key"), F.lit(0).cast("long").alias("family"))
-        linked = spark.range(20, n).select(F.col("id").alias("node"), F.lit(20).cast("long").alias("component"))
-        apart = N.apart_rows(named, linked)
+        apart = N.apart_rows(named.withColumn("comp", F.least("key", F.lit(20))))
         assert apart.count() <= n + 20 * (n / N.FAMILY + 1) and apart.where("side = 0 and key < 20").select("key").distinct().count() == 20
-        assert N.apart_rows(named, spark.range(n).select(F.col("id").alias("node"), F.lit(0).cast("long").alias("component"))).count() == 0
+        assert N.apart_rows(named.withColumn("comp", F.lit(0).cast("long"))).count() == 0
 
 
 def test_components_left_apart_all_meet(spark):
     from relearn.llm import near_dedup as N
     n = 900
     named = spark.range(n).select(F.col("id").alias("key"), (F.col("id") % 2).alias("family"))
-    linked = spark.range(n).where("id % 3 <> 0").select(F.col("id").alias("node"), (F.col("id") % 2 + 10_000).alias("component"))
-    rows = N.apart_rows(named, linked).collect()
+    rows = N.apart_rows(named.withColumn("comp", F.when(F.col("key") % 3 == 0, F.col("key")).otherwise(F.col("key") % 2 + 10_000))).collect()
     nodes = {}
     for r in rows:
         nodes.setdefault(r.node, ([], []))[r.side].append((r.key, r.comp))
