@@ -115,7 +115,8 @@ def passage_words(docs: DataFrame) -> DataFrame:
                     hashes.append(here[where[once]])
                     words += [b" ".join(text[i:i + PHRASE]) for i in where[once].tolist()]
                 yield pa.RecordBatch.from_arrays([as_long(np.concatenate(hashes)), pa.array(words, pa.binary())], names=["phrase", "words"])
-    return docs.select("text", "wanted").mapInArrow(run, "phrase long, words binary")
+    # all columns, so that the documents' exchange is that of the other joins
+    return docs.select("doc_id", "text", "rest", "wanted").mapInArrow(run, "phrase long, words binary")
 
 
 def located_windows(docs: DataFrame, window: int) -> DataFrame:
