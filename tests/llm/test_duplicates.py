@@ -71,6 +71,30 @@ def test_components(spark, edges, want):
     assert {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()} == want
 
 
+@pytest.mark.parametrize("portion", [7, 1 << 19])
+def test_components_of_portions_of_edges(spark, monkeypatch, portion):
+    """Portions of a few edges need rounds; edges that fit in one need three jobs at most."""
+    from relearn.llm import components as C
+    monkeypatch.setattr(C, "PORTION", portion)
+    rng = random.Random(6)
+    edges = [(rng.randrange(150) - 40, rng.randrange(150) - 40) for _ in range(110)] + [(i, i + 1) for i in range(200, 260)] + [(3, 4)] * 20 + [(None, 1), (2, None)]
+    want = {}
+    for a, b in (e for e in edges if None not in e and e[0] != e[1]):
+        one, two = want.get(a, {a}), want.get(b, {b})
+        for x in one | two:
+            want[x] = one | two
+    rows = spark.createDataFrame(edges, "a long, b long").repartition(6)
+    group = f"components-{portion}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = components(rows)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.node: r.component for r in out.collect()} == {x: min(c) for x, c in want.items()} and out.count() == len(want)
+    assert portion == 7 or jobs <= 6
+
+
 def test_passages_match_brute_force(spark):
     rng = random.Random(5)
     pool = [f"p{i}" for i in range(400)]
