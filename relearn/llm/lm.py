@@ -70,6 +70,12 @@ def commonest(counts: DataFrame) -> DataFrame:
     return counts.where(cell >= least)
 
 
+def own_words(counts: DataFrame) -> DataFrame:
+    """The ``OWN`` commonest words, whatever ``commonest`` leaves out; of equal counts the smallest hashes, unsigned."""
+    unsigned = F.col("hash").bitwiseXOR(F.lit(-1 << 63))
+    return counts.where(F.col("hash") != int(_END.astype(np.int64))).orderBy(F.desc("n"), unsigned).limit(OWN)
+
+
 def _classes(s: W.Words, own: np.ndarray) -> np.ndarray:
     """Class of every word; ``own``: sorted hashes with a class each (their class is their place)."""
     cls = suffix_class(s)
@@ -171,19 +177,18 @@ def score(docs: DataFrame, train: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     counts = cut(word_counts(train))
     by_class = counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).toArrow()          # CLASSES rows at most
-    top = commonest(counts).toArrow()                                                                         # TOP rows at most
-    top_hash, top_n = top["hash"].to_numpy().view(np.uint64), top["n"].to_numpy()
-    rank = np.lexsort((top_hash, -top_n))
-    own = np.sort(top_hash[rank[top_hash[rank] != _END][:OWN]])
+    best = own_words(counts).toArrow()                                                                        # OWN rows at most
+    top = pa.concat_tables([commonest(counts).toArrow(), best])                                               # TOP and OWN rows at most
+    top_hash, at = np.unique(top["hash"].to_numpy().view(np.uint64), return_index=True)
+    top_n = top["n"].to_numpy()[at]
+    own = np.sort(best["hash"].to_numpy().view(np.uint64))
     totals, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     totals[by_class["class"].to_numpy()] = by_class["n"].to_numpy()
     kinds[by_class["class"].to_numpy()] = by_class["v"].to_numpy()
     n_all, v_all = totals.sum(), kinds.sum()
-    order = np.argsort(top_hash)
-    top_hash, top_n = top_hash[order], top_n[order]
     # the commonest words leave their suffix classes
     own_n = top_n[np.searchsorted(top_hash, own)] if len(own) else np.zeros(0)
-    suffix = dict(zip(top["hash"].to_numpy().view(np.uint64).tolist(), top["class"].to_pylist())) if len(own) else {}
+    suffix = dict(zip(best["hash"].to_numpy().view(np.uint64).tolist(), best["class"].to_pylist()))
     for k, h in enumerate(own.tolist()):
         totals[suffix[h]] -= own_n[k]
         kinds[suffix[h]] -= 1

@@ -311,6 +311,21 @@ def test_class_softmax_sums_to_one():
     assert np.allclose(np.exp(z).sum(1), 1)
 
 
+def test_own_classes_do_not_depend_on_the_broadcast(spark, monkeypatch):
+    """Words of one count, more than are broadcast: the commonest keep their classes, and the rest meet the whole table."""
+    rng = np.random.default_rng(2)
+    every = [f"w{k}" for k in range(300)] * 4
+    rng.shuffle(every)
+    docs = spark.createDataFrame([(i, " ".join(every[40 * i:40 * i + 40])) for i in range(30)] + [(99, "w1 w2 new")], "doc_id long, text string")
+    train = docs.where("doc_id < 30")
+    whole = {r.doc_id: tuple(r) for r in lm.score(docs, train).collect()}
+    for top in (100, 8):
+        monkeypatch.setattr(lm, "TOP", top)
+        few = {r.doc_id: tuple(r) for r in lm.score(docs, train).collect()}
+        assert few.keys() == whole.keys() and all(few[i][:4] == whole[i][:4] and few[i] == pytest.approx(whole[i], rel=1e-6) for i in whole)
+    assert len(lm.own_words(lm.word_counts(train)).collect()) == lm.OWN
+
+
 def test_language_model_edge_cases(spark, odd, empty):  # noqa: F811
     rows = lm.score(odd(), odd()).collect()
     assert len(rows) == 11 and all(r.n_known == r.n_tokens and r.train_tokens == rows[0].train_tokens for r in rows)
