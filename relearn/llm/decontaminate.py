@@ -2,10 +2,9 @@
 
 1. Words (letters and digits, lower case) are hashed into ``BUCKETS``; document frequencies over all documents give
    the inverse frequencies.
-2. A randomised SVD of TF-IDF passages finds ``RANK`` latent directions: passages of the benchmark and of a bounded
-   sample of documents (``SAMPLE_DOCS`` documents by a hash, ``SAMPLE_PASSAGES`` passages each).  Tasks project their
-   passages and sum their share of A'(A G), blocks of buckets are added up in parallel, the driver orthogonalises a
-   matrix of fixed size.
+2. A randomised SVD of TF-IDF passages finds ``RANK`` latent directions: all passages of the benchmark and of all
+   documents.  Tasks project their passages and sum their share of A'(A G), ``PASSES`` times over all texts; blocks of
+   buckets are added up in parallel, the driver orthogonalises a matrix of fixed size.
 3. Every document is read whole in windows of two blocks of ``BLOCK`` words.  Their latent vectors are block sums of
    one table row per word, compared with all benchmark passages in one matrix product.  What counts is containment,
    the product over the passage's own norm squared: a passage that lies in a window has about 1, whatever words stand
@@ -32,18 +31,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from relearn.llm import words as W
-from relearn.llm.arrowutil import matrix
-from relearn.llm.common import cut
+from relearn.llm.arrowutil import binary_rows, matrix
 
-BUCKETS, RANK, OVERSAMPLE, POWER = 1 << 14, 160, 8, 2
+BUCKETS, RANK, OVERSAMPLE, PASSES = 1 << 14, 160, 8, 2
 BLOCK = 16
-SAMPLE_DOCS, SAMPLE_PASSAGES, TASKS = 1000, 4, 16
+#: Tasks of a pass, each with sums of fixed size, and the passages from which on there are more tasks.
+TASKS, TASK_PASSAGES = 16, 1 << 20
 ITEMS = 5000
-#: Weight of the benchmark's passages in the decomposition; of the sampled documents' passages it is 1.
-WEIGHT = 8.0
+#: Squared weight in the decomposition of a benchmark's passage, and of all documents' passages together (1 each at most).
+ITEM_WEIGHT, DOCS_WEIGHT = 64.0, 4000.0
 NEAR = 0.25
 COPY, PARAPHRASE, ANSWER = 0.7, 0.5, 0.5
-_SLICE, _CELLS, _ROWS, _LANES = 1 << 18, 1 << 18, 1 << 9, 64
+_SLICE, _CELLS, _ROWS, _LANES, _WORDS, _FEW = 1 << 18, 1 << 18, 1 << 9, 64, 1 << 12, 128
 
 
 def _slices(column: pa.Array) -> Iterator[W.Words]:
@@ -54,22 +53,29 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(50)).astype(np.int64)
 
 
-def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """ln((1 + n) / (1 + n with the bucket)) of every bucket, over all documents; ``BUCKETS`` rows reach the driver."""
+def _cells(row: np.ndarray, n_rows: int, bucket: np.ndarray) -> np.ndarray:
+    """A number for each pair of row and bucket, in few bytes, as they are sorted."""
+    return (row * BUCKETS + bucket).astype(np.uint32 if n_rows * BUCKETS < 1 << 32 else np.int64)
+
+
+def inverse_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """ln((1 + n) / (1 + n with the bucket)) of every bucket, over all documents, and the documents' number of passages;
+    ``BUCKETS`` rows reach the driver."""
     def run(batches: Iterator[pa.RecordBatch]):
-        have, n = np.zeros(BUCKETS, np.int64), 0
+        have, n, passages = np.zeros(BUCKETS, np.int64), 0, 0
         for batch in batches:
             n += batch.num_rows
             for s in _slices(batch.column("text")):
-                pairs = np.unique(s.doc() * BUCKETS + _bucket(s.hash))
+                pairs = np.unique(_cells(s.doc(), s.n_docs, _bucket(s.hash)))
                 have += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
+                passages += len(_passages(s)[1])
         at = np.flatnonzero(have)
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at]), pa.array(np.r_[n, have[at]])], names=["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-2, -1, at]), pa.array(np.r_[passages, n, have[at]])], names=["bucket", "n"])
     rows = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
     at, n = rows["bucket"].to_numpy(), rows["n"].to_numpy()
     have = np.zeros(BUCKETS)
     have[at[at >= 0]] = n[at >= 0]
-    return np.log((1 + n[at < 0].sum()) / (1 + have))
+    return np.log((1 + n[at == -1].sum()) / (1 + have)), int(n[at == -2].sum())
 
 
 def _passages(s: W.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -83,99 +89,115 @@ def _passages(s: W.Words) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([start, np.minimum(start + 2 * BLOCK, s.first[doc + 1])], 1), doc
 
 
-def _sample(docs: DataFrame) -> DataFrame:
-    """Texts of the sampled documents: ``SAMPLE_DOCS`` ids, chosen by a hash."""
-    at = F.xxhash64("doc_id", F.lit("passages"))
-    ids = docs.select("doc_id").where("doc_id is not null").orderBy(at, "doc_id").limit(SAMPLE_DOCS).distinct()
-    # a row for each id, whatever repeats it: the sample stays bounded
-    return docs.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).select(F.lit(True).alias("few"), "text")
-
-
-def _rows_of(column: pa.Array, few: np.ndarray, idf: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Sparse unit rows of passages: row number, bucket and weight; a sampled document gives some of its passages."""
-    for s in _slices(column):
-        spans, doc = _passages(s)
-        keep = np.ones(len(doc), bool)
-        sampled = few[s.first_doc + doc]
-        rank = np.arange(len(doc)) - np.searchsorted(doc, doc)
-        total = np.bincount(doc, minlength=s.n_docs)[doc] if len(doc) else rank
-        step = np.maximum(total // SAMPLE_PASSAGES, 1)
-        keep = ~sampled | ((rank % step == 0) & (rank // step < SAMPLE_PASSAGES))
-        spans = spans[keep]
-        if not len(spans):
+def _squared_norms(s: W.Words, spans: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Squared norms of the windows' TF-IDF rows."""
+    length = spans[:, 1] - spans[:, 0]
+    row = np.repeat(np.arange(len(spans)), length)
+    at = np.repeat(spans[:, 0] - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum())
+    cells, tf = np.unique(_cells(row, len(spans), _bucket(s.hash)[at]), return_counts=True)
+    w = tf * idf[cells % BUCKETS]
+    return np.bincount(cells // BUCKETS, w * w, minlength=len(spans))
+
+
+def _add_by_bucket(sums: np.ndarray, bucket: np.ndarray, block: np.ndarray, out: np.ndarray) -> None:
+    """Adds to each bucket's row of ``out`` the ``sums`` of the blocks of its words.
+
+    The buckets of few words take a word each at a time, so that rows stay in the processor's cache."""
+    order = np.argsort(bucket.astype(np.uint16), kind="stable")
+    bucket, block = bucket[order], block[order]
+    start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+    n = np.diff(np.r_[start, len(bucket)])
+    few = np.argsort(-n, kind="stable")
+    few = few[n[few] <= _FEW]
+    total, row = np.empty((2, _ROWS, sums.shape[1]), np.float32)
+    for a in range(0, len(few), _ROWS):
+        first, count = start[few[a:a + _ROWS]], n[few[a:a + _ROWS]]
+        np.take(sums, block[first], axis=0, out=total[:len(first)], mode="clip")
+        for k in range(1, int(count[0])):
+            left = int(np.searchsorted(-count, -k, "left"))           # buckets with more than k words
+            np.take(sums, block[first[:left] + k], axis=0, out=row[:left], mode="clip")
+            total[:left] += row[:left]
+        out[bucket[first]] += total[:len(first)]
+    for k in np.flatnonzero(n > _FEW).tolist():
+        of = block[start[k]:start[k] + n[k]]
+        if 8 * n[k] > len(sums):
+            out[bucket[start[k]]] += np.bincount(of, minlength=len(sums)).astype(np.float32) @ sums
             continue
-        length = spans[:, 1] - spans[:, 0]
-        row = np.repeat(np.arange(len(spans)), length)
-        at = np.repeat(spans[:, 0] - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum())
-        cells, tf = np.unique(row * BUCKETS + _bucket(s.hash[at]), return_counts=True)
-        row, bucket = cells // BUCKETS, cells % BUCKETS
-        w = tf * idf[bucket]
-        norm = np.sqrt(np.bincount(row, w * w, minlength=len(spans)))
-        weight = np.where(sampled[keep], 1.0, WEIGHT)
-        yield row, bucket, w * (weight / np.maximum(norm, 1e-9))[row]
-
+        for a in range(0, len(of), _WORDS):
+            out[bucket[start[k]]] += sums[of[a:a + _WORDS]].sum(0)
 
-def latent_directions(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
-    """``(BUCKETS, RANK)`` orthonormal right singular directions of the passages of ``texts`` (few, text).
 
-    The texts are written once, in ``TASKS`` partitions; every pass reads these alone, and at most so many small Gram
-    matrices reach the driver."""
-    sc, width = texts.sparkSession.sparkContext, RANK + OVERSAMPLE
-    texts = cut(texts.repartition(TASKS))
-    rng = np.random.Generator(np.random.PCG64(11))
-    basis = rng.standard_normal((BUCKETS, width)).astype(np.float32)
+def _add_products(s: W.Words, weight: np.ndarray, table: np.ndarray, idf: np.ndarray, out: np.ndarray) -> None:
+    """Adds to ``out`` each bucket's share of A'(A G), up to its inverse frequency, for the windows of a slice.
 
-    def projected(batches, q, weights):
+    ``table`` holds the rows of G times their inverse frequencies.  A word stands in the windows of its block, so their
+    vectors are added up for each block, and then for each bucket."""
+    spans, doc = _passages(s)
+    if not len(spans):
+        return
+    sums, first, stop = _block_sums(s, table)
+    one = np.searchsorted(first, spans[:, 0])
+    two = spans[:, 1] > spans[:, 0] + BLOCK
+    x = _windows(sums, one, two)
+    x *= (weight[doc] / np.maximum(_squared_norms(s, spans, idf), 1e-18))[:, None].astype(np.float32)
+    sums[:] = 0
+    sums[one] = x
+    sums[one[two] + 1] += x[two]
+    bucket, block = _bucket(s.hash), np.repeat(np.arange(len(first)), np.minimum(first + BLOCK, stop) - first)
+    _add_by_bucket(sums, bucket, block, out)
+
+
+def _products(texts: DataFrame, basis: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """A'(A G) for the basis G over all passages of ``texts`` (weight, text); ``BUCKETS`` rows reach the driver."""
+    width = basis.shape[1]
+    shared = texts.sparkSession.sparkContext.broadcast((np.vstack([basis * idf[:, None].astype(np.float32), np.zeros((1, width), np.float32)]), idf))
+
+    def step(batches: Iterator[pa.RecordBatch]):
+        table, idf = shared.value
+        out = np.zeros((BUCKETS, width), np.float32)
         for batch in batches:
-            for row, bucket, w in _rows_of(batch.column("text"), batch.column("few").to_numpy(zero_copy_only=False), weights):
-                first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-                yield row, bucket, w, np.add.reduceat(q[bucket] * w[:, None].astype(np.float32), first, axis=0)
-
-    for _ in range(POWER):
-        shared = sc.broadcast((basis, idf))
-
-        def step(batches: Iterator[pa.RecordBatch]):
-            out: dict[int, np.ndarray] = {}
-            for row, bucket, w, y in projected(batches, *shared.value):
-                order = np.argsort(bucket, kind="stable")
-                at = np.flatnonzero(np.r_[True, np.diff(bucket[order]) > 0])
-                sums = np.add.reduceat(y[row[order]] * w[order, None].astype(np.float32), at, axis=0)
-                for b, v in zip(bucket[order][at].tolist(), sums):
-                    out[b] = out[b] + v if b in out else v
-            keys = sorted(out)
-            for i in range(0, len(keys), 4096):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 4096], pa.int64()), pa.array([out[k].tobytes() for k in keys[i:i + 4096]], pa.binary())],
-                                                 names=["bucket", "v"])
-
-        def merge(batches: Iterator[pa.RecordBatch]):
-            out: dict[int, np.ndarray] = {}
-            for batch in batches:
-                for b, v in zip(batch.column("bucket").to_pylist(), batch.column("v")):
-                    v = np.frombuffer(v.as_buffer(), np.float32)
-                    out[b] = out[b] + v if b in out else v
-            yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array([v.tobytes() for v in out.values()], pa.binary())], names=["bucket", "v"])
-        parts = texts.mapInArrow(step, "bucket long, v binary").repartition("bucket").mapInArrow(merge, "bucket long, v binary").toArrow()
-        dense = 1e-9 * basis
-        for part in (p for p in parts.to_batches() if p.num_rows):
-            dense[part.column("bucket").to_numpy()] = matrix(part.column("v"), np.float32, width)
-        del parts
-        shared.destroy()
-        basis = _orthonormal(_orthonormal(dense))
-    shared = sc.broadcast((basis, idf))
-
-    def gram(batches: Iterator[pa.RecordBatch]):
-        total = np.zeros((width, width))
-        for _, _, _, y in projected(batches, *shared.value):
-            total += y.T.astype(np.float64) @ y
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["g"])
-    grams = texts.mapInArrow(gram, "g binary").toArrow()["g"].to_pylist()
+            weight = batch.column("weight").to_numpy()
+            for s in _slices(batch.column("text")):
+                _add_products(s, weight[s.first_doc:s.first_doc + s.n_docs], table, idf, out)
+        keys = np.flatnonzero(out.any(1))
+        for i in range(0, len(keys), 4096):
+            yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 4096]), binary_rows(out[keys[i:i + 4096]])], names=["bucket", "v"])
+
+    def merge(batches: Iterator[pa.RecordBatch]):
+        out: dict[int, np.ndarray] = {}
+        for batch in (b for b in batches if b.num_rows):
+            for b, v in zip(batch.column("bucket").to_pylist(), matrix(batch.column("v"), np.float32, width)):
+                out[b] = out[b] + v if b in out else v
+        yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.int64()), pa.array([v.tobytes() for v in out.values()], pa.binary())], names=["bucket", "v"])
+    parts = texts.mapInArrow(step, "bucket long, v binary").repartition("bucket").mapInArrow(merge, "bucket long, v binary").toArrow()
+    dense = np.zeros((BUCKETS, width), np.float32)
+    for part in (p for p in parts.to_batches() if p.num_rows):
+        dense[part.column("bucket").to_numpy()] = matrix(part.column("v"), np.float32, width)
     shared.destroy()
-    values, vectors = np.linalg.eigh(sum(np.frombuffer(g).reshape(width, width) for g in grams))
-    return (basis @ vectors[:, np.argsort(-values)[:RANK]]).astype(np.float32)
+    return dense * idf[:, None].astype(np.float32)
+
+
+def latent_directions(texts: DataFrame, idf: np.ndarray) -> np.ndarray:
+    """Right singular directions, ``RANK`` at most, of the passages of ``texts`` (weight, text): orthonormal columns.
+
+    Every pass reads all texts.  The last one's products Y = A'A Q give the decomposition too, as A'A is about
+    Y (Q'Y)^-1 Y' (Nystroem)."""
+    rng = np.random.Generator(np.random.PCG64(11))
+    basis = _orthonormal(rng.standard_normal((BUCKETS, RANK + OVERSAMPLE)).astype(np.float32))
+    for k in range(PASSES):
+        if k:
+            basis = _orthonormal(_orthonormal(dense + 1e-9 * basis))
+        dense = _products(texts, basis, idf)
+    values, vectors = np.linalg.eigh((basis.T @ dense).astype(np.float64))
+    some = values > 1e-6 * max(values[-1], 0)
+    if not some.any():                               # no passages, or none with weight
+        return basis[:, :RANK]
+    half = dense @ (vectors[:, some] / np.sqrt(values[some])).astype(np.float32)
+    return _orthonormal(_orthonormal(half)[:, ::-1][:, :RANK])
 
 
 def _orthonormal(y: np.ndarray) -> np.ndarray:
-    """An orthonormal basis of the columns, from their small Gram matrix."""
+    """An orthonormal basis of the columns, from their small Gram matrix; in the order of its eigenvalues, the largest last."""
     values, vectors = np.linalg.eigh((y.T @ y).astype(np.float64))
     return y @ (vectors / np.sqrt(np.maximum(values, 1e-12 * values[-1]))).astype(np.float32)
 
@@ -318,8 +340,8 @@ def _block(ids: list[int], texts: pa.Array, table: np.ndarray) -> tuple:
     return (q / np.maximum(own, 1e-6)[:, None]).T.copy(), plain, np.array(of, np.int64), whole, answers, ids, member, salt, _word_masks(whole, answers, salt)
 
 
-def _latent(s: W.Words, spans: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Latent vectors of a slice's windows: sums of ``table`` rows, a block of ``BLOCK`` words at a time.
+def _block_sums(s: W.Words, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of ``table`` rows, a block of ``BLOCK`` words at a time; the blocks' first words and their documents' ends.
 
     Word by word within the blocks, so that rows and sums stay in the processor's cache; the table's last row is zero
     and stands for the words that a document's last block lacks."""
@@ -335,13 +357,22 @@ def _latent(s: W.Words, spans: np.ndarray, table: np.ndarray) -> np.ndarray:
         for k in range(BLOCK):
             np.take(table, bucket[np.where(at + k < stop, at + k, -1)], axis=0, out=rows, mode="clip")
             part += rows
-    one = np.searchsorted(first, spans[:, 0])
+    return sums, first, end
+
+
+def _windows(sums: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Sums of windows: of their first blocks ``one``, and the next ones where there are ``two``."""
     x = sums[one]
-    two = spans[:, 1] > spans[:, 0] + BLOCK
     x[two] += sums[one[two] + 1]
     return x
 
 
+def _latent(s: W.Words, spans: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Latent vectors of a slice's windows."""
+    sums, first, _ = _block_sums(s, table)
+    return _windows(sums, np.searchsorted(first, spans[:, 0]), spans[:, 1] > spans[:, 0] + BLOCK)
+
+
 def _found(s: W.Words, spans: np.ndarray, doc: np.ndarray, x: np.ndarray, block: tuple, found: list[dict[int, float]]) -> None:
     """Adds to each document's ``found`` the items of a block that it holds, with their shares."""
     q, plain, of, whole, answers, ids, member, salt, masks = block
@@ -402,9 +433,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rest = F.struct(*others) if others else F.struct(F.lit(True).alias("row"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), rest.alias("rest"))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null and text is not null")
-    idf = inverse_frequencies(rows)
-    train = _sample(rows.select("doc_id", "text")).unionByName(items.select(F.lit(False).alias("few"), "text"))
-    directions = latent_directions(train, idf)
+    idf, passages = inverse_frequencies(rows)
+    texts = rows.select(F.lit(min(1.0, DOCS_WEIGHT / max(passages, 1))).alias("weight"), "text").unionByName(items.select(F.lit(ITEM_WEIGHT).alias("weight"), "text"))
+    directions = latent_directions(texts.coalesce(max(TASKS, passages // TASK_PASSAGES)), idf)
     table = directions * idf[:, None].astype(np.float32)
     n_blocks = max(1, -(-items.count() // ITEMS))
     blocks = []

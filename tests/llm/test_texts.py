@@ -199,6 +199,33 @@ def test_short_items_and_loose_paraphrases_match_brute_force(spark):
     assert whole <= found and len(brute) > len(whole) + 80 and len(found & brute) >= 0.95 * len(brute)
 
 
+def test_latent_directions_are_those_of_all_passages(spark):
+    """The energy of the passages of all documents, many more than a thousand, and of the items against the exact decomposition."""
+    import pyarrow as pa
+    from relearn.llm import decontaminate as D
+    rng = np.random.default_rng(8)
+    odds = 1 / np.arange(1, 601)
+    prose = lambda n: " ".join(f"w{k}" for k in rng.choice(600, n, p=odds / odds.sum()))
+    texts, items = [prose(int(rng.integers(5, 250))) for _ in range(2500)] + [None, "", "w1"], [prose(40) for _ in range(30)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    idf, n = D.inverse_frequencies(docs)
+    blocks = [max(-(-len((t or "").split()) // D.BLOCK) - 1, 1) if t else 0 for t in texts]
+    assert n == sum(blocks) > 8000
+    weights = [D.DOCS_WEIGHT / n] * len(texts) + [D.ITEM_WEIGHT] * len(items)
+    both = spark.createDataFrame(list(zip(weights, texts + items)), "weight double, text string")
+    v = D.latent_directions(both.repartition(5), idf)
+    rows = []
+    for weight, text in zip(weights, texts + items):
+        for s in D._slices(pa.array([text], pa.string())):
+            for a, b in D._passages(s)[0]:
+                x = np.bincount(D._bucket(s.hash[a:b]), minlength=D.BUCKETS) * idf
+                rows.append(np.sqrt(weight) * x / max(np.linalg.norm(x), 1e-9))
+    a = np.array(rows)[:, idf < np.log(1 + len(texts))]
+    exact = np.sort(np.linalg.eigvalsh(a.T @ a))[::-1][:D.RANK].sum()
+    assert np.abs(v.T @ v - np.eye(D.RANK)).max() < 1e-3
+    assert np.square(a @ v[idf < np.log(1 + len(texts))]).sum() > 0.97 * exact
+
+
 def test_items_of_words_that_every_document_has_are_found(spark):
     docs = spark.createDataFrame([(1, "what is the question here")], "doc_id long, text string")
     out = decontaminate(docs, spark.createDataFrame([(5, "is the question"), (6, "an other thing")], "item_id long, text string"))
