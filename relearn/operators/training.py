@@ -97,9 +97,16 @@ def f1_class1_evaluator(label: str) -> MulticlassClassificationEvaluator:
                                              metricName="fMeasureByLabel", metricLabel=1.0)
 
 
-#: Partitions of a cached training set.  Part of the model's definition, like the seed: MLlib seeds bagging and split
-#: sampling per partition.  Raise it for sets whose partitions would not fit a task's memory.
+#: Least number of partitions of a cached training set.  Part of the model's definition, like the seed: MLlib seeds bagging
+#: and split sampling per partition.
 FIT_PARTITIONS = 16
+#: Rows a partition beyond that: a larger set has as many partitions as its rows need, so what a task reads stays bounded.
+FIT_ROWS = 1 << 19
+
+
+def fit_partitions(rows: int, least: int = FIT_PARTITIONS) -> int:
+    """Partitions of a training set of ``rows`` rows."""
+    return max(least, -(-rows // FIT_ROWS))
 
 
 def cache_for_fitting(df: DataFrame, key_names: Sequence[str], partitions: int = FIT_PARTITIONS,
@@ -108,12 +115,13 @@ def cache_for_fitting(df: DataFrame, key_names: Sequence[str], partitions: int =
 
     Tree growing scans the cached set once per level and fit, so its layout
     matters more than one shuffle.  Rows go to ``partitions`` partitions by the
-    key and are sorted by it within each, so the same rows and seed give the
+    key, or more where there are more than ``FIT_ROWS`` rows for each, and are
+    sorted by it within each, so the same rows and seed give the
     same trees however the input is stored, and a recomputed partition is the
     same.  The caller selects the needed columns first and unpersists.
     """
     keys = [F.col(c) for c in key_names]
-    cached = df.repartition(partitions, *keys).sortWithinPartitions(*keys).persist(level)
+    cached = df.repartition(fit_partitions(df.count(), partitions), *keys).sortWithinPartitions(*keys).persist(level)
     cached.count()
     return cached
 

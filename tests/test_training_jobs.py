@@ -32,6 +32,16 @@ def test_trees_do_not_depend_on_the_input_layout(spark):
         assert shape == texts[0][1] and numbers == pytest.approx(texts[0][0], rel=1e-9, abs=1e-9)
 
 
+def test_partitions_of_a_training_set_grow_with_its_rows(spark, monkeypatch):
+    assert [training.fit_partitions(n) for n in (0, 16 * training.FIT_ROWS, 16 * training.FIT_ROWS + 1, 400 * training.FIT_ROWS)] == [16, 16, 17, 400]
+    monkeypatch.setattr(training, "FIT_ROWS", 50)
+    for rows, want in ((400, 8), (4000, 80)):
+        cached = training.cache_for_fitting(spark.range(rows), ["id"], 8)
+        sizes = cached.groupBy(F.spark_partition_id()).count().collect()
+        assert cached.rdd.getNumPartitions() == want and max(r["count"] for r in sizes) < 100
+        cached.unpersist()
+
+
 def test_cross_validation_fits_features_once_per_fold(spark, monkeypatch):
     from pyspark.ml.feature import StandardScaler
     fits = []
