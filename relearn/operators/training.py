@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from relearn.functions.hashrand import hash_uniform
 from relearn.operators.ordered import global_rank
-from relearn.operators.trees import prune_forest
+from relearn.operators.trees import cut_forest, prune_forest
 
 # Fixed values of the fraud job: forest and grid.
 FOREST_NUM_TREES = 10
@@ -160,23 +160,38 @@ def _grown(params: dict) -> dict:
     return {p: v for p, v in params.items() if isinstance(p, Param)}
 
 
-def _fits(grid: list[dict]) -> list[tuple[dict, list[int]]]:
-    """Fits that serve the grid: grid points that differ only in ``MIN_SPLIT`` share one, cut afterwards."""
+def _fits(grid: list[dict], depths: bool = False) -> list[tuple[dict, list[int]]]:
+    """Fits that serve the grid: grid points that differ only in ``MIN_SPLIT``, and with ``depths`` in maxDepth, share one,
+    the deepest, cut afterwards."""
     fits: dict[tuple, tuple[dict, list[int]]] = {}
     for i, params in enumerate(grid):
         grown = _grown(params)
-        fits.setdefault(tuple(sorted((p.name, v) for p, v in grown.items())), (grown, []))[1].append(i)
+        key = tuple(sorted((p.name, v) for p, v in grown.items() if not (depths and p.name == "maxDepth")))
+        shared, members = fits.setdefault(key, (grown, []))
+        shared.update({p: max(v, shared[p]) for p, v in grown.items() if p.name == "maxDepth"})
+        members.append(i)
     return list(fits.values())
 
 
+def _level_fits(estimator: RandomForestClassifier, grid: list[dict], features: int) -> bool:
+    """Whether MLlib grows every level of the grid's forests at once: then shallow forests are the tops of deeper ones.
+
+    Otherwise it splits a level's nodes in several turns, which draw feature subsets in an order that depends on the depth."""
+    def bytes_of(point: dict) -> int:
+        rf = estimator.copy(_grown(point))
+        return rf.getNumTrees() * 2 ** (rf.getMaxDepth() - 1) * features * rf.getMaxBins() * 4 * 8
+    return all(bytes_of(p) <= estimator.getMaxMemoryInMB() << 20 for p in grid)
+
+
 def cross_validate(pipeline: Pipeline, grid: list[dict], evaluator, train: DataFrame,
-                   folds: int, fold_col: str = "fold", parallelism: int = 4, watch=None) -> CVResult:
+                   folds: int, fold_col: str = "fold", parallelism: int = 4, watch=None, share_depths: bool = False) -> CVResult:
     """M5: k-fold CV over ``grid`` with precomputed folds ``[0, folds)``; refit on all rows.
 
     The grid sets parameters of the last stage only, so the feature stages are
     fitted once per fold and its transformed rows (label and features) are
     cached while the grid points are fitted, ``parallelism`` at a time.  Points
-    that differ only in ``MIN_SPLIT`` are cut from one fitted forest.  The
+    that differ only in ``MIN_SPLIT`` are cut from one fitted forest; with ``share_depths`` also those that differ in
+    maxDepth, where MLlib grows each level at once and so the same trees.  The
     caller persists ``train``.  ``watch(fold, grid index, scored rows)`` sees what is evaluated.
     """
     stages = pipeline.getStages()
@@ -184,17 +199,23 @@ def cross_validate(pipeline: Pipeline, grid: list[dict], evaluator, train: DataF
     spark = train.sparkSession
     label, features = estimator.getLabelCol(), estimator.getFeaturesCol()
     scores = [[0.0] * folds for _ in grid]
-    fits = _fits(grid)
+    fits = None
     for k in range(folds):
         fitted, held = train.filter(F.col(fold_col) != k), train.filter(F.col(fold_col) == k)
         prepare = Pipeline(stages=stages[:-1]).fit(fitted)
         parts = [prepare.transform(p).select(label, features).persist(StorageLevel.MEMORY_AND_DISK) for p in (fitted, held)]
         try:
+            if fits is None:
+                row = parts[0].select(features).first() if share_depths else None
+                fits = _fits(grid, row is not None and _level_fits(estimator, grid, row[0].size))
+
             def one(fit, parts=parts, k=k):
                 params, members = fit
                 forest = estimator.copy(params).fit(parts[0])
                 for i in members:
-                    scored = prune_forest(forest, spark, grid[i].get(MIN_SPLIT, 2)).transform(parts[1])
+                    least, depth = grid[i].get(MIN_SPLIT, 2), grid[i].get(estimator.maxDepth)
+                    top = cut_forest(forest, spark, depth) if depth != params.get(estimator.maxDepth) else forest
+                    scored = prune_forest(top, spark, least).transform(parts[1])
                     scores[i][k] = float(evaluator.evaluate(scored))
                     if watch is not None:
                         watch(k, i, scored)

@@ -5,6 +5,7 @@
   such parameter, but it stores every node's row count, and a limit on splitting changes nothing above the node that
   it stops: cutting the grown tree there gives the tree grown under the limit.  (With random feature subsets it is one
   of the trees that could have been drawn: the subsets drawn below the cut are unused.)
+* ``cut_forest``: the forest as it is if it is grown to a smaller depth.
 * ``grow_tree``: one tree grown by aggregations: class counts per (node, feature, bin), running sums over the bins,
   the split with the largest Gini gain per node.  What a level gathers is nodes x features x bins rows, whatever the
   number of rows; it checks MLlib's fits exactly where bins hold one value each.
@@ -73,31 +74,52 @@ def forest_nodes(model: RandomForestClassificationModel, spark: SparkSession, fe
         F.when(inner, F.col("gain")).alias("gain"))
 
 
-def prune_forest(model: RandomForestClassificationModel, spark: SparkSession, min_samples_split: int) -> RandomForestClassificationModel:
-    """The forest without the splits of nodes that have fewer than ``min_samples_split`` rows, as a model of its own."""
-    if min_samples_split <= 2:                        # one row can't be split anyway
-        return model
-    path, out = _saved(model, spark), checkpoint_path(spark, f"forests/{uuid.uuid4().hex}")
-    limit = int(min_samples_split)
-    rows = _node_rows(spark, path)
-    kept = _walk(spark, rows, f"n >= {limit}").select("tree", "id")
+def _written(model_path: str, kept: DataFrame, leaf, spark: SparkSession) -> RandomForestClassificationModel:
+    """The saved forest with the nodes ``kept`` (tree, id) alone; those for which ``leaf`` holds are leaves."""
+    out = checkpoint_path(spark, f"forests/{uuid.uuid4().hex}")
     kept = kept.withColumn("new", (F.row_number().over(Window.partitionBy("tree").orderBy("id")) - 1).cast("int"))   # bounded by the tree's depth
     ids = F.broadcast(kept.withColumnRenamed("tree", "treeID"))       # a row per node of the model
-    full = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").join(ids, ["treeID", "id"])
+    full = spark.read.parquet(f"{model_path}/data").select("treeID", "nodeData.*").join(ids, ["treeID", "id"])
     for side in ("leftChild", "rightChild"):
         to = F.broadcast(kept.select(F.col("tree").alias("treeID"), F.col("id").alias(side), F.col("new").alias(f"{side}_new")))
         full = full.join(to, ["treeID", side], "left")
-    leaf = (F.col("leftChild") < 0) | (F.col("rawCount") < limit)
     node = F.struct(
         F.col("new").alias("id"), "prediction", "impurity", "impurityStats", "rawCount", F.when(leaf, F.lit(-1.0)).otherwise(F.col("gain")).alias("gain"),
         *[F.when(leaf, F.lit(-1)).otherwise(F.col(f"{s}_new")).alias(s) for s in ("leftChild", "rightChild")],
         F.when(leaf, F.expr(NO_SPLIT)).otherwise(F.col("split")).alias("split"))
     full.select("treeID", node.alias("nodeData")).write.parquet(f"{out}/data")
-    spark.read.parquet(f"{path}/treesMetadata").write.parquet(f"{out}/treesMetadata")
-    spark.read.text(f"{path}/metadata").coalesce(1).write.text(f"{out}/metadata")       # one line
+    spark.read.parquet(f"{model_path}/treesMetadata").write.parquet(f"{out}/treesMetadata")
+    spark.read.text(f"{model_path}/metadata").coalesce(1).write.text(f"{out}/metadata")       # one line
     return RandomForestClassificationModel.load(out)
 
 
+def prune_forest(model: RandomForestClassificationModel, spark: SparkSession, min_samples_split: int) -> RandomForestClassificationModel:
+    """The forest without the splits of nodes that have fewer than ``min_samples_split`` rows, as a model of its own."""
+    if min_samples_split <= 2:                        # one row can't be split anyway
+        return model
+    path, limit = _saved(model, spark), int(min_samples_split)
+    kept = _walk(spark, _node_rows(spark, path), f"n >= {limit}").select("tree", "id")
+    return _written(path, kept, (F.col("leftChild") < 0) | (F.col("rawCount") < limit), spark)
+
+
+def cut_forest(model: RandomForestClassificationModel, spark: SparkSession, max_depth: int) -> RandomForestClassificationModel:
+    """The forest as it is if it is grown to ``max_depth`` only, as a model of its own.
+
+    MLlib makes a leaf of a node whose leaves all predict the same; so it does with those that the cut leaves."""
+    path = _saved(model, spark)
+    nodes = _node_rows(spark, path).select("tree", "id", "left", "right")
+    nodes = nodes.join(_walk(spark, nodes, "true"), ["tree", "id"]).where(F.col("depth") <= max_depth)
+    said = spark.read.parquet(f"{path}/data").select(F.col("treeID").alias("tree"), F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("said"))
+    nodes = nodes.join(said, ["tree", "id"]).checkpoint()
+    ends = nodes.where((F.col("left") < 0) | (F.col("depth") == max_depth))
+    above = ends.select("tree", "said", F.explode(F.transform(F.sequence(F.lit(0), "depth"), lambda k: F.call_function("shiftright", F.col("place"), k))).alias("place"))
+    agreed = above.groupBy("tree", "place").agg((F.min("said") == F.max("said")).alias("one"))
+    nodes = nodes.join(agreed, ["tree", "place"])
+    parents = nodes.select("tree", (2 * F.col("place")).alias("place"), "one").unionByName(nodes.select("tree", (2 * F.col("place") + 1).alias("place"), "one"))
+    kept = nodes.drop("one").join(parents, ["tree", "place"], "left").where("one is null or not one").select("tree", "id").checkpoint()
+    return _written(path, kept, F.col("leftChild_new").isNull(), spark)
+
+
 # -- a tree by aggregations ---------------------------------------------------------------
 
 def candidate_thresholds(df: DataFrame, features: Sequence[str], max_bins: int) -> DataFrame:

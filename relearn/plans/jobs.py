@@ -63,7 +63,7 @@ def train_with_cv(train: DataFrame, test: DataFrame, label: str, exclude: Sequen
     folded = training.cache_for_fitting(training.add_folds(train.select(*needed), folds, fold_seed, key_cols), key_cols, partitions)
     try:
         cvm = training.cross_validate(pipe, grid, training.auc_evaluator(label), folded, folds,
-                                      parallelism=parallelism)
+                                      parallelism=parallelism, share_depths=True)
     finally:
         folded.unpersist()
     best_model = cvm.best_model

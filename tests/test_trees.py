@@ -3,6 +3,7 @@ import collections
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
@@ -173,3 +174,31 @@ def test_stratified_folds_read_their_input_once(spark):
     assert scans(REGISTRY["fold_sizes"](spark, SF_SMALL)) == 1
     ranked = ordered.global_rank(df.withColumn("u", F.lit(0.5)), ["u", *keys, "l_extendedprice"], uniform_first=True)
     assert ranked.select("rank").distinct().count() == df.count()
+
+
+def test_a_cut_forest_is_the_shallow_one(spark):
+    """Node by node, merged leaves included; and a grid of depths is fitted once for each number of trees."""
+    rng = np.random.default_rng(12)
+    x = rng.random((3000, 4)).round(2)
+    y = (x[:, 0] * x[:, 1] + 0.3 * rng.random(3000) > 0.45).astype(int)
+    df = spark.createDataFrame([(*map(float, r), int(v), i % 2) for i, (r, v) in enumerate(zip(x, y))], "a double, b double, c double, d double, y int, fold int")
+    pipe = training.numeric_pipeline(["a", "b", "c", "d"], "y")
+    rows = Pipeline(stages=pipe.getStages()[:-1]).fit(df).transform(df).select("y", "features").cache()
+    names = ["a", "b", "c", "d"]
+    nodes = lambda m: sorted((r.tree, r.place, r.feature, r.threshold, r.n, tuple(r.stats), r.gain) for r in trees.forest_nodes(m, spark, names).collect())
+    deep = training.forest("y", num_trees=6, max_depth=9).fit(rows)
+    for depth in (1, 4):
+        shallow, cut = training.forest("y", num_trees=6, max_depth=depth).fit(rows), trees.cut_forest(deep, spark, depth)
+        key = lambda n: [(r[:3], pytest.approx(r[3]), r[4], r[5], pytest.approx(r[6])) for r in n]
+        assert [(r[:3], r[3], r[4], r[5], r[6]) for r in nodes(cut)] == key(nodes(shallow)), depth
+        a, b = (m.transform(rows).select("probability").collect() for m in (cut, shallow))
+        assert a == b
+    rf = pipe.getStages()[-1]
+    grid = training.forest_grid(rf, (3, 5), (2, 6))
+    fits = training._fits(grid, True)
+    assert sorted((f[rf.numTrees], f[rf.maxDepth], len(members)) for f, members in fits) == [(3, 6, 2), (5, 6, 2)]
+    assert len(training._fits(grid)) == 4 and not training._level_fits(rf, grid, 1 << 20)
+    out = training.cross_validate(pipe, grid, training.auc_evaluator("y"), df, 2, share_depths=True)
+    for i, point in list(enumerate(grid))[:2]:
+        model = Pipeline(stages=[*pipe.getStages()[:-1], rf.copy(point)]).fit(df.where("fold <> 0"))
+        assert out.fold_metrics[i][0] == pytest.approx(training.auc_evaluator("y").evaluate(model.transform(df.where("fold = 0"))), abs=1e-9)
