@@ -1,5 +1,7 @@
 import hashlib
+import os
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from llm_fixtures import SF_SMALL, empty, odd  # noqa: F401
 from relearn.llm import queries
 from relearn.llm import words as W
-from relearn.llm.common import documents
+from relearn.llm.common import cut, documents
 from relearn.llm.components import components
 from relearn.llm.near_dedup import near_duplicates
 from relearn.llm.substring_dedup import remove_repeats
@@ -180,3 +182,20 @@ def test_components_left_apart_all_meet(spark):
     comp = {k: c for few, every in nodes.values() for k, c in every}
     want = {(x, y) for x in range(n) for y in range(n) if x % 2 == y % 2 and comp[x] != comp[y] and comp[x] < 10_000}
     assert want <= met
+
+
+def test_shuffle_files_go_with_each_cut(spark):
+    disks = [str(d) for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()]
+
+    def shuffled():
+        return {f for d in disks for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+    before = shuffled()
+    rows = spark.range(20_000).withColumn("k", F.col("id") % 7).repartition(6, "k")
+    counts = cut(rows.groupBy("k").count())
+    twice = cut(counts.join(rows.groupBy("k").agg(F.max("id").alias("top")), "k"))
+    end = time.time() + 20
+    while shuffled() - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert sorted(map(tuple, twice.collect())) == [(k, len(range(k, 20_000, 7)), range(k, 20_000, 7)[-1]) for k in range(7)]
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
