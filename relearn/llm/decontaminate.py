@@ -66,8 +66,8 @@ def inverse_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
         for batch in batches:
             n += batch.num_rows
             for s in _slices(batch.column("text")):
-                pairs = np.unique(_cells(s.doc(), s.n_docs, _bucket(s.hash)))
-                have += np.bincount(pairs % BUCKETS, minlength=BUCKETS)
+                pairs = np.sort(_cells(s.doc(), s.n_docs, _bucket(s.hash)))
+                have += np.bincount(pairs[np.r_[True, pairs[1:] != pairs[:-1]][:len(pairs)]] % BUCKETS, minlength=BUCKETS)
                 passages += len(_passages(s)[1])
         at = np.flatnonzero(have)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-2, -1, at]), pa.array(np.r_[passages, n, have[at]])], names=["bucket", "n"])

@@ -1,6 +1,7 @@
 import collections
 import math
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,19 @@ def test_word_hashes_are_equal_only_for_equal_words():
     assert len(set(seen.values())) == len(seen) == 3050
 
 
+def test_scan_works_in_place():
+    texts = pa.array(["Some words " * 90_000, "", None, "x" * 70_000 + " some words"])
+    whole = next(W.slices(texts.slice(0, 1), lower=True))
+    tracemalloc.start()
+    s = W.scan(whole.data, np.array([0, len(whole.data)]), lower=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 18 * len(s.data)                   # 8 bytes of sums for a byte of text, marks and the words; nothing as large beside the sums
+    assert np.array_equal(s.hash, whole.hash) and set(s.hash[::2]) == {s.hash[0]} and set(s.hash[1::2]) == {s.hash[1]}
+    last = list(W.slices(texts, lower=True))[-1]
+    assert last.hash[-2:].tolist() == s.hash[:2].tolist()
+
+
 def test_power_tables_are_not_sent():
     import pickle
     W._byte_powers(1 << 16)
