@@ -379,7 +379,7 @@ def _found(s: W.Words, spans: np.ndarray, doc: np.ndarray, x: np.ndarray, block:
     if not len(of):
         return
     sizes = np.array([len(w) for w in whole])
-    at, near = np.nonzero((x @ q >= NEAR) | plain)
+    at, near = np.divmod(np.flatnonzero(x @ q >= np.where(plain, -np.inf, NEAR).astype(np.float32)), len(of))
     pairs = np.unique(at * len(whole) + of[near])                 # of a window and an item
     at, item = pairs // len(whole), pairs % len(whole)
     a = np.maximum(spans[at, 0] - sizes[item], s.first[doc[at]])
