@@ -103,10 +103,12 @@ def with_groups(stats: DataFrame, min_group: int) -> DataFrame:
     statistics count for, which are its own and those that judge some small group."""
     named = stats.withColumn("lang_key", F.coalesce("lang", F.lit("\x00"))).withColumn("source_key", F.coalesce("source", F.lit("\x00")))
     sizes = named.groupBy("lang_key", "source_key").agg(F.count_if(~F.col("base_failed")).alias("n"))
-    languages = sizes.groupBy("lang_key").agg(F.sum("n").alias("of_language"), F.max(F.col("n").between(1, min_group - 1)).alias("has_small"))
+    w = Window.partitionBy("lang_key")
+    sizes = sizes.withColumn("of_language", F.sum("n").over(w)).withColumn("has_small", F.max(F.col("n").between(1, min_group - 1)).over(w))
     level = F.when(F.col("n") >= min_group, F.lit(0)).when(F.col("of_language") >= min(MIN_LANGUAGE, min_group), F.lit(1)).otherwise(F.lit(2))
-    levels = sizes.join(languages, "lang_key").withColumn("level", level)
-    rest = levels.agg(F.coalesce(F.max((F.col("level") == 2) & (F.col("n") > 0)), F.lit(False)).alias("all_judges"))
+    levels = sizes.withColumn("level", level)
+    needed = F.max((F.col("level") == 2) & (F.col("n") > 0)) & (F.sum("n") >= min(MIN_ALL, min_group))
+    rest = levels.agg(F.coalesce(needed, F.lit(False)).alias("all_judges"))
     levels = levels.crossJoin(rest).select("lang_key", "source_key", "level", "of_language", "has_small", "all_judges")      # one row
     own, language, whole = F.to_json(F.array("lang_key", "source_key")), F.to_json(F.array("lang_key")), F.lit("[]")
     group = F.when(F.col("level") == 0, own).when(F.col("level") == 1, language).otherwise(whole)
@@ -119,36 +121,46 @@ def _pairs() -> list[tuple[int, int]]:
     return [(i, j) for i in range(DIM) for j in range(i + 1)]
 
 
+def _with(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Adds columns by SQL text: building a Column object for each operation took the driver about as long as the rounds."""
+    return df.selectExpr("*", *[f"{e} AS {c}" for c, e in columns.items()])
+
+
 def _factor(est: DataFrame) -> DataFrame:
     """From mean m_i and covariance s_i_j: the inverse r_i_j of its Cholesky factor and the log determinant."""
-    def at(i: int, j: int, of) -> Column:
-        return reduce(lambda a, k: a - of(k), range(j), F.col(f"s_{i}_{j}"))
+    def rest(i: int, j: int) -> str:
+        return " - ".join([f"s_{i}_{j}", *[f"l_{i}_{k} * l_{j}_{k}" for k in range(j)]])
     for j in range(DIM):              # a column of the factor at a time, then a row of its inverse
-        corner = at(j, j, lambda k: F.col(f"l_{j}_{k}") * F.col(f"l_{j}_{k}"))
-        est = est.withColumn(f"l_{j}_{j}", F.sqrt(F.greatest(corner, F.lit(FLOORS[j] ** 2 / 16))))
+        est = _with(est, {f"l_{j}_{j}": f"sqrt(greatest({rest(j, j)}, {FLOORS[j] ** 2 / 16!r}D))"})
         if j + 1 < DIM:
-            est = est.withColumns({f"l_{i}_{j}": at(i, j, lambda k: F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")) / F.col(f"l_{j}_{j}") for i in range(j + 1, DIM)})
+            est = _with(est, {f"l_{i}_{j}": f"({rest(i, j)}) / l_{j}_{j}" for i in range(j + 1, DIM)})
     for i in range(DIM):
-        est = est.withColumns({f"r_{i}_{j}": reduce(lambda a, k: a - F.col(f"l_{i}_{k}") * F.col(f"r_{k}_{j}"), range(j, i), F.lit(1.0 if i == j else 0.0)) / F.col(f"l_{i}_{i}")
-                               for j in range(i + 1)})
-    det = reduce(lambda a, i: a + F.log(F.col(f"l_{i}_{i}")), range(DIM), F.lit(0.0))
-    keep = ["group", "start", det.alias("det")] + [f"m_{i}" for i in range(DIM)] + [f"r_{i}_{j}" for i, j in _pairs()]
-    return cut(est.select(*keep))
+        est = _with(est, {f"r_{i}_{j}": f"({'1.0D' if i == j else '0.0D'}{''.join(f' - l_{i}_{k} * r_{k}_{j}' for k in range(j, i))}) / l_{i}_{i}" for j in range(i + 1)})
+    det = " + ".join(f"ln(l_{i}_{i})" for i in range(DIM))
+    keep = ["group", "start", F.expr(det).alias("det")] + [f"m_{i}" for i in range(DIM)] + [f"r_{i}_{j}" for i, j in _pairs()]
+    return cut(est.select(*keep, *[c for c in est.columns if c == "old"]))
+
+
+#: Names of the sums of rows and of products that moments come from.
+SUMS = [f"sum_{i}" for i in range(DIM)] + [f"sum_{i}_{j}" for i, j in _pairs()]
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    """Mean and covariance (with floors) of the rows of each group and start."""
-    sums = [F.avg(c).alias(f"m_{i}") for i, c in enumerate(STATS)] + [F.covar_pop(STATS[i], STATS[j]).alias(f"s_{i}_{j}") for i, j in _pairs()]
-    out = rows.groupBy("group", "start").agg(*sums)
-    return out.withColumns({f"s_{i}_{i}": F.col(f"s_{i}_{i}") + FLOORS[i] ** 2 for i in range(DIM)})
+def _sums() -> list[Column]:
+    """Count, sums and sums of products of rows.  Statistics are logarithms and roots, so 22 at most, and every variance has a
+    floor: these sums lose no digit that counts."""
+    terms = STATS + [f"{STATS[i]} * {STATS[j]}" for i, j in _pairs()]
+    return [F.expr("count(*) AS n"), *[F.expr(f"sum({term}) AS {name}") for term, name in zip(terms, SUMS)]]
+
+
+def _moments(sums: DataFrame) -> DataFrame:
+    """Adds mean and covariance (with floors) to rows of ``_sums``."""
+    sums = _with(sums, {f"m_{i}": f"sum_{i} / n" for i in range(DIM)})
+    return _with(sums, {f"s_{i}_{j}": f"sum_{i}_{j} / n - m_{i} * m_{j} + {FLOORS[i] ** 2 if i == j else 0.0!r}D" for i, j in _pairs()})
 
 
 def _distance() -> Column:
-    parts = []
-    for i in range(DIM):
-        z = reduce(lambda a, j: a + F.col(f"r_{i}_{j}") * (F.col(STATS[j]) - F.col(f"m_{j}")), range(i + 1), F.lit(0.0))
-        parts.append(z * z)
-    return reduce(lambda a, b: a + b, parts)
+    z = ["(" + " + ".join(f"r_{i}_{j} * ({STATS[j]} - m_{j})" for j in range(i + 1)) + ")" for i in range(DIM)]
+    return F.expr(" + ".join(f"{x} * {x}" for x in z))
 
 
 def _measured(rows: DataFrame, est: DataFrame) -> DataFrame:
@@ -157,11 +169,27 @@ def _measured(rows: DataFrame, est: DataFrame) -> DataFrame:
     return out.withColumn("cell", F.floor(F.log2(1 + F.col("distance")) * GRID))
 
 
-def _cell_at(cells: DataFrame, keys: list[str], share: float, name: str, more: float = 0) -> DataFrame:
-    """From counts ``n`` per cell: the first cell by which the share of a key's rows, and ``more``, is reached."""
+def _running(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Adds to counts ``n`` per cell those of a key's cells up to it (``upto``) and of all."""
     w = Window.partitionBy(*keys)
-    run = cells.withColumn("upto", F.sum("n").over(w.orderBy("cell"))).withColumn("all", F.sum("n").over(w))
-    return run.where(F.col("upto") >= share * F.col("all") + more).groupBy(*keys).agg(F.min("cell").alias(name))
+    return cells.withColumn("upto", F.sum("n").over(w.orderBy("cell"))).withColumn("all", F.sum("n").over(w))
+
+
+def _cell_at(cells: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
+    """From counts ``n`` per cell: for each name the first cell by which its share of a key's rows is reached."""
+    at = [F.min(F.when(F.col("upto") >= share * F.col("all"), F.col("cell"))).alias(name) for name, share in shares.items()]
+    return _running(cells, keys).groupBy(*keys).agg(*at)
+
+
+def _concentrated(rows: DataFrame, est: DataFrame) -> DataFrame:
+    """The estimate of the nearest half of the rows of each group and start, and ``old``, the determinant of ``est``.
+
+    Sums are kept for each cell, so one pass gives both the cell that ends the half and the moments of the rows up to it."""
+    keys = ["group", "start"]
+    cells = _measured(rows, est).groupBy(*keys, "cell").agg(*_sums(), F.max("det").alias("old"))
+    half = _running(cells, keys).where(F.col("upto") - F.col("n") < 0.5 * F.col("all") + (DIM + 1) / 2)
+    sums = half.groupBy(*keys).agg(*[F.expr(f"sum({c}) AS {c}") for c in ["n", *SUMS]], F.max("old").alias("old"))
+    return _factor(_moments(sums))
 
 
 def _shortest_halves(cells: DataFrame) -> DataFrame:
@@ -180,43 +208,40 @@ def _grid_starts(rows: DataFrame) -> DataFrame:
     """Median and quartile range (start 0), middle and length of the shortest half (2) of every statistic, from counts on a grid."""
     each = F.explode(F.array(*[F.struct(F.lit(i).alias("dim"), F.floor(F.col(c) * GRID * 4).alias("cell")) for i, c in enumerate(STATS)]))
     cells = cut(rows.select("group", each.alias("e")).groupBy("group", "e.dim", "e.cell").agg(F.count("*").alias("n")))
-    quartiles = reduce(lambda a, b: a.join(b, ["group", "dim"]), [_cell_at(cells, ["group", "dim"], q, n) for q, n in ((0.25, "lo"), (0.5, "mid"), (0.75, "hi"))])
+    quartiles = _cell_at(cells, ["group", "dim"], {"lo": 0.25, "mid": 0.5, "hi": 0.75})
     at = quartiles.withColumn("start", F.lit(0)).unionByName(_shortest_halves(cells).withColumn("start", F.lit(2)))
-    scale = F.lit(GRID * 4.0)
     cols = []
     for i in range(DIM):
-        cols.append(F.max(F.when(F.col("dim") == i, (F.col("mid") + 0.5) / scale)).alias(f"m_{i}"))
-        cols.append((F.pow(F.max(F.when(F.col("dim") == i, (F.col("hi") - F.col("lo")) / scale)) / 1.349, F.lit(2)) + FLOORS[i] ** 2).alias(f"s_{i}_{i}"))
+        cols.append(F.expr(f"max(CASE WHEN dim = {i} THEN (mid + 0.5D) / {GRID * 4.0}D END) AS m_{i}"))
+        cols.append(F.expr(f"pow(max(CASE WHEN dim = {i} THEN (hi - lo) / {GRID * 4.0}D END) / 1.349D, 2) + {FLOORS[i] ** 2!r}D AS s_{i}_{i}"))
     out = at.groupBy("group", "start").agg(*cols)
-    return out.withColumns({f"s_{i}_{j}": F.lit(0.0) for i, j in _pairs() if i != j})
+    return _with(out, {f"s_{i}_{j}": "0.0D" for i, j in _pairs() if i != j})
 
 
 def _scaled(rows: DataFrame, est: DataFrame) -> DataFrame:
     """Adds ``factor``: the median distance over its normal value; 1 at least, as the floors shorten distances."""
     cells = _measured(rows, est).groupBy("group", "start", "cell").agg(F.count("*").alias("n"))
-    mid = _cell_at(cells, ["group", "start"], 0.5, "mid")
+    mid = _cell_at(cells, ["group", "start"], {"mid": 0.5})
     middle = F.pow(F.lit(2.0), (F.col("mid") + 0.5) / GRID) - 1
     return cut(est.join(mid.select("group", "start", F.greatest(middle / MEDIAN, F.lit(1.0)).alias("factor")), ["group", "start"]))
 
 
 def robust_estimates(rows: DataFrame) -> DataFrame:
     """Location, scatter (inverse factor) and ``factor`` per group of the rows (group and the statistics)."""
-    keys = ["group", "start"]
-    est, least = _factor(_grid_starts(rows).unionByName(_moments(rows.withColumn("start", F.lit(1))))), None
+    moments = _moments(rows.groupBy("group", F.lit(1).alias("start")).agg(*_sums()))
+    est = _grid_starts(rows)
+    est, least = _factor(est.unionByName(moments.select(*est.columns))), None
     while True:
-        cells = _measured(rows, est).groupBy(*keys, "cell").agg(F.count("*").alias("n"))
-        last = _cell_at(cells, keys, 0.5, "last", (DIM + 1) / 2)
-        before, est = est, _factor(_moments(_measured(rows, est.join(last, keys)).where("cell <= last")))
-        both = est.join(before.select(*keys, F.col("det").alias("old")), keys)
-        fall, total = both.agg(F.max(F.col("old") - F.col("det")), F.sum("det")).first()
+        est = _concentrated(rows, est)
+        fall, total = est.agg(F.max(F.col("old") - F.col("det")), F.sum("det")).first()
         # a start is no subset, so two steps at least; on a grid steps could go round, so the sum has to fall too
         if fall is None or least is not None and (fall <= SETTLED or total >= least):
             break
         least = total
-    best = est.groupBy("group").agg(F.min(F.struct("det", "start")).alias("b")).select("group", F.col("b.start").alias("start"))
-    est = _scaled(rows, est.join(best, ["group", "start"]))
+    best = F.min(F.struct("det", "start", *[c for c in est.columns if c not in ("group", "start", "det", "old")]))
+    est = _scaled(rows, est.groupBy("group").agg(best.alias("b")).select("group", "b.*"))
     inner = _measured(rows, est).where(F.col("distance") <= WEIGHT * F.col("factor"))
-    return _scaled(rows, _factor(_moments(inner)))
+    return _scaled(rows, _factor(_moments(inner.groupBy("group", "start").agg(*_sums()))))
 
 
 def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP, cutoff: float = CUTOFF) -> DataFrame:
@@ -228,9 +253,7 @@ def quality_rules(docs: DataFrame, min_group: int = MIN_GROUP, cutoff: float = C
     words and fail.  A null or missing lang or source is a group of its own.  An empty table gives no rows.
     """
     stats = cut(with_groups(cut(statistics(counts(docs))), min_group))
-    fit = stats.where("not base_failed").select(F.explode("fits").alias("group"), *STATS)
-    big = fit.groupBy("group").count().where(F.col("count") >= min(MIN_ALL, min_group)).select("group")
-    est = robust_estimates(fit.join(big, "group"))
+    est = robust_estimates(stats.where("not base_failed").select(F.explode("fits").alias("group"), *STATS))
     judged = stats.join(est.drop("start", "det"), "group", "left")
     distance = F.when(~F.col("base_failed"), _distance() / F.col("factor"))
     out = judged.withColumn("distance", distance)

@@ -151,6 +151,27 @@ def test_mahalanobis_distances_match_numpy(spark):
     assert est.factor >= 1
 
 
+def test_quality_starts_few_jobs(spark):
+    """Each exchange costs the driver a job and threads that stay for a minute: about 150 a run took it beyond its memory."""
+    spark.sparkContext.setJobGroup("quality-jobs", "quality rules")
+    try:
+        quality_rules(documents(spark, SF_MID)).collect()
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            spark.sparkContext.setLocalProperty(name, None)
+    assert 0 < len(spark.sparkContext.statusTracker().getJobIdsForGroup("quality-jobs")) < 100
+
+
+def test_moments_from_sums_match_numpy(spark):
+    from relearn.llm import quality as Q
+    x = np.random.default_rng(4).normal(3, 0.01, (400, Q.DIM)) + 15
+    rows = spark.createDataFrame([("g", 0, *map(float, r)) for r in x], "group string, start int, " + ", ".join(f"{c} double" for c in Q.STATS))
+    got = Q._moments(rows.groupBy("group", "start").agg(*Q._sums())).first()
+    assert np.allclose([got[f"m_{i}"] for i in range(Q.DIM)], x.mean(0), rtol=1e-12)
+    want = np.cov(x.T, bias=True) + np.diag(np.square(FLOORS))
+    assert np.allclose([got[f"s_{i}_{j}"] for i, j in Q._pairs()], [want[i, j] for i, j in Q._pairs()], rtol=1e-8, atol=1e-11)
+
+
 def test_rows_of_small_groups_are_judged_by_larger_ones(spark):
     """A table of 22 rows, each of a source of its own; a small language beside a large one."""
     rng = np.random.default_rng(8)
