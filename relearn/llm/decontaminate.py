@@ -42,7 +42,7 @@ ITEMS = 5000
 ITEM_WEIGHT, DOCS_WEIGHT = 64.0, 4000.0
 NEAR = 0.25
 COPY, PARAPHRASE, ANSWER = 0.7, 0.5, 0.5
-_SLICE, _CELLS, _ROWS, _LANES, _WORDS, _FEW = 1 << 18, 1 << 18, 1 << 9, 64, 1 << 12, 128
+_SLICE, _CELLS, _ROWS, _LANES, _BLOCKS, _MANY = 1 << 20, 1 << 18, 1 << 9, 64, 1 << 14, 16
 
 
 def _slices(column: pa.Array) -> Iterator[W.Words]:
@@ -89,42 +89,70 @@ def _passages(s: W.Words) -> tuple[np.ndarray, np.ndarray]:
     return np.stack([start, np.minimum(start + 2 * BLOCK, s.first[doc + 1])], 1), doc
 
 
-def _squared_norms(s: W.Words, spans: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Squared norms of the windows' TF-IDF rows."""
-    length = spans[:, 1] - spans[:, 0]
-    row = np.repeat(np.arange(len(spans)), length)
-    at = np.repeat(spans[:, 0] - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum())
-    cells, tf = np.unique(_cells(row, len(spans), _bucket(s.hash)[at]), return_counts=True)
-    w = tf * idf[cells % BUCKETS]
-    return np.bincount(cells // BUCKETS, w * w, minlength=len(spans))
+def _grid(s: W.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of a slice's words, a column for each block (``BUCKETS`` for words that a document's last block lacks);
+    the document and the last block's mark of each block, and the block of each word."""
+    n = np.diff(s.first)
+    blocks = -(-n // BLOCK)
+    ends = np.cumsum(blocks)
+    at = np.arange(len(s.hash)) + np.repeat(BLOCK * (ends - blocks) - s.first[:-1], n)
+    flat = np.full(BLOCK * int(blocks.sum()), BUCKETS, np.uint16)
+    flat[at] = _bucket(s.hash)
+    last = np.zeros(len(flat) // BLOCK, bool)
+    last[ends[n > 0] - 1] = True
+    return np.ascontiguousarray(flat.reshape(-1, BLOCK).T), np.repeat(np.arange(len(n)), blocks), last, at // BLOCK
+
+
+def _opening(last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marks of the blocks that open a window: all but the last of several; and of those that open a document."""
+    first = np.r_[True, last[:-1]][:len(last)]
+    return ~last | first, first
+
+
+def _squared_norms(words: np.ndarray, last: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Squared norms of the TF-IDF rows of the windows that the blocks open: over pairs of equal buckets, so nothing is sorted."""
+    width, flat = words.shape[1], words.ravel()
+    squares = np.r_[idf * idf, 0.0].astype(np.float32)[flat]
+    same, equal = np.ones((2, len(flat)), np.uint8), np.empty(len(flat), bool)
+    inside, across = same
+    across[:] = 0
+    for d in range(1, BLOCK):                        # in a block: each word and the one d words on, counted twice
+        a = (BLOCK - d) * width
+        inside[:a] += np.left_shift(np.equal(flat[:a], flat[d * width:], out=equal[:a]).view(np.uint8), 1)
+    for d in range(1 - BLOCK, BLOCK):                # in a block and the next one, which is a column on
+        a, b = max(0, -d * width - 1), len(flat) - max(0, d * width + 1)
+        if a < b:
+            across[a:b] += np.equal(flat[a:b], flat[a + d * width + 1:b + d * width + 1], out=equal[:b - a]).view(np.uint8)
+    own = (squares * inside).reshape(BLOCK, width).sum(0, dtype=np.float64)
+    both = 2 * (squares * across).reshape(BLOCK, width).sum(0, dtype=np.float64)
+    both[:-1] += own[1:]
+    return own + np.where(last, 0.0, both)
 
 
 def _add_by_bucket(sums: np.ndarray, bucket: np.ndarray, block: np.ndarray, out: np.ndarray) -> None:
     """Adds to each bucket's row of ``out`` the ``sums`` of the blocks of its words.
 
-    The buckets of few words take a word each at a time, so that rows stay in the processor's cache."""
-    order = np.argsort(bucket.astype(np.uint16), kind="stable")
-    bucket, block = bucket[order], block[order]
-    start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-    n = np.diff(np.r_[start, len(bucket)])
-    few = np.argsort(-n, kind="stable")
-    few = few[n[few] <= _FEW]
+    The buckets of many words are one matrix product of their counts; those of few words take a word each at a time, so
+    that rows stay in the processor's cache."""
+    order = block[np.argsort(bucket, kind="stable")]
+    n = np.bincount(bucket, minlength=BUCKETS)
+    start = np.cumsum(n) - n
+    many = np.flatnonzero(_MANY * n > len(sums))
+    if len(many):
+        cells = np.concatenate([i * len(sums) + order[start[k]:start[k] + n[k]] for i, k in enumerate(many.tolist())])
+        out[many] += np.bincount(cells, minlength=len(many) * len(sums)).reshape(len(many), -1).astype(np.float32) @ sums
+    few = np.flatnonzero((n > 0) & (_MANY * n <= len(sums)))
+    few = few[np.argsort((_BLOCKS - n[few]).astype(np.uint16), kind="stable")]
     total, row = np.empty((2, _ROWS, sums.shape[1]), np.float32)
     for a in range(0, len(few), _ROWS):
-        first, count = start[few[a:a + _ROWS]], n[few[a:a + _ROWS]]
-        np.take(sums, block[first], axis=0, out=total[:len(first)], mode="clip")
-        for k in range(1, int(count[0])):
-            left = int(np.searchsorted(-count, -k, "left"))           # buckets with more than k words
-            np.take(sums, block[first[:left] + k], axis=0, out=row[:left], mode="clip")
+        to = few[a:a + _ROWS]
+        first, count = start[to], n[to]
+        np.take(out, to, axis=0, out=total[:len(to)], mode="clip")
+        lefts = np.searchsorted(-count, -np.arange(count[0]), "left")     # buckets with more than k words
+        for k, left in enumerate(lefts.tolist()):
+            np.take(sums, order[first[:left] + k], axis=0, out=row[:left], mode="clip")
             total[:left] += row[:left]
-        out[bucket[first]] += total[:len(first)]
-    for k in np.flatnonzero(n > _FEW).tolist():
-        of = block[start[k]:start[k] + n[k]]
-        if 8 * n[k] > len(sums):
-            out[bucket[start[k]]] += np.bincount(of, minlength=len(sums)).astype(np.float32) @ sums
-            continue
-        for a in range(0, len(of), _WORDS):
-            out[bucket[start[k]]] += sums[of[a:a + _WORDS]].sum(0)
+        out[to] = total[:len(to)]
 
 
 def _add_products(s: W.Words, weight: np.ndarray, table: np.ndarray, idf: np.ndarray, out: np.ndarray) -> None:
@@ -132,19 +160,18 @@ def _add_products(s: W.Words, weight: np.ndarray, table: np.ndarray, idf: np.nda
 
     ``table`` holds the rows of G times their inverse frequencies.  A word stands in the windows of its block, so their
     vectors are added up for each block, and then for each bucket."""
-    spans, doc = _passages(s)
-    if not len(spans):
+    words, doc, last, block = _grid(s)
+    if not len(doc):
         return
-    sums, first, stop = _block_sums(s, table)
-    one = np.searchsorted(first, spans[:, 0])
-    two = spans[:, 1] > spans[:, 0] + BLOCK
-    x = _windows(sums, one, two)
-    x *= (weight[doc] / np.maximum(_squared_norms(s, spans, idf), 1e-18))[:, None].astype(np.float32)
-    sums[:] = 0
-    sums[one] = x
-    sums[one[two] + 1] += x[two]
-    bucket, block = _bucket(s.hash), np.repeat(np.arange(len(first)), np.minimum(first + BLOCK, stop) - first)
-    _add_by_bucket(sums, bucket, block, out)
+    opens, first = _opening(last)
+    x = _windows(_block_sums(words, table), last)
+    x *= np.where(opens, weight[doc] / np.maximum(_squared_norms(words, last, idf), 1e-18), 0).astype(np.float32)[:, None]
+    one = x[first]
+    x[1:] += x[:-1]                                  # a document's last block opens no window, unless it is the only one
+    x[first] = one
+    for a in range(0, len(x), _BLOCKS):
+        i, j = np.searchsorted(block, (a, a + _BLOCKS))
+        _add_by_bucket(x[a:a + _BLOCKS], _bucket(s.hash[i:j]).astype(np.uint16), block[i:j] - a, out)
 
 
 def _products(texts: DataFrame, basis: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -340,37 +367,32 @@ def _block(ids: list[int], texts: pa.Array, table: np.ndarray) -> tuple:
     return (q / np.maximum(own, 1e-6)[:, None]).T.copy(), plain, np.array(of, np.int64), whole, answers, ids, member, salt, _word_masks(whole, answers, salt)
 
 
-def _block_sums(s: W.Words, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sums of ``table`` rows, a block of ``BLOCK`` words at a time; the blocks' first words and their documents' ends.
+def _block_sums(words: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Sums of ``table`` rows over the words of each block, a word of every block at a time, so that rows and sums stay in
+    the processor's cache.  The table's last row is zero."""
+    sums = np.empty((words.shape[1], table.shape[1]), np.float32)
+    rows = np.empty((_ROWS, table.shape[1]), np.float32)
+    for a in range(0, len(sums), _ROWS):
+        part = sums[a:a + _ROWS]
+        np.take(table, words[0, a:a + _ROWS], axis=0, out=part, mode="clip")
+        for k in range(1, BLOCK):
+            np.take(table, words[k, a:a + _ROWS], axis=0, out=rows[:len(part)], mode="clip")
+            part += rows[:len(part)]
+    return sums
 
-    Word by word within the blocks, so that rows and sums stay in the processor's cache; the table's last row is zero
-    and stands for the words that a document's last block lacks."""
-    n = np.diff(s.first)
-    blocks = -(-n // BLOCK)
-    doc = np.repeat(np.arange(len(n)), blocks)
-    first = s.first[doc] + BLOCK * (np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks))
-    end, bucket = s.first[doc + 1], np.r_[_bucket(s.hash), BUCKETS]
-    sums = np.zeros((len(first), table.shape[1]), np.float32)
-    for a in range(0, len(first), _ROWS):
-        part, at, stop = sums[a:a + _ROWS], first[a:a + _ROWS], end[a:a + _ROWS]
-        rows = np.empty_like(part)
-        for k in range(BLOCK):
-            np.take(table, bucket[np.where(at + k < stop, at + k, -1)], axis=0, out=rows, mode="clip")
-            part += rows
-    return sums, first, end
-
-
-def _windows(sums: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    """Sums of windows: of their first blocks ``one``, and the next ones where there are ``two``."""
-    x = sums[one]
-    x[two] += sums[one[two] + 1]
-    return x
-
-
-def _latent(s: W.Words, spans: np.ndarray, table: np.ndarray) -> np.ndarray:
+
+def _windows(sums: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Sums of the windows that the blocks open, in place: with the next block's, if the document has one."""
+    ends = sums[last]
+    sums[:-1] += sums[1:]
+    sums[last] = ends
+    return sums
+
+
+def _latent(s: W.Words, table: np.ndarray) -> np.ndarray:
     """Latent vectors of a slice's windows."""
-    sums, first, _ = _block_sums(s, table)
-    return _windows(sums, np.searchsorted(first, spans[:, 0]), spans[:, 1] > spans[:, 0] + BLOCK)
+    words, _, last, _ = _grid(s)
+    return _windows(_block_sums(words, table), last)[_opening(last)[0]]
 
 
 def _found(s: W.Words, spans: np.ndarray, doc: np.ndarray, x: np.ndarray, block: tuple, found: list[dict[int, float]]) -> None:
@@ -379,7 +401,9 @@ def _found(s: W.Words, spans: np.ndarray, doc: np.ndarray, x: np.ndarray, block:
     if not len(of):
         return
     sizes = np.array([len(w) for w in whole])
-    at, near = np.divmod(np.flatnonzero(x @ q >= np.where(plain, -np.inf, NEAR).astype(np.float32)), len(of))
+    least = np.where(plain, -np.inf, NEAR).astype(np.float32)
+    hits = [np.flatnonzero(x[i:i + 4 * _ROWS] @ q >= least) + i * len(of) for i in range(0, len(x), 4 * _ROWS)]
+    at, near = np.divmod(np.concatenate(hits), len(of))
     pairs = np.unique(at * len(whole) + of[near])                 # of a window and an item
     at, item = pairs // len(whole), pairs % len(whole)
     a = np.maximum(spans[at, 0] - sizes[item], s.first[doc[at]])
@@ -411,7 +435,7 @@ def _search(rows: DataFrame, blocks: list[tuple], table: np.ndarray) -> DataFram
                 spans, doc = _passages(s)
                 found: list[dict[int, float]] = [{} for _ in range(s.n_docs)]
                 if len(spans):
-                    x = _latent(s, spans, table)
+                    x = _latent(s, table)
                     for part in parts:
                         _found(s, spans, doc, x, part.value, found)
                 part = batch.slice(s.first_doc, s.n_docs)

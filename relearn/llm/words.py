@@ -124,14 +124,11 @@ def scan(data: np.ndarray, offsets: np.ndarray, lower: bool = False, first_doc:
     """Words of the documents at ``offsets`` of ``data``."""
     n = len(data)
     inside = np.zeros(n + 2, bool)
-    inside[1:-1] = ~space[data]
-    opens = inside[1:-1] & ~inside[:-2]
-    closes = inside[1:-1] & ~inside[2:]
-    cut = offsets[1:-1]
-    cut = cut[(cut > 0) & (cut < n)]
-    opens[cut] = inside[1:-1][cut]          # a document's end also ends a word
-    closes[cut - 1] = inside[1:-1][cut - 1]
-    start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
+    inside[1:-1] = np.frombuffer(data.tobytes().translate((~space).tobytes()), bool)
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    cut = np.unique(offsets[1:-1])
+    cut = cut[inside[cut] & inside[cut + 1]]          # a document's end also ends a word
+    start, end = (np.insert(x, np.searchsorted(x, cut), cut) for x in (edges[::2], edges[1::2]))
     up, down = _byte_powers(n + 1)
     sums = np.empty(n + 1, np.uint64)
     sums[0] = 0

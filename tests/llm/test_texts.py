@@ -226,6 +226,46 @@ def test_latent_directions_are_those_of_all_passages(spark):
     assert np.square(a @ v[idf < np.log(1 + len(texts))]).sum() > 0.97 * exact
 
 
+def test_products_of_a_slice_are_those_of_its_passages(monkeypatch):
+    """A'(A G) against the dense matrix of all passages, also in parts; the norms take no sorted copy of every window's words."""
+    import pyarrow as pa
+    from relearn.llm import decontaminate as D
+    rng = np.random.default_rng(3)
+    prose = lambda n: " ".join(f"w{k}" for k in rng.zipf(1.3, n) % 900)
+    texts = ["", prose(1), None, *(prose(n) for n in (15, 16, 17, 31, 32, 33, 48, 700)), prose(16), "...", *(prose(int(n)) for n in rng.integers(1, 200, 60))]
+    idf, basis = rng.random(D.BUCKETS), rng.standard_normal((D.BUCKETS, 24)).astype(np.float32)
+    table = np.vstack([basis * idf[:, None].astype(np.float32), np.zeros((1, 24), np.float32)])
+    weight = rng.random(len(texts))
+    (s,) = D._slices(pa.array(texts, pa.string()))
+    spans, doc = D._passages(s)
+    a = np.array([np.bincount(D._bucket(s.hash[x:y]), minlength=D.BUCKETS) * idf for x, y in spans])
+    norms = np.square(a).sum(1)
+    want = (a * (weight[doc] / norms)[:, None]).T @ (a @ basis) / idf[:, None]
+    monkeypatch.setattr(np, "unique", None)
+    words, of, last, _ = D._grid(s)
+    opens, _ = D._opening(last)
+    assert np.array_equal(of[opens], doc) and np.allclose(D._squared_norms(words, last, idf)[opens], norms, rtol=1e-5)
+    assert np.allclose(D._latent(s, table), a @ basis, atol=1e-3)
+    for blocks, many in ((1 << 14, 16), (5, 16), (1 << 14, 0), (64, 1 << 20)):
+        monkeypatch.setattr(D, "_BLOCKS", blocks), monkeypatch.setattr(D, "_MANY", many)
+        out = np.ones((D.BUCKETS, 24), np.float32)
+        D._add_products(s, weight, table, idf, out)
+        assert np.allclose(out - 1, want, atol=1e-3)
+
+
+def test_words_of_texts_that_touch_are_those_of_each_text():
+    from relearn.llm import words as W
+    rng = np.random.default_rng(6)
+    for space in (W._SPACE, W.NOT_ALPHANUMERIC):
+        for n in (0, 1, 2, 50, 400):
+            data = np.frombuffer(rng.choice(list(b"abZ9 .\n\xc3\xa9"), n).astype(np.uint8).tobytes(), np.uint8)
+            offsets = np.r_[0, np.sort(rng.integers(0, n + 1, 30)), n]
+            s = W.scan(data, offsets, True, 0, space)
+            got = [[s.word(i) for i in range(a, b)] for a, b in zip(s.first[:-1], s.first[1:])]
+            table = bytes(32 if x else b for b, x in enumerate(space))
+            assert got == [[w for w in data[a:b].tobytes().translate(table).split(b" ") if w] for a, b in zip(offsets[:-1], offsets[1:])]
+
+
 def test_items_of_words_that_every_document_has_are_found(spark):
     docs = spark.createDataFrame([(1, "what is the question here")], "doc_id long, text string")
     out = decontaminate(docs, spark.createDataFrame([(5, "is the question"), (6, "an other thing")], "item_id long, text string"))
