@@ -6,6 +6,7 @@
   it stops: cutting the grown tree there gives the tree grown under the limit.  (With random feature subsets it is one
   of the trees that could have been drawn: the subsets drawn below the cut are unused.)
 * ``cut_forest``: the forest as it is if it is grown to a smaller depth.
+* ``with_thresholds``: a forest grown on numbers of bins, as a forest of the values.
 * ``grow_tree``: one tree grown by aggregations: class counts per (node, feature, bin), running sums over the bins,
   the split with the largest Gini gain per node.  What a level gathers is nodes x features x bins rows, whatever the
   number of rows; it checks MLlib's fits exactly where bins hold one value each.
@@ -120,6 +121,25 @@ def cut_forest(model: RandomForestClassificationModel, spark: SparkSession, max_
     return _written(path, kept, F.col("leftChild_new").isNull(), spark)
 
 
+def with_thresholds(model: RandomForestClassificationModel, spark: SparkSession, thresholds: Sequence[Sequence[float]]) -> RandomForestClassificationModel:
+    """A forest grown on weighted rows whose features are numbers of bins, as a forest of the values; ``thresholds[f][i]`` ends bin i of feature f.
+
+    The weights are numbers of rows, so a node's row count is their sum."""
+    path, out = _saved(model, spark), checkpoint_path(spark, f"forests/{uuid.uuid4().hex}")
+    table = F.array(*[F.array(*[F.lit(float(t)) for t in ts]).cast("array<double>") for ts in thresholds])
+    split = F.col("nodeData.split")
+    at = F.floor(F.get(split["leftCategoriesOrThreshold"], F.lit(0))).cast("int")
+    moved = F.struct(split["featureIndex"].alias("featureIndex"), F.array(F.get(F.get(table, split["featureIndex"]), at)).alias("leftCategoriesOrThreshold"),
+                     split["numCategories"].alias("numCategories"))
+    stats = F.col("nodeData.impurityStats")
+    node = F.col("nodeData").withField("split", F.when(F.col("nodeData.leftChild") >= 0, moved).otherwise(split)) \
+        .withField("rawCount", F.aggregate(stats, F.lit(0.0), lambda a, b: a + b).cast("bigint"))
+    spark.read.parquet(f"{path}/data").withColumn("nodeData", node).write.parquet(f"{out}/data")
+    spark.read.parquet(f"{path}/treesMetadata").write.parquet(f"{out}/treesMetadata")
+    spark.read.text(f"{path}/metadata").coalesce(1).write.text(f"{out}/metadata")       # one line
+    return RandomForestClassificationModel.load(out)
+
+
 # -- a tree by aggregations ---------------------------------------------------------------
 
 def candidate_thresholds(df: DataFrame, features: Sequence[str], max_bins: int) -> DataFrame:

@@ -53,19 +53,24 @@ class TrainResult:
 def train_with_cv(train: DataFrame, test: DataFrame, label: str, exclude: Sequence[str],
                   key_cols: Sequence[str], folds: int = training.CV_FOLDS, parallelism: int = 4,
                   model_type: str = "rf", handle_invalid: str = "error",
-                  fold_seed: str = "fold", partitions: int = training.FIT_PARTITIONS) -> TrainResult:
-    """M1-M8: feature selection, 2 x 2 grid, k hash folds on AUC, refit, test metrics."""
+                  fold_seed: str = "fold", partitions: int = training.FIT_PARTITIONS, folded: DataFrame | None = None) -> TrainResult:
+    """M1-M8: feature selection, 2 x 2 grid, k hash folds on AUC, refit, test metrics.
+
+    ``folded``: the training rows with their folds, where the caller has cached them already."""
     spark = train.sparkSession
     feats = profile.feature_columns(train, exclude)
-    pipe = training.numeric_pipeline(feats, label, model_type, handle_invalid)
+    pipe = training.numeric_pipeline(feats, label, model_type, handle_invalid, on_cells=True)
     grid = training.forest_grid(pipe.getStages()[-1])
     needed = list(dict.fromkeys([*key_cols, label, *feats]))
-    folded = training.cache_for_fitting(training.add_folds(train.select(*needed), folds, fold_seed, key_cols), key_cols, partitions)
+    own = None
+    if folded is None:
+        folded = own = training.cache_for_fitting(training.add_folds(train.select(*needed), folds, fold_seed, key_cols), key_cols, partitions)
     try:
         cvm = training.cross_validate(pipe, grid, training.auc_evaluator(label), folded, folds,
                                       parallelism=parallelism, share_depths=True)
     finally:
-        folded.unpersist()
+        if own is not None:
+            own.unpersist()
     best_model = cvm.best_model
     best = training.best_params(best_model)
     cv_auc = cvm.avg_metrics[cvm.best_index]

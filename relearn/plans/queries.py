@@ -344,16 +344,19 @@ def q_forest_cv(spark, sf_dir):
     The best point's fold 0 is fitted again by itself and its held-out rows scored by the exact AUC (E1)."""
     from relearn.plans.jobs import train_with_cv
     train, test = train_test(spark, sf_dir)
-    result = train_with_cv(train, test, LABEL, FEATURE_EXCLUDE, TX_KEY_COLS)
-    folds = training.add_folds(train.select(*TX_KEY_COLS, LABEL, *result.feature_cols), training.CV_FOLDS, "fold", TX_KEY_COLS)
+    test = test.persist()
+    feats = profile.feature_columns(train, FEATURE_EXCLUDE)
+    folds = training.add_folds(train.select(*TX_KEY_COLS, LABEL, *feats), training.CV_FOLDS, "fold", TX_KEY_COLS)
     folds = training.cache_for_fitting(folds, TX_KEY_COLS)
-    pipe = training.numeric_pipeline(result.feature_cols, LABEL, num_trees=result.best["numTrees"], max_depth=result.best["maxDepth"])
+    result = train_with_cv(train, test, LABEL, FEATURE_EXCLUDE, TX_KEY_COLS, folded=folds)
+    pipe = training.numeric_pipeline(result.feature_cols, LABEL, on_cells=True, num_trees=result.best["numTrees"], max_depth=result.best["maxDepth"])
     held = training.score(pipe.fit(folds.where("fold <> 0")), folds.where("fold = 0"))
     again = metrics.roc_auc(held, LABEL, "score").select(F.col("auc_score").alias("again")).checkpoint()
     folds.unpersist()
     best = result.folds.where(F.col("candidate") == result.best_index).agg(
         F.max(F.when(F.col("fold") == 0, F.col("metric"))).alias("fold_auc"), F.avg("metric").alias("mean_of_folds"))
-    rule = metrics.roc_auc(test.withColumn("rule", scorers.candidate_score()), LABEL, "rule").select(F.col("auc_score").alias("rule_auc"))
+    rule = metrics.roc_auc(test.withColumn("rule", scorers.candidate_score()), LABEL, "rule").select(F.col("auc_score").alias("rule_auc")).checkpoint()
+    test.unpersist()
     grid = result.grid.agg(F.count(F.lit(1)).cast("bigint").alias("grid_size"), F.max("avg_auc").alias("best"))
     return (result.summary.crossJoin(rule).crossJoin(grid).crossJoin(again).crossJoin(best)      # one row each
             .select("sample_size", "grid_size", F.lit(training.CV_FOLDS).cast("bigint").alias("folds"),
