@@ -177,8 +177,7 @@ def joined_trees(trees: list, like, count: int, features: int, classes: int) ->
 
 def first_trees(model: RandomForestClassificationModel, count: int) -> RandomForestClassificationModel:
     """The forest of the first ``count`` trees."""
-    trees = model.trees
-    return model if count == len(trees) else joined_trees(trees, model, count, model.numFeatures, model.numClasses)
+    return model if count == model.getNumTrees else joined_trees(model.trees, model, count, model.numFeatures, model.numClasses)
 
 
 class CellForestClassifier(RandomForestClassifier):

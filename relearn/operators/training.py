@@ -113,7 +113,7 @@ def fit_partitions(rows: int, least: int = FIT_PARTITIONS) -> int:
 
 
 def cache_for_fitting(df: DataFrame, key_names: Sequence[str], partitions: int = FIT_PARTITIONS,
-                      level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+                      level: StorageLevel = StorageLevel.MEMORY_AND_DISK, keep: Sequence[str] | None = None) -> DataFrame:
     """Cache a training set, laid out by a hash of the row key; returns the cached frame.
 
     Tree growing scans the cached set once per level and fit, so its layout
@@ -121,10 +121,11 @@ def cache_for_fitting(df: DataFrame, key_names: Sequence[str], partitions: int =
     key, or more where there are more than ``FIT_ROWS`` rows for each, and are
     sorted by it within each, so the same rows and seed give the
     same trees however the input is stored, and a recomputed partition is the
-    same.  The caller selects the needed columns first and unpersists.
+    same.  The caller selects the needed columns first and unpersists; with ``keep`` only these are cached, without the key.
     """
     keys = [F.col(c) for c in key_names]
-    cached = df.repartition(fit_partitions(df.count(), partitions), *keys).sortWithinPartitions(*keys).persist(level)
+    laid = df.repartition(fit_partitions(df.count(), partitions), *keys).sortWithinPartitions(*keys)
+    cached = laid.select(*(df.columns if keep is None else keep)).persist(level)
     cached.count()
     return cached
 

@@ -64,7 +64,8 @@ def train_with_cv(train: DataFrame, test: DataFrame, label: str, exclude: Sequen
     needed = list(dict.fromkeys([*key_cols, label, *feats]))
     own = None
     if folded is None:
-        folded = own = training.cache_for_fitting(training.add_folds(train.select(*needed), folds, fold_seed, key_cols), key_cols, partitions)
+        folded = own = training.cache_for_fitting(training.add_folds(train.select(*needed), folds, fold_seed, key_cols), key_cols, partitions,
+                                                        keep=[label, *feats, "fold"])
     try:
         cvm = training.cross_validate(pipe, grid, training.auc_evaluator(label), folded, folds,
                                       parallelism=parallelism, share_depths=True)

@@ -347,7 +347,7 @@ def q_forest_cv(spark, sf_dir):
     test = test.persist()
     feats = profile.feature_columns(train, FEATURE_EXCLUDE)
     folds = training.add_folds(train.select(*TX_KEY_COLS, LABEL, *feats), training.CV_FOLDS, "fold", TX_KEY_COLS)
-    folds = training.cache_for_fitting(folds, TX_KEY_COLS)
+    folds = training.cache_for_fitting(folds, TX_KEY_COLS, keep=[LABEL, *feats, "fold"])
     result = train_with_cv(train, test, LABEL, FEATURE_EXCLUDE, TX_KEY_COLS, folded=folds)
     pipe = training.numeric_pipeline(result.feature_cols, LABEL, on_cells=True, num_trees=result.best["numTrees"], max_depth=result.best["maxDepth"])
     held = training.score(pipe.fit(folds.where("fold <> 0")), folds.where("fold = 0"))

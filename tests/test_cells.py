@@ -106,3 +106,11 @@ def test_quantile_bins_nan_and_rows_that_have_cells_of_their_own(spark):
     own = many.select(cells.array_to_vector("x").alias("features"), "y")
     assert rf.cells(own) is None and rf.fit(own).getNumTrees == 2
     assert rf.copy({rf.minInstancesPerNode: 3}).cells(data) is None
+
+
+def test_cached_training_rows_are_laid_out_by_a_key_that_is_not_kept(spark):
+    df = rows_of(spark, 2000)
+    whole, slim = (training.cache_for_fitting(df, ["id"], 4, keep=k) for k in (None, ["y", "a"]))
+    assert slim.columns == ["y", "a"] and slim.rdd.getNumPartitions() == 4
+    assert [tuple(r) for r in slim.collect()] == [tuple(r) for r in whole.select("y", "a").collect()]
+    whole.unpersist(), slim.unpersist()
